@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textflow.llm import neardup, substrings
+from textflow.llm import neardup, quality, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -21,7 +21,12 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 QUERIES = {
+    "op8_quality_rules": op8_quality_rules,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
 }
