@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textflow.llm import neardup, quality, substrings
+from textflow.llm import langid, neardup, quality, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -25,7 +25,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
+    found = langid.predict(docs, langid.train(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op3_language_id": op3_language_id,
     "op8_quality_rules": op8_quality_rules,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
