@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textflow.llm import langid, neardup, quality, substrings
+from textflow.llm import langid, neardup, quality, secrets, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -32,7 +32,13 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 QUERIES = {
+    "op4_secret_scan": op4_secret_scan,
     "op3_language_id": op3_language_id,
     "op8_quality_rules": op8_quality_rules,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
