@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textflow.llm import langid, neardup, quality, secrets, substrings
+from textflow.llm import langid, neardup, packing, quality, secrets, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -37,7 +37,19 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """A public vocabulary file of this environment."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary(), keep_ids=False).drop("ids")
+
+
 QUERIES = {
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op4_secret_scan": op4_secret_scan,
     "op3_language_id": op3_language_id,
     "op8_quality_rules": op8_quality_rules,
