@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
@@ -47,3 +47,17 @@ def remove(spark: SparkSession, *tables: DataFrame) -> None:
 def small_side(df: DataFrame, limit: int) -> DataFrame:
     """df with a broadcast hint if it has no more than `limit` rows (counted), else as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], spread: Column, values: list[str], parts: int = 200) -> DataFrame:
+    """rows with the values of their group, null where there is none; groups (keys, values, n) has one row for each, n being
+    its number of rows. Groups with more than 1 / parts of all rows (so fewer than `parts`) come by broadcast, and their rows
+    get keys of their own, by `spread`, for the shuffled join with the others: no key burdens a task."""
+    limit = max(1000, rows.count() // parts)
+    key = F.concat_ws("|", *keys)
+    hot = groups.where(F.col("n") > limit).select(key.alias("_key"), F.struct(*values).alias("_hot"))
+    cold = groups.where(F.col("n") <= limit).select(key.alias("_key"), F.struct(*values).alias("_cold"))
+    near = rows.withColumn("_key", key).join(F.broadcast(hot), "_key", "left")
+    near = near.withColumn("_key", F.when(F.col("_hot").isNull(), F.col("_key")).otherwise(F.concat(F.lit("#"), F.coalesce(spread.cast("string"), F.lit("")))))
+    found = F.coalesce("_hot", "_cold")
+    return near.join(cold, "_key", "left").select(*(near[c] for c in rows.columns), *(found[v].alias(v) for v in values))

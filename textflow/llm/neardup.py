@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textflow.llm._shared import cut, remove, small_side
+from textflow.llm._shared import cut, small_side, with_group
 from textflow.llm._words import LOWER, distinct, mix, prefix_hash, shingles, texts, window, words
 from textflow.llm.components import components
 
@@ -31,8 +31,8 @@ SYMBOLS = CHUNKS * WIDTH
 #: Signatures that differ in more symbols aren't confirmed on full sets: for similarity 0.75 the number of differing
 #: symbols is binomial (40, 1/4), over 25 with a probability of 1e-7.
 FAR = 25
-#: Rows of a bucket that are compared at a time.
-BLOCK = 1024
+#: Nodes of a block, where a bucket is split.
+BLOCK = 8192
 #: Ids up to which a table is broadcast.
 BROADCAST_IDS = 500_000
 _RNG = np.random.default_rng(6)
@@ -106,86 +106,82 @@ def _runs(batches, columns: int) -> Iterator[list[np.ndarray]]:
 
 
 def shared_keys(keys: DataFrame) -> DataFrame:
-    """The rows of keys that more than one node has. Counted before the shuffle where a task sees a key again."""
-    n = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("key")
-    return keys.join(n, "key")
-
-
-def _forest(dist: np.ndarray, a: np.ndarray, b: np.ndarray, top: dict, quota: int) -> tuple[list[int], bool]:
-    """Indexes of pairs to confirm, nearest first: those that join two parts, and up to quota others between parts
-    (of `top`, as known before) - and whether any were left out."""
-
-    def root(x):
-        while tree.get(x, x) != x:
-            tree[x] = tree.get(tree[x], tree[x])
-            x = tree[x]
-        return x
-
-    tree: dict = {}
-    out, more = [], False
-    for i in np.argsort(dist, kind="stable"):
-        x, y = top[a[i]], top[b[i]]
-        if x == y:
-            continue
-        rx, ry = root(x), root(y)
-        if rx != ry:
-            tree[rx] = ry
-            out.append(i)
-        elif quota > 0:
-            quota -= 1
-            out.append(i)
-        else:
-            more = True
-    return out, more
+    """The rows of keys that more than one node has."""
+
+    def run(batches):
+        for key, node in _runs(batches, 2):
+            same = np.r_[False, key[1:] == key[:-1], False]
+            keep = same[1:] | same[:-1]
+            yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(node[keep])], ["key", "node"])
+
+    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(run, "key long, node long")
+
+
+def in_blocks(buckets: DataFrame, most: int) -> DataFrame:
+    """(key, node), where each bucket of over 2 * most nodes is replaced by buckets for every two of its blocks of about
+    `most` nodes, so that each two nodes still meet and no bucket is larger."""
+    large = buckets.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 2 * most)
+    if not large.limit(1).count():
+        return buckets
+    sized = buckets.join(small_side(large, BROADCAST_IDS), "key", "left").withColumn("blocks", F.ceil(F.col("n") / most))
+    own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks"))
+    split = sized.where("n is not null").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    split = split.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node")
+    return sized.where("n is null").select("key", "node").unionByName(split)
+
+
+def _bucket(node: np.ndarray, comp: np.ndarray, sig: np.ndarray, quota: int) -> tuple[list[int], list[int], bool]:
+    """Pairs of a bucket to confirm, as (a, b, whether more were left out): the edges of a nearest spanning forest (Prim's)
+    over pairs within FAR, where nodes of one component count as joined, and up to quota further pairs between components."""
+    n = len(node)
+    near, parent = np.full(n, 255, np.int16), np.full(n, -1)
+    out = np.zeros(n, bool)
+    a, b, more, met = [], [], False, 0
+    at, forest_only = 0, not quota
+    for step in range(n):
+        out[at] = True
+        d = (sig != sig[at]).sum(1).astype(np.int16)
+        other = comp != comp[at]
+        passing = np.flatnonzero((d <= FAR) & other & ~out)  # each pair once: those before have seen this node
+        d[~other] = -1
+        better = (d < near) & ~out & (d <= FAR)
+        met += len(passing)
+        take = passing[:quota]
+        a += [node[at]] * len(take)
+        b += node[take].tolist()
+        quota -= len(take)
+        more |= not forest_only and len(take) < len(passing)
+        near[better], parent[better] = d[better], at
+        if step == n - 1:
+            break
+        rest = np.where(out, 300, near)
+        at = int(rest.argmin())
+        if rest[at] <= FAR and rest[at] >= 0:
+            a.append(node[at])
+            b.append(node[parent[at]])
+        elif rest[at] > FAR:
+            at = int(out.argmin())
+    return a, b, more or forest_only and met > len(a)
 
 
 def bucket_pairs(members: DataFrame, quota: int) -> DataFrame:
     """(key, node, comp, sig) sorted by key within partitions -> (a, b, more): pairs to confirm."""
 
-    def bucket(node, comp, sig, quota):
-        a_all, b_all, d_all, more = [], [], [], False
-        for i in range(0, len(node), BLOCK):
-            for j in range(i, len(node), BLOCK):
-                x, y = slice(i, i + BLOCK), slice(j, j + BLOCK)
-                d = np.zeros((len(node[x]), len(node[y])), np.uint8)
-                for s in range(SYMBOLS):
-                    d += sig[x, s, None] != sig[None, y, s]
-                ok = (d <= FAR) & (comp[x, None] != comp[None, y])
-                if i == j:
-                    ok = np.triu(ok, 1)
-                p, q = np.nonzero(ok)
-                if not len(p):
-                    continue
-                dist = d[p, q]
-                top = dict(zip(node, comp, strict=True))
-                if len(p) > 4 * BLOCK:  # a block's own forest keeps what the bucket's forest can need
-                    keep, cut_off = _forest(dist, node[x][p], node[y][q], top, quota)
-                    more |= cut_off
-                    p, q, dist = p[keep], q[keep], dist[keep]
-                a_all.append(node[x][p]), b_all.append(node[y][q]), d_all.append(dist)
-        if not a_all:
-            return [], [], more
-        a, b = np.concatenate(a_all), np.concatenate(b_all)
-        keep, cut_off = _forest(np.concatenate(d_all), a, b, dict(zip(node, comp, strict=True)), quota)
-        return a[keep].tolist(), b[keep].tolist(), more or cut_off
-
     def run(batches):
         for key, node, comp, sig in _runs(batches, 4):
             at = np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)]
             a, b, m, seen = [], [], [], set()
             for i, j in zip(at[:-1], at[1:], strict=True):
-                if j - i < 2:
+                c = comp[i:j]
+                if j - i < 2 or (c == c[0]).all():
                     continue
                 order = np.argsort(node[i:j])
                 name = node[i:j][order].tobytes()
                 if hash(name) in seen:  # the same members under another key
                     continue
                 seen.add(hash(name))
-                c = comp[i:j][order]
-                if (c == c[0]).all():
-                    continue
                 s = np.frombuffer(b"".join(sig[i:j][order]), np.uint16).reshape(-1, SYMBOLS)
-                x, y, more = bucket(node[i:j][order], c, s, quota * (j - i))
+                x, y, more = _bucket(node[i:j][order], c[order], s, quota * (j - i))
                 a += x
                 b += y
                 m += [more] * len(x)
@@ -229,37 +225,33 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     spark = docs.sparkSession
     sigs = cut(signatures(docs, size), "signatures")
     usable = sigs.where("n_shingles > 0 and doc_id is not null")
-    groups = cut(usable.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("node"), F.min("sig").alias("sig")), "sets")
-    members = usable.select("doc_id", "n_shingles", "d1", "d2").join(groups.select("n_shingles", "d1", "d2", "node"), ["n_shingles", "d1", "d2"])
-    equal = members.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    nodes = groups.groupBy("node", "sig").agg(F.count("*").alias("n")).select("node", "sig")
-    buckets = cut(shared_keys(index_keys(nodes)), "buckets")
-    links = texts_of = known = None
+    keys = ["n_shingles", "d1", "d2"]
+    groups = cut(usable.groupBy(*keys).agg(F.min("doc_id").alias("node"), F.min("sig").alias("sig"), F.count("*").alias("n")), "sets")
+    nodes = groups.select("node", "sig")
+    members = with_group(sigs.select("doc_id", *keys), groups.where("n > 1"), keys, F.col("doc_id"), ["node"])
+    members = members.select("doc_id", *keys, F.coalesce("node", "doc_id").alias("node"))
+    buckets = cut(in_blocks(shared_keys(index_keys(nodes)), BLOCK), "buckets")
+    several = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
+    links = members.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b"))
     comp = spark.createDataFrame([], "node long, component long")
-    quota = 4
+    texts_of, known, quota = None, [], 0
     while True:
-        rows = buckets.join(nodes, "node").join(comp, "node", "left")
-        rows = rows.select("key", "node", F.coalesce("component", "node").alias("comp"), "sig").repartition("key").sortWithinPartitions("key")
-        pairs = cut(bucket_pairs(rows, quota).groupBy("a", "b").agg(F.max("more").alias("more")), "pairs")
+        rows = buckets.join(nodes, "node")
+        rows = (rows.join(comp, "node", "left") if known else rows.withColumn("component", F.lit(None).cast("long"))).select("key", "node", F.coalesce("component", "node").alias("comp"), "sig")
+        pairs = cut(bucket_pairs(rows.repartition("key").sortWithinPartitions("key"), quota).groupBy("a", "b").agg(F.max("more").alias("more")), "pairs")
         new = pairs.select("a", "b")
-        more = pairs.where("more").limit(1).count() > 0
-        if known is not None:
-            new = new.join(known.select("a", "b"), ["a", "b"], "left_anti")
+        for before in known:
+            new = new.join(before.select("a", "b"), ["a", "b"], "left_anti")
         if texts_of is None:
             ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
             first = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small_side(ids, BROADCAST_IDS), "doc_id")
             texts_of = cut(first.groupBy(F.col("doc_id").alias("node")).agg(F.min("text").alias("text")), "texts")
-        checked = cut(confirm(new, texts_of, percent, size), "checked")
-        found, linked = checked.agg(F.count("*"), F.count_if("linked")).first()
-        known = checked if known is None else known.unionByName(checked)
-        if not found and not more:
-            break
-        if linked or links is None:
-            links = known.where("linked").select("a", "b")
-            comp = cut(components(links), "components")
-        quota *= 8
-        remove(spark, pairs)
-    final = components((links if links is not None else spark.createDataFrame([], "a long, b long")).unionByName(equal))
-    out = sigs.select("doc_id", "n_shingles").join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    component = F.coalesce("component", "doc_id")
+        known.append(cut(confirm(new, texts_of, percent, size), "checked"))
+        links = links.unionByName(known[-1].where("linked").select("a", "b"))
+        comp = components(links)
+        if not pairs.where("more").limit(1).count():
+            break  # every pair between the components before this round was confirmed or refuted
+        quota = max(64, quota * 8)
+    out = members.join(comp, "node", "left")
+    component = F.coalesce("component", "node")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
