@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textflow.llm import langid, neardup, packing, quality, secrets, substrings
+from textflow.llm import langid, neardup, packing, quality, secrets, substrings, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -48,7 +48,22 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary(), keep_ids=False).drop("ids")
 
 
+#: The rules of op1: (host with path prefix, verdict).
+URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
+
+
+def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
+    "op9_warc_zip": op9_warc_zip,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op4_secret_scan": op4_secret_scan,
     "op3_language_id": op3_language_id,
@@ -62,10 +77,10 @@ ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL["op6_minhash_near_dedup"] = r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-         '[\x20\x09-\x0D]+'), w -> w <> '') AS words FROM documents),
+         '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
 sh AS (
   SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
-         ELSE list_transform(range(1, len(words) - 3), i -> array_to_string(words[i:i + 4], ' ')) END) AS s FROM docs),
+         ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS s FROM docs),
 sets AS (SELECT DISTINCT doc_id, s FROM sh),
 sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
 pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
@@ -74,3 +89,25 @@ reach(doc_id, other) AS (SELECT doc_id, doc_id FROM docs UNION SELECT r.doc_id,
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
 FROM docs d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
 """
+
+_PARTS = r"""
+parts AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+          regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages)"""
+
+ORACLE_SQL["op1_url_filter"] = f"""
+WITH {_PARTS},
+rules(rule, verdict, rule_host, rule_path) AS (VALUES {", ".join(f"('{r}', '{v}', '{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}')" for r, v in URL_RULES)}),
+fits AS (SELECT page_id, rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, length(rule_host) DESC) AS k
+         FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id AND f.k = 1
+"""
+
+ORACLE_SQL["op9_warc_zip"] = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
