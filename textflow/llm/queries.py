@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textflow.llm import langid, neardup, packing, quality, secrets, substrings, urls, warc
+from textflow.llm import langid, neardup, packing, quality, secrets, substrings, topk, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -61,7 +61,13 @@ def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return topk.search(rows, rows.where("vec_id % 100 = 0"))
+
+
 QUERIES = {
+    "op10_exact_topk": op10_exact_topk,
     "op1_url_filter": op1_url_filter,
     "op9_warc_zip": op9_warc_zip,
     "op5_best_fit_packing": op5_best_fit_packing,
@@ -111,3 +117,10 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM firsts
 """
+
+ORACLE_SQL["op10_exact_topk"] = """
+WITH codes AS (SELECT vec_id, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS code FROM embeddings),
+far AS (SELECT q.vec_id AS query_id, c.vec_id, hamming(q.code, c.code) AS distance FROM codes q JOIN codes c ON q.vec_id % 100 = 0),
+ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank, vec_id, distance FROM far)
+SELECT * FROM ranked WHERE rank <= 10
+"""
