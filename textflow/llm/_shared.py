@@ -55,9 +55,9 @@ def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], spread: Colu
     get keys of their own, by `spread`, for the shuffled join with the others: no key burdens a task."""
     limit = max(1000, rows.count() // parts)
     key = F.concat_ws("|", *keys)
-    hot = groups.where(F.col("n") > limit).select(key.alias("_key"), F.struct(*values).alias("_hot"))
-    cold = groups.where(F.col("n") <= limit).select(key.alias("_key"), F.struct(*values).alias("_cold"))
-    near = rows.withColumn("_key", key).join(F.broadcast(hot), "_key", "left")
-    near = near.withColumn("_key", F.when(F.col("_hot").isNull(), F.col("_key")).otherwise(F.concat(F.lit("#"), F.coalesce(spread.cast("string"), F.lit("")))))
-    found = F.coalesce("_hot", "_cold")
-    return near.join(cold, "_key", "left").select(*(near[c] for c in rows.columns), *(found[v].alias(v) for v in values))
+    hot = groups.where(F.col("n") > limit).select(key.alias("__group_key"), F.struct(*values).alias("__group_hot"))
+    cold = groups.where(F.col("n") <= limit).select(key.alias("__group_key"), F.struct(*values).alias("__group_cold"))
+    near = rows.withColumn("__group_key", key).join(F.broadcast(hot), "__group_key", "left")
+    near = near.withColumn("__group_key", F.when(F.col("__group_hot").isNull(), F.col("__group_key")).otherwise(F.concat(F.lit("#"), F.coalesce(spread.cast("string"), F.lit("")))))
+    found = F.coalesce("__group_hot", "__group_cold")
+    return near.join(cold, "__group_key", "left").select(*(near[c] for c in rows.columns), *(found[v].alias(v) for v in values))
