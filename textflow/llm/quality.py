@@ -172,6 +172,50 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(part.sum(-1) / 2, 0))
 
 
+_STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def judge(refs: dict[str, dict], char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT, least_words: int = LEAST_WORDS):
+    """A function of a string column -> arrays: the statistics, base_failed, char_distance, word_distance, kept."""
+    names = sorted(refs)
+    every = sorted({w for x in names for w in refs[x]["words"]})
+    place = {w: i for i, w in enumerate(every)}
+    bins = [np.array([place[w] for w in refs[x]["words"]], int) for x in names]
+    shares = [np.array([*refs[x]["words"].values(), max(0.0, 1 - sum(refs[x]["words"].values()))]) for x in names]
+    classes = [np.array(refs[x]["classes"]) for x in names]
+
+    def judged(column: pa.Array) -> list[np.ndarray]:
+        parts = []
+        for t in texts(column):
+            raw = _raw(t)
+            s = base_statistics(t, raw)
+            failed = (s["n_words"] < 10) | (100 * s["n_repeat_words"] > 20 * s["n_words"])
+            far, good = np.full((2, len(t)), np.nan), np.ones(len(t), bool)
+            long = np.flatnonzero(s["n_words"] >= least_words) if names else np.empty(0, int)
+            if len(long):
+                hist = np.zeros((len(long), len(every)))
+                for row, i in zip(hist, long, strict=True):
+                    for word, m in Counter(filter(place.__contains__, _folded(raw[i]))).items():
+                        row[place[word]] = m
+                n = s["n_words"][long]
+                kinds = class_counts(t)[long]
+                kinds = kinds / kinds.sum(1, keepdims=True)
+                d_char, d_word = np.empty((2, len(names), len(long)))
+                for k in range(len(names)):
+                    h = hist[:, bins[k]]
+                    h = np.c_[h, np.maximum(n - h.sum(1), 0)] / n[:, None]
+                    d_char[k] = js_distance(kinds, classes[k])
+                    d_word[k] = np.maximum(js_distance(h, shares[k]) - np.sqrt(h.shape[1] / (8 * n)), 0)
+                excess = np.maximum(d_char - char_limit, d_word - word_limit)
+                best = excess.argmin(0)
+                far[:, long] = d_char[best, np.arange(len(long))], d_word[best, np.arange(len(long))]
+                good[long] = excess.min(0) <= 0
+            parts.append((*(s[x] for x in _STATISTICS), failed, far[0], far[1], ~failed & good))
+        return [np.concatenate(x) for x in zip(*parts, strict=True)]
+
+    return judged
+
+
 def quality(docs: DataFrame, refs: dict[str, dict] | None = None, char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT, least_words: int = LEAST_WORDS) -> DataFrame:
     """docs (doc_id, text, lang, ...) -> a row for each row: doc_id, the statistics, base_failed, char_distance,
     word_distance, kept.
@@ -181,47 +225,27 @@ def quality(docs: DataFrame, refs: dict[str, dict] | None = None, char_limit: fl
     the root of bins / (8 * words) for noise, within word_limit. Distances are null for shorter texts or without references. A null
     text has no words; a null lang is no hindrance, as all references count. An empty table gives an empty one."""
     refs = references(docs) if refs is None else refs
-    names = sorted(refs)
 
     def run(batches):
-        every = sorted({w for x in names for w in refs[x]["words"]})
-        place = {w: i for i, w in enumerate(every)}
-        bins = [np.array([place[w] for w in refs[x]["words"]], int) for x in names]
-        shares = [np.array([*refs[x]["words"].values(), max(0.0, 1 - sum(refs[x]["words"].values()))]) for x in names]
-        classes = [np.array(refs[x]["classes"]) for x in names]
+        judged = judge(refs, char_limit, word_limit, least_words)
         for batch in batches:
-            parts = []
-            for t in texts(batch.column(1)):
-                raw = _raw(t)
-                s = base_statistics(t, raw)
-                failed = (s["n_words"] < 10) | (100 * s["n_repeat_words"] > 20 * s["n_words"])
-                far, good = np.full((2, len(t)), np.nan), np.ones(len(t), bool)
-                judged = np.flatnonzero(s["n_words"] >= least_words) if names else np.empty(0, int)
-                if len(judged):
-                    hist = np.zeros((len(judged), len(every)))
-                    for row, i in zip(hist, judged, strict=True):
-                        found = Counter(filter(place.__contains__, _folded(raw[i])))
-                        for word, m in found.items():
-                            row[place[word]] = m
-                    n = s["n_words"][judged]
-                    kinds = class_counts(t)[judged]
-                    kinds = kinds / kinds.sum(1, keepdims=True)
-                    d_char, d_word = np.empty((2, len(names), len(judged)))
-                    for k in range(len(names)):
-                        h = hist[:, bins[k]]
-                        h = np.c_[h, n - h.sum(1)] / n[:, None]
-                        d_char[k] = js_distance(kinds, classes[k])
-                        d_word[k] = np.maximum(js_distance(h, shares[k]) - np.sqrt(h.shape[1] / (8 * n)), 0)
-                    excess = np.maximum(d_char - char_limit, d_word - word_limit)
-                    best = excess.argmin(0)
-                    far[:, judged] = d_char[best, np.arange(len(judged))], d_word[best, np.arange(len(judged))]
-                    good[judged] = excess.min(0) <= 0
-                parts.append((*(s[x] for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), failed, far[0], far[1], ~failed & good))
-            if not parts:
-                continue
-            cols = [np.concatenate(x) for x in zip(*parts, strict=True)]
-            arrays = [pa.array(x.astype(np.int64)) for x in cols[:5]] + [pa.array(cols[5])] + [pa.array(x, mask=np.isnan(x)) for x in cols[6:8]] + [pa.array(cols[8])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"])
+            if batch.num_rows:
+                cols = judged(batch.column(1))
+                arrays = [pa.array(x.astype(np.int64)) for x in cols[:5]] + [pa.array(cols[5])] + [pa.array(x, mask=np.isnan(x)) for x in cols[6:8]] + [pa.array(cols[8])]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", *_STATISTICS, "base_failed", "char_distance", "word_distance", "kept"])
 
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, char_distance double, word_distance double, kept boolean"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+
+
+def accepted(docs: DataFrame, refs: dict[str, dict] | None = None) -> DataFrame:
+    """The rows of docs (text, lang, ...) that quality() keeps, with all their columns."""
+    refs = references(docs) if refs is None else refs
+
+    def run(batches):
+        judged = judge(refs)
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(judged(batch.column("text"))[-1]))
+
+    return docs.mapInArrow(run, docs.schema)

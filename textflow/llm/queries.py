@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textflow.llm import langid, neardup, packing, quality, secrets, substrings, topk, urls, warc
+from textflow.llm import langid, mixing, neardup, packing, quality, secrets, substrings, topk, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -66,7 +66,13 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(rows, rows.where("vec_id % 100 = 0"))
 
 
+def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "source", mixing.token_count(F.col("text")).alias("n_tokens"), "weight", "copies")
+
+
 QUERIES = {
+    "op7_temperature_mixing": op7_temperature_mixing,
     "op10_exact_topk": op10_exact_topk,
     "op1_url_filter": op1_url_filter,
     "op9_warc_zip": op9_warc_zip,

@@ -267,3 +267,16 @@ def scan(docs: DataFrame, model: dict | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True))], ["doc_id", "n_assign", "n_access", "n_hex", "base", "spans", "redacted"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base string, spans string, redacted string")
+
+
+def clean(docs: DataFrame, model: dict | None = None) -> DataFrame:
+    """docs (text, ...) with every secret span replaced by [SECRET]; other columns and null texts stay as they are."""
+    model = model or trained()
+
+    def run(batches):
+        for batch in batches:
+            i = batch.schema.get_field_index("text")
+            new = [x and redacted(x, all_spans(x, model)[1]) for x in batch.column(i).to_pylist()]
+            yield batch.set_column(i, batch.schema.field(i), pa.array(new, batch.schema.field(i).type))
+
+    return docs.mapInArrow(run, docs.schema)
