@@ -43,7 +43,8 @@ def allowed_latin(token: Column, source_tokens: Column, rules: Rules) -> Column:
     listed = [w.lower() for w in rules.whitelist]
     near = text.any_of([F.lit(w).contains(low) | low.contains(F.lit(w)) for w in listed])
     exact = low.isin([*listed, *rules.fragments]) if listed or rules.fragments else F.lit(False)
-    return F.array_contains(source_tokens, low) | exact | near
+    # named twice, so that the optimizer doesn't move the column's own expression into the lambda, once for each word
+    return (source_tokens.isNotNull() & F.array_contains(source_tokens, low)) | exact | near
 
 
 def hard_qa(items: DataFrame, rules: Rules) -> DataFrame:
@@ -119,7 +120,8 @@ def hard_qa(items: DataFrame, rules: Rules) -> DataFrame:
 def histogram(items: DataFrame, column: str = "hard_errors", only_failed: bool = False) -> DataFrame:
     """Codes (up to the colon) and how often; warnings are usually counted for failed items only."""
     rows = items.where("not hard_pass") if only_failed else items
-    return rows.select(F.explode(column).alias("code")).groupBy(text.error_code(F.col("code")).alias("code")).agg(F.count("*").alias("n"))
+    # an outer explode: the filter that explode() infers would evaluate all rules again, below their projections
+    return rows.select(F.explode_outer(column).alias("code")).where("code is not null").groupBy(text.error_code(F.col("code")).alias("code")).agg(F.count("*").alias("n"))
 
 
 def pass_rate(items: DataFrame) -> DataFrame:
