@@ -7,10 +7,10 @@ chunk is indexed once for every choice of ERRORS symbols left out, and every suc
 10 chunks of 4 and one error, pairs up to distance 19 of 40 are found for certain, and a pair with similarity 0.75 is
 missed with probability 1.5e-6. Pairs that meet are compared by their full signatures and then on their full sets.
 
-Sets that are equal are one node from the start, whatever their number. In a bucket no list of all pairs is made: only
-a spanning forest of the pairs that may link, and as many further pairs between parts that aren't joined yet as a quota
-allows; a round with a larger quota follows for as long as a bucket has pairs that were neither confirmed nor refuted
-between parts that aren't joined. So a component loses no link, and rows stay in proportion to the members of a bucket.
+Sets that are equal are one node from the start, whatever their number. In a bucket no list of all pairs is made: first
+a nearest spanning forest of the pairs that may link; then, with the components that result, and by longer sketches of
+the documents concerned, each node's few nearest nodes in other components; and last whatever pairs between components
+are left that the sketches don't rule out. So a component loses no link, and large groups of copies take few pairs.
 """
 
 from __future__ import annotations
@@ -31,11 +31,17 @@ SYMBOLS = CHUNKS * WIDTH
 #: Signatures that differ in more symbols aren't confirmed on full sets: for similarity 0.75 the number of differing
 #: symbols is binomial (40, 1/4), over 25 with a probability of 1e-7.
 FAR = 25
+#: Minwise hashes of 8 bits in a sketch, and how many must agree for a pair to be confirmed on full sets: at similarity 0.75
+#: the number that agree is binomial (768, 0.75), under 516 with a probability of 1e-6.
+SKETCH, NEAR = 768, 516
+#: Nearest nodes in other components that a node is compared with before all others are.
+FEW = 6
 #: Nodes of a block, where a bucket is split.
 BLOCK = 8192
 #: Ids up to which a table is broadcast.
 BROADCAST_IDS = 500_000
 _RNG = np.random.default_rng(6)
+_SKETCH_FACTORS = np.random.default_rng(66).integers(0, 1 << 63, SKETCH, np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTORS = _RNG.integers(0, 1 << 63, SYMBOLS, np.uint64) * np.uint64(2) + np.uint64(1)
 _KEYS = _RNG.integers(0, 1 << 63, SYMBOLS, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -74,7 +80,7 @@ def signatures(docs: DataFrame, size: int = 5) -> DataFrame:
 
 
 def index_keys(nodes: DataFrame) -> DataFrame:
-    """(node, sig) -> (key, node): a key for each chunk and each choice of ERRORS = 1 symbols left out."""
+    """(node, sig) -> (key, node, slot): a key for each chunk and each choice of ERRORS = 1 symbols left out (its slot)."""
 
     def run(batches):
         for batch in batches:
@@ -84,9 +90,10 @@ def index_keys(nodes: DataFrame) -> DataFrame:
             part = (sig + np.uint64(1)) * _KEYS.reshape(CHUNKS, WIDTH)
             key = mix(part.sum(2, keepdims=True, dtype=np.uint64) - part + np.arange(SYMBOLS, dtype=np.uint64).reshape(CHUNKS, WIDTH))
             node = np.repeat(batch.column(0).to_numpy(), SYMBOLS)
-            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(node)], ["key", "node"])
+            slot = np.tile(np.arange(SYMBOLS, dtype=np.int8), batch.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(node), pa.array(slot)], ["key", "node", "slot"])
 
-    return nodes.select("node", "sig").mapInArrow(run, "key long, node long")
+    return nodes.select("node", "sig").mapInArrow(run, "key long, node long, slot byte")
 
 
 def _runs(batches, columns: int) -> Iterator[list[np.ndarray]]:
@@ -109,16 +116,16 @@ def shared_keys(keys: DataFrame) -> DataFrame:
     """The rows of keys that more than one node has."""
 
     def run(batches):
-        for key, node in _runs(batches, 2):
+        for key, node, slot in _runs(batches, 3):
             same = np.r_[False, key[1:] == key[:-1], False]
             keep = same[1:] | same[:-1]
-            yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(node[keep])], ["key", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, node, slot)], ["key", "node", "slot"])
 
-    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(run, "key long, node long")
+    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(run, "key long, node long, slot byte")
 
 
 def in_blocks(buckets: DataFrame, most: int) -> DataFrame:
-    """(key, node), where each bucket of over 2 * most nodes is replaced by buckets for every two of its blocks of about
+    """(key, node, slot), where each bucket of over 2 * most nodes is replaced by buckets for every two of its blocks of about
     `most` nodes, so that each two nodes still meet and no bucket is larger."""
     large = buckets.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 2 * most)
     if not large.limit(1).count():
@@ -126,62 +133,79 @@ def in_blocks(buckets: DataFrame, most: int) -> DataFrame:
     sized = buckets.join(small_side(large, BROADCAST_IDS), "key", "left").withColumn("blocks", F.ceil(F.col("n") / most))
     own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks"))
     split = sized.where("n is not null").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    split = split.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node")
-    return sized.where("n is null").select("key", "node").unionByName(split)
+    split = split.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node", "slot")
+    return sized.where("n is null").select("key", "node", "slot").unionByName(split)
 
 
-def _bucket(node: np.ndarray, comp: np.ndarray, sig: np.ndarray, quota: int) -> tuple[list[int], list[int], bool]:
-    """Pairs of a bucket to confirm, as (a, b, whether more were left out): the edges of a nearest spanning forest (Prim's)
-    over pairs within FAR, where nodes of one component count as joined, and up to quota further pairs between components."""
+def _forest(node: np.ndarray, sig: np.ndarray) -> tuple[list[int], list[int], bool]:
+    """The edges (a, b) of a nearest spanning forest (Prim's) of a bucket over pairs within FAR, and whether there are further
+    such pairs."""
     n = len(node)
     near, parent = np.full(n, 255, np.int16), np.full(n, -1)
     out = np.zeros(n, bool)
-    a, b, more, met = [], [], False, 0
-    at, forest_only = 0, not quota
+    a, b, met, at = [], [], 0, 0
     for step in range(n):
         out[at] = True
         d = (sig != sig[at]).sum(1).astype(np.int16)
-        other = comp != comp[at]
-        passing = np.flatnonzero((d <= FAR) & other & ~out)  # each pair once: those before have seen this node
-        d[~other] = -1
-        better = (d < near) & ~out & (d <= FAR)
-        met += len(passing)
-        take = passing[:quota]
-        a += [node[at]] * len(take)
-        b += node[take].tolist()
-        quota -= len(take)
-        more |= not forest_only and len(take) < len(passing)
+        passing = (d <= FAR) & ~out  # each pair once: those before have seen this node
+        met += int(passing.sum())
+        better = passing & (d < near)
         near[better], parent[better] = d[better], at
         if step == n - 1:
             break
         rest = np.where(out, 300, near)
         at = int(rest.argmin())
-        if rest[at] <= FAR and rest[at] >= 0:
+        if rest[at] <= FAR:
             a.append(node[at])
             b.append(node[parent[at]])
-        elif rest[at] > FAR:
+        else:
             at = int(out.argmin())
-    return a, b, more or forest_only and met > len(a)
+    return a, b, met > len(a)
+
+
+def _crossing(node: np.ndarray, comp: np.ndarray, sketch: np.ndarray, slot: int, most: int) -> tuple[list[int], list[int], bool]:
+    """For each node outside the bucket's largest component its `most` nearest nodes in other components, by sketch, and
+    whether any had more. Every pair between two components has such a node. A pair that shares several keys is taken in
+    the bucket of its first slot only. sketch: SKETCH bytes and the signature."""
+    values, count = np.unique(comp, return_counts=True)
+    long, sig = sketch[:, :SKETCH], np.ascontiguousarray(sketch[:, SKETCH:]).view(np.uint16).reshape(len(node), CHUNKS, WIDTH)
+    a, b, more = [], [], False
+    for i in np.flatnonzero(comp != values[count.argmax()]):
+        other = np.flatnonzero(comp != comp[i])
+        equal = sig[other] == sig[i]
+        n = equal.sum(2)
+        chunk = (n >= WIDTH - ERRORS).argmax(1)
+        rows = np.arange(len(other))
+        first = chunk * WIDTH + np.where(n[rows, chunk] == WIDTH, 0, equal[rows, chunk].argmin(1))
+        other = other[first == slot]
+        same = (long[other] == long[i]).sum(1)
+        order = np.argsort(-same, kind="stable")
+        order = order[same[order] >= NEAR]
+        more |= len(order) > most
+        take = other[order[:most]]
+        a += [node[i]] * len(take)
+        b += node[take].tolist()
+    return a, b, more
 
 
-def bucket_pairs(members: DataFrame, quota: int) -> DataFrame:
-    """(key, node, comp, sig) sorted by key within partitions -> (a, b, more): pairs to confirm."""
+def bucket_pairs(members: DataFrame, most: int) -> DataFrame:
+    """(key, node, comp, slot, sig) sorted by key within partitions -> (a, b, more): pairs to confirm. most = 0: a forest of each
+    bucket by signatures; else up to so many for each node, between components, by sketches."""
 
     def run(batches):
-        for key, node, comp, sig in _runs(batches, 4):
+        for key, node, comp, slot, sig in _runs(batches, 5):
             at = np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)]
             a, b, m, seen = [], [], [], set()
             for i, j in zip(at[:-1], at[1:], strict=True):
-                c = comp[i:j]
-                if j - i < 2 or (c == c[0]).all():
+                if j - i < 2:
                     continue
-                order = np.argsort(node[i:j])
+                order = np.argsort(node[i:j], kind="stable")
                 name = node[i:j][order].tobytes()
-                if hash(name) in seen:  # the same members under another key
+                if not most and hash(name) in seen:  # the same members under another key
                     continue
                 seen.add(hash(name))
-                s = np.frombuffer(b"".join(sig[i:j][order]), np.uint16).reshape(-1, SYMBOLS)
-                x, y, more = _bucket(node[i:j][order], c[order], s, quota * (j - i))
+                s = np.frombuffer(b"".join(sig[i:j][order]), np.uint8 if most else np.uint16).reshape(j - i, -1)
+                x, y, more = _crossing(node[i:j][order], comp[i:j][order], s, int(slot[i]), most) if most else _forest(node[i:j][order], s)
                 a += x
                 b += y
                 m += [more] * len(x)
@@ -192,6 +216,39 @@ def bucket_pairs(members: DataFrame, quota: int) -> DataFrame:
     return members.mapInArrow(run, "a long, b long, more boolean")
 
 
+def mixed_buckets(buckets: DataFrame, comp: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The members (key, node, comp, slot) of buckets with more than one component, of nodes alone."""
+
+    def run(batches):
+        for key, node, c, slot in _runs(batches, 4):
+            at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            mixed = np.minimum.reduceat(c, at) != np.maximum.reduceat(c, at)
+            keep = np.repeat(mixed, np.diff(np.r_[at, len(key)]))
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, node, c, slot)], ["key", "node", "comp", "slot"])
+
+    rows = buckets.join(nodes.select("node"), "node").join(comp, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"), "slot")
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "key long, node long, comp long, slot byte")
+
+
+def sketches(sets: DataFrame, size: int = 5) -> DataFrame:
+    """sets (node, text) -> (node, sig): SKETCH minwise hashes of 8 bits."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for _, m, rows, values in shingle_sets(batch.column(1), size):
+                part = np.zeros((m, SKETCH), np.uint8)
+                if len(values):
+                    at = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+                    for i, factor in enumerate(_SKETCH_FACTORS):
+                        part[rows[at], i] = np.minimum.reduceat(((values * factor) >> np.uint64(32)).astype(np.uint32), at) & 0xFF
+                out.extend(x.tobytes() for x in part)
+            if out:
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["node", "sig"])
+
+    return sets.select("node", "text").mapInArrow(run, "node long, sig binary")
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int, size: int = 5) -> DataFrame:
     """(a, b) -> (a, b, linked), by the whole shingle sets of sets (node, text)."""
 
@@ -219,7 +276,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
 
     Documents are linked if 100 * |A & B| >= percent * |A | B| on their shingle sets; component_id is the smallest doc_id
     that can be reached, itself included, kept says that it is the document's own. A null or wordless text has an empty
-    set and no link. Rows with a doc_id in common are one node, linked with whatever one of them is linked with. A row
+    set and no link. Rows with a doc_id in common are one node; where their texts differ, each links it with documents of an equal set, and
+    the smallest of the texts with near ones. A row
     without doc_id is linked with nothing; its component_id is null and it is kept. Further columns are ignored. An empty
     table gives an empty table."""
     spark = docs.sparkSession
@@ -231,14 +289,16 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     members = with_group(sigs.select("doc_id", *keys), groups.where("n > 1"), keys, F.col("doc_id"), ["node"])
     members = members.select("doc_id", *keys, F.coalesce("node", "doc_id").alias("node"))
     buckets = cut(in_blocks(shared_keys(index_keys(nodes)), BLOCK), "buckets")
-    several = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
+    several = members.where("doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
     links = members.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b"))
-    comp = spark.createDataFrame([], "node long, component long")
-    texts_of, known, quota = None, [], 0
+    texts_of = sketch = None
+    known, most = [], 0
     while True:
-        rows = buckets.join(nodes, "node")
-        rows = (rows.join(comp, "node", "left") if known else rows.withColumn("component", F.lit(None).cast("long"))).select("key", "node", F.coalesce("component", "node").alias("comp"), "sig")
-        pairs = cut(bucket_pairs(rows.repartition("key").sortWithinPartitions("key"), quota).groupBy("a", "b").agg(F.max("more").alias("more")), "pairs")
+        if not most:
+            rows = buckets.join(nodes, "node").select("key", "node", F.lit(0).cast("long").alias("comp"), "slot", "sig")
+        else:
+            rows = mixed_buckets(buckets, comp, sketch).join(sketch, "node").select("key", "node", "comp", "slot", "sig")
+        pairs = cut(bucket_pairs(rows.repartition("key").sortWithinPartitions("key"), most).groupBy("a", "b").agg(F.max("more").alias("more")), "pairs")
         new = pairs.select("a", "b")
         for before in known:
             new = new.join(before.select("a", "b"), ["a", "b"], "left_anti")
@@ -251,7 +311,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
         comp = components(links)
         if not pairs.where("more").limit(1).count():
             break  # every pair between the components before this round was confirmed or refuted
-        quota = max(64, quota * 8)
+        if sketch is None:
+            both = sketches(texts_of, size).join(nodes.groupBy("node").agg(F.min("sig").alias("own")), "node")
+            sketch = cut(both.select("node", F.concat("sig", "own").alias("sig")), "sketches")
+        most = FEW if not most else 1 << 30
     out = members.join(comp, "node", "left")
-    component = F.coalesce("component", "node")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
