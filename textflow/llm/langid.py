@@ -44,13 +44,17 @@ def grams(t, sizes=SIZES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     first = np.zeros(len(data), bool)
     first[t.starts[t.ends > t.starts]] = True
     keep = ~gap | np.r_[True, ~gap[:-1]] | first
-    # each kept gap byte becomes one space; a text that starts with a letter gets one too
+    last = np.zeros(len(data), bool)
+    last[t.ends[t.ends > t.starts] - 1] = True
+    # each kept gap byte becomes one space; a text that starts or ends with a letter gets one there too
     row = np.repeat(np.arange(len(t)), t.ends - t.starts)
     at = np.flatnonzero(keep)
     body = np.where(gap[at], np.uint8(32), data[at])
-    head = at[first[at] & ~gap[at]]
-    body = np.insert(body, np.searchsorted(at, head), np.uint8(32))
-    row = np.insert(row[at], np.searchsorted(at, head), row[head])
+    heads, tails = np.flatnonzero(first[at] & ~gap[at]), np.flatnonzero(last[at] & ~gap[at])
+    edge, owner = np.concatenate([heads, tails + 1]), row[at[np.concatenate([heads, tails])]]
+    order = np.lexsort((np.repeat([1, 0], [len(heads), len(tails)]), edge))  # a text's end before the next one's start
+    body = np.insert(body, edge[order], np.uint8(32))
+    row = np.insert(row[at], edge[order], owner[order])
     p = prefix_hash(body)
     space = np.cumsum(np.r_[0, body == 32])
     for n in sizes:
