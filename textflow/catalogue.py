@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from textflow.plans import dialogues, evaluation, groups, texts
+from textflow.plans import calls, dialogues, evaluation, groups, texts
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
-for _module in (evaluation, groups, texts, dialogues):
+for _module in (evaluation, groups, texts, dialogues, calls):
     QUERIES |= _module.QUERIES
     ORACLE_SQL |= _module.ORACLE_SQL
