@@ -112,8 +112,13 @@ def hard_qa(items: DataFrame, rules: Rules) -> DataFrame:
     last = [F.when(length < 0.35, F.concat(F.lit("maybe_too_short:"), F.format_string("%.2f", length))), F.when(length > 3.5, F.concat(F.lit("maybe_too_long:"), F.format_string("%.2f", length)))]
     none = F.array().cast("array<string>")
     pack = lambda xs: F.array_compact(F.array(*xs)) if xs else none
-    out = tokens.withColumn("hard_errors", F.concat(pack(errors), "_latin_errors", pack(mid_errors), pack([F.when(text.leaked_markup(t), "markdown_or_json_leakage")])))
-    out = out.withColumn("hard_warnings", F.concat(pack(warnings), "_latin_warnings", pack(mid_warnings), pack(last)))
+    # always true, but nothing that the optimizer could know: a filter on the codes stays above the projection that makes
+    # them, where it would otherwise bring a second evaluation of all rules below it
+    once = lambda c: F.when(F.rand(0) >= 0, c)
+    out = tokens.withColumns({
+        "hard_errors": once(F.concat(pack(errors), "_latin_errors", pack(mid_errors), pack([F.when(text.leaked_markup(t), "markdown_or_json_leakage")]))),
+        "hard_warnings": once(F.concat(pack(warnings), "_latin_warnings", pack(mid_warnings), pack(last))),
+    })
     return out.withColumn("hard_pass", F.size("hard_errors") == 0).withColumn("script_ratio", F.round("script_ratio", 4)).drop("_source_latin", "_bad_latin", "_latin_errors", "_latin_warnings")
 
 

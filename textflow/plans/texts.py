@@ -38,15 +38,21 @@ def text_normalize_nfkc(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", T.for_embedding(F.col("text")).alias("clean"))
 
 
-def _sql_masked() -> str:
-    """The masking fold in SQL: a name that needs neighbours takes two passes, since a match uses up its neighbours."""
-    out, flags, steps = "text", [], ["m0 AS (SELECT doc_id, coalesce(text, '') AS t, [] AS found FROM documents)"]
+def _masking(table: str, column: str) -> tuple[str, str]:
+    """The masking fold over `table` (doc_id, column) in SQL, and the name of its last step (doc_id, t, found): a name that
+    needs neighbours takes two passes, since a match uses up its neighbours."""
+    steps = [f"m0 AS (SELECT doc_id, coalesce({column}, '') AS t, [] AS found FROM {table})"]
     for i, name in enumerate(PACK.longest_first):
         edge = len(name) <= 4 or name.isupper()
         pattern = f"(?i)(^|[^A-Za-z])({name})([^A-Za-z]|$)" if edge else f"(?i){name}"
         new = f"regexp_replace(regexp_replace(t, '{pattern}', '\\1<ENT_{i:02d}>\\3', 'g'), '{pattern}', '\\1<ENT_{i:02d}>\\3', 'g')" if edge else f"regexp_replace(t, '{pattern}', '<ENT_{i:02d}>', 'g')"
         steps.append(f"m{i + 1} AS (SELECT doc_id, {new} AS t, CASE WHEN regexp_matches(t, '{pattern}') THEN list_append(found, '{name}') ELSE found END AS found FROM m{i})")
-    return "WITH " + ", ".join(steps) + f" SELECT doc_id, t AS masked, array_to_string(found, ',') AS entities FROM m{len(PACK.longest_first)}"
+    return ", ".join(steps), f"m{len(PACK.longest_first)}"
+
+
+def _sql_masked() -> str:
+    steps, last = _masking("documents", "text")
+    return f"WITH {steps} SELECT doc_id, t AS masked, array_to_string(found, ',') AS entities FROM {last}"
 
 
 @query(_sql_masked())
@@ -116,23 +122,60 @@ def sensitive_mask_roundtrip(spark, sf_dir):
 
 
 def _items(spark, sf_dir) -> DataFrame:
-    """Documents as items: the first line is the source, the rest the target."""
-    d = _docs(spark, sf_dir).select("doc_id", F.substring_index("text", "\n", 1).alias("source"), F.substring("text", 1, 400).alias("target"))
+    """Documents as items: the first line is the source, 400 characters from the 40th on are the target."""
+    d = _docs(spark, sf_dir).select("doc_id", F.substring_index("text", "\n", 1).alias("source"), F.substring("text", 40, 400).alias("target"))
     return rules.annotate(d, "source", PACK)
 
 
-@query()
+def _sql_checked() -> str:
+    """hard_qa() with PACK in SQL: checked (doc_id, ratio, errors, warnings), without the numbers that some codes carry."""
+    steps, last = _masking("d", "source")
+    red = r"(?i)\b[A-Z0-9]*X{2,}[A-Z0-9]*\b"
+    may = "(list_contains(st, lower(x)) OR lower(x) IN ('license', 'version', 'public', 'general') OR contains('license', lower(x)) OR contains(lower(x), 'license') OR contains('version', lower(x)) OR contains(lower(x), 'version'))"
+    must = ", ".join(f"'{w}'" for w in PACK.must_translate)
+    lost = [(n, f"list_contains(found, '{n}') AND NOT contains(lower(t), '{n.lower()}')") for n in PACK.longest_first]
+    alias = "contains(lower(t), 'cc-by')"
+    errors = ["CASE WHEN trim(regexp_replace(t, '\\s+', ' ', 'g')) = '' THEN 'empty_translation' END", "CASE WHEN regexp_matches(t, '<ENT_\\d{2}>') THEN 'unrestored_entity_placeholder' WHEN regexp_matches(t, '(?i)<ENT[^>]*>') THEN 'hallucinated_placeholder' END", "CASE WHEN regexp_matches(t, '[一-鿿]') THEN 'cjk_characters_found' END", "CASE WHEN ratio < least AND NOT heavy THEN 'script_ratio_too_low' END"]
+    middle = [f"CASE WHEN {c}{' AND NOT ' + alias if n == 'Creative Commons' else ''} THEN 'missing_entity:{n}' END" for n, c in lost]
+    middle += ["CASE WHEN list_contains(found, 'MIT License') AND contains(lower(t), 'apache license') AND NOT list_contains(found, 'Apache License') AND NOT contains(source, 'Apache License') AND NOT contains(lower(t), 'mit license') THEN 'entity_drift:MIT License->Apache License' END"]
+    licence = "(contains(lower(source), 'licensed') OR contains(lower(source), 'released under')) AND NOT contains(lower(t), 'license')"
+    agree = "(regexp_matches(lower(source), '(^|[^a-z])with([^a-z]|$)') OR contains(lower(source), 'under')) AND NOT contains(lower(t), 'the')"
+    middle += [f"CASE WHEN {licence} AND contains(lower(t), 'copyright') THEN 'term_confusion:licence' END", "CASE WHEN contains(t, '```') OR starts_with(ltrim(t), '{') THEN 'markdown_or_json_leakage' END"]
+    first = ["CASE WHEN ratio < least AND heavy THEN 'script_ratio_low_but_product_heavy' END", "CASE WHEN ratio >= least AND least < 0.55 THEN 'script_ratio_relaxed' END"]
+    rest = [f"CASE WHEN {lost[1][1]} AND {alias} THEN 'entity_translated_ok:Creative Commons' END", f"CASE WHEN {licence} THEN 'term_missing:licence' END", f"CASE WHEN {agree} THEN 'term_missing:agreement' END"]
+    rest += ["CASE WHEN contains(lower(source), 'released') AND NOT contains(lower(t), 'released') THEN 'action_missing:release' END", "CASE WHEN contains(lower(source), '@mail') AND NOT contains(t, '@') THEN 'action_missing:contact' END", "CASE WHEN length(t) / greatest(length(source), 1) < 0.35 THEN 'maybe_too_short' END", "CASE WHEN length(t) / greatest(length(source), 1) > 3.5 THEN 'maybe_too_long' END"]
+    some = lambda xs: f"list_filter([{', '.join(xs)}], lambda x: x IS NOT NULL)"
+    return f"""d AS (SELECT doc_id, split_part(text, chr(10), 1) AS source, substr(text, 40, 400) AS target FROM documents), {steps},
+e AS (SELECT d.doc_id, source, target AS t, found, list_transform(regexp_extract_all(source, '[A-Za-z]+'), lambda x: lower(x)) AS st, regexp_extract_all(target, '[A-Za-z]+') AS lt,
+  CASE WHEN len(regexp_extract_all(source, '{red}')) >= 4 THEN 0.20 WHEN len(regexp_extract_all(source, '{red}')) >= 2 THEN 0.25 WHEN len(regexp_extract_all(source, '{red}')) >= 1 THEN 0.35 ELSE 0.55 END AS least,
+  CASE WHEN target = '' THEN 0 ELSE length(regexp_replace(target, '[^A-Za-zÀ-ÿ]', '', 'g')) / greatest(length(target) - coalesce(list_sum(list_transform(regexp_extract_all(target, '{red}'), lambda x: length(x))), 0), 1) END AS ratio FROM d JOIN {last} USING (doc_id)),
+g AS (SELECT *, list_filter(lt, lambda x: NOT {may}) AS bad FROM e),
+h AS (SELECT *, len(lt) > 0 AND len(bad) = 0 AND len(regexp_extract_all(t, '[A-Za-zÀ-ÿ]+')) >= 4 AS heavy FROM g),
+checked AS (SELECT doc_id, round(ratio, 4) AS ratio, list_concat({some(errors)}, list_transform(list_filter(bad, lambda x: lower(x) IN ({must})), lambda x: 'must_translate_latin:' || x), {some(middle)}) AS errors,
+  list_concat({some(first)}, list_transform(list_filter(bad, lambda x: lower(x) NOT IN ({must})), lambda x: 'latin_unknown:' || x), {some(rest)}) AS warnings FROM h)"""
+
+
+def _plain(codes: str):
+    return F.array_join(F.transform(codes, lambda x: F.regexp_replace(x, r":\d+\.\d+$", "")), "|")
+
+
+@query(f"WITH {_sql_checked()} SELECT doc_id, len(errors) = 0 AS hard_pass, array_to_string(errors, '|') AS errors, array_to_string(warnings, '|') AS warnings, ratio AS script_ratio FROM checked")
 def hard_qa_items(spark, sf_dir):
     out = qa.hard_qa(_items(spark, sf_dir), PACK)
-    return out.select("doc_id", "hard_pass", F.array_join("hard_errors", "|").alias("errors"), F.array_join("hard_warnings", "|").alias("warnings"), "script_ratio")
+    return out.select("doc_id", "hard_pass", _plain("hard_errors").alias("errors"), _plain("hard_warnings").alias("warnings"), "script_ratio")
 
 
-@query()
+@query(f"WITH {_sql_checked()}, x AS (SELECT unnest(errors) AS e FROM checked) SELECT split_part(e, ':', 1) AS code, count(*) AS n FROM x GROUP BY 1")
 def qa_error_histogram(spark, sf_dir):
     return qa.histogram(qa.hard_qa(_items(spark, sf_dir), PACK))
 
 
-@query()
+@query(f"WITH {_sql_checked()}, x AS (SELECT unnest(warnings) AS e FROM checked WHERE len(errors) > 0) SELECT split_part(e, ':', 1) AS code, count(*) AS n FROM x GROUP BY 1")
+def qa_warning_histogram(spark, sf_dir):
+    return qa.histogram(qa.hard_qa(_items(spark, sf_dir), PACK), "hard_warnings", only_failed=True)
+
+
+@query(f"WITH {_sql_checked()} SELECT count(*) AS items, count(*) FILTER (WHERE len(errors) = 0) AS passed, round(100 * count(*) FILTER (WHERE len(errors) = 0) / count(*), 2) AS pass_rate FROM checked")
 def qa_pass_rate(spark, sf_dir):
     return qa.pass_rate(qa.hard_qa(_items(spark, sf_dir), PACK))
 
