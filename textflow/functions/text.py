@@ -101,6 +101,13 @@ def trigger(c: Column, word: str) -> Column:
     return F.lower(c).rlike(f"(?<![a-z]){re.escape(low)}(?![a-z])") if len(low) <= 4 else F.lower(c).contains(low)
 
 
+def once(c: Column) -> Column:
+    """c, with a condition that is always true but that the optimizer can't know to be: an expression that others build on
+    is then made in its own projection and nowhere else, where the optimizer would copy large ones into filters and
+    constraints, level by level."""
+    return F.when(F.rand(0) >= 0, c)
+
+
 def any_of(conditions: list[Column]) -> Column:
     out = F.lit(False)
     for c in conditions:

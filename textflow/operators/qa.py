@@ -52,22 +52,25 @@ def hard_qa(items: DataFrame, rules: Rules) -> DataFrame:
 
     Rules in order: empty target; placeholders left; CJK characters; too small a share of the target script (with a smaller
     least share for redacted sources, and a warning instead if only allowed Latin words are the cause); Latin words;
-    missing entities; drift to a confusable one; terms; actions; length; markup. An item passes if it has no error."""
+    missing entities; drift to a confusable one; terms; actions; length; markup. An item passes if it has no error.
+
+    Write the result as a table before filtering it by its codes, or plan with spark.sql.constraintPropagation.enabled=false:
+    for a filter right above, the optimizer infers constraints through all rules, which can take a minute."""
     t = F.coalesce("target", F.lit(""))
     src = F.coalesce("source", F.lit(""))
     low_t, low_s = F.lower(t), F.lower(src)
-    tokens = items.withColumn("latin_tokens", text.latin_tokens(t)).withColumn("_source_latin", F.transform(F.array_union(text.latin_tokens(src), F.flatten(F.transform(F.coalesce("entities", F.array().cast("array<string>")), text.latin_tokens))), F.lower))
+    tokens = items.withColumn("latin_tokens", text.once(text.latin_tokens(t))).withColumn("_source_latin", text.once(F.transform(F.array_union(text.latin_tokens(src), F.flatten(F.transform(F.coalesce("entities", F.array().cast("array<string>")), text.latin_tokens))), F.lower)))
     # the rules on single words need lambdas; they have a projection of their own
     may = lambda x: allowed_latin(x, F.col("_source_latin"), rules)
-    tokens = tokens.withColumn("_bad_latin", F.filter("latin_tokens", lambda x: ~may(x)))
+    tokens = tokens.withColumn("_bad_latin", text.once(F.filter("latin_tokens", lambda x: ~may(x))))
     outside = text.latin_tokens(F.regexp_replace(t, f"[{rules.script}]", ""))
     white = F.aggregate(F.filter(outside, may), F.lit(0), lambda s, x: s + F.length(x))
     masks = F.aggregate(text.redacted_tokens(t), F.lit(0), lambda s, x: s + F.length(x))
     in_script = F.length(F.regexp_replace(t, f"[^{rules.script}]", ""))
-    tokens = tokens.withColumn("script_ratio", F.when(t == "", F.lit(0.0)).otherwise(in_script / F.greatest(F.length(t) - white - masks, F.lit(1))))
+    tokens = tokens.withColumn("script_ratio", text.once(F.when(t == "", F.lit(0.0)).otherwise(in_script / F.greatest(F.length(t) - white - masks, F.lit(1)))))
     must = [w for w in rules.must_translate]
-    tokens = tokens.withColumn("_latin_errors", F.transform(F.filter("_bad_latin", lambda x: F.lower(x).isin(must) if must else F.lit(False)), lambda x: F.concat(F.lit("must_translate_latin:"), x)))
-    tokens = tokens.withColumn("_latin_warnings", F.transform(F.filter("_bad_latin", lambda x: ~F.lower(x).isin(must) if must else F.lit(True)), lambda x: F.concat(F.lit("latin_unknown:"), x)))
+    tokens = tokens.withColumn("_latin_errors", text.once(F.transform(F.filter("_bad_latin", lambda x: F.lower(x).isin(must) if must else F.lit(False)), lambda x: F.concat(F.lit("must_translate_latin:"), x))))
+    tokens = tokens.withColumn("_latin_warnings", text.once(F.transform(F.filter("_bad_latin", lambda x: ~F.lower(x).isin(must) if must else F.lit(True)), lambda x: F.concat(F.lit("latin_unknown:"), x))))
     least, ratio = text.min_script_ratio(src), F.col("script_ratio")
     residue = [w.lower() for w in rules.residue]
     only_names = (F.size("latin_tokens") > 0) & (F.size("_bad_latin") == 0) & (F.regexp_count(t, F.lit(f"[{rules.script}]+")) >= 4) & ~F.exists("_bad_latin", lambda x: F.lower(x).isin(residue) if residue else F.lit(False))
@@ -112,21 +115,19 @@ def hard_qa(items: DataFrame, rules: Rules) -> DataFrame:
     last = [F.when(length < 0.35, F.concat(F.lit("maybe_too_short:"), F.format_string("%.2f", length))), F.when(length > 3.5, F.concat(F.lit("maybe_too_long:"), F.format_string("%.2f", length)))]
     none = F.array().cast("array<string>")
     pack = lambda xs: F.array_compact(F.array(*xs)) if xs else none
-    # always true, but nothing that the optimizer could know: a filter on the codes stays above the projection that makes
-    # them, where it would otherwise bring a second evaluation of all rules below it
-    once = lambda c: F.when(F.rand(0) >= 0, c)
     out = tokens.withColumns({
-        "hard_errors": once(F.concat(pack(errors), "_latin_errors", pack(mid_errors), pack([F.when(text.leaked_markup(t), "markdown_or_json_leakage")]))),
-        "hard_warnings": once(F.concat(pack(warnings), "_latin_warnings", pack(mid_warnings), pack(last))),
+        "hard_errors": text.once(F.concat(pack(errors), "_latin_errors", pack(mid_errors), pack([F.when(text.leaked_markup(t), "markdown_or_json_leakage")]))),
+        "hard_warnings": text.once(F.concat(pack(warnings), "_latin_warnings", pack(mid_warnings), pack(last))),
     })
     return out.withColumn("hard_pass", F.size("hard_errors") == 0).withColumn("script_ratio", F.round("script_ratio", 4)).drop("_source_latin", "_bad_latin", "_latin_errors", "_latin_warnings")
 
 
 def histogram(items: DataFrame, column: str = "hard_errors", only_failed: bool = False) -> DataFrame:
     """Codes (up to the colon) and how often; warnings are usually counted for failed items only."""
-    rows = items.where("not hard_pass") if only_failed else items
-    # an outer explode: the filter that explode() infers would evaluate all rules again, below their projections
-    return rows.select(F.explode_outer(column).alias("code")).where("code is not null").groupBy(text.error_code(F.col("code")).alias("code")).agg(F.count("*").alias("n"))
+    codes = F.when(~F.col("hard_pass"), F.col(column)) if only_failed else F.col(column)
+    # an outer explode and a count that skips nulls: a filter would make the optimizer infer constraints through all rules
+    rows = items.select(F.explode_outer(codes).alias("code")).groupBy(text.error_code(F.col("code")).alias("code")).agg(F.count("code").alias("n"))
+    return rows.where("n > 0")
 
 
 def pass_rate(items: DataFrame) -> DataFrame:

@@ -61,9 +61,9 @@ def mask_entities(df: DataFrame, column: str, rules: Rules, masked: str = "maske
     flags = []
     for i, name in enumerate(names):
         pattern = text.word_pattern(name)
-        df = df.select("*", F.col(masked).rlike(pattern).alias(f"__found{i}")).withColumn(masked, F.when(F.col(f"__found{i}"), F.regexp_replace(masked, pattern, f"<ENT_{i:02d}>")).otherwise(F.col(masked)))
+        df = df.select("*", text.once(F.col(masked).rlike(pattern)).alias(f"__found{i}")).withColumn(masked, text.once(F.when(F.col(f"__found{i}"), F.regexp_replace(masked, pattern, f"<ENT_{i:02d}>")).otherwise(F.col(masked))))
         flags.append((name, F.col(f"__found{i}")))
-    return df.withColumn(found, text.names_where(flags)).drop(*(f"__found{i}" for i in range(len(names))))
+    return df.withColumn(found, text.once(text.names_where(flags))).drop(*(f"__found{i}" for i in range(len(names))))
 
 
 def restore_entities(c: Column, rules: Rules) -> Column:
@@ -83,4 +83,4 @@ def actions_in(c: Column, rules: Rules) -> Column:
 
 def annotate(df: DataFrame, column: str, rules: Rules) -> DataFrame:
     """df with masked, entities, terms and actions."""
-    return mask_entities(df, column, rules).withColumn("terms", terms_in(F.col(column), rules)).withColumn("actions", actions_in(F.col(column), rules))
+    return mask_entities(df, column, rules).withColumn("terms", text.once(terms_in(F.col(column), rules))).withColumn("actions", text.once(actions_in(F.col(column), rules)))
