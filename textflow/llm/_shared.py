@@ -12,10 +12,12 @@ _LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset (tests, local mode) one temporary folder a session."""
+    """The folder named by spark.checkpoint.dir; where it is unset, in local mode only, one temporary folder a session."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     key = spark.sparkContext.applicationId
     if key not in _LOCAL:
         _LOCAL[key] = tempfile.mkdtemp(prefix="textflow-")

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textflow.llm._shared import cut
 from textflow.llm._words import LOWER, SPACE, prefix_hash, shingles, texts, window, words
 
 #: Character classes: lower and upper case ASCII letters, code points above ASCII, digits, white space, sentence marks,
@@ -148,11 +149,13 @@ def references(docs: DataFrame, common: float = COMMON, least_share: float = LEA
         rows = docs.select("text", F.col("lang").cast("string").alias("lang")).mapInArrow(lambda b: tally(b, wanted), "lang string, kind string, name binary, n long")
         return rows.groupBy("lang", "kind", "name").agg(F.sum("n").alias("n"))
 
-    sums = defaultdict(lambda: defaultdict(dict))
-    for r in gather(None).toLocalIterator():
+    first = cut(gather(None), "words")
+    sizes = first.where("kind = 'n'")
+    least = max(1, least_share * (sizes.agg(F.sum("n")).first()[0] or 0))
+    words_of = {r.lang: r.n for r in sizes.where(F.col("n") >= least).select("lang", "n").toLocalIterator()}
+    large, sums = sorted(words_of), defaultdict(lambda: defaultdict(dict))
+    for r in first.where(F.col("lang").isin(large)).toLocalIterator():
         sums[r.lang][r.kind][bytes(r.name)] = r.n
-    words_of = {lang: x["n"].get(b"", 0) for lang, x in sums.items()}
-    large = [lang for lang in sorted(sums) if words_of[lang] >= max(1, least_share * sum(words_of.values()))]
     counts = defaultdict(dict)
     for r in gather({lang: frozenset(sums[lang]["w"]) for lang in large}).toLocalIterator():
         counts[r.lang][bytes(r.name)] = r.n
