@@ -216,7 +216,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     table = {size: np.array(rows, np.int64) for size, rows in slots.items()}
     before = F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
     ranks = each.select("task", "length", F.coalesce(before, F.lit(0)).alias("before"))
-    ranked = pieces.join(small_side(ranks, 1_000_000), ["task", "length"]).withColumn("rank", F.col("before") + F.col("number"))
+    ranked = pieces.join(small_side(ranks, 200_000), ["task", "length"]).withColumn("rank", F.col("before") + F.col("number"))
     names = [c for c in pieces.columns if c not in ("task", "number")]
 
     def run(batches):
