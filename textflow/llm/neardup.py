@@ -287,10 +287,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     groups = cut(usable.groupBy(*keys).agg(F.min("doc_id").alias("node"), F.min("sig").alias("sig"), F.count("*").alias("n")), "sets")
     nodes = groups.select("node", "sig")
     members = with_group(sigs.select("doc_id", *keys), groups.where("n > 1"), keys, F.col("doc_id"), ["node"])
-    members = members.select("doc_id", *keys, F.coalesce("node", "doc_id").alias("node"))
+    members = cut(members.select("doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("node")), "members")
     buckets = cut(in_blocks(shared_keys(index_keys(nodes)), BLOCK), "buckets")
     several = members.where("doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
-    links = members.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b"))
+    links = cut(members.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b")), "links")
     texts_of = sketch = None
     known, most = [], 0
     while True:
