@@ -197,6 +197,38 @@ def test_references_count_all_documents(spark):
     assert abs(sum(refs["de"]["classes"]) - 1) < 1e-9
 
 
+def test_small_and_unlabelled_languages_are_kept(spark):
+    def other(seed, first):
+        r = np.random.default_rng(seed)
+        made = ["".join(chr(first + c) for c in r.integers(0, 24, 5)) for _ in range(30)]
+        return " ".join(made[i] for i in r.integers(0, 30, 120))
+
+    rows = [(i, prose(i, 2500), "en") for i in range(60)]
+    rows += [(100, other(1, 0x430), "xx"), (101, other(2, 0x3B1), None), (102, "same five words every time " * 20, None), (103, other(3, 0x10D0), "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    out = {r.doc_id: r for r in quality.quality(df).collect()}
+    assert out[100].kept and out[100].word_distance < 0.01 and out[101].kept and out[101].word_distance > quality.WORD_LIMIT
+    assert not out[102].kept and not out[103].kept and all(out[i].kept for i in range(60))
+    assert {r.doc_id for r in quality.accepted(df).where("doc_id >= 100").collect()} == {100, 101}
+
+
+def test_common_words_of_a_language_in_many_small_partitions(spark):
+    texts = [" ".join(["yes"] * (i % 2) + [f"w{i}x{j}" for j in range(100)]) for i in range(16)]
+    df = spark.createDataFrame([(t, "xx") for t in texts], "text string, lang string").repartition(16)
+    n = sum(len(t.split()) for t in texts)
+    assert quality.references(df)["xx"]["words"] == {b"yes": 8 / n}
+
+
+def test_judge_in_small_steps_is_the_same(spark, monkeypatch):
+    import pyarrow as pa
+
+    refs = quality.references(spark.createDataFrame([(prose(i, 90), "en") for i in range(8)], "text string, lang string"))
+    column, langs = pa.array([prose(i, 60) for i in range(50)]), pa.array(["en"] * 50)
+    whole = quality.judge(refs)(column, langs)
+    monkeypatch.setattr(quality, "CELLS", 100)
+    assert all(np.allclose(a, b, equal_nan=True) for a, b in zip(whole, quality.judge(refs)(column, langs), strict=True))
+
+
 def test_frequent_words_are_never_lost():
     f = quality.Frequent(0.01, entries=50)
     for i in range(200):

@@ -3,9 +3,10 @@
 A document has two histograms: character classes (each code point is of one class) and common words (how many of its
 words are each of a language's common words; the rest is one bin more). The reference of a language holds the same
 histograms over all documents of that language. The Jensen-Shannon distance (base 2, from 0 to 1) to a reference is
-compared with a limit for each histogram; a document is rejected if no reference is near enough in both. Histograms of
-short texts are mostly noise, so texts under a minimum of words are exempt, and the limit of a longer one allows for the
-noise that so many words have.
+compared with a limit for each histogram; a document is rejected if no reference is near enough in both. Every language
+has a reference, however few its documents are. A document whose own language has none (no lang, or one that given
+references lack) can't be rejected for being far from those of others. Histograms of short texts are mostly noise, so texts
+under a minimum of words are exempt, and the limit of a longer one allows for the noise that so many words have.
 """
 
 from __future__ import annotations
@@ -31,10 +32,10 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 #: A word is common in a language if it is this share of its words at least.
 COMMON = 0.004
-#: Languages need this share of all words to have a reference.
-LEAST_SHARE = 0.001
 #: Limits of the distances, and the words a text needs to be judged by them.
 CHAR_LIMIT, WORD_LIMIT, LEAST_WORDS = 0.27, 0.33, 40
+#: Entries of the table of texts by common words of all languages that judge() fills at once.
+CELLS = 1 << 22
 
 
 def base_statistics(t, raw: list[bytes]) -> dict[str, np.ndarray]:
@@ -109,16 +110,19 @@ class Frequent:
             self.missed = {w: self.missed.get(w, self.last) for w, n in self.counts.items() if n + self.missed.get(w, self.last) > least}
             self.counts, self.last = Counter({w: self.counts[w] for w in self.missed}), least
 
-    def found(self) -> dict[bytes, int]:
-        return {w: n for w, n in self.counts.items() if n >= self.loss * self.total}
+    def found(self, share: float | None = None) -> dict[bytes, int]:
+        """Words with a count of at least `share` (or half of the share to be kept) of all words."""
+        least = (self.loss if share is None else share) * self.total
+        return {w: n for w, n in self.counts.items() if n >= least}
 
 
-def references(docs: DataFrame, common: float = COMMON, least_share: float = LEAST_SHARE) -> dict[str, dict]:
-    """docs (text, lang) -> language: {"classes": shares, "words": {word: share}}, from every document.
+def references(docs: DataFrame, common: float = COMMON) -> dict[str, dict]:
+    """docs (text, lang) -> language: {"classes": shares, "words": {word: share}}, from every document, for every language.
 
-    A word that is common in a language is so in one partition at least; so the first pass keeps each partition's common
-    words only, at most 2 / common for each language, and the second counts just these, over all documents. The result
-    is bounded by languages / common. Languages with less than least_share of all words have no reference."""
+    The first pass gives each partition's words with a count of common / 4 of its words or more. What it leaves out of a
+    word is under 3 / 4 of common (common / 2 by lossy counting), so the counts of a word that is common in its language
+    add up to common / 4 of all words of the language at least; only such words, at most 4 / common for each language, come
+    to the driver, and the second pass counts just these, over all documents. The result is bounded by languages / common."""
 
     def tally(batches, wanted):
         seen = defaultdict(lambda: Frequent(common) if wanted is None else Counter())
@@ -138,7 +142,7 @@ def references(docs: DataFrame, common: float = COMMON, least_share: float = LEA
                         chars[lang] += kinds[i]
                     else:
                         seen[lang].update(filter(wanted[lang].__contains__, found))
-        rows = [(lang, "w", w, n) for lang, x in seen.items() for w, n in (x.found() if wanted is None else x).items()]
+        rows = [(lang, "w", w, n) for lang, x in seen.items() for w, n in (x.found(common / 4) if wanted is None else x).items()]
         rows += [(lang, "c", b"%d" % k, int(n)) for lang, v in chars.items() for k, n in enumerate(v)]
         rows += [(lang, "n", b"", n) for lang, n in total.items()]
         if rows:
@@ -150,17 +154,16 @@ def references(docs: DataFrame, common: float = COMMON, least_share: float = LEA
         return rows.groupBy("lang", "kind", "name").agg(F.sum("n").alias("n"))
 
     first = cut(gather(None), "words")
-    sizes = first.where("kind = 'n'")
-    least = max(1, least_share * (sizes.agg(F.sum("n")).first()[0] or 0))
-    words_of = {r.lang: r.n for r in sizes.where(F.col("n") >= least).select("lang", "n").toLocalIterator()}
-    large, sums = sorted(words_of), defaultdict(lambda: defaultdict(dict))
-    for r in first.where(F.col("lang").isin(large)).toLocalIterator():
+    sizes = first.where("kind = 'n'").select("lang", F.col("n").alias("total"))
+    words_of = {r.lang: r.total for r in sizes.toLocalIterator()}
+    names, sums = sorted(words_of), defaultdict(lambda: defaultdict(dict))
+    for r in first.join(F.broadcast(sizes), "lang").where(f"kind <> 'w' or n >= {common / 4!r} * total").toLocalIterator():
         sums[r.lang][r.kind][bytes(r.name)] = r.n
     counts = defaultdict(dict)
-    for r in gather({lang: frozenset(sums[lang]["w"]) for lang in large}).toLocalIterator():
+    for r in gather({lang: frozenset(sums[lang]["w"]) for lang in names}).toLocalIterator():
         counts[r.lang][bytes(r.name)] = r.n
     out = {}
-    for lang in large:
+    for lang in names:
         classes = np.array([sums[lang]["c"].get(b"%d" % k, 0) for k in range(CLASSES)], float)
         usual = {w: c / words_of[lang] for w, c in counts[lang].items() if c >= common * words_of[lang]}
         out[lang] = {"classes": (classes / max(classes.sum(), 1)).tolist(), "words": dict(sorted(usual.items()))}
@@ -179,7 +182,7 @@ _STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wo
 
 
 def judge(refs: dict[str, dict], char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT, least_words: int = LEAST_WORDS):
-    """A function of a string column -> arrays: the statistics, base_failed, char_distance, word_distance, kept."""
+    """A function of columns text and lang -> arrays: the statistics, base_failed, char_distance, word_distance, kept."""
     names = sorted(refs)
     every = sorted({w for x in names for w in refs[x]["words"]})
     place = {w: i for i, w in enumerate(every)}
@@ -187,21 +190,24 @@ def judge(refs: dict[str, dict], char_limit: float = CHAR_LIMIT, word_limit: flo
     shares = [np.array([*refs[x]["words"].values(), max(0.0, 1 - sum(refs[x]["words"].values()))]) for x in names]
     classes = [np.array(refs[x]["classes"]) for x in names]
 
-    def judged(column: pa.Array) -> list[np.ndarray]:
-        parts = []
+    rows = max(1, CELLS // max(1, len(every)))
+
+    def judged(column: pa.Array, langs: pa.Array) -> list[np.ndarray]:
+        parts, own = [], np.array([x in refs for x in langs.cast(pa.string()).to_pylist()], bool)
         for t in texts(column):
             raw = _raw(t)
             s = base_statistics(t, raw)
             failed = (s["n_words"] < 10) | (100 * s["n_repeat_words"] > 20 * s["n_words"])
             far, good = np.full((2, len(t)), np.nan), np.ones(len(t), bool)
-            long = np.flatnonzero(s["n_words"] >= least_words) if names else np.empty(0, int)
-            if len(long):
+            every_long = np.flatnonzero(s["n_words"] >= least_words) if names else np.empty(0, int)
+            counts = class_counts(t) if len(every_long) else None
+            for long in (every_long[i : i + rows] for i in range(0, len(every_long), rows)):
                 hist = np.zeros((len(long), len(every)))
                 for row, i in zip(hist, long, strict=True):
                     for word, m in Counter(filter(place.__contains__, _folded(raw[i]))).items():
                         row[place[word]] = m
                 n = s["n_words"][long]
-                kinds = class_counts(t)[long]
+                kinds = counts[long]
                 kinds = kinds / kinds.sum(1, keepdims=True)
                 d_char, d_word = np.empty((2, len(names), len(long)))
                 for k in range(len(names)):
@@ -212,7 +218,7 @@ def judge(refs: dict[str, dict], char_limit: float = CHAR_LIMIT, word_limit: flo
                 excess = np.maximum(d_char - char_limit, d_word - word_limit)
                 best = excess.argmin(0)
                 far[:, long] = d_char[best, np.arange(len(long))], d_word[best, np.arange(len(long))]
-                good[long] = excess.min(0) <= 0
+                good[long] = (excess.min(0) <= 0) | ~own[t.first + long]
             parts.append((*(s[x] for x in _STATISTICS), failed, far[0], far[1], ~failed & good))
         return [np.concatenate(x) for x in zip(*parts, strict=True)]
 
@@ -226,19 +232,20 @@ def quality(docs: DataFrame, refs: dict[str, dict] | None = None, char_limit: fl
     base_failed: fewer than 10 words, or over a fifth of the words in repeated windows of five. The method's verdict holds
     for texts of least_words words or more: the nearest reference must be within char_limit and, with an allowance of
     the root of bins / (8 * words) for noise, within word_limit. Distances are null for shorter texts or without references. A null
-    text has no words; a null lang is no hindrance, as all references count. An empty table gives an empty one."""
+    text has no words. All references count for a text of any lang; if its own lang has none (a null lang hasn't), its
+    distances are given but don't reject it. An empty table gives an empty one."""
     refs = references(docs) if refs is None else refs
 
     def run(batches):
         judged = judge(refs, char_limit, word_limit, least_words)
         for batch in batches:
             if batch.num_rows:
-                cols = judged(batch.column(1))
+                cols = judged(batch.column(1), batch.column(2))
                 arrays = [pa.array(x.astype(np.int64)) for x in cols[:5]] + [pa.array(cols[5])] + [pa.array(x, mask=np.isnan(x)) for x in cols[6:8]] + [pa.array(cols[8])]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", *_STATISTICS, "base_failed", "char_distance", "word_distance", "kept"])
 
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, char_distance double, word_distance double, kept boolean"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")).mapInArrow(run, schema)
 
 
 def accepted(docs: DataFrame, refs: dict[str, dict] | None = None) -> DataFrame:
@@ -249,6 +256,6 @@ def accepted(docs: DataFrame, refs: dict[str, dict] | None = None) -> DataFrame:
         judged = judge(refs)
         for batch in batches:
             if batch.num_rows:
-                yield batch.filter(pa.array(judged(batch.column("text"))[-1]))
+                yield batch.filter(pa.array(judged(batch.column("text"), batch.column("lang"))[-1]))
 
     return docs.mapInArrow(run, docs.schema)
