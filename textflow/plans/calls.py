@@ -74,5 +74,5 @@ def dropped_items(spark, sf_dir):
 
 @query()
 def encode_distinct(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 80).alias("t"))
-    return encoders.encode(docs, "t", "hashed").select("doc_id", F.round(V.norm(F.col("vector")), 6).alias("norm"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encoders.encode(docs, "text", "hashed").select("doc_id", F.round(V.norm(F.col("vector")), 6).alias("norm"))

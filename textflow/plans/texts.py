@@ -231,8 +231,7 @@ def synthetic_digits(spark, sf_dir):
 
 @query()
 def preservation_ratio(spark, sf_dir):
-    rows = _docs(spark, sf_dir).select("doc_id", F.substring("text", 1, 300).alias("o"))
-    return rows.select("doc_id", F.round(external.preservation(F.col("o"), F.reverse(F.col("o"))), 6).alias("ratio"))
+    return _docs(spark, sf_dir).select("doc_id", F.round(external.preservation(F.col("text"), F.reverse(F.col("text"))), 6).alias("ratio"))
 
 
 @query()
@@ -245,7 +244,7 @@ def placeholder_restore(spark, sf_dir):
 def bounded_repair_loop(spark, sf_dir):
     from textflow.operators.lookup import once_for_each
 
-    items = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id"), F.substring("text", 1, 60).alias("source"))
+    items = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id"), F.col("text").alias("source"))
 
     def check(df):
         return df.withColumn("hard_errors", F.array_compact(F.array(F.when(T.blank(F.col("target")), "empty_translation")))).withColumn("hard_pass", F.size("hard_errors") == 0)
