@@ -338,6 +338,22 @@ def test_field_on_held_out_lines():
     assert good / (good + bad) > 0.97 and good / (good + lost) > 0.95
 
 
+def test_field_finds_secrets_of_several_tokens_whole():
+    model = secrets.trained()
+    lines = ["the pwd: Pa$$w0rd-xyz12! ", "our credentials: AbCd1234EfGh56$ijKL9012 for it", "access key: qWeRtzUiOpAsDfGhJkLyXcVbNm", "password: AbCd1234EfGh56$ijKL9012 and more"]
+    clean = [secrets.redacted(x, secrets.all_spans(x, model)[1]).replace("[SECRET][SECRET]", "[SECRET]").strip() for x in lines]
+    assert clean == ["the pwd: [SECRET]", "our credentials: [SECRET] for it", "access key: [SECRET]", "[SECRET] and more"]
+    good = bad = lost = inside = 0
+    for text, at in secrets._lines(600, 77, True):
+        gold = {at} if at else set()
+        spans, parts = secrets.chain(text, secrets.stretches(text))
+        inside += secrets.INSIDE in secrets._tagged(text, at)[1]
+        gold = {(min([a for a, b in spans if b > x and a < y]), max([b for a, b in spans if b > x and a < y])) for x, y in gold}
+        found = {x[:2] for x in secrets.field_spans(text, model)}
+        good, bad, lost = good + len(gold & found), bad + len(found - gold), lost + len(gold - found)
+    assert inside > 100 and good / (good + bad) > 0.85 and good / (good + lost) > 0.8, (good, bad, lost)
+
+
 def test_viterbi_is_the_best_of_all_taggings():
     import itertools
 

@@ -6,10 +6,14 @@ assignments on the line). It is trained here, by gradient ascent on the conditio
 on generated lines: secrets of many forms in many contexts, and what looks like them but isn't - numbers, dates, links,
 file names, identifiers, long words.
 
-Decoding is Viterbi with one constraint: only tokens that could be a secret (MIN_LENGTH or more characters with a letter
-and a digit) may begin or continue one, or a mark between two of them. All other tokens are outside with certainty, which
-parts the chain; so decoding only the stretches around such tokens gives exactly the best tagging of the whole text, in time
-that follows the number of such tokens.
+Decoding is Viterbi with one constraint: only the tokens of a stretch that could hold a secret may begin or continue one,
+words, short pieces and marks alike, and a secret doesn't continue from one stretch to the next. A stretch is MIN_LENGTH or more
+printable ASCII characters without white space and quotes; it could hold a secret if it has a letter, and a digit, a capital
+after a small letter, : or = in or before it, or a secret's name (key, token, ...) before it (see possible()). All other tokens are outside with certainty, which parts the
+chain; so decoding only the lines' parts around such stretches gives exactly the best tagging of the whole text, in time that
+follows the number of their tokens. The field so never finds secrets under MIN_LENGTH characters between spaces or quotes, ones
+of several words (of which each long one may be found), parts that aren't ASCII, and all-digit words, or one-case words
+without any of these before them.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ import functools
 import math
 import random
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -31,7 +36,9 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "crf")
 MIN_LENGTH = 12
 TOKEN = re.compile(r"[A-Za-z0-9+/_=.-]+|[^\sA-Za-z0-9+/_=.-]")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{%d,}" % MIN_LENGTH)
+STRETCH = re.compile(r"[!#-&(-_a-~]{%d,}" % MIN_LENGTH)
+_GIVEN = re.compile(r"""(?:[:=]|(?i:key|token|secret|passwor[dt]|passwd|pwd|phrase|credentials?|auth|bearer)(?:\x20is)?)\x20{0,2}["'`]?$""")
+_RUN, _LETTER, _LIKELY = re.compile("[a-z]+"), re.compile("[A-Za-z]"), re.compile("[0-9:=]|[a-z][A-Z]")
 OUT, BEGIN, INSIDE = 0, 1, 2
 #: Characters on either side of a candidate that its features may look at.
 REACH = 60
@@ -46,11 +53,42 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
-def possible(token: str) -> bool:
-    return len(token) >= MIN_LENGTH and any("0" <= c <= "9" for c in token) and any("a" <= c <= "z" or "A" <= c <= "Z" for c in token)
+def possible(stretch: str, given: bool = False) -> bool:
+    """Whether a stretch could hold a secret; given: : or = or a secret's name stands right before it."""
+    return len(stretch) >= MIN_LENGTH and _LETTER.search(stretch) is not None and (given or _LIKELY.search(stretch) is not None)
 
 
-def features(tokens: list[str], i: int, share_digits: float) -> list[str]:
+def stretches(text: str) -> list[tuple[int, int]]:
+    return [m.span() for m in STRETCH.finditer(text) if possible(m[0]) or possible(m[0], _GIVEN.search(text, max(0, m.start() - 18), m.start()) is not None)]
+
+
+def chain(text: str, found: list[tuple[int, int]], low: int = 0, high: int | None = None) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Spans of the tokens of text[low:high], and for each stretch the range of its tokens."""
+    spans = [m.span() for m in TOKEN.finditer(text, low, len(text) if high is None else high)]
+    starts = [a for a, _ in spans]
+    return spans, [(bisect_left(starts, a), bisect_left(starts, b)) for a, b in found]
+
+
+_NAMED = re.compile(r"key|secret|passw|token|auth|cred|bearer|private|pwd")
+
+
+def stretch_features(tokens: list[str], first: int, end: int) -> list[str]:
+    """Features of a stretch of several tokens, which all of them share."""
+    x = "".join(tokens[first:end])
+    n, count = len(x), Counter(x)
+    kinds = "".join("aA0."[0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 3] for c in x)
+    changes = sum(a != b for a, b in zip(kinds, kinds[1:], strict=False))
+    entropy = -sum(m / n * math.log2(m / n) for m in count.values())
+    marks = [t for t in tokens[first:end] if not (t[0].isalnum() or t[0] in "+/_=.-")]
+    before = [t.lower() for t in tokens[max(0, first - 4) : first]]
+    out = ["several", f"slen{min(n, 64) // 4}", f"schg{min(8, 16 * changes // n)}", f"sent{int(entropy * 2)}", f"sdig{int(8 * kinds.count('0') / n)}", f"shas{('a' in kinds) + 2 * ('A' in kinds) + 4 * ('0' in kinds)}"]
+    out += [f"smarks{min(6, len(marks))}", f"srun{min(10, max(map(len, _RUN.findall(x)), default=0))}", *(f"shas={m}" for m in set(marks))]
+    out += [name for name, yes in (("surl", "://" in x or "www." in x), ("smail", re.search(r"@[A-Za-z0-9-]+\.", x)), ("snamed", any(map(_NAMED.search, before))), ("sgiven", {"=", ":"} & {*before[-2:]})) if yes]
+    return out
+
+
+def features(tokens: list[str], i: int, share_digits: float, part: tuple[int, int] | None = None, shared: list[str] | None = None) -> list[str]:
+    """Features of a token; of one in a stretch of several tokens (part), with those of the stretch and its place there."""
     x = tokens[i]
     low, up, num = sum("a" <= c <= "z" for c in x), sum("A" <= c <= "Z" for c in x), sum("0" <= c <= "9" for c in x)
     kinds = "".join("aA0."[0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 3] for c in x)
@@ -67,17 +105,27 @@ def features(tokens: list[str], i: int, share_digits: float) -> list[str]:
     before = [t.lower() for t in tokens[max(0, i - 4) : i]]
     after = [t.lower() for t in tokens[i + 1 : i + 3]]
     out += [f"b{k}={t[:16]}" for k, t in enumerate(reversed(before), 1)] + [f"a{k}={t[:16]}" for k, t in enumerate(after, 1)]
-    if any(re.search(r"key|secret|passw|token|auth|cred|bearer|private|pwd", t) for t in before):
+    if any(map(_NAMED.search, before)):
         out.append("named")
     if {"=", ":"} & {*before[-2:]}:
         out.append("given")
     out.append(f"text{int(8 * share_digits)}")
+    if part is None or part[1] - part[0] < 2:
+        return out + ["plain"] if not num else out
+    first, end = part
+    own = x if len(x) == 1 else "w"
+    left, right = (tokens[k] if first <= k < end and len(tokens[k]) == 1 else "w" if first <= k < end else "|" for k in (i - 1, i + 1))
+    out += shared + [f"own={own}", f"left={left}", f"right={right}", f"left={left}{own}", f"right={own}{right}"]
+    if all(not (t[0].isalnum() or t[0] in "+/_=.-") for t in tokens[i:end]):
+        out.append(f"tail={own}")
+    if all(not (t[0].isalnum() or t[0] in "+/_=.-") for t in tokens[first : i + 1]):
+        out.append(f"head={own}")
     return out
 
 
-@functools.lru_cache(1)
-def _examples(n: int = 1600, seed: int = 4) -> list[tuple[list[str], list[int]]]:
-    """Generated lines as (tokens, tags)."""
+def _lines(n: int, seed: int, marks: bool) -> list[tuple[str, tuple[int, int] | None]]:
+    """Generated lines with the place of the secret, if there is one. With marks, most values are stretches of several tokens,
+    and some secrets are letters only."""
     r = random.Random(seed)
     alnum = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
     pick = lambda chars, a, b: "".join(r.choice(chars) for _ in range(r.randint(a, b)))
@@ -87,7 +135,29 @@ def _examples(n: int = 1600, seed: int = 4) -> list[tuple[list[str], list[int]]]
 
     def secret():
         x = r.choice([lambda: pick(alnum, 16, 44), lambda: pick(alnum + "+/", 24, 60) + r.choice(["", "=", "=="]), lambda: r.choice(["sk_live_", "ghp_", "xoxb-", "AIza", "pk_test_", "glpat-"]) + pick(alnum, 16, 36), lambda: ".".join(["eyJ" + pick(alnum, 14, 30), pick(alnum, 14, 40), pick(alnum + "_-", 14, 40)]), lambda: pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16, 24)])()
-        return x if possible(x) else secret()
+        return x if has_both(x) else secret()
+
+    has_both = lambda x: len(x) >= MIN_LENGTH and re.search("[0-9]", x) and re.search("[A-Za-z]", x)
+    letters, odd = alnum[:52], "$!@#%^&*~?|$!@#%&*"
+
+    def marked():
+        def pieces():
+            return "".join(pick(alnum + "-_.", 1, 12) + pick(odd, 1, 2) for _ in range(r.randint(1, 4))) + pick(alnum, 2, 10)
+
+        def like_words():
+            swap = str.maketrans("aosie", "@0$1" + r.choice("3!"))
+            return (word() + word()).title().translate(swap) + r.choice(["-", "_", "!", "#", ".", "$", ""]) + word() + str(r.randint(1, 9999))
+
+        x = r.choice([pieces, pieces, like_words, lambda: pick(alnum + odd, 14, 40), lambda: pick(letters, 16, 40), lambda: pick(letters[:26], 14, 32), secret])() + r.choice(["", "", "", "!", "$", "#", "*"])
+        return x if STRETCH.fullmatch(x) else marked()
+
+    def harmless_marked():
+        return r.choice([
+            lambda: f"http{r.choice(['', 's'])}://{r.choice(['www.', ''])}{word()}.{r.choice(['com', 'org', 'net'])}/{word()}/{r.randint(1, 9999)}?{word()}={r.randint(1, 999)}&{word()}={word()}", lambda: f"{word()}.{r.randint(1, 99)}@mail{r.randint(1, 9)}.example.com", lambda: f"{word()}@{word()}.org",
+            lambda: f"{r.randint(1990, 2030)}-{r.randint(1, 12):02d}-{r.randint(1, 28):02d}T{r.randint(0, 23):02d}:{r.randint(0, 59):02d}:{r.randint(0, 59):02d}Z", lambda: f"{word()}({word()}_{r.randint(0, 99)},{word()})", lambda: f"{word()},{word()};{word()}{r.randint(0, 99)}", lambda: f"**{word()}{word()}{r.randint(0, 99)}**", lambda: f"{word()}#{r.randint(1, 99999)}|{word()}|{word()}",
+            lambda: f"(${r.randint(1, 999)},{r.randint(100, 999)}.{r.randint(10, 99)}USD)", lambda: f"<{word()}>{word()}{r.randint(0, 9)}</{word()}>", lambda: word() + word().title() + word().title() + word().title(), lambda: word() + word() + word() + word(), lambda: f"[{word()}{r.randint(1, 99)}]({word()}/{word()}.html)", lambda: f"{{{word()}:{r.randint(1, 99999)},{word()}:{word()}}}",
+            lambda: f"{word()}{word()}:{r.randint(1, 99)}:{word()}", lambda: f"#{word()}{word()}{r.randint(1, 2030)}!", lambda: f"{word()}&{word()}%{r.randint(1, 99)}{word()}", lambda: " ".join([word() + word() + word() + r.choice(",.:;!?)")] * 1), lambda: f"{word()}###%%{word()}", lambda: f"~/{word()}/{word()}_{r.randint(1, 99)}.{r.choice(['txt', 'log', 'csv'])}:{r.randint(1, 999)}", harmless,
+        ])()
 
     def harmless():
         return r.choice([
@@ -101,40 +171,61 @@ def _examples(n: int = 1600, seed: int = 4) -> list[tuple[list[str], list[int]]]
     out = []
     for _ in range(n):
         good = r.random() < 0.45
-        value = secret() if good else harmless()
+        value = (marked() if marks else secret()) if good else (harmless_marked() if marks else harmless())
         label = r.choice(named) if r.random() < (0.9 if good else 0.04) else r.choice(other)
         mid = r.choice([" = ", ": ", "=", " ", " is ", ' = "', ": '"])
         line = " ".join(word() for _ in range(r.randint(0, 8))) + " " + label + mid
         tail = ('"' if mid.endswith('"') else "'" if mid.endswith("'") else "") + r.choice(["", " ", ", ", "; "]) + " ".join(word() for _ in range(r.randint(0, 8)))
-        at = (len(line), len(line) + len(value))
-        tokens, tags = [], []
-        for m in TOKEN.finditer(line + value + tail):
-            inside = good and m.start() < at[1] and m.end() > at[0] and possible(m[0])
-            tokens.append(m[0])
-            tags.append((INSIDE if tags and tags[-1] != OUT else BEGIN) if inside else OUT)
-        out.append((tokens, tags))
+        out.append((line + value + tail, (len(line), len(line) + len(value)) if good else None))
     return out
 
 
-def _allowed(tokens: list[str]) -> np.ndarray:
-    can = np.zeros((len(tokens), 3), bool)
+def _tagged(text: str, at: tuple[int, int] | None) -> tuple[list[str], list[int], list[tuple[int, int]]]:
+    """Tokens, tags and stretches of a generated line. A label that is one token with its secret is tagged with it."""
+    spans, parts = chain(text, stretches(text))
+    tags = [OUT] * len(spans)
+    for first, end in parts:
+        for i in range(first, end):
+            if at and spans[i][0] < at[1] and spans[i][1] > at[0]:
+                tags[i] = INSIDE if i > first and tags[i - 1] != OUT else BEGIN
+    return [text[a:b] for a, b in spans], tags, parts
+
+
+@functools.lru_cache(1)
+def _examples(n: int = 1600, seed: int = 4, marks: bool = False) -> list[tuple[list[str], list[int]]]:
+    """Generated lines as (tokens, tags)."""
+    return [_tagged(*x)[:2] for x in _lines(n, seed, marks)]
+
+
+def _allowed(n: int, parts: list[tuple[int, int]]) -> np.ndarray:
+    can = np.zeros((n, 3), bool)
     can[:, OUT] = True
-    yes = np.array([possible(t) for t in tokens], bool)
-    can[yes] = True
+    for first, end in parts:
+        can[first:end] = True
+        can[first, INSIDE] = False
     return can
 
 
+def _featured(tokens: list[str], parts: list[tuple[int, int]], share: float) -> list[list[str]]:
+    """The features of each token; none outside stretches."""
+    out = [[] for _ in tokens]
+    for part in parts:
+        shared = stretch_features(tokens, *part) if part[1] - part[0] > 1 else None
+        for i in range(*part):
+            out[i] = features(tokens, i, share, part, shared)
+    return out
+
+
 @functools.lru_cache(1)
 def trained(rounds: int = 80, rate: float = 0.5, penalty: float = 1e-4) -> dict:
     """{"weights": {feature: three scores}, "step": 3 x 3 scores}: fitted to the generated lines, all at once, by
     Adagrad on the mean log-likelihood."""
     data = []
     names: dict[str, int] = {}
-    for tokens, tags in _examples():
-        can = _allowed(tokens)
+    for tokens, tags, parts in (_tagged(*x) for x in _lines(1600, 4, False) + _lines(3000, 5, True)):
         share = sum(c.isdigit() for t in tokens for c in t) / max(1, sum(map(len, tokens)))
-        rows = [[names.setdefault(f, len(names)) for f in features(tokens, i, share)] if can[i, BEGIN] else [] for i in range(len(tokens))]
-        data.append((rows, tags, can))
+        rows = [[names.setdefault(f, len(names)) for f in found] for found in _featured(tokens, parts, share)]
+        data.append((rows, tags, _allowed(len(tokens), parts)))
     longest = max(len(d[1]) for d in data)
     n = len(data)
     owner, feature, y = [], [], np.zeros((n, longest), int)
@@ -147,6 +238,7 @@ def trained(rounds: int = 80, rate: float = 0.5, penalty: float = 1e-4) -> dict:
             feature += row
     owner, feature = np.array(owner), np.array(feature)
     w, step = np.zeros((len(names), 3)), np.zeros((3, 3))
+    heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
     gw, gs = np.full_like(w, 1e-8), np.full_like(step, 1e-8)
     barred = np.zeros((3, 3))
     barred[OUT, INSIDE] = -1e9
@@ -156,7 +248,7 @@ def trained(rounds: int = 80, rate: float = 0.5, penalty: float = 1e-4) -> dict:
     gold = np.eye(3)[y] * live[:, :, None]
     for _ in range(rounds):
         score = np.zeros((n * longest, 3))
-        np.add.at(score, owner, w[feature])
+        score[owner[heads]] = np.add.reduceat(w[feature], heads, axis=0)
         score = np.where(can, score.reshape(n, longest, 3), -1e9)
         score[:, 0, INSIDE] = -1e9
         t = step + barred
@@ -169,8 +261,8 @@ def trained(rounds: int = 80, rate: float = 0.5, penalty: float = 1e-4) -> dict:
         z = np.logaddexp.reduce(alpha[:, -1], axis=1)
         prob = np.exp(alpha + beta - z[:, None, None])
         pair = np.exp(alpha[:, :-1, :, None] + t + (score[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None])
-        dw = np.zeros_like(w)
-        np.add.at(dw, feature, (gold - prob * live[:, :, None]).reshape(-1, 3)[owner])
+        left = (gold - prob * live[:, :, None]).reshape(-1, 3)
+        dw = np.stack([np.bincount(feature, left[owner, k], len(names)) for k in range(3)], axis=1)
         dw, ds = dw / n - penalty * w, (pair_y - pair[both].sum(0)) / n - penalty * step
         gw += dw**2
         gs += ds**2
@@ -194,12 +286,11 @@ def viterbi(score: np.ndarray, step: np.ndarray) -> list[int]:
 def field_spans(text: str, model: dict) -> list[tuple[int, int, str]]:
     """(start, end, "crf") of the runs that the field tags as secrets, from a whole text."""
     groups: list[list[tuple[int, int]]] = []
-    for m in CANDIDATE.finditer(text):
-        if possible(m[0]):
-            if groups and m.start() - groups[-1][-1][1] <= REACH:
-                groups[-1].append(m.span())
-            else:
-                groups.append([m.span()])
+    for start, end in stretches(text):
+        if groups and start - groups[-1][-1][1] <= REACH and text.find("\n", groups[-1][-1][1], start) < 0:
+            groups[-1].append((start, end))
+        else:
+            groups.append([(start, end)])
     if not groups:
         return []
     weights, step = model["weights"], np.array(model["step"])
@@ -210,14 +301,13 @@ def field_spans(text: str, model: dict) -> list[tuple[int, int, str]]:
         low = text.rfind("\n", low, group[0][0]) + 1 or low
         if (end := text.find("\n", group[-1][1], high)) >= 0:
             high = end
-        spans = [m.span() for m in TOKEN.finditer(text, low, high)]
+        spans, parts = chain(text, group, low, high)
         tokens = [text[a:b] for a, b in spans]
-        score = np.full((len(tokens), 3), -1e9)
-        score[:, OUT] = 0
-        for i, t in enumerate(tokens):
-            if possible(t):
-                score[i] = sum((np.array(weights[f]) for f in features(tokens, i, share) if f in weights), np.zeros(3))
-        score[0, INSIDE] = -1e9
+        score = np.zeros((len(tokens), 3))
+        for i, found in enumerate(_featured(tokens, parts, share)):
+            if found:
+                score[i] = [sum(x) for x in zip(*(weights[f] for f in found if f in weights), strict=True)]
+        score[~_allowed(len(tokens), parts)] = -1e9
         tags = viterbi(score, step)
         for i, tag in enumerate(tags):
             if tag == BEGIN:
@@ -228,9 +318,17 @@ def field_spans(text: str, model: dict) -> list[tuple[int, int, str]]:
 
 
 def all_spans(text: str, model: dict) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
-    """Base spans; and these with the field's spans that overlap none of them."""
+    """Base spans; and these with what the field's spans have beyond them, but for the label before an assignment."""
     base = base_spans(text)
-    more = [x for x in field_spans(text, model) if not any(x[0] < b[1] and b[0] < x[1] for b in base)]
+    more = []
+    for start, end, kind in field_spans(text, model):
+        for a, b, what in base:
+            if a < end and b > start:
+                if a > start and what != "assign":
+                    more.append((start, a, kind))
+                start = max(start, b)
+        if start < end:
+            more.append((start, end, kind))
     return base, sorted(base + more, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
