@@ -266,6 +266,21 @@ def test_language_id(spark, docs, none):
     assert {r.lang_pred for r in langid.predict(docs, langid.train(none)).collect()} == {"und"}
 
 
+def test_more_than_64_languages(spark):
+    import random
+
+    def make(k, seed):
+        r, own = random.Random(seed), random.Random(1000 + k)
+        parts = ["".join(own.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(4)]
+        return " ".join(r.choice(parts) + r.choice(parts) for _ in range(15))
+
+    rows = [(100 * k + i, make(k, 100 * k + i), f"l{k:03d}") for k in range(70) for i in range(4 + (k < 66))]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    held = spark.createDataFrame([(k, make(k, 10**6 + k)) for k in range(70)], "doc_id long, text string")
+    assert len(model["languages"]) == 70 and model["table"].shape == (2, langid.SLOTS)
+    assert {r.doc_id: r.lang_pred for r in langid.predict(held, model).collect()} == {k: f"l{k:03d}" for k in range(70)}
+
+
 def test_ngrams_are_those_of_words(spark):
     import pyarrow as pa
 

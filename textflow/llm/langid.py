@@ -1,7 +1,7 @@
 """Language identification with bit-sliced Bloom filters over character n-grams.
 
-One table of SLOTS entries holds a Bloom filter for every language at once: bit l of a slot is the slot's bit in the
-filter of language l. An n-gram reads its HASHES slots; the AND of them is the bitmask of all languages whose filter
+A table of SLOTS entries holds the Bloom filters of 64 languages at once: bit l of a slot is the slot's bit in the filter
+of language l; there are as many tables as the languages need. An n-gram reads its HASHES slots; the AND of them is the bitmask of all languages whose filter
 contains it. For a text, the set bits of all its n-grams' masks are counted by language (with repeats), the number
 expected from false positives alone (fill of the filter to the power of HASHES) is taken off, and the language with the
 most left wins.
@@ -73,19 +73,18 @@ def _slots(h: np.ndarray, k: int, slots: int) -> np.ndarray:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, slots: int = SLOTS, hashes: int = HASHES) -> dict:
-    """docs (doc_id, text, lang) -> {"languages", "table": uint64 bitmasks of the slots, "fill", "prior"}, for up to 64
-    languages (the most frequent ones). Rows without text or lang don't count. The driver gets the table's used slots,
-    `slots` at most."""
-    docs = docs.where("text is not null and lang is not null")
-    sizes = [(r.lang, r.n) for r in docs.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(64).collect()]
+    """docs (doc_id, text, lang) -> {"languages", "table": uint64 bitmasks, a row of slots for every 64 languages, "fill",
+    "prior"}, for every language. Rows without text or lang don't count. The driver gets the tables' used slots, `slots` at
+    most for every 64 languages."""
+    spark = docs.sparkSession
+    docs = docs.where("text is not null and lang is not null").withColumn("lang", F.col("lang").cast("string"))
+    sizes = [(r.lang, r.n) for r in docs.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()]
     names = sorted(lang for lang, _ in sizes)
-    empty = {"languages": names, "table": np.zeros(slots, np.uint64), "fill": np.zeros(len(names)), "prior": sizes[0][0] if sizes else None}
+    empty = {"languages": names, "table": np.zeros((-(-len(names) // 64), slots), np.uint64), "fill": np.zeros(len(names)), "prior": sizes[0][0] if sizes else None}
     if not sizes:
         return empty
     hashed = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(3)), F.lit(1 << 30))
-    chosen = F.lit(False)
-    for lang, n in sizes:
-        chosen = chosen | ((F.col("lang") == lang) & (hashed < int(min(1.0, sample / n) * (1 << 30))))
+    below = spark.createDataFrame([(lang, int(min(1.0, sample / n) * (1 << 30))) for lang, n in sizes], "lang string, below long")
     index = {lang: i for i, lang in enumerate(names)}
 
     def tally(batches):
@@ -102,27 +101,29 @@ def train(docs: DataFrame, sample: int = SAMPLE, slots: int = SLOTS, hashes: int
                     at = np.flatnonzero(np.r_[True, (lang[1:] != lang[:-1]) | (h[1:] != h[:-1])]) if len(h) else np.empty(0, np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array(lang[at].astype(np.int32)), pa.array(np.diff(np.r_[at, len(h)]).astype(np.int64))], ["h", "lang", "n"])
 
-    rows = docs.where(chosen).select("text", "lang")
+    rows = docs.join(F.broadcast(below), "lang").where(hashed < F.col("below")).select("text", "lang")
     count = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    total = F.create_map(*(F.lit(x) for lang in names for x in (index[lang], float(max(1, count.get(lang, 0))))))
+    total = spark.createDataFrame([(index[lang], float(max(1, count.get(lang, 0)))) for lang in names], "lang int, total double")
     shares = rows.mapInArrow(tally, "h long, lang int, n long").groupBy("h", "lang").agg(F.sum("n").alias("n")).where("n >= 2")
-    shares = shares.withColumn("share", F.col("n") / total[F.col("lang")]).where(F.col("share") >= LEAST_SHARE)
+    shares = shares.join(F.broadcast(total), "lang").withColumn("share", F.col("n") / F.col("total")).where(F.col("share") >= LEAST_SHARE)
     each = shares.groupBy("h").agg(F.max("share").alias("top"), F.collect_list(F.struct("lang", "share")).alias("all"))
-    masks = each.select("h", F.expr(f"aggregate(filter(all, x -> x.share >= {LEAST_PART} * top), 0L, (m, x) -> m | shiftleft(1L, x.lang))").alias("mask"))
+    found = each.select("h", F.explode(F.expr(f"filter(all, x -> x.share >= {LEAST_PART} * top)")).alias("x")).select("h", "x.lang")
 
     def fill(batches):
-        table = np.zeros(slots, np.uint64)
         for batch in batches:
-            h, mask = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy().view(np.uint64)
-            for k in range(hashes):
-                np.bitwise_or.at(table, _slots(h, k, slots).astype(np.int64), mask)
-        used = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(table[used].view(np.int64))], ["slot", "mask"])
+            h, lang = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy().astype(np.int64)
+            at = np.concatenate([lang // 64 * slots + _slots(h, k, slots).astype(np.int64) for k in range(hashes)])
+            mask = np.tile(np.uint64(1) << (lang % 64).astype(np.uint64), hashes)
+            order = np.argsort(at, kind="stable")
+            at, mask = at[order], mask[order]
+            first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.empty(0, np.int64)
+            if len(first):
+                yield pa.RecordBatch.from_arrays([pa.array(at[first]), pa.array(np.bitwise_or.reduceat(mask, first).view(np.int64))], ["slot", "mask"])
 
     table = empty["table"]
-    used = masks.mapInArrow(fill, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
-    table[used.column(0).to_numpy()] = used.column(1).to_numpy().view(np.uint64)
-    full = [((table >> np.uint64(i)) & np.uint64(1)).mean() for i in range(len(names))]
+    used = found.mapInArrow(fill, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    table.reshape(-1)[used.column(0).to_numpy()] = used.column(1).to_numpy().view(np.uint64)
+    full = [((table[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean() for i in range(len(names))]
     return empty | {"fill": np.array(full)}
 
 
@@ -134,20 +135,23 @@ def predict(docs: DataFrame, model: dict, hashes: int = HASHES) -> DataFrame:
     first language by name. The score is the winner's part of all languages' corrected counts."""
     names, table, prior = model["languages"], model["table"], model["prior"]
     false = np.asarray(model["fill"]) ** hashes
+    piece = (1 << 26) // max(64, len(names))  # bytes of texts at once: fewer with many languages, as each text has a count for each
 
     def run(batches):
         for batch in batches:
             raw = batch.column(1).to_pylist()
             pred, score = [UNKNOWN] * len(raw), np.zeros(len(raw))
-            for t in texts(batch.column(1)) if names else ():
+            for t in texts(batch.column(1), piece) if names else ():
                 hits, n = np.zeros((len(t), len(names))), np.zeros(len(t))
                 for row, h in grams(t):
-                    mask = table[_slots(h, 0, len(table)).astype(np.int64)]
-                    for k in range(1, hashes):
-                        mask &= table[_slots(h, k, len(table)).astype(np.int64)]
+                    slots = [_slots(h, k, table.shape[1]).astype(np.int64) for k in range(hashes)]
                     n += np.bincount(row, minlength=len(t))
-                    for i in range(len(names)):
-                        hits[:, i] += np.bincount(row[(mask >> np.uint64(i) & np.uint64(1)).astype(bool)], minlength=len(t))
+                    for word, part in enumerate(table):
+                        mask = part[slots[0]]
+                        for at in slots[1:]:
+                            mask &= part[at]
+                        for i in range(64 * word, min(64 * word + 64, len(names))):
+                            hits[:, i] += np.bincount(row[(mask >> np.uint64(i % 64) & np.uint64(1)).astype(bool)], minlength=len(t))
                 rest = np.maximum((hits - n[:, None] * false) / np.maximum(1 - false, 1e-9), 0)
                 best, total = rest.argmax(1), rest.sum(1)
                 for j in range(len(t)):
