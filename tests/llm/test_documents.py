@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -13,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from textflow.llm import components, langid, mixing, neardup, packing, quality, secrets, substrings
-from textflow.llm.queries import vocabulary
+from textflow.llm.queries import QUERIES, vocabulary
 
 from .helpers import SCHEMA, awkward, prose
 
@@ -154,6 +155,44 @@ def test_repeats_across_range_boundaries(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+@pytest.mark.parametrize("many", [20_000, 3])
+def test_passage_in_many_different_texts(spark, many):
+    """Blocks with more contexts than `many` are split by offsets; the passage's ends have a context for each text."""
+    passage = prose(19, 60)
+    rows = [(i, f"{prose(500 + i, 30)} {passage[: 400 - i]} {prose(900 + i, 30)}") for i in range(40)]
+    assert found_repeats(spark.createDataFrame(rows, "doc_id long, text string"), many=many) == plain_repeats(rows, 200)
+
+
+def test_equal_rows_of_one_document(spark):
+    """Thousands of equal rows with one id, with none and with ids of their own take linear time and no large task."""
+    text = prose(31, 300)
+    rows = [(7, text)] * 3000 + [(None, text)] * 1500 + [(i, text) for i in range(100, 600)] + [(8, prose(32, 300))]
+    got = found_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    n = len(text)
+    assert got[7, n, ((0, n),), b""] == 3000 and got[None, n, ((0, n),), b""] == 1500 and sum(got.values()) == 5001
+    assert got[8, len(rows[-1][1]), (), rows[-1][1].encode()] == 1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.binary(max_size=20), max_size=30), st.integers(1, 24))
+def test_multikey_order(rows, width):
+    matrix = np.zeros((len(rows), width), np.uint8)
+    for line, row in zip(matrix, rows, strict=True):
+        line[: len(row[:width])] = np.frombuffer(row[:width], np.uint8)
+    order, common = substrings.multikey_order(matrix)
+    padded = [bytes(x) for x in matrix[order]]
+    assert padded == sorted(bytes(x) for x in matrix)
+    assert common.tolist() == [0, *(len(os.path.commonprefix([a, b])) for a, b in zip(padded, padded[1:], strict=False))][: len(rows)]
+
+
+def test_query_of_repeats(spark, docs, tmp_path):
+    """The digest columns of op2 against the plain version."""
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = Counter(tuple(r) for r in QUERIES["op2_suffix_array_dedup"](spark, str(tmp_path)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect())
+    plain = plain_repeats([(r[0], r[1]) for r in awkward()], 200)
+    assert got == Counter({(d, n, n - len(kept), len(spans), hashlib.sha256(kept).hexdigest()): m for (d, n, spans, kept), m in plain.items()})
+
+
 # -- quality
 
 
