@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textflow.llm._shared import cut, remove
+from textflow.llm._shared import cut, remove, with_group
 
 #: Edges of a contracted forest that one task may finish.
 SMALL = 1_000_000
@@ -16,8 +16,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     """edges (u, v) with u > v. Large: each larger neighbour of a node is linked with its smallest one (itself included);
     small: so are its smaller neighbours and the node itself."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-    out = both.join(least, "u")
+    least = cut(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("m", "u")), "least")
+    out = with_group(both, least, ["u"], F.col("v"), ["m"])  # a hub's edges are dealt to many tasks
     if large:
         out = out.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

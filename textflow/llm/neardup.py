@@ -11,6 +11,9 @@ Sets that are equal are one node from the start, whatever their number. In a buc
 a nearest spanning forest of the pairs that may link; then, with the components that result, and by longer sketches of
 the documents concerned, each node's few nearest nodes in other components; and last whatever pairs between components
 are left that the sketches don't rule out. So a component loses no link, and large groups of copies take few pairs.
+
+A bucket of more than 2 * BLOCK nodes is dealt out: for the forests into blocks that have PIVOTS nodes in common, so that the
+work grows with its nodes; for the pairs between components only its nodes outside its largest component meet the others.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textflow.llm._shared import cut, small_side, with_group
@@ -36,8 +39,10 @@ FAR = 25
 SKETCH, NEAR = 768, 516
 #: Nearest nodes in other components that a node is compared with before all others are.
 FEW = 6
-#: Nodes of a block, where a bucket is split.
-BLOCK = 8192
+#: Nodes of a block, where a bucket is split, and nodes that all its blocks have in common for the forests.
+BLOCK, PIVOTS = 8192, 64
+#: Pairs of one node beyond which its text goes to several tasks.
+HUB = 2000
 #: Ids up to which a table is broadcast.
 BROADCAST_IDS = 500_000
 _RNG = np.random.default_rng(6)
@@ -56,12 +61,13 @@ def shingle_sets(column: pa.Array, size: int = 5) -> Iterator[tuple[int, int, np
 
 
 def signatures(docs: DataFrame, size: int = 5) -> DataFrame:
-    """(doc_id, text) -> (doc_id, n_shingles, d1, d2, sig): d1 and d2 are digests of the set, sig its signature."""
+    """(doc_id, text) -> (doc_id, th, n_shingles, d1, d2, sig): th is the text's hash, d1 and d2 are digests of the set, sig its
+    signature."""
 
     def run(batches):
         for batch in batches:
             ids, n, d1, d2, sig = [], [], [], [], []
-            for first, m, rows, values in shingle_sets(batch.column(1), size):
+            for first, m, rows, values in shingle_sets(batch.column(2), size):
                 count = np.bincount(rows, minlength=m)
                 out, sums = np.zeros((m, SYMBOLS), np.uint16), np.zeros((2, m), np.uint64)
                 if len(values):
@@ -74,9 +80,13 @@ def signatures(docs: DataFrame, size: int = 5) -> DataFrame:
                 n.append(count), d1.append(sums[0].view(np.int64)), d2.append(sums[1].view(np.int64))
                 sig.extend(x.tobytes() for x in out)
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.concatenate(x).astype(np.int64)) for x in (n, d1, d2)), pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "d1", "d2", "sig"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.concatenate(x).astype(np.int64)) for x in (n, d1, d2)), pa.array(sig, pa.binary())], ["doc_id", "th", "n_shingles", "d1", "d2", "sig"])
+
+    return _hashed(docs).mapInArrow(run, "doc_id long, th long, n_shingles long, d1 long, d2 long, sig binary")
+
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, sig binary")
+def _hashed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
 
 
 def index_keys(nodes: DataFrame) -> DataFrame:
@@ -116,25 +126,41 @@ def shared_keys(keys: DataFrame) -> DataFrame:
     """The rows of keys that more than one node has."""
 
     def run(batches):
-        for key, node, slot in _runs(batches, 3):
-            same = np.r_[False, key[1:] == key[:-1], False]
-            keep = same[1:] | same[:-1]
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, node, slot)], ["key", "node", "slot"])
+        held = None  # the last row so far, and whether the one before has its key
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, node, slot = (batch.column(i).to_numpy() for i in range(3))
+            before = False
+            if held is not None:
+                (key, node, slot), before = (np.concatenate([x, y]) for x, y in zip(held[0], (key, node, slot), strict=True)), held[1]
+            same = np.r_[before, key[1:] == key[:-1]]
+            keep = same[:-1] | same[1:]
+            yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep]) for x in (key, node, slot)], ["key", "node", "slot"])
+            held = [x[-1:] for x in (key, node, slot)], bool(same[-1])
+        if held is not None and held[1]:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], ["key", "node", "slot"])
 
     return keys.repartition("key").sortWithinPartitions("key").mapInArrow(run, "key long, node long, slot byte")
 
 
-def in_blocks(buckets: DataFrame, most: int) -> DataFrame:
-    """(key, node, slot), where each bucket of over 2 * most nodes is replaced by buckets for every two of its blocks of about
-    `most` nodes, so that each two nodes still meet and no bucket is larger."""
-    large = buckets.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 2 * most)
-    if not large.limit(1).count():
+def _block(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("node", F.lit(7)), blocks)
+
+
+def forest_buckets(buckets: DataFrame, large: DataFrame | None) -> DataFrame:
+    """(key, node, slot), where each bucket of large (key, n, blocks) is replaced by its blocks, all with its PIVOTS nodes of the
+    smallest hashes."""
+    if large is None:
         return buckets
-    sized = buckets.join(small_side(large, BROADCAST_IDS), "key", "left").withColumn("blocks", F.ceil(F.col("n") / most))
-    own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks"))
-    split = sized.where("n is not null").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    split = split.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node", "slot")
-    return sized.where("n is null").select("key", "node", "slot").unionByName(split)
+    usual = buckets.join(large, "key", "left_anti").select("key", "node", "slot")
+    rows = buckets.join(large, "key")
+    order = F.xxhash64("node", F.lit(8))
+    few = F.abs(order.cast("double")) < F.lit(4 * PIVOTS * 2.0**63) / F.col("n")  # about 4 * PIVOTS nodes
+    edge = cut(rows.groupBy("key").agg(F.array_sort(F.collect_list(F.when(few, order))).alias("low")), "pivots")
+    pivots = rows.join(small_side(edge, BROADCAST_IDS // 10), "key").where(F.array_contains(F.slice("low", 1, PIVOTS), order)).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    parts = rows.withColumn("block", _block(F.col("blocks"))).select("key", "node", "slot", "block").unionByName(pivots.select("key", "node", "slot", "block")).distinct()
+    return usual.unionByName(parts.select(F.xxhash64("key", "block").alias("key"), "node", "slot"))
 
 
 def _forest(node: np.ndarray, sig: np.ndarray) -> tuple[list[int], list[int], bool]:
@@ -163,22 +189,23 @@ def _forest(node: np.ndarray, sig: np.ndarray) -> tuple[list[int], list[int], bo
     return a, b, met > len(a)
 
 
-def _crossing(node: np.ndarray, comp: np.ndarray, sketch: np.ndarray, slot: int, most: int) -> tuple[list[int], list[int], bool]:
-    """For each node outside the bucket's largest component its `most` nearest nodes in other components, by sketch, and
-    whether any had more. Every pair between two components has such a node. A pair that shares several keys is taken in
-    the bucket of its first slot only. sketch: SKETCH bytes and the signature."""
-    values, count = np.unique(comp, return_counts=True)
+def _crossing(node: np.ndarray, comp: np.ndarray, side: np.ndarray, sketch: np.ndarray, slot: int, most: int) -> tuple[list[int], list[int], bool]:
+    """For each node on the left side its `most` nearest nodes of the right side in other components, by sketch, and whether
+    any had more. side: 0 is right, 1 both, 2 left. Every pair between two components of a bucket has a node outside its
+    largest component, which is on the left. A pair that shares several keys is taken in the bucket of its first slot only.
+    sketch: SKETCH bytes and the signature."""
     long, sig = sketch[:, :SKETCH], np.ascontiguousarray(sketch[:, SKETCH:]).view(np.uint16).reshape(len(node), CHUNKS, WIDTH)
+    right = np.flatnonzero(side < 2)
     a, b, more = [], [], False
-    for i in np.flatnonzero(comp != values[count.argmax()]):
-        other = np.flatnonzero(comp != comp[i])
+    for i in np.flatnonzero(side > 0):
+        other = right[comp[right] != comp[i]]
         equal = sig[other] == sig[i]
         n = equal.sum(2)
         chunk = (n >= WIDTH - ERRORS).argmax(1)
         rows = np.arange(len(other))
         first = chunk * WIDTH + np.where(n[rows, chunk] == WIDTH, 0, equal[rows, chunk].argmin(1))
         other = other[first == slot]
-        same = (long[other] == long[i]).sum(1)
+        same = np.concatenate([(long[other[j : j + 2048]] == long[i]).sum(1) for j in range(0, len(other), 2048)]) if len(other) else np.empty(0, np.int64)
         order = np.argsort(-same, kind="stable")
         order = order[same[order] >= NEAR]
         more |= len(order) > most
@@ -189,11 +216,11 @@ def _crossing(node: np.ndarray, comp: np.ndarray, sketch: np.ndarray, slot: int,
 
 
 def bucket_pairs(members: DataFrame, most: int) -> DataFrame:
-    """(key, node, comp, slot, sig) sorted by key within partitions -> (a, b, more): pairs to confirm. most = 0: a forest of each
-    bucket by signatures; else up to so many for each node, between components, by sketches."""
+    """(key, node, comp, side, slot, sig) sorted by key within partitions -> (a, b, more): pairs to confirm. most = 0: a forest of
+    each bucket by signatures; else up to so many for each node on the left side, between components, by sketches."""
 
     def run(batches):
-        for key, node, comp, slot, sig in _runs(batches, 5):
+        for key, node, comp, side, slot, sig in _runs(batches, 6):
             at = np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)]
             a, b, m, seen = [], [], [], set()
             for i, j in zip(at[:-1], at[1:], strict=True):
@@ -205,7 +232,7 @@ def bucket_pairs(members: DataFrame, most: int) -> DataFrame:
                     continue
                 seen.add(hash(name))
                 s = np.frombuffer(b"".join(sig[i:j][order]), np.uint8 if most else np.uint16).reshape(j - i, -1)
-                x, y, more = _crossing(node[i:j][order], comp[i:j][order], s, int(slot[i]), most) if most else _forest(node[i:j][order], s)
+                x, y, more = _crossing(node[i:j][order], comp[i:j][order], side[i:j][order], s, int(slot[i]), most) if most else _forest(node[i:j][order], s)
                 a += x
                 b += y
                 m += [more] * len(x)
@@ -216,18 +243,35 @@ def bucket_pairs(members: DataFrame, most: int) -> DataFrame:
     return members.mapInArrow(run, "a long, b long, more boolean")
 
 
-def mixed_buckets(buckets: DataFrame, comp: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The members (key, node, comp, slot) of buckets with more than one component, of nodes alone."""
+def mixed_buckets(buckets: DataFrame, comp: DataFrame, nodes: DataFrame, large: DataFrame | None) -> DataFrame:
+    """The members (key, node, comp, side, slot) of buckets with more than one component, of nodes alone; those of large buckets
+    are dealt out so that each node outside the largest component meets all nodes of others."""
 
     def run(batches):
         for key, node, c, slot in _runs(batches, 4):
-            at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            mixed = np.minimum.reduceat(c, at) != np.maximum.reduceat(c, at)
-            keep = np.repeat(mixed, np.diff(np.r_[at, len(key)]))
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, node, c, slot)], ["key", "node", "comp", "slot"])
+            at = np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)]
+            side = np.zeros(len(key), np.int8)
+            keep = np.zeros(len(key), bool)
+            for i, j in zip(at[:-1], at[1:], strict=True):
+                if c[i:j].min() != c[i:j].max():
+                    values, count = np.unique(c[i:j], return_counts=True)
+                    side[i:j] = c[i:j] != values[count.argmax()]
+                    keep[i:j] = True
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, node, c, side, slot)], ["key", "node", "comp", "side", "slot"])
 
     rows = buckets.join(nodes.select("node"), "node").join(comp, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"), "slot")
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "key long, node long, comp long, slot byte")
+    usual = rows if large is None else rows.join(large, "key", "left_anti")
+    out = usual.repartition("key").sortWithinPartitions("key").mapInArrow(run, "key long, node long, comp long, side byte, slot byte")
+    if large is None:
+        return out
+    sizes = rows.join(large, "key").groupBy("key", "comp").agg(F.count("*").alias("n"))
+    tops = sizes.groupBy("key").agg(F.max_by("comp", "n").alias("top"), F.sum("n").alias("all"), F.max("n").alias("most")).where(F.col("all") > F.col("most"))
+    tops = tops.select("key", "top", F.ceil(F.col("all") / BLOCK).alias("blocks"), F.ceil((F.col("all") - F.col("most")) / BLOCK).alias("lefts"))
+    marked = rows.join(small_side(cut(tops, "tops"), BROADCAST_IDS), "key")
+    grid = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    right = marked.withColumn("r", _block(F.col("blocks"))).withColumn("l", grid("lefts")).withColumn("side", F.lit(0).cast("byte"))
+    left = marked.where("comp <> top").withColumn("l", _block(F.col("lefts"))).withColumn("r", grid("blocks")).withColumn("side", F.lit(2).cast("byte"))
+    return out.unionByName(right.unionByName(left).select(F.xxhash64("key", "l", "r").alias("key"), "node", "comp", "side", "slot"))
 
 
 def sketches(sets: DataFrame, size: int = 5) -> DataFrame:
@@ -249,6 +293,19 @@ def sketches(sets: DataFrame, size: int = 5) -> DataFrame:
     return sets.select("node", "text").mapInArrow(run, "node long, sig binary")
 
 
+def _with_text(pairs: DataFrame, sets: DataFrame, one: str, other: str) -> DataFrame:
+    """pairs with text_<one> from sets (node, text); the pairs of a node with more than HUB of them are dealt to several tasks."""
+    parts = pairs.groupBy(one).agg(F.ceil(F.count("*") / HUB).alias("parts"))
+    hubs = cut(parts.where("parts > 1"), "hubs")
+    texts_of = sets.select(F.col("node").alias(one), F.col("text").alias(f"text_{one}"))
+    if not hubs.limit(1).count():
+        return pairs.join(texts_of, one)
+    hubs = small_side(hubs, BROADCAST_IDS)
+    salted = pairs.join(hubs, one, "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")), F.lit(0))).drop("parts")
+    spread = texts_of.join(hubs, one, "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    return salted.join(spread, [one, "salt"]).drop("salt")
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int, size: int = 5) -> DataFrame:
     """(a, b) -> (a, b, linked), by the whole shingle sets of sets (node, text)."""
 
@@ -266,55 +323,98 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int, size: int = 5) -> D
                 linked.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
-    one = pairs.join(sets.withColumnRenamed("node", "a").withColumnRenamed("text", "text_a"), "a")
-    two = one.join(sets.withColumnRenamed("node", "b").withColumnRenamed("text", "text_b"), "b")
+    two = _with_text(_with_text(pairs, sets, "a", "b"), sets, "b", "a")
     return two.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
-    """docs (doc_id, text, ...) -> (doc_id, n_shingles, component_id, kept), a row for each row of docs.
+def set_groups(docs: DataFrame, percent: int = 75, size: int = 5, by_id: bool = True) -> tuple[DataFrame, DataFrame]:
+    """docs (doc_id, text, ...) -> signatures(docs), and of each distinct set: n_shingles, d1, d2, n (rows with it), low (the
+    smallest doc_id that its component has), keeper (the component's smallest (doc_id, hash of its text)).
 
-    Documents are linked if 100 * |A & B| >= percent * |A | B| on their shingle sets; component_id is the smallest doc_id
-    that can be reached, itself included, kept says that it is the document's own. A null or wordless text has an empty
-    set and no link. Rows with a doc_id in common are one node; where their texts differ, each links it with documents of an equal set, and
-    the smallest of the texts with near ones. A row
-    without doc_id is linked with nothing; its component_id is null and it is kept. Further columns are ignored. An empty
-    table gives an empty table."""
-    spark = docs.sparkSession
+    Sets are linked by similarity; with by_id also where a doc_id has several."""
     sigs = cut(signatures(docs, size), "signatures")
     usable = sigs.where("n_shingles > 0 and doc_id is not null")
     keys = ["n_shingles", "d1", "d2"]
-    groups = cut(usable.groupBy(*keys).agg(F.min("doc_id").alias("node"), F.min("sig").alias("sig"), F.count("*").alias("n")), "sets")
+    groups = usable.groupBy(*keys).agg(F.min(F.struct("doc_id", "th")).alias("first"), F.min("sig").alias("sig"), F.count("*").alias("n"))
+    groups = cut(groups.withColumn("node", F.monotonically_increasing_id()), "sets")
     nodes = groups.select("node", "sig")
-    members = with_group(sigs.select("doc_id", *keys), groups.where("n > 1"), keys, F.col("doc_id"), ["node"])
-    members = cut(members.select("doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("node")), "members")
-    buckets = cut(in_blocks(shared_keys(index_keys(nodes)), BLOCK), "buckets")
-    several = members.where("doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
-    links = cut(members.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b")), "links")
+    buckets = cut(shared_keys(index_keys(nodes)), "buckets")
+    large = buckets.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 2 * BLOCK).withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    large = cut(large, "large")
+    large = small_side(large, BROADCAST_IDS) if large.limit(1).count() else None
+    links = groups.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    if by_id:
+        several = usable.groupBy("doc_id").agg(F.min(F.struct(*keys)).alias("x"), F.max(F.struct(*keys)).alias("y")).where("x <> y")
+        several = cut(several.select("doc_id", *(F.col(f"x.{k}").alias(f"x_{k}") for k in keys)), "several")
+        if several.limit(1).count():
+            each = usable.select("doc_id", *keys).distinct().join(small_side(several, BROADCAST_IDS), "doc_id")
+            each = each.join(groups.select(*keys, F.col("node").alias("b")), keys)
+            links = cut(each.join(groups.select(*(F.col(k).alias(f"x_{k}") for k in keys), F.col("node").alias("a")), [f"x_{k}" for k in keys]).select("a", "b"), "links")
     texts_of = sketch = None
     known, most = [], 0
     while True:
         if not most:
-            rows = buckets.join(nodes, "node").select("key", "node", F.lit(0).cast("long").alias("comp"), "slot", "sig")
+            rows = forest_buckets(buckets, large).join(nodes, "node").select("key", "node", F.lit(0).cast("long").alias("comp"), F.lit(0).cast("byte").alias("side"), "slot", "sig")
         else:
-            rows = mixed_buckets(buckets, comp, sketch).join(sketch, "node").select("key", "node", "comp", "slot", "sig")
+            rows = mixed_buckets(buckets, comp, sketch, large).join(sketch, "node").select("key", "node", "comp", "side", "slot", "sig")
         pairs = cut(bucket_pairs(rows.repartition("key").sortWithinPartitions("key"), most).groupBy("a", "b").agg(F.max("more").alias("more")), "pairs")
         new = pairs.select("a", "b")
         for before in known:
             new = new.join(before.select("a", "b"), ["a", "b"], "left_anti")
         if texts_of is None:
-            ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-            first = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small_side(ids, BROADCAST_IDS), "doc_id")
-            texts_of = cut(first.groupBy(F.col("doc_id").alias("node")).agg(F.min("text").alias("text")), "texts")
+            paired = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+            paired = (paired if large is None else paired.unionByName(buckets.join(large, "key").select("node"))).distinct()
+            paired = cut(groups.join(small_side(paired, BROADCAST_IDS), "node").select("node", "first.doc_id", "first.th"), "paired")
+            first = _hashed(docs).join(small_side(paired, BROADCAST_IDS), ["doc_id", "th"])
+            texts_of = cut(first.groupBy("node").agg(F.first("text").alias("text")), "texts")
         known.append(cut(confirm(new, texts_of, percent, size), "checked"))
         links = links.unionByName(known[-1].where("linked").select("a", "b"))
         comp = components(links)
-        if not pairs.where("more").limit(1).count():
+        if most > FEW or (most or large is None) and not pairs.where("more").limit(1).count():
             break  # every pair between the components before this round was confirmed or refuted
         if sketch is None:
-            both = sketches(texts_of, size).join(nodes.groupBy("node").agg(F.min("sig").alias("own")), "node")
-            sketch = cut(both.select("node", F.concat("sig", "own").alias("sig")), "sketches")
+            sketch = cut(sketches(texts_of, size).join(nodes.withColumnRenamed("sig", "own"), "node").select("node", F.concat("sig", "own").alias("sig")), "sketches")
         most = FEW if not most else 1 << 30
-    out = members.join(comp, "node", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    own = groups.join(comp, "node", "left").select(*keys, "n", "first", F.coalesce("component", "node").alias("component"))
+    own = cut(own, "own")
+    lows = cut(own.groupBy("component").agg(F.min("first").alias("keeper"), F.count("*").alias("n")), "lows")
+    found = with_group(own.withColumnRenamed("n", "rows"), lows, ["component"], F.xxhash64("d1"), ["keeper"])
+    return sigs, cut(found.select(*keys, F.col("rows").alias("n"), F.col("keeper.doc_id").alias("low"), "keeper"), "groups")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
+    """docs (doc_id, text, ...) -> (doc_id, n_shingles, component_id, kept), a row for each row of docs.
+
+    Documents are linked if 100 * |A & B| >= percent * |A | B| on their shingle sets; component_id is the smallest doc_id
+    that can be reached, itself included, kept says that it is the document's own. A null or wordless text has an empty
+    set and no link; its component_id is its doc_id. Rows with a doc_id in common are linked with one another (those with an
+    empty set aside), and each with the near copies of its own text. A row without doc_id is linked with nothing; its component_id is null and it is kept. Further
+    columns are ignored. An empty table gives an empty one."""
+    sigs, groups = set_groups(docs, percent, size)
+    usable, keys = F.expr("n_shingles > 0 and doc_id is not null"), ["n_shingles", "d1", "d2"]
+    own = [F.when(usable, F.col("n_shingles")).otherwise(-1).alias("n_shingles"), F.when(usable, F.col("d1")).otherwise(F.monotonically_increasing_id()).alias("d1"), "d2"]
+    out = with_group(sigs.select("doc_id", F.col("n_shingles").alias("n"), *own), groups, keys, F.coalesce("doc_id", "d1"), ["low"])
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("low", "doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
+    """The rows of docs (doc_id, text, ...), with all their columns, of which one in each group of near copies stays: that with
+    the smallest doc_id; of a doc_id's different texts in a group that with the smallest hash, and of rows with the same id
+    and text the smallest. Texts are judged by themselves: different ones of one doc_id are no copies. Rows without a set (a
+    null or wordless text) or without doc_id stay."""
+    sigs, groups = set_groups(docs, percent, size, by_id=False)
+    keys = ["n_shingles", "d1", "d2"]
+    usable = sigs.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id", "th", *keys).agg(F.count("*").alias("times"))
+    judged = with_group(usable, groups, keys, F.col("doc_id"), ["keeper"])
+    judged = cut(judged.select("doc_id", "th", "times", F.col("keeper").eqNullSafe(F.struct("doc_id", "th")).alias("stays")).where("times > 1 or not stays"), "judged")
+    names = docs.columns
+    rows = docs.withColumns({"__dedup_id": F.col("doc_id").cast("long"), "__dedup_th": F.xxhash64("text")})
+    side = lambda df: small_side(df.select(F.col("doc_id").alias("__dedup_id"), F.col("th").alias("__dedup_th")), BROADCAST_IDS)
+    keys = ["__dedup_id", "__dedup_th"]
+    left = rows.join(side(judged), keys, "left_anti").select(*names)
+    again = judged.where("stays")
+    if not again.limit(1).count():
+        return left
+    once = rows.join(side(again), keys, "left_semi").groupBy(*keys).agg(F.min(F.struct(*names)).alias("row")).select("row.*")
+    return left.unionByName(once.select(*names))
