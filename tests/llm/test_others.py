@@ -128,6 +128,17 @@ def test_archives_round_trip(spark, wide, size, least):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_a_folder_is_one_place_with_and_without_a_scheme(spark, tmp_path):
+    from textflow.llm._shared import qualified, shared_dir
+
+    assert qualified(spark, str(tmp_path)) == qualified(spark, f"file:{tmp_path}") == f"file://{tmp_path}"
+    assert shared_dir(spark).startswith("file:///")
+    df = spark.createDataFrame([(1, "http://a.example/", "x")], "page_id long, url string, html string")
+    for folder in (f"{tmp_path}/plain", f"file:{tmp_path}/one", f"file://{tmp_path}/two"):
+        assert warc.read(warc.write(df, folder), folder).first().page_id == 1
+    assert {x.name for x in tmp_path.iterdir()} == {"plain", "one", "two"}
+
+
 def test_only_archives_of_the_manifest_are_read(spark, tmp_path):
     df = spark.createDataFrame(PAGES[:3], "page_id long, url string, html string")
     manifest = warc.write(df, str(tmp_path))
@@ -195,6 +206,16 @@ def test_query_equals_sql(spark, name):
     assert rows(want) == rows(got)
 
 
+def test_vectors_of_more_and_of_different_dimensions(spark):
+    """No dimension is cut; what a shorter vector lacks isn't positive."""
+    one = [1.0] * 128
+    rows = [(1, one), (2, [1.0] * 64 + [-1.0] * 64), (3, [1.0] * 100), (4, [1.0, None, float("nan")] * 30), (5, []), (6, one)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    bits = {i: [bool(j < len(v) and v[j] is not None and (v[j] > 0 or v[j] != v[j])) for j in range(128)] for i, v in rows}
+    got = {(r.query_id, r.vec_id): r.distance for r in topk.search(df, df, 10).collect()}
+    assert got == {(a, b): sum(x != y for x, y in zip(bits[a], bits[b], strict=True)) for a in bits for b in bits}
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline as P
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,16 +12,24 @@ from pyspark.sql import functions as F
 _LOCAL: dict[str, str] = {}
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder as Spark itself resolves it: with the scheme of the default file system, if it has none; file:/a as file:///a."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    scheme, _, rest = uri.partition(":")
+    return uri if rest.startswith("//") else f"{scheme}://{rest}"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset, in local mode only, one temporary folder a session."""
+    """The folder named by spark.checkpoint.dir, as a URI; where it is unset, in local mode only, one temporary folder a session."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named.rstrip("/")
+        return qualified(spark, named)
     if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     key = spark.sparkContext.applicationId
     if key not in _LOCAL:
-        _LOCAL[key] = tempfile.mkdtemp(prefix="textflow-")
+        _LOCAL[key] = Path(tempfile.mkdtemp(prefix="textflow-")).as_uri()
     return _LOCAL[key]
 
 

@@ -8,7 +8,8 @@ A task goes from shard to shard with the best k so far, so that later shards nee
 are merged. Nothing is approximate: ties at the kth distance go to the smaller ids.
 
 Rows with one code are one entry with its k smallest ids, as no others can be among a query's k; so a code that a third of
-all rows have is no larger than another. Queries come in blocks of QUERIES, which every task gets.
+all rows have is no larger than another. Queries come in blocks of QUERIES, which every task gets: a pass over the index for
+each block, whose results are written before the next, so that the driver holds one block.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textflow.llm._shared import cut
+from textflow.llm._shared import cut, new_path
 
-#: Codes in a shard, and queries in a block (at 64 bits: 0.5 MB for each task).
-SHARD, QUERIES = 1 << 18, 1 << 15
+#: Codes in a shard, and queries in a block (at 64 bits: 4 MB for each task).
+SHARD, QUERIES = 1 << 18, 1 << 18
+#: Codes for which another task is worthwhile, up to the cluster's cores.
+LEAST = 1 << 12
 
 
 def code(vector: Column, bits: int) -> Column:
@@ -97,16 +100,27 @@ class Shard:
         return best
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = 10, bits: int = 64, shard: int = SHARD, block: int = QUERIES) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int = 10, bits: int | None = None, shard: int = SHARD, block: int = QUERIES) -> DataFrame:
     """index, queries (vec_id, embedding, ...) -> (query_id, rank, vec_id, distance): for each distinct query id the k rows
-    of the index whose codes are nearest in Hamming distance, ties by vec_id; rank from 1. bits: a multiple of 32.
-
-    Rows with a null id or vector are left out of the index and the queries; ids that repeat with equal codes count once.
-    A query finds its own row if the index has it. With fewer than k rows, all are returned."""
-    coded = index.where("vec_id is not null and embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), code(F.col("embedding"), bits).alias("code")).distinct()
+    of the index whose codes are nearest in Hamming distance, ties by vec_id; rank from 1.
+
+    bits: a bit for each dimension; by default the longest vector's number of dimensions in either table, so that none is
+    cut; what a shorter vector lacks counts as not positive. Rows with a null id or vector are left out of the index and the
+    queries; ids that repeat with equal codes count once. A query finds its own row if the index has it. With fewer than k
+    rows, all are returned; an empty table gives an empty one."""
+    spark = index.sparkSession
+    index, queries = (df.where("vec_id is not null and embedding is not null") for df in (index, queries))
+    if bits is None:
+        widest = [df.agg(F.max(F.size("embedding"))).first()[0] or 1 for df in (index, queries)]
+        bits = max(widest)
+    bits = -(-bits // 32) * 32
+    coded = index.select(F.col("vec_id").cast("long").alias("vec_id"), code(F.col("embedding"), bits).alias("code")).distinct()
     least = coded.withColumn("r", F.row_number().over(Window.partitionBy("code").orderBy("vec_id"))).where(F.col("r") <= k)
     entries = cut(least.groupBy("code").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "codes")
-    asked = cut(queries.where("vec_id is not null and embedding is not null").select(F.col("vec_id").cast("long").alias("query_id"), code(F.col("embedding"), bits).alias("code")).distinct(), "queries")
+    n = entries.count()
+    tasks = max(-(-n // shard), min(spark.sparkContext.defaultParallelism, -(-n // LEAST)), 1)
+    entries = cut(entries.repartition(tasks), "shards")
+    asked = cut(queries.select(F.col("vec_id").cast("long").alias("query_id"), code(F.col("embedding"), bits).alias("code")).distinct(), "queries")
 
     def ask(ids: np.ndarray, words: np.ndarray) -> DataFrame:
         def run(batches):
@@ -134,16 +148,18 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, bits: int = 64, sh
 
         return entries.select("code", "ids").mapInArrow(run, "query_id long, distance long, vec_id long")
 
-    parts, ids, codes = [], [], []
-    for r in asked.orderBy("query_id").toLocalIterator():
+    def answered(ids: list[int], codes: list[bytes]) -> None:
+        found = ask(np.array(ids, np.int64), np.frombuffer(b"".join(codes), ">u4").astype(np.uint32).reshape(len(ids), bits // 32))
+        found.write.mode("append").parquet(path)
+
+    path = new_path(spark, "found")
+    ids, codes = [], []
+    for r in asked.toLocalIterator():
         ids.append(r.query_id), codes.append(bytes(r.code))
         if len(ids) == block:
-            parts.append(ask(np.array(ids), np.frombuffer(b"".join(codes), ">u4").astype(np.uint32).reshape(len(ids), -1)))
+            answered(ids, codes)
             ids, codes = [], []
-    if ids or not parts:
-        parts.append(ask(np.array(ids, np.int64), np.frombuffer(b"".join(codes), ">u4").astype(np.uint32).reshape(len(ids), bits // 32)))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
+    answered(ids, codes)
+    found = spark.read.schema("query_id long, distance long, vec_id long").parquet(path)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "distance")

@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textflow.llm._shared import cut, new_path, with_group
+from textflow.llm._shared import cut, new_path, qualified, with_group
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.jsonl"
 #: Compressed bytes after which a task begins a new archive; also what a writing task holds.
@@ -188,11 +188,12 @@ def with_references(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 
 def write(pages: DataFrame, folder: str, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, zip64: bool = False) -> DataFrame:
-    """A record for each row of pages in archives of `folder` (a URI or path that all executors share) -> manifest
+    """A record for each row of pages in archives of `folder` (a folder that all executors share, as Spark resolves it) -> manifest
     (path, bytes, records), written once."""
+    folder = qualified(pages.sparkSession, folder)
 
     def run(batches):
-        store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
         data, index, size = [], [], 0
 
@@ -222,12 +223,14 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
     """All records of the manifest's archives -> page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload
     (null for revisits). A response whose payload doesn't have its digest is an error."""
 
+    folder = qualified(manifest.sparkSession, folder)
+
     def number(uri: str | None) -> int | None:
         text = (uri or "").removeprefix("<urn:page:").removesuffix(">")
         return int(text) if text.lstrip("-").isdigit() else None
 
     def run(batches):
-        store = fs.FileSystem.from_uri(folder)[0] if "://" in folder or folder.startswith("file:") else fs.LocalFileSystem()
+        store = fs.FileSystem.from_uri(folder)[0]
         kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
         names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
         for batch in batches:
