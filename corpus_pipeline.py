@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textflow.llm import mixing, neardup, packing, quality, secrets
-from textflow.llm._shared import cut, small_side
+from textflow.llm._shared import cut
 from textflow.llm.queries import vocabulary
 
 
@@ -20,16 +20,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id stays; equal rows of it are one document, of
-    which one stays too."""
-    gone = cut(neardup.near_duplicates(docs).where("not kept").select("doc_id").distinct(), "gone")
-    left = docs.join(small_side(gone, neardup.BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
-    again = cut(left.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "again")
-    if not again.limit(1).count():
-        return left
-    again = small_side(again, neardup.BROADCAST_IDS)
-    once = left.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+    """Of each group of near duplicates the document with the smallest doc_id stays, by its text: different texts of one doc_id
+    are judged by themselves, equal rows are one document."""
+    return neardup.deduplicated(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,6 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as pieces of sequences: a row for each piece, with its place, and without its ids."""
     return packing.pack(docs, vocabulary(), keep_ids=False).drop("ids")
 
 
