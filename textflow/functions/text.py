@@ -159,6 +159,11 @@ HINTS = [
 def hint_type(*texts: Column) -> Column:
     blob = F.trim(F.concat_ws(" ", *(F.nullif(t, F.lit("")) for t in texts)))
     out = F.when(blob == "", "unknown")
+    low = F.lower(blob)
     for name, pattern in HINTS:
-        out = out.when(blob.rlike(f"(?iU){pattern}"), name)
+        words = pattern.split("|")
+        literal = [w for w in words if re.fullmatch(r"[^\\\[\](){}.*+?^$]+", w)]
+        rest = "|".join(w for w in words if w not in literal)
+        found = any_of([low.contains(w) for w in literal])
+        out = out.when(found | blob.rlike(f"(?iU){rest}") if rest else found, name)
     return out.when(redacted_count(blob) >= 3, "pii_generic").otherwise("unknown")

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from textflow.operators.lookup import once_for_each
@@ -33,7 +36,23 @@ class Hashed:
         return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
-REGISTRY: dict[str, Callable[..., Encoder]] = {"hashed": Hashed}
+class Counted:
+    """An encoder with three outputs: dense (as Hashed), sparse (counts of lower-case ASCII words) and multi (a dense vector for
+    each of a text's words, whole texts)."""
+
+    def __init__(self, size: int = 64):
+        self.dense = Hashed(size)
+
+    def encode(self, texts: list[str]) -> np.ndarray:
+        return self.dense.encode(texts)
+
+    def parts(self, texts: list[str], wanted: tuple[str, ...]) -> dict[str, list]:
+        words = [re.findall("[a-z]+", t.lower()) for t in texts]
+        made = {"dense": lambda: self.dense.encode(texts).tolist(), "sparse": lambda: [{w: float(n) for w, n in Counter(ws).items()} for ws in words], "multi": lambda: [self.dense.encode(ws).tolist() for ws in words]}
+        return {name: made[name]() for name in wanted}
+
+
+REGISTRY: dict[str, Callable[..., Encoder]] = {"hashed": Hashed, "counted": Counted}
 
 
 def register(name: str, make: Callable[..., Encoder]) -> None:
@@ -60,3 +79,26 @@ def encode(df: DataFrame, column: str, name: str, batch: int = 64, done: DataFra
             yield pd.DataFrame({column: texts, "vector": [v.tolist() for v in np.concatenate(rows)] if rows else []})
 
     return once_for_each(df, column, lambda todo: todo.mapInPandas(run, f"`{column}` string, vector array<double>"), done)
+
+
+PARTS = {"dense": "array<double>", "sparse": "map<string, double>", "multi": "array<array<double>>"}
+
+
+def encode_parts(df: DataFrame, column: str, name: str, wanted: tuple[str, ...] = ("dense", "sparse", "multi"), batch: int = 64, done: DataFrame | None = None, **config) -> DataFrame:
+    """df with the outputs that are wanted (see PARTS) of an encoder that has parts(), made once for each distinct text."""
+    if name not in REGISTRY:
+        raise ValueError(f"no encoder {name!r}; there are {sorted(REGISTRY)}")
+    make = REGISTRY[name]
+    kinds = {"dense": pa.list_(pa.float64()), "sparse": pa.map_(pa.string(), pa.float64()), "multi": pa.list_(pa.list_(pa.float64()))}
+
+    def run(batches):
+        encoder = make(**config)
+        for rows in batches:
+            for i in range(0, rows.num_rows, batch):
+                part = rows.slice(i, batch)
+                made = encoder.parts(part.column(0).to_pylist(), wanted)
+                columns = [pa.array([list(x.items()) for x in made[w]] if w == "sparse" else made[w], kinds[w]) for w in wanted]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], [column, *wanted])
+
+    schema = ", ".join([f"`{column}` string", *(f"{w} {PARTS[w]}" for w in wanted)])
+    return once_for_each(df, column, lambda todo: todo.mapInArrow(run, schema), done)

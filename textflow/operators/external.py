@@ -5,16 +5,19 @@ from __future__ import annotations
 
 import difflib
 import hashlib
+import json
 import re
 import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textflow.functions import text as T
+from textflow.sources import shared
 
 
 class Client(Protocol):
@@ -49,7 +52,6 @@ class Http:
         return [self._one(p) for p in payloads]
 
     def _one(self, payload: dict) -> dict:
-        import json
         from urllib.request import Request, urlopen
 
         body = {"model": self.model, "temperature": 0.0, "response_format": {"type": "json_object"}, "messages": [{"role": "system", "content": self.system}, {"role": "user", "content": json.dumps(payload, ensure_ascii=False)}]}
@@ -66,7 +68,11 @@ class Http:
         raise AssertionError
 
 
-def first_filled(answer: dict, keys: tuple[str, ...] = ("target", "msa", "translation", "text", "output", "result", "content")) -> str:
+#: Keys under which a client may give its text.
+TEXT_KEYS = ("target", "msa", "translation", "text", "output", "result", "content")
+
+
+def first_filled(answer: dict, keys: tuple[str, ...] = TEXT_KEYS) -> str:
     """The first of several keys with a non-empty text, also in the first of `items`."""
     for place in (answer, *(answer.get("items") or [])[:1]):
         for key in keys:
@@ -92,48 +98,57 @@ def call(df: DataFrame, client: Client, columns: list[str], batch: int = 40) ->
     return df.mapInPandas(run, f"{kinds}, target string")
 
 
-def repair_loop(items: DataFrame, client: Client, check: Callable[[DataFrame], DataFrame], rounds: int = 3, cut: Callable[[DataFrame], DataFrame] = lambda df: df.checkpoint()) -> DataFrame:
-    """items (item_id, source, ...) -> with target, hard_pass, hard_errors, retry_rounds, status. Translated once, then only
-    what fails is repaired with its errors and checked again; no text is changed after its last check. Each round is cut
-    off from the plan of the ones before."""
-    base = [c for c in items.columns if c not in ("target", "hard_pass", "hard_errors")]
-    done = cut(check(call(items.select(*base), client, ["source"])).select(*base, "target", "hard_pass", "hard_errors").withColumn("retry_rounds", F.lit(0)))
+def ask(df: DataFrame, client: Client, columns: list[str], batch: int = 40) -> DataFrame:
+    """df with answer, the client's whole answer as JSON, to payloads of the columns."""
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != "answer")
+    names = [c for c in df.columns if c != "answer"]
+
+    def run(batches):
+        for rows in batches:
+            payloads = [json.loads(x) for x in rows.column("__payload").to_pylist()]
+            answers = [a for i in range(0, len(payloads), batch) for a in client.answer(payloads[i : i + batch])]
+            if len(answers) != len(payloads):
+                raise ValueError("the client left answers out")
+            told = pa.array([json.dumps(a, ensure_ascii=False) for a in answers], pa.string())
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), told], [*names, "answer"])
+
+    asked = df.select(*names, F.to_json(F.struct(*columns)).alias("__payload"))
+    return asked.mapInArrow(run, f"{kinds}, answer string")
+
+
+def repair_loop(items: DataFrame, client: Client, check: Callable[[DataFrame], DataFrame], rounds: int = 3, cut: Callable[[DataFrame], DataFrame] = shared.cut, extra: tuple[str, ...] = ()) -> DataFrame:
+    """items (item_id, source, ...) -> with target, hard_pass, hard_errors, the extra columns of check, retry_rounds, status.
+    Translated once, then only what fails is repaired with its errors (semantic_errors as well, if extra) and checked again; no
+    text is changed after its last check. Each round is written before the next, so that no call is made twice."""
+    made = ["target", "hard_pass", "hard_errors", *extra]
+    base = [c for c in items.columns if c not in made]
+    done = cut(check(call(items.select(*base), client, ["source"])).select(*base, *made).withColumn("retry_rounds", F.lit(0)))
+    told = ["hard_errors", *(c for c in extra if c == "semantic_errors")]
     for i in range(1, rounds):
         failed = done.where("not hard_pass")
         if not failed.limit(1).count():
             break
-        asked = failed.select(*base, F.concat_ws(",", "hard_errors").alias("errors"))
-        again = check(call(asked, client, ["source", "errors"])).select(*base, "target", "hard_pass", "hard_errors").withColumn("retry_rounds", F.lit(i))
+        asked = failed.select(*base, F.concat_ws(",", *told).alias("errors"))
+        again = check(call(asked, client, ["source", "errors"])).select(*base, *made).withColumn("retry_rounds", F.lit(i))
         done = cut(done.where("hard_pass").unionByName(again))
     return done.withColumn("status", F.when(F.col("hard_pass"), "accepted").otherwise("failed"))
 
 
-def _mask(c: pd.Series) -> pd.Series:
-    pattern = re.compile(T.REDACTED)
-
-    def one(x):
-        count = iter(range(1 << 30))
-        return pattern.sub(lambda m: f"<SENS_{next(count):02d}>", x)
-
-    return c.map(one, na_action="ignore")
-
-
 def mask_redactions(c: Column) -> Column:
     """Redaction tokens replaced by <SENS_nn>, numbered in the text."""
-    return F.pandas_udf(_mask, "string")(c)
-
+    parts = F.split(c, T.REDACTED, -1)
+    return F.array_join(F.transform(parts, lambda x, i: F.when(i > 0, F.concat(F.format_string("<SENS_%02d>", i - 1), x)).otherwise(x)), "")
 
-def _restore(c: pd.Series, tokens: pd.Series) -> pd.Series:
-    def one(x, ts):
-        for i, t in enumerate(ts if ts is not None else ()):
-            x = x.replace(f"<SENS_{i:02d}>", t, 1)
-        return x
 
-    return pd.Series([None if x is None else one(x, ts) for x, ts in zip(c, tokens, strict=True)])
+def restore_redactions(c: Column, tokens: Column) -> Column:
+    """The first <SENS_nn> of each number replaced by the token of that number; null tokens are none."""
+    pairs = F.transform(F.coalesce(tokens, F.array().cast("array<string>")), lambda t, i: F.struct(F.format_string("<SENS_%02d>", i).alias("mark"), t.alias("token")))
 
+    def put(x: Column, pair: Column) -> Column:
+        at = F.instr(x, pair["mark"])
+        return F.when(at > 0, F.concat(F.substring(x, F.lit(1), at - 1), pair["token"], F.substring(x, at + F.length(pair["mark"]), F.length(x)))).otherwise(x)
 
-def restore_redactions(c: Column, tokens: Column) -> Column:
-    return F.pandas_udf(_restore, "string")(c, tokens)
+    return F.aggregate(pairs, c, put)
 
 
 def _preservation(original: pd.Series, filled: pd.Series) -> pd.Series:
@@ -155,34 +170,3 @@ def preservation(original: Column, filled: Column) -> Column:
     """Ratcliff-Obershelp similarity of two texts without redactions; of three or more redactions in the original, digits
     that fill them don't count."""
     return F.pandas_udf(_preservation, "double")(original, filled)
-
-
-def restore_placeholders(df: DataFrame, source: str, target: str, entities: list[str], out: str = "restored") -> DataFrame:
-    """df with placeholders of the target restored: numbered ones by the entity list (longest first); any other <ENT...> by
-    its tag - an entity or source span equal to the tag or starting with it, with _, - and space alike - else by position
-    among the source's names. What can't be told stays. Only texts with a placeholder reach Python."""
-    order = sorted(set(entities), key=lambda e: (-len(e), e))
-    mark = re.compile(r"<ENT([^>]*)>", re.I)
-    name = re.compile("|".join([*(re.escape(e) for e in order), r"\b[A-Z][A-Za-z0-9]*(?:[ -][A-Z][A-Za-z0-9]*)*\b"]))
-
-    def fold(x):
-        return re.sub(r"[\s_-]+", " ", x).strip().lower()
-
-    def one(src, tgt):
-        spans = [m.group(0) for m in name.finditer(src or "")]
-        tgt = re.sub(r"<ENT_(\d{2})>", lambda m: order[int(m.group(1))] if int(m.group(1)) < len(order) and order[int(m.group(1))].lower() in (src or "").lower() else m.group(0), tgt)
-        for k, m in enumerate(list(mark.finditer(tgt))):
-            tag = fold(m.group(1))
-            same = [s for s in spans + order if tag and (fold(s) == tag or fold(s).startswith(tag)) and s.lower() in (src or "").lower()]
-            value = same[0] if same else spans[k] if k < len(spans) else None
-            if value is not None:
-                tgt = tgt.replace(m.group(0), value, 1)
-        return tgt
-
-    @F.pandas_udf("string")
-    def fix(src: pd.Series, tgt: pd.Series) -> pd.Series:
-        return pd.Series([one(a, b) for a, b in zip(src, tgt, strict=True)], dtype=object)
-
-    needs = F.coalesce(F.col(target).rlike("(?i)<ENT"), F.lit(False))
-    rest = df.where(~needs).withColumn(out, F.col(target))
-    return rest.unionByName(df.where(needs).withColumn(out, fix(F.col(source), F.col(target))))

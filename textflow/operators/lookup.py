@@ -23,8 +23,10 @@ def _pick(df: DataFrame, keys: list[str], seq: str, by: Callable) -> DataFrame:
 
 
 def cached(items: DataFrame, cache: DataFrame, key: str = "source") -> DataFrame:
-    """items with target and hit from cache (source, target)."""
-    found = items.join(cache.select(F.col("source").alias(key), "target"), key, "left")
+    """items with target and hit from cache (source, target, and seq if it may have a source twice: the last wins; without seq
+    the largest target does)."""
+    one = last_wins(cache.select("source", "target", "seq"), ["source"], "seq") if "seq" in cache.columns else cache.groupBy("source").agg(F.max("target").alias("target"))
+    found = items.join(one.select(F.col("source").alias(key), "target"), key, "left")
     return found.withColumn("hit", F.col("target").isNotNull())
 
 
@@ -99,3 +101,8 @@ def zipped(a: DataFrame, b: DataFrame, keys: list[str], left: str, right: str) -
     """Elements of two array columns by position, to the shorter length: keys, pos, left, right."""
     one = a.select(*keys, F.posexplode(left).alias("pos", "left"))
     return one.join(b.select(*keys, F.posexplode(right).alias("pos", "right")), [*keys, "pos"])
+
+
+def failed_sources(log: DataFrame, key: str = "source") -> DataFrame:
+    """The distinct keys with any row of the log (status) that wasn't accepted; a row without a status counts as such."""
+    return log.where(F.coalesce(F.col("status") != "accepted", F.lit(True))).select(key).distinct()

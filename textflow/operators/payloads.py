@@ -80,3 +80,19 @@ def dropped(triaged: DataFrame, repaired: DataFrame) -> DataFrame:
     """What is given up: rows to drop, and negatives whose repair failed, with the reason."""
     lost = repaired.where("repair_status = 'failed' and role = 'negative'").select("item_id", F.lit("repair_failed").alias("reason"))
     return by_priority(triaged)[2].select("item_id", F.lit("low_value").alias("reason")).unionByName(lost)
+
+
+def repair_summary(triaged: DataFrame, repaired: DataFrame) -> DataFrame:
+    """One row over triaged items and repaired ones (repair_status): failed before, settled by a rule change, sent to repair,
+    accepted, failed again, dropped."""
+    p = F.col("repair_priority")
+    n = lambda c: F.count_if(c)
+    before = triaged.agg(F.count("*").alias("failed_before"), n(p == "RULE").alias("rule_false_positive"), n(p.isin("P0", "P1")).alias("sent_to_repair"), n(p == "P2_DROP").alias("low_value"))
+    after = repaired.agg(n(F.col("repair_status") == "accepted").alias("repair_accepted"), n(F.col("repair_status") != "accepted").alias("repair_failed"), n((F.col("repair_status") == "failed") & (F.col("role") == "negative")).alias("lost"))
+    return before.crossJoin(after).withColumn("dropped", F.col("low_value") + F.col("lost")).drop("low_value", "lost")  # one row each
+
+
+def placeholder_summary(rows: DataFrame, before: str, after: str, failed: Column) -> DataFrame:
+    """One row over texts before and after their placeholders were restored: fixed, still with one, still failing, all."""
+    mark = lambda c: F.coalesce(F.col(c).rlike("(?i)<ENT[^>]*>"), F.lit(False))
+    return rows.agg(F.count_if(mark(before) & ~F.col(before).eqNullSafe(F.col(after))).alias("fixed_items"), F.count_if(mark(after)).alias("still_with_placeholder"), F.count_if(failed).alias("still_bad"), F.count("*").alias("total_items"))

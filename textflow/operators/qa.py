@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from textflow.functions import text
 from textflow.operators.rules import Rules
 
-#: Phrases that excuse a forbidden word, in the target language.
+#: Phrases of the target language that excuse a forbidden word, and phrases of the source language that ask for
+#: two opposite actions at once.
 UNBLOCK_MARKS = ("فك", "إلغاء", "إعادة", "رفع")
 UNBLOCK_PHRASES = ("فك الحظر", "فك حظر", "إلغاء الحظر", "إعادة فتح", "رفع الحظر")
 BLOCK_WORDS, ACTIVATE_WORDS = ("حظر", "إيقاف", "تجميد"), ("تفعيل", "تنشيط")
@@ -17,6 +18,7 @@ NEGATED = ("لا يمكن تفعيل", "لا يمكن تنشيط", "لم يتم
 ACTIVATE_PHRASES, DEACTIVATE_PHRASES = ("تفعيل", "تنشيط", "إعادة تنشيط", "إعادة تفعيل"), ("إيقاف", "إغلاق", "أغلق", "تعطيل", "إلغاء تفعيل")
 BLOCKED = ("terblokir", "terblok", "diblokir", "terblokirnya", "memblokir")
 UNBLOCKING = ("membuka blokir", "buka blokir", "bukakan blokir", "pembukaan blokir", "bukakan pemblokiran", "pembukaan pemblokiran", "buka setengah blokir", "bukakan setengah blokir", "bukakan dulu setengah blokir")
+TRIAGE_BLOCKED, TRIAGE_UNBLOCKING = ("terblokir", "diblokir", "blokir"), ("membuka blokir", "buka blokir", "pembukaan blokir")
 ACTIVATING, DEACTIVATING = ("mengaktifkan", "aktivasi"), ("menonaktifkan", "ditutup", "nonaktif")
 
 
@@ -169,7 +171,7 @@ def triage(failed: DataFrame, rules: Rules, hollow: bool = True) -> DataFrame:
     soft = [*rules.aliases]
     only_soft = (F.size(missing) > 0) & F.forall(codes, lambda x: x == "missing_entity") & F.forall(missing, lambda x: x.isin(soft) if soft else F.lit(False))
     core_lost = F.exists(missing, lambda x: text.any_of([F.lower(x).contains(c.lower()) for c in rules.core]))
-    dual = _has(src, ("terblokir", "diblokir", "blokir")) & _has(src, ("membuka blokir", "buka blokir", "pembukaan blokir"))
+    dual = _has(src, TRIAGE_BLOCKED) & _has(src, TRIAGE_UNBLOCKING)
     is_hollow = t.rlike(f"(?i){rules.hollow}") if hollow else F.lit(False)
     easy = _has(src, [x.lower() for x in rules.easy_themes])
     low = has("script_ratio_too_low")

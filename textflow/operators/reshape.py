@@ -9,16 +9,16 @@ ROLES = ("query", "positive", "negative")
 
 
 def item_id(group: Column, role: Column, idx: Column) -> Column:
-    """q_000001_query, q_000001_p_001, q_000001_n_0001: positions from 1."""
-    head = F.concat(F.lit("q_"), F.lpad(group.cast("string"), 6, "0"))
-    return F.when(role == "query", F.concat(head, F.lit("_query"))).when(role == "positive", F.concat(head, F.lit("_p_"), F.lpad(idx.cast("string"), 3, "0"))).otherwise(F.concat(head, F.lit("_n_"), F.lpad(idx.cast("string"), 4, "0")))
+    """q_000001_query, q_000001_p_000, q_000001_n_0000: positions from 0; larger numbers have more digits."""
+    head = F.format_string("q_%06d", group)
+    return F.when(role == "query", F.concat(head, F.lit("_query"))).when(role == "positive", F.concat(head, F.format_string("_p_%03d", idx))).otherwise(F.concat(head, F.format_string("_n_%04d", idx)))
 
 
 def expand(groups: DataFrame) -> DataFrame:
-    """groups (group_idx, query, positive, negative) -> group_idx, item_id, role, idx (from 1; 0 for the query), source."""
+    """groups (group_idx, query, positive, negative) -> group_idx, item_id, role, idx (from 0 on each side; 0 for the query), source."""
 
     def side(column: str) -> Column:
-        return F.transform(F.coalesce(column, F.array().cast("array<string>")), lambda x, i: F.struct(F.lit(column).alias("role"), (i + 1).alias("idx"), x.alias("source")))
+        return F.transform(F.coalesce(column, F.array().cast("array<string>")), lambda x, i: F.struct(F.lit(column).alias("role"), i.alias("idx"), x.alias("source")))
 
     rows = F.concat(F.array(F.struct(F.lit("query").alias("role"), F.lit(0).alias("idx"), F.col("query").alias("source"))), side("positive"), side("negative"))
     flat = groups.select("group_idx", F.explode(rows).alias("x")).select("group_idx", "x.*")
@@ -102,12 +102,49 @@ def turns(dialogues: DataFrame) -> DataFrame:
 
 
 def from_debug(debug: DataFrame) -> DataFrame:
-    """Nested debug groups (group_idx, positive, negative arrays of struct(id, ...)) -> items; idx is the number after the
-    last _ of the id."""
+    """Nested debug groups (group_idx, query_id, query_idn, query_msa, positive, negative arrays of struct(id, idn, msa, ...)) ->
+    items (group_idx, role, idx, id, idn, msa, ...): the query, with idx 0 and null for what only candidates have, and all
+    candidates; idx is the number after the last _ of the id. A missing side has no items."""
+    kind = debug.schema["positive"].dataType
+    given = {"id": F.concat("query_id", F.lit("_query")), "idn": F.col("query_idn"), "msa": F.col("query_msa")}
+    query = F.struct(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kind.elementType.fields))
 
     def side(role: str) -> Column:
-        return F.transform(role, lambda x: F.struct(F.lit(role).alias("role"), x.alias("item")))
-
-    both = F.concat(side("positive"), side("negative"))
-    rows = debug.select("group_idx", F.explode(both).alias("x"))
-    return rows.select("group_idx", "x.role", F.element_at(F.split("x.item.id", "_"), -1).cast("int").alias("idx"), "x.item.*")
+        return F.transform(F.coalesce(role, F.array().cast(kind)), lambda x: F.struct(F.lit(role).alias("role"), x.alias("item")))
+
+    rows = debug.select("group_idx", F.explode(F.concat(F.array(F.struct(F.lit("query").alias("role"), query.alias("item"))), side("positive"), side("negative"))).alias("x"))
+    idx = F.when(F.col("x.role") == "query", 0).otherwise(F.element_at(F.split("x.item.id", "_"), -1).cast("int"))
+    return rows.select("group_idx", "x.role", idx.alias("idx"), "x.item.*")
+
+
+def write_back(dialogues: DataFrame, translations: DataFrame, content: str = "content", to: str = "content_msa", key: str = "dialogue_id") -> DataFrame:
+    """dialogues (dialogue_id, turns array<struct>, ...) with `to` of a turn replaced by the target of its trimmed content in
+    translations (source, target), only where there is one; other turns and fields, and the turns' order, stay as they are.
+    dialogue_id is unique; a dialogue without turns stays as it is."""
+    kind = dialogues.schema["turns"].dataType
+    flat = dialogues.select(key, F.posexplode("turns").alias("pos", "t"))
+    one = translations.groupBy("source").agg(F.max("target").alias("target"))
+    flat = flat.withColumn("source", F.trim(F.coalesce(F.col("t")[content], F.lit("")))).join(one, "source", "left")
+    old = F.col("t")[to] if to in kind.elementType.names else F.lit(None).cast("string")
+    turn = F.col("t").withField(to, F.coalesce("target", old))
+    nested = flat.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", turn.alias("t"))), lambda a, b: a["pos"] - b["pos"]), lambda x: x["t"]).alias("new"))
+    empty = F.transform("turns", lambda t: t.withField(to, t[to] if to in kind.elementType.names else F.lit(None).cast("string")))
+    return dialogues.join(nested, key, "left").withColumn("turns", F.coalesce("new", empty)).drop("new")
+
+
+def assembly_summary(groups: DataFrame, misses: DataFrame, cache: DataFrame, new_queries: int = 0) -> DataFrame:
+    """One row over assembled groups (query, positive, negative), the texts without a cache entry and the cache: complete
+    means that nothing misses and no placeholder is left."""
+    texts = F.concat(F.array("query"), F.coalesce("positive", F.array().cast("array<string>")), F.coalesce("negative", F.array().cast("array<string>")))
+    left = F.size(F.filter(texts, lambda x: F.coalesce(x.rlike("(?i)<ENT[^>]*>"), F.lit(False))))
+    each = groups.agg(F.count("*").alias("total_groups"), F.coalesce(F.sum(left), F.lit(0)).cast("long").alias("placeholders_left"))
+    counts = cache.agg(F.count("*").alias("cache_entries")).crossJoin(misses.agg(F.count("*").alias("cache_misses")))  # one row each
+    out = each.crossJoin(counts).withColumn("new_queries", F.lit(new_queries).cast("long"))
+    return out.withColumn("complete", (F.col("cache_misses") == 0) & (F.col("placeholders_left") == 0))
+
+
+def same_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """One row: whether two tables have the same set of keys, and how many keys only one of them has."""
+    marked = a.select(key, F.lit(1).alias("side")).unionByName(b.select(key, F.lit(2).alias("side")))
+    each = marked.groupBy(key).agg(F.bit_or("side").alias("sides"))
+    return each.agg(F.count_if(F.col("sides") == 1).alias("only_left"), F.count_if(F.col("sides") == 2).alias("only_right")).withColumn("equal", (F.col("only_left") == 0) & (F.col("only_right") == 0))

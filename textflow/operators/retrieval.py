@@ -10,15 +10,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textflow.sources.shared import cut, small_side
+
 QUERIES = 100_000
+#: Rows of a lookup (variants of candidates, terms of queries) up to which it goes to every task; parts of a token beyond.
+VARIANTS, PARTS = 1_000_000, 32
 
 
 def score_all(queries: DataFrame, candidates: DataFrame, score: Column, most: int = QUERIES) -> DataFrame:
-    """queries (query_id, ...) x candidates (cand_id, ...) -> query_id, cand_id, score, for up to `most` queries."""
-    if queries.limit(most + 1).count() > most:
-        raise ValueError(f"more than {most} queries: score them in blocks")
-    both = candidates.crossJoin(F.broadcast(queries))
-    return both.where(F.col("query_id") != F.col("cand_id")).withColumn("score", score)
+    """queries (query_id, ...) x candidates (cand_id, ...) -> query_id, cand_id, score. More than `most` queries (counted) go to
+    the candidates in blocks of about half as many, by the hash of query_id."""
+    few = queries.limit(most + 1).count() <= most
+    blocks = 1 if few else -(-2 * queries.count() // most)
+    out = None
+    for i in range(blocks):
+        block = queries if few else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i)
+        part = candidates.crossJoin(F.broadcast(block)).where(F.col("query_id") != F.col("cand_id")).withColumn("score", score)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def top_k(scores: DataFrame, k: int, keys: tuple[str, ...] = ("query_id",)) -> DataFrame:
@@ -27,40 +36,60 @@ def top_k(scores: DataFrame, k: int, keys: tuple[str, ...] = ("query_id",)) -> D
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def recall(scores: DataFrame, positives: DataFrame, ks: tuple[int, ...] = (1, 3, 5), keys: tuple[str, ...] = ("query_id",)) -> DataFrame:
-    """positives (keys, cand_id) -> keys, n_positive, recall@k, hit@k for each k, and best_rank, the best positive's."""
-    best = scores.join(positives, [*keys, "cand_id"], "left_semi").groupBy(*keys).agg(F.max(F.struct(F.col("score"), (-F.col("cand_id")).alias("neg"))).alias("b"))
-    rank = scores.join(F.broadcast(best), list(keys)).groupBy(*keys).agg((F.count_if((F.col("score") > F.col("b.score")) | ((F.col("score") == F.col("b.score")) & (F.col("cand_id") < -F.col("b.neg")))) + 1).alias("best_rank"))
-    top = top_k(scores, max(ks), keys).join(positives.withColumn("label", F.lit(1)), [*keys, "cand_id"], "left")
-    hits = top.groupBy(*keys).agg(*(F.count_if((F.col("label") == 1) & (F.col("rank") <= k)).alias(f"hits{k}") for k in ks))
-    n = positives.groupBy(*keys).agg(F.count("*").alias("n_positive"))
-    out = n.join(hits, list(keys)).join(rank, list(keys))
+def recall(scores: DataFrame, positives: DataFrame | None = None, ks: tuple[int, ...] = (1, 3, 5), keys: tuple[str, ...] = ("query_id",)) -> DataFrame:
+    """positives (keys, cand_id), or a boolean column `positive` of scores -> keys, n_positive, recall@k, hit@k for each k, and
+    best_rank, the best positive's.
+
+    Scores are made three times, but only once for all candidates at a time: for the positives alone (best and worst kept),
+    for the counts of candidates before the best positive and before the positives among the first max(ks)."""
+    keys_of = list(keys)
+    own = scores.where("positive") if positives is None else scores.join(positives, [*keys_of, "cand_id"], "left_semi")
+    order = F.struct(F.col("score").alias("score"), (-F.col("cand_id")).alias("neg"))
+    ranked = own.select(*keys_of, order.alias("o")).withColumn("k", F.row_number().over(Window.partitionBy(*keys_of).orderBy(F.desc("o"))))
+    first = ranked.where(F.col("k") <= max(ks)).groupBy(*keys_of).agg(F.sort_array(F.collect_list("o"), asc=False).alias("o"))  # max(ks) at most
+    n = (own if positives is None else positives).groupBy(*keys_of).agg(F.count("*").alias("n_positive"))
+    before = [F.count_if(order > F.get("o", i)).alias(f"before{i}") for i in range(max(ks))]
+    counts = scores.join(F.broadcast(first), keys_of).groupBy(*keys_of).agg(F.any_value(F.size("o")).alias("n_first"), *before)
+    hits = lambda k: sum((F.when((F.col("n_first") > i) & (F.col(f"before{i}") < k), 1).otherwise(0) for i in range(k)), F.lit(0)).cast("long")
+    out = n.join(counts, keys_of).select("*", (F.col("before0") + 1).alias("best_rank"), *(hits(k).alias(f"hits{k}") for k in ks))
     return out.select(*keys, "n_positive", *((F.col(f"hits{k}") / F.col("n_positive")).alias(f"recall_{k}") for k in ks), *((F.col(f"hits{k}") > 0).alias(f"hit_{k}") for k in ks), "best_rank")
 
 
 def first_rank(scores: DataFrame, firsts: DataFrame) -> DataFrame:
     """firsts (query_id, cand_id), the first-listed positive -> query_id, pos_rank."""
-    own = scores.join(F.broadcast(firsts), ["query_id", "cand_id"], "left_semi").select("query_id", F.col("score").alias("s"), F.col("cand_id").alias("c"))
+    own = scores.join(small_side(firsts, QUERIES), ["query_id", "cand_id"], "left_semi").select("query_id", F.col("score").alias("s"), F.col("cand_id").alias("c"))
     better = (F.col("score") > F.col("s")) | ((F.col("score") == F.col("s")) & (F.col("cand_id") < F.col("c")))
-    return scores.join(F.broadcast(own), "query_id").groupBy("query_id").agg((F.count_if(better) + 1).alias("pos_rank"))
+    return scores.join(small_side(own, QUERIES), "query_id").groupBy("query_id").agg((F.count_if(better) + 1).alias("pos_rank"))
 
 
 def cluster_mean(scores: DataFrame, variants: DataFrame) -> DataFrame:
-    """scores by variant (cand_id) and variants (cand_id, cluster) -> query_id, cand_id = cluster, the mean score."""
-    return scores.join(variants, "cand_id").groupBy("query_id", F.col("cluster").alias("cand_id")).agg(F.avg("score").alias("score"))
+    """scores by variant (cand_id) and variants (cand_id, cluster) -> query_id, cand_id = cluster, the mean score. A candidate
+    without a cluster is an error when its score is read."""
+    lost = F.raise_error(F.concat(F.lit("no cluster for candidate "), F.col("cand_id").cast("string"))).cast(variants.schema["cluster"].dataType)
+    found = scores.join(small_side(variants, VARIANTS), "cand_id", "left").withColumn("cluster", F.coalesce("cluster", lost))
+    return found.groupBy("query_id", F.col("cluster").alias("cand_id")).agg(F.avg("score").alias("score"))
 
 
 def sparse_scores(queries: DataFrame, docs: DataFrame) -> DataFrame:
     """(query_id, token, weight) x (cand_id, token, weight) -> sum of products over shared tokens; pairs without a shared
-    token are absent, as their score is 0."""
-    both = docs.join(queries.withColumnRenamed("weight", "query_weight"), "token")
+    token are absent, as their score is 0. Terms of queries up to VARIANTS (counted) go to the documents' tasks, so that a
+    frequent token is no task's burden; more are joined by token and a part of the documents, which splits it as well."""
+    asked = queries.withColumnRenamed("weight", "query_weight")
+    if queries.limit(VARIANTS + 1).count() <= VARIANTS:
+        both = docs.join(F.broadcast(asked), "token")
+    else:
+        spread = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+        both = docs.withColumn("part", F.pmod(F.xxhash64("cand_id"), F.lit(PARTS)).cast("int")).join(spread, ["token", "part"])
     return both.groupBy("query_id", "cand_id").agg(F.sum(F.col("weight") * F.col("query_weight")).alias("score"))
 
 
-def term_weights(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Term counts of lower-case ASCII words."""
+def term_weights(df: DataFrame, key: str, text: str, only: DataFrame | None = None) -> DataFrame:
+    """Term counts of lower-case ASCII words; only: (token), the words that count, before anything is shuffled."""
     words = F.explode(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z]+"), F.lit(0)))
-    return df.select(key, words.alias("token")).groupBy(key, "token").agg(F.count("*").cast("double").alias("weight"))
+    rows = df.select(key, words.alias("token"))
+    if only is not None:
+        rows = rows.join(small_side(only.select("token").distinct(), VARIANTS), "token", "left_semi")
+    return rows.groupBy(key, "token").agg(F.count("*").cast("double").alias("weight"))
 
 
 def hybrid(parts: dict[str, DataFrame], weights: dict[str, float]) -> DataFrame:
@@ -79,3 +108,15 @@ def agreement(tops: DataFrame, k: int = 10) -> DataFrame:
     pairs = a.join(b, "query_id").where("run_a < run_b")
     n = F.count("*")
     return pairs.groupBy("run_a", "run_b").agg(n.alias("queries"), F.count_if(F.col("a") == F.col("b")).alias("same_topk"), F.count_if(F.col("a")[0] == F.col("b")[0]).alias("same_top1"), F.round(F.count_if(F.col("a") == F.col("b")) / n, 4).alias("topk_ratio"), F.round(F.count_if(F.col("a")[0] == F.col("b")[0]) / n, 4).alias("top1_ratio"))
+
+
+def canonical(groups: DataFrame) -> DataFrame:
+    """All distinct candidates of groups (positive, negative) with their place in text order: cand_id from 0, text. The order is
+    made by ranges; places follow from the counts of the ranges before, so that no task sorts all."""
+    texts = groups.select(F.explode(F.concat(F.coalesce("positive", F.array().cast("array<string>")), F.coalesce("negative", F.array().cast("array<string>")))).alias("text"))
+    sorted_ = cut(texts.where("text is not null").distinct().repartitionByRange("text").withColumn("part", F.spark_partition_id()), "candidates")
+    sizes = sorted_.groupBy("part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each range
+    offsets = sizes.select("part", before.alias("before"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("text")) - 1
+    return sorted_.withColumn("own", place).join(F.broadcast(offsets), "part").select((F.col("before") + F.col("own")).alias("cand_id"), "text")

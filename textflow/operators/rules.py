@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from textflow.functions import text
 
 
+#: Targets with a gap where a name should be.
+HOLLOW = r"<ENT[^>]*>|بطاقة\s+[؟،]|[؟]\s*$|سعر\s+إصدار|الحصول على بطاقة\s+؟"
+
+
 @dataclass(frozen=True)
 class Rules:
     """entities: names that must survive. terms, actions: name -> {"triggers": [...], "expected": [...], "forbidden": [...]}.
@@ -29,7 +33,7 @@ class Rules:
     keep_terms: tuple[str, ...] = ()
     core: tuple[str, ...] = ()
     easy_themes: tuple[str, ...] = ()
-    hollow: str = r"<ENT[^>]*>"
+    hollow: str = HOLLOW
     script: str = text.ARABIC
 
     @property

@@ -24,9 +24,11 @@ def cluster_bounds(clustered: DataFrame) -> DataFrame:
 
 
 def context(turns: DataFrame, clustered: DataFrame, window: int = 3) -> DataFrame:
-    """Turns within `window` before a cluster's first or after its last turn: dialogue_id, cluster_idx, turn, side."""
-    b = cluster_bounds(clustered)
-    near = turns.join(b, "dialogue_id").where((F.col("turn").between(F.col("low") - window, F.col("low") - 1)) | (F.col("turn").between(F.col("high") + 1, F.col("high") + window)))
+    """Turns within `window` before a cluster's first or after its last turn: dialogue_id, cluster_idx, turn, side. Joined by
+    turn numbers, so that a long dialogue's turns don't meet all its clusters."""
+    around = F.concat(F.sequence(F.col("low") - window, F.col("low") - 1), F.sequence(F.col("high") + 1, F.col("high") + window))
+    b = cluster_bounds(clustered).withColumn("turn", F.explode(around))
+    near = turns.join(b, ["dialogue_id", "turn"])
     return near.select("dialogue_id", "cluster_idx", "turn", F.when(F.col("turn") < F.col("low"), "before").otherwise("after").alias("side"))
 
 
@@ -87,3 +89,33 @@ def skip_reason(content: Column, exact: list[str], patterns: list[str]) -> Colum
     for p in patterns:
         out = out.when(bare.rlike(f"(?iU)^(?:{p})$"), f"pattern_skip:{p}")
     return out
+
+
+def chosen(clustered: DataFrame, dialogue: int | None = None, most: int | None = None) -> DataFrame:
+    """Clusters of one dialogue only, or the first `most` by dialogue and place."""
+    rows = clustered if dialogue is None else clustered.where(F.col("dialogue_id") == dialogue)
+    if most is None:
+        return rows
+    few = rows.select("dialogue_id", "cluster_idx").distinct().orderBy("dialogue_id", "cluster_idx").limit(most)
+    return rows.join(F.broadcast(few), ["dialogue_id", "cluster_idx"], "left_semi")
+
+
+def sampled_relations(items: DataFrame, limit: int = 20) -> DataFrame:
+    """Candidates of groups (group_idx, role, idx) with skipped: a negative whose place among its group's candidates, positives
+    first, is `limit` or later; 0 skips none."""
+    w = Window.partitionBy("group_idx").orderBy(F.when(F.col("role") == "positive", 0).otherwise(1), "idx")
+    place = F.row_number().over(w) - 1
+    skipped = (F.lit(limit) > 0) & (F.col("place") >= limit) & (F.col("role") == "negative")
+    return items.where("role <> 'query'").withColumn("place", place).withColumn("skipped", skipped).drop("place")
+
+
+def fill_report(turns: DataFrame, fills: DataFrame, tokens: Column) -> DataFrame:
+    """One row over turns and the fills of their redactions (status, filled, errors): how many turns have tokens, fills by
+    status, accepted or with a warning, fills with tokens left, errors of personal shapes."""
+    n = lambda s: F.count_if(F.col("status") == s)
+    shapes = F.size(F.filter(F.coalesce("errors", F.array().cast("array<string>")), lambda x: x.startswith("pii_shape")))
+    out = fills.agg(
+        n("accepted").alias("accepted"), n("warning").alias("warning"), n("failed").alias("failed"), F.count_if(F.col("status").isin("accepted", "warning")).alias("filled"),
+        F.count_if(text.redacted_count(F.col("filled")) > 0).alias("tokens_left"), F.coalesce(F.sum(shapes), F.lit(0)).cast("long").alias("personal_shapes"),
+    )
+    return turns.agg(F.count_if(F.size(tokens) > 0).alias("turns_with_tokens")).crossJoin(out)  # one row each

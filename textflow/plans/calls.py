@@ -38,12 +38,12 @@ def answers_aligned(spark, sf_dir):
     return payloads.aligned(items, answers).select("item_id", "target", "missing")
 
 
-@query("""WITH e AS (SELECT conv_id AS cluster_id, turn, substr(text, 1, 9) AS content, CASE WHEN length(text) % 5 <> 0 THEN substr(text, 2, 9) END AS filled FROM conversations)
+@query("""WITH e AS (SELECT conv_id AS cluster_id, turn, text AS content, CASE WHEN length(text) % 5 <> 0 THEN 'filled ' || text END AS filled FROM conversations)
 SELECT cluster_id, coalesce(string_agg(turn || '=' || filled, ';' ORDER BY turn) FILTER (WHERE filled IS NOT NULL), '') AS turns,
   CASE WHEN count(*) FILTER (WHERE filled IS NULL) > 0 THEN 'missing_turns:' || string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) FILTER (WHERE filled IS NULL) END AS error FROM e GROUP BY cluster_id""")
 def filled_turns(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").withColumnRenamed("conv_id", "cluster_id")
-    out = payloads.filled_turns(c.select("cluster_id", "turn", F.substring("text", 1, 9).alias("content")), c.where("length(text) % 5 <> 0").select("cluster_id", "turn", F.substring("text", 2, 9).alias("filled")))
+    out = payloads.filled_turns(c.select("cluster_id", "turn", F.col("text").alias("content")), c.where("length(text) % 5 <> 0").select("cluster_id", "turn", F.concat(F.lit("filled "), "text").alias("filled")))
     return out.select("cluster_id", F.array_join(F.transform("turns", lambda x: F.concat(x.turn.cast("string"), F.lit("="), x.filled)), ";").alias("turns"), "error")
 
 
@@ -75,4 +75,22 @@ def dropped_items(spark, sf_dir):
 @query()
 def encode_distinct(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return encoders.encode(docs, "text", "hashed").select("doc_id", F.round(V.norm(F.col("vector")), 6).alias("norm"))
+    v = F.col("vector")
+    largest = F.array_max(v)
+    return encoders.encode(docs, "text", "hashed").select("doc_id", F.round(V.norm(v), 6).alias("norm"), F.round(largest, 6).alias("largest"), F.array_position(v, largest).alias("place"))
+
+
+@query("""WITH w AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM benchmark) SELECT item_id, token, CAST(count(*) AS DOUBLE) AS weight FROM w GROUP BY ALL""")
+def encode_sparse(spark, sf_dir):
+    """The lexical output of an encoder with several outputs."""
+    out = encoders.encode_parts(table(spark, sf_dir, "benchmark"), "text", "counted", ("sparse",))
+    return out.select("item_id", F.explode("sparse").alias("token", "weight"))
+
+
+@query(f"""WITH {_TRIAGE}, r AS (SELECT t.*, role FROM t JOIN f USING (doc_id)), s AS (SELECT *, repair_priority IN ('P0', 'P1') AS sent, doc_id % 7 = 0 AS lost FROM r)
+SELECT count(*) AS failed_before, count(*) FILTER (WHERE repair_priority = 'RULE') AS rule_false_positive, count(*) FILTER (WHERE sent) AS sent_to_repair, count(*) FILTER (WHERE sent AND NOT lost) AS repair_accepted,
+  count(*) FILTER (WHERE sent AND lost) AS repair_failed, count(*) FILTER (WHERE repair_priority = 'P2_DROP') + count(*) FILTER (WHERE sent AND lost AND role = 'negative') AS dropped FROM s""")
+def repair_summary(spark, sf_dir):
+    triaged = qa.triage(_failed(spark, sf_dir).withColumnRenamed("doc_id", "item_id"), PACK)
+    repaired = payloads.by_priority(triaged)[0].withColumn("repair_status", F.when(F.col("item_id") % 7 == 0, "failed").otherwise("accepted"))
+    return payloads.repair_summary(triaged, repaired)

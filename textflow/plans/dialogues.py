@@ -110,8 +110,11 @@ def chunk_batches(spark, sf_dir):
 
 @query("SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 >= 3 AND role = 'user' AS skipped FROM conversations WHERE turn > 0")
 def relation_sample_flags(spark, sf_dir):
-    n = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1
-    return table(spark, sf_dir, "conversations").where("turn > 0").select("conv_id", "turn", ((n >= 3) & (F.col("role") == "user")).alias("skipped"))
+    """Turns as candidates in their own order: user turns from the fourth candidate on are skipped."""
+    c = table(spark, sf_dir, "conversations").where("turn > 0")
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    items = c.select(F.col("conv_id").alias("group_idx"), "turn", F.when(F.col("role") == "user", "negative").otherwise("other").alias("role"), F.row_number().over(w).alias("idx"))
+    return sessions.sampled_relations(items, 3).select(F.col("group_idx").alias("conv_id"), "turn", "skipped")
 
 
 @query(r"""SELECT conv_id, turn, CASE WHEN trim(regexp_replace(text, '\s+', ' ', 'g')) = '' THEN 'empty_content' WHEN upper(trim(text)) IN ('IT.', 'THE.', 'DER.') THEN 'exact_skip'
@@ -135,3 +138,15 @@ def events_session_batch(spark, sf_dir):
     from textflow.streaming.sessions import event_sessions
 
     return event_sessions(table(spark, sf_dir, "events")).select("user_id", F.unix_micros("start").alias("start_us"), "events")
+
+
+@query(f"""WITH {_CLUSTERS}, f AS (SELECT *, regexp_replace(text, '[a-z]{{12,}}', CASE turn % 3 WHEN 0 THEN 'XXXX' ELSE '12' END, 'g') AS filled, CASE turn % 3 WHEN 0 THEN 'failed' WHEN 1 THEN 'warning' ELSE 'accepted' END AS status FROM c WHERE len(tokens) > 0)
+SELECT (SELECT count(*) FROM conversations WHERE len(regexp_extract_all(text, '[a-z]{{12,}}')) > 0) AS turns_with_tokens, count(*) FILTER (WHERE status = 'accepted') AS accepted, count(*) FILTER (WHERE status = 'warning') AS warning, count(*) FILTER (WHERE status = 'failed') AS failed,
+  count(*) FILTER (WHERE status <> 'failed') AS filled, count(*) FILTER (WHERE len(regexp_extract_all(filled, '(?i)\\b[A-Z0-9]*X{{2,}}[A-Z0-9]*\\b')) > 0) AS tokens_left, count(*) FILTER (WHERE turn % 5 = 0) AS personal_shapes FROM f""")
+def fill_report(spark, sf_dir):
+    k = F.col("turn") % 3
+    fills = _clusters(spark, sf_dir).where(F.size(_tokens()) > 0).select(
+        "turn", F.when(k == 0, F.regexp_replace("text", "[a-z]{12,}", "XXXX")).otherwise(F.regexp_replace("text", "[a-z]{12,}", "12")).alias("filled"), F.when(k == 0, "failed").when(k == 1, "warning").otherwise("accepted").alias("status"),
+        F.when(F.col("turn") % 5 == 0, F.array(F.lit("pii_shape_email_shape"))).otherwise(F.array().cast("array<string>")).alias("errors"),
+    )
+    return sessions.fill_report(_turns(spark, sf_dir), fills, _tokens())

@@ -62,14 +62,9 @@ def _recall_sql(scores: str = "ranked") -> str:
 {", ".join(f"count(*) FILTER (WHERE positive AND rank <= {k}) > 0 AS hit_{k}" for k in (1, 3, 5))}, min(rank) FILTER (WHERE positive) AS best_rank FROM {scores} GROUP BY query_id HAVING count(*) FILTER (WHERE positive) > 0"""
 
 
-def _positives(scores: DataFrame) -> DataFrame:
-    return scores.where("positive").select("query_id", "cand_id")
-
-
 @query(f"WITH {_sql_scores()}, {_RANKED} {_recall_sql()}")
 def retrieval_dense_recall(spark, sf_dir):
-    scores = _scores(spark, sf_dir)
-    return retrieval.recall(scores, _positives(scores))
+    return retrieval.recall(_scores(spark, sf_dir))
 
 
 @query(f"WITH {_sql_scores()}, {_RANKED} SELECT query_id, rank, cand_id, round(score, 6) AS score FROM ranked WHERE rank <= 10")
@@ -113,7 +108,7 @@ sp AS (SELECT query_id, cand_id, sum(wq * wd) AS score FROM bt JOIN dt USING (to
 @query(f"""WITH {_SPARSE}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, cand_id) AS rank FROM sp) SELECT query_id, cand_id, score, rank FROM r WHERE rank <= 5""")
 def retrieval_sparse(spark, sf_dir):
     q = retrieval.term_weights(table(spark, sf_dir, "benchmark"), "item_id", "text").withColumnRenamed("item_id", "query_id")
-    d = retrieval.term_weights(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("doc_id", "cand_id")
+    d = retrieval.term_weights(table(spark, sf_dir, "documents"), "doc_id", "text", only=q).withColumnRenamed("doc_id", "cand_id")
     return retrieval.top_k(retrieval.sparse_scores(q, d), 5)
 
 
@@ -154,7 +149,7 @@ def topk_agreement(spark, sf_dir):
 
 def _per_query(spark, sf_dir) -> DataFrame:
     scores = _all_runs(spark, sf_dir)
-    return retrieval.recall(scores, scores.where("positive").select("run", "query_id", "cand_id"), keys=("run", "query_id"))
+    return retrieval.recall(scores, keys=("run", "query_id"))
 
 
 _PER_QUERY = f"{_ALL}, per_query AS ({_recall_sql().replace('SELECT query_id', 'SELECT run, query_id').replace('GROUP BY query_id', 'GROUP BY run, query_id')})"

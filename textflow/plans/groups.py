@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textflow.operators import lookup, reshape
+from textflow.operators import judges, lookup, reshape
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -37,10 +37,9 @@ _GROUPS = """groups AS (SELECT conv_id AS group_idx, max(CASE WHEN turn = 0 THEN
   coalesce(list(text ORDER BY turn) FILTER (WHERE turn > 0 AND role <> 'assistant'), []) AS negative FROM conversations GROUP BY conv_id)"""
 _ITEMS = f"""{_GROUPS},
 flat AS (SELECT group_idx, 'query' AS role, 0 AS idx, query AS source FROM groups
-  UNION ALL SELECT group_idx, 'positive', unnest(range(1, len(positive) + 1)), unnest(positive) FROM groups
-  UNION ALL SELECT group_idx, 'negative', unnest(range(1, len(negative) + 1)), unnest(negative) FROM groups),
-items AS (SELECT group_idx, 'q_' || lpad(CAST(group_idx AS VARCHAR), 6, '0') || CASE role WHEN 'query' THEN '_query' WHEN 'positive' THEN '_p_' || lpad(CAST(idx AS VARCHAR), 3, '0')
-  ELSE '_n_' || lpad(CAST(idx AS VARCHAR), 4, '0') END AS item_id, role, idx, source FROM flat)"""
+  UNION ALL SELECT group_idx, 'positive', unnest(range(len(positive))), unnest(positive) FROM groups
+  UNION ALL SELECT group_idx, 'negative', unnest(range(len(negative))), unnest(negative) FROM groups),
+items AS (SELECT group_idx, printf('q_%06d', group_idx) || CASE role WHEN 'query' THEN '_query' WHEN 'positive' THEN printf('_p_%03d', idx) ELSE printf('_n_%04d', idx) END AS item_id, role, idx, source FROM flat)"""
 _STATUS = "CASE WHEN length(source) % 7 = 0 THEN 'failed' ELSE 'accepted' END"
 
 
@@ -139,18 +138,18 @@ def _texts(spark, sf_dir):
 
 
 def _cache(spark, sf_dir):
-    """Every third document's text, last row wins, to its beginning reversed."""
-    rows = table(spark, sf_dir, "documents").where("doc_id % 3 = 0").select(F.col("text").alias("source"), F.reverse(F.substring("text", 1, 20)).alias("target"), F.col("doc_id").alias("seq"))
+    """Every third document's text, last row wins, reversed."""
+    rows = table(spark, sf_dir, "documents").where("doc_id % 3 = 0").select(F.col("text").alias("source"), F.reverse("text").alias("target"), F.col("doc_id").alias("seq"))
     return lookup.last_wins(rows, ["source"], "seq").select("source", "target")
 
 
 def _log(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").where("doc_id % 3 = 1")
-    return rows.select(F.col("text").alias("source"), F.concat(F.lit("log "), F.substring("text", 1, 10)).alias("target"), F.when(F.col("doc_id") % 2 == 0, "accepted").otherwise("failed").alias("status"), F.col("doc_id").alias("seq"))
+    return rows.select(F.col("text").alias("source"), F.concat(F.lit("log "), "text").alias("target"), F.when(F.col("doc_id") % 2 == 0, "accepted").otherwise("failed").alias("status"), F.col("doc_id").alias("seq"))
 
 
-_CACHE = "cache AS (SELECT text AS source, reverse(substr(text, 1, 20)) AS target FROM documents WHERE doc_id % 3 = 0 GROUP BY text)"
-_LOG = "log AS (SELECT text AS source, 'log ' || substr(text, 1, 10) AS target, CASE WHEN max(doc_id) % 2 = 0 THEN 'accepted' ELSE 'failed' END AS status FROM documents WHERE doc_id % 3 = 1 GROUP BY text)"
+_CACHE = "cache AS (SELECT text AS source, reverse(text) AS target FROM documents WHERE doc_id % 3 = 0 GROUP BY text)"
+_LOG = "log AS (SELECT text AS source, 'log ' || text AS target, CASE WHEN max(doc_id) % 2 = 0 THEN 'accepted' ELSE 'failed' END AS status FROM documents WHERE doc_id % 3 = 1 GROUP BY text)"
 
 
 @query(f"WITH {_CACHE} SELECT d.doc_id, c.target, c.target IS NOT NULL AS hit FROM documents d LEFT JOIN cache c ON d.text = c.source")
@@ -203,15 +202,16 @@ def zip_align(spark, sf_dir):
     return lookup.zipped(g, g, ["group_idx"], "positive", "negative")
 
 
-@query("SELECT text FROM benchmark UNION ALL SELECT DISTINCT text FROM documents WHERE n_chars < 300 AND text NOT IN (SELECT text FROM benchmark)")
+@query("SELECT text FROM benchmark UNION ALL SELECT DISTINCT text FROM documents WHERE text IS NOT NULL AND text NOT IN (SELECT text FROM benchmark)")
 def append_new_only(spark, sf_dir):
-    return lookup.append_new(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents").where("n_chars < 300"))
+    return lookup.append_new(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
 
 
-@query(f"WITH {_GROUPS} SELECT group_idx, len(list_intersect(list_transform(positive, lambda x: substr(x, 1, 2)), list_transform(negative, lambda x: substr(x, 1, 2)))) AS overlap FROM groups")
+@query(f"WITH {_GROUPS} SELECT group_idx, len(list_intersect(string_split(array_to_string(positive, ' '), ' '), string_split(array_to_string(negative, ' '), ' '))) AS overlap FROM groups")
 def pos_neg_overlap(spark, sf_dir):
-    head = lambda c: F.transform(c, lambda x: F.substring(x, 1, 2))
-    return conversation_groups(spark, sf_dir).select("group_idx", F.size(F.array_intersect(head("positive"), head("negative"))).cast("long").alias("overlap"))
+    """Words that stand on both sides of a group."""
+    words = lambda c: F.split(F.array_join(c, " "), " ")
+    return conversation_groups(spark, sf_dir).select("group_idx", F.size(F.array_intersect(words("positive"), words("negative"))).cast("long").alias("overlap"))
 
 
 @query(f"WITH {_ITEMS} SELECT group_idx, source, CASE WHEN role = 'positive' THEN 1 ELSE 0 END AS label FROM items WHERE role <> 'query'")
@@ -227,3 +227,71 @@ def missing_turns_except(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
     want = c.select("conv_id").distinct().select("conv_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))).alias("turn"))
     return want.exceptAll(c.select("conv_id", "turn").distinct())
+
+
+_TURNS = """turns AS (SELECT conv_id, turn, text, trim(text) AS source, CASE WHEN turn = 0 THEN 'old' END AS old FROM conversations)"""
+
+
+@query(f"""WITH {_TURNS} SELECT conv_id AS dialogue_id, count(*) AS n, string_agg(turn || '=' || coalesce(CASE WHEN length(source) % 3 = 0 THEN reverse(source) END, old, '-'), '|' ORDER BY turn) AS turns FROM turns GROUP BY conv_id""")
+def write_back_nested(spark, sf_dir):
+    """Translations of a third of the texts put back into nested dialogues; other turns keep what they had."""
+    c = table(spark, sf_dir, "conversations")
+    turn = F.struct("turn", "role", F.col("text").alias("content"), F.when(F.col("turn") == 0, "old").alias("content_msa"))
+    nested = c.groupBy(F.col("conv_id").alias("dialogue_id")).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    source = F.trim("text")
+    translations = c.where(F.length(source) % 3 == 0).select(source.alias("source"), F.reverse(source).alias("target")).distinct()
+    out = reshape.write_back(nested, translations)
+    shown = F.transform("turns", lambda t: F.concat(t["turn"].cast("string"), F.lit("="), F.coalesce(t["content_msa"], F.lit("-"))))
+    return out.select("dialogue_id", F.size("turns").cast("long").alias("n"), F.array_join(shown, "|").alias("turns"))
+
+
+@query(f"""WITH {_ITEMS}, cache AS (SELECT DISTINCT source FROM items WHERE length(source) % 11 <> 0), m AS (SELECT count(*) AS n FROM items WHERE source NOT IN (SELECT source FROM cache))
+SELECT count(DISTINCT group_idx) AS total_groups, count(*) FILTER (WHERE regexp_matches(source, '(?i)<ENT[^>]*>')) AS placeholders_left, (SELECT count(*) FROM cache) AS cache_entries, (SELECT n FROM m) AS cache_misses,
+  CAST(7 AS BIGINT) AS new_queries, (SELECT n FROM m) = 0 AND count(*) FILTER (WHERE regexp_matches(source, '(?i)<ENT[^>]*>')) = 0 AS complete FROM items""")
+def assembly_summary(spark, sf_dir):
+    groups = conversation_groups(spark, sf_dir)
+    items = reshape.expand(groups)
+    cache = items.where("length(source) % 11 <> 0").select("source").distinct()
+    return reshape.assembly_summary(groups, lookup.misses(items, cache), cache, new_queries=7)
+
+
+@query("SELECT DISTINCT text AS source FROM documents WHERE doc_id % 3 = 1 AND doc_id % 2 <> 0")
+def failure_set(spark, sf_dir):
+    return lookup.failed_sources(_log(spark, sf_dir))
+
+
+@query("""WITH a AS (SELECT DISTINCT conv_id FROM conversations WHERE turn = 2), b AS (SELECT DISTINCT conv_id FROM conversations WHERE turn = 4),
+n AS (SELECT (SELECT count(*) FROM a WHERE conv_id NOT IN (SELECT conv_id FROM b)) AS only_left, (SELECT count(*) FROM b WHERE conv_id NOT IN (SELECT conv_id FROM a)) AS only_right)
+SELECT only_left, only_right, only_left + only_right = 0 AS equal FROM n""")
+def key_set_equality(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    return reshape.same_keys(c.where("turn = 2"), c.where("turn = 4"), "conv_id")
+
+
+@query(f"WITH {_ITEMS}, t AS (SELECT DISTINCT source AS text FROM items WHERE role <> 'query') SELECT row_number() OVER (ORDER BY text) - 1 AS cand_id, text FROM t")
+def canonical_candidates(spark, sf_dir):
+    from textflow.operators.retrieval import canonical
+
+    return canonical(conversation_groups(spark, sf_dir))
+
+
+def _translated(spark, sf_dir):
+    return reshape.expand(conversation_groups(spark, sf_dir)).withColumn("target", F.reverse("source"))
+
+
+@query(f"""WITH {_ITEMS}, j AS (SELECT item_id, length(source) AS n FROM items), e AS (SELECT *, n % 11 = 0 AS critical, n % 13 = 0 AS entity FROM j),
+p AS (SELECT *, 2 + n % 5 >= 4 AND n % 7 <> 0 AND NOT critical AND NOT entity AS semantic_pass FROM e)
+SELECT item_id, CAST(2 + n % 5 AS INT) AS score, semantic_pass, CASE WHEN critical AND entity THEN 'lost,name' WHEN critical THEN 'lost' WHEN entity THEN 'name' WHEN NOT semantic_pass THEN 'semantic_check_failed' ELSE '' END AS errors FROM p""")
+def semantic_gate(spark, sf_dir):
+    judged = judges.meaning(_translated(spark, sf_dir), judges.StubJudge())
+    return judged.select("item_id", "score", "semantic_pass", F.array_join("semantic_errors", ",").alias("errors"))
+
+
+@query(f"""WITH {_ITEMS}, c AS (SELECT *, row_number() OVER (PARTITION BY group_idx ORDER BY CASE role WHEN 'positive' THEN 0 ELSE 1 END, idx) - 1 AS place FROM items WHERE role <> 'query'),
+r AS (SELECT item_id, place >= 3 AND role = 'negative' AS relation_skipped, place >= 3 AND role = 'negative' OR (2 * length(source) + length(role)) % 9 <> 0 AS relation_preserved FROM c
+  UNION ALL SELECT item_id, NULL, NULL FROM items WHERE role = 'query')
+SELECT item_id, relation_preserved, relation_skipped, CASE WHEN NOT relation_preserved THEN 'failed' ELSE 'accepted' END AS status, CASE WHEN NOT relation_preserved THEN false ELSE true END AS semantic_pass FROM r""")
+def relation_gate(spark, sf_dir):
+    judged = judges.relation(_translated(spark, sf_dir), judges.StubJudge(), limit=3)
+    out = judges.gate(judged.withColumn("status", F.lit("accepted")).withColumn("semantic_pass", F.lit(True)))
+    return out.select("item_id", "relation_preserved", "relation_skipped", "status", "semantic_pass")

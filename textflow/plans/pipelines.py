@@ -11,46 +11,59 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textflow.functions import text
-from textflow.operators import external, lookup, payloads, qa, reshape, rules, sessions
+from textflow.operators import external, judges, lookup, payloads, qa, reshape, restore, rules, sessions
 from textflow.operators.external import Client
 from textflow.operators.rules import Rules
+from textflow.sources import shared
 
 Cut = Callable[[DataFrame], DataFrame]
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    return df.checkpoint()
+def translate_texts(texts: DataFrame, pack: Rules, client: Client, cache: DataFrame | None = None, rounds: int = 3, cut: Cut = shared.cut, meaning: Client | None = None) -> DataFrame:
+    """Distinct texts (source) -> source, target, status, hard_errors, semantic_pass, retry_rounds, origin (cache or model).
 
-
-def translate_texts(texts: DataFrame, pack: Rules, client: Client, cache: DataFrame | None = None, rounds: int = 3, cut: Cut = _cut) -> DataFrame:
-    """Distinct texts (source) -> source, target, status, hard_errors, retry_rounds, origin (cache or model)."""
+    meaning: a judge, whom a text has to satisfy as well; without one semantic_pass is null, as it is for cached texts."""
     todo = texts.select("source").where(~text.blank(F.col("source"))).distinct()
     if cache is not None:
         todo = todo.join(cache.select("source"), "source", "left_anti")
     asked = rules.annotate(todo, "source", pack).select(text.short_hash(F.col("source")).alias("item_id"), "source", "entities", "actions")
 
     def check(df: DataFrame) -> DataFrame:
-        return qa.hard_qa(df.withColumn("target", rules.restore_entities(F.col("target"), pack)), pack)
+        out = qa.hard_qa(restore.restore_placeholders(df, "source", "target", pack.entities, "target", pack.residue), pack)
+        if meaning is None:
+            return out.withColumn("semantic_pass", F.lit(None).cast("boolean")).withColumn("semantic_errors", F.array().cast("array<string>"))
+        return judges.meaning(out, meaning).withColumn("hard_pass", F.col("hard_pass") & F.col("semantic_pass"))
 
-    made = external.repair_loop(asked, client, check, rounds, cut).select("source", "target", "status", "hard_errors", "retry_rounds", F.lit("model").alias("origin"))
+    made = external.repair_loop(asked, client, check, rounds, cut, ("semantic_pass", "semantic_errors"))
+    made = made.select("source", "target", "status", "hard_errors", "semantic_pass", "retry_rounds", F.lit("model").alias("origin"))
     if cache is None:
         return made
     none = F.array().cast("array<string>")
-    hits = texts.select("source").distinct().join(cache.select("source", "target"), "source")
-    return made.unionByName(hits.select("source", "target", F.lit("accepted").alias("status"), none.alias("hard_errors"), F.lit(0).alias("retry_rounds"), F.lit("cache").alias("origin")))
+    hits = lookup.cached(texts.select("source").distinct(), cache).where("hit")
+    hits = hits.select("source", "target", F.lit("accepted").alias("status"), none.alias("hard_errors"), F.lit(None).cast("boolean").alias("semantic_pass"), F.lit(0).alias("retry_rounds"), F.lit("cache").alias("origin"))
+    return made.unionByName(hits)
 
 
-def translate_groups(groups: DataFrame, pack: Rules, client: Client, cache: DataFrame | None = None, rounds: int = 3, cut: Cut = _cut) -> dict[str, DataFrame]:
+def translate_groups(groups: DataFrame, pack: Rules, client: Client, cache: DataFrame | None = None, rounds: int = 3, cut: Cut = shared.cut, meaning: Client | None = None, relation: Client | None = None, back: Client | None = None, relation_limit: int = 20) -> dict[str, DataFrame]:
     """groups (group_idx, query, positive, negative) -> strict and partial groups of targets, debug (one row a group), report
-    (one row), items, rejected groups with their errors, and accepted pairs for the cache."""
+    (one row), items, rejected groups with their errors, and accepted pairs for the cache.
+
+    meaning, relation and back are judges, each asked if there is one: of a text's meaning in every round of repair, of a
+    candidate's relation to its query (negatives from place relation_limit on aside; 0: all), and for a translation back, kept
+    in the column back. Without them semantic_pass and relation_preserved are null, which counts as passed."""
     checked = reshape.precheck(groups)
     fatal = F.size(F.array_except("errors", F.array(F.lit("duplicate_positive")))) > 0
     items = reshape.expand(checked.where(~fatal))
-    done = translate_texts(items, pack, client, cache, rounds, cut)
-    rows = items.join(done, "source", "left").withColumn("status", F.coalesce("status", F.lit("failed"))).withColumn("hard_pass", F.col("status") == "accepted")
-    judged = rows.select("*", F.lit(None).cast("boolean").alias("semantic_pass"), F.lit(None).cast("boolean").alias("relation_preserved"))
-    debug = reshape.group_summary(judged)
-    complete = debug.where("hard_pass and semantic_pass and relation_preserved").select("group_idx")
+    done = translate_texts(items, pack, client, cache, rounds, cut, meaning)
+    if back is not None:
+        done = cut(judges.back_translated(done, back))
+    rows = items.join(done, "source", "left").withColumn("status", F.coalesce("status", F.lit("failed"))).withColumn("hard_pass", F.coalesce(F.size("hard_errors") == 0, F.lit(False)))
+    if relation is None:
+        rows = rows.withColumn("relation_preserved", F.lit(None).cast("boolean"))
+    else:
+        rows = judges.gate(cut(judges.relation(rows, relation, relation_limit).drop("relation_skipped")))
+    debug = reshape.group_summary(rows)
+    complete = debug.where("hard_pass and semantic_pass and relation_preserved and size(failed_items) = 0").select("group_idx")
     return {
         "items": rows, "debug": debug, "report": reshape.qa_report(debug), "rejected": checked.where(fatal).select("group_idx", "errors"),
         "strict": reshape.renest(rows, "target").join(complete, "group_idx", "left_semi"), "partial": reshape.renest_accepted(rows, "target"),
@@ -58,6 +71,18 @@ def translate_groups(groups: DataFrame, pack: Rules, client: Client, cache: Data
     }
 
 
+def preflight(failed: DataFrame, pack: Rules, exact: list[str], patterns: list[str]) -> DataFrame:
+    """Texts that failed before (source, target, ...) with outcome, before any model is called: skipped (turns that aren't
+    translated keep their text), accepted (the old target, restored, passes today's rules), pending. Blank texts are left out."""
+    rows = failed.withColumn("source", F.trim("source")).where(~text.blank(F.col("source"))).withColumn("skip_reason", sessions.skip_reason(F.col("source"), exact, patterns))
+    rows = rows.withColumn("target", external.restore_redactions(F.col("target"), text.redacted_tokens(F.col("source"))))
+    rows = restore.restore_placeholders(rows, "source", "target", pack.entities, "target", pack.residue)
+    checked = qa.hard_qa(rules.annotate(rows, "source", pack), pack)
+    passed = F.col("hard_pass") & ~text.blank(F.col("target"))
+    outcome = F.when(F.col("skip_reason").isNotNull(), "skipped").when(passed, "accepted").otherwise("pending")
+    return checked.withColumn("outcome", outcome).withColumn("target", F.when(outcome == "skipped", F.col("source")).otherwise(F.col("target")))
+
+
 def repair_groups(items: DataFrame, pack: Rules, client: Client) -> dict[str, DataFrame]:
     """Checked items (group_idx, item_id, role, idx, source, target, status, hard_errors) -> triage, repaired (with
     repair_status), merged items, dropped."""
@@ -65,21 +90,21 @@ def repair_groups(items: DataFrame, pack: Rules, client: Client) -> dict[str, Da
     triaged = qa.triage(failed, pack)
     again = payloads.by_priority(triaged)[0].select("item_id", "role", "source", F.concat_ws(",", "hard_errors").alias("errors"))
     answers = external.call(again, client, ["source", "errors"])
-    checked = qa.hard_qa(rules.annotate(answers, "source", pack).withColumn("target", rules.restore_entities(F.col("target"), pack)), pack)
+    checked = qa.hard_qa(restore.restore_placeholders(rules.annotate(answers, "source", pack), "source", "target", pack.entities, "target", pack.residue), pack)
     repaired = checked.select("item_id", "role", "source", "target", F.when(F.col("hard_pass"), "accepted").otherwise("failed").alias("repair_status"))
     fixed = repaired.where("repair_status = 'accepted'").select("item_id", F.col("target").alias("fixed"))
     merged = items.join(fixed, "item_id", "left").withColumn("status", F.when(F.col("fixed").isNotNull(), "accepted").otherwise(F.col("status"))).withColumn("target", F.coalesce("fixed", "target")).drop("fixed")
     return {"triage": triaged, "repaired": repaired, "merged": merged, "dropped": payloads.dropped(triaged, repaired)}
 
 
-def translate_faq(rows: DataFrame, key: str, fields: list[str], lists: list[str], pack: Rules, client: Client, cache: DataFrame | None = None, cut: Cut = _cut) -> tuple[DataFrame, DataFrame]:
+def translate_faq(rows: DataFrame, key: str, fields: list[str], lists: list[str], pack: Rules, client: Client, cache: DataFrame | None = None, cut: Cut = shared.cut) -> tuple[DataFrame, DataFrame]:
     """FAQ rows with all their cells translated (a row with a cell that failed is left out), and all results."""
     cells = F.concat(F.array(*fields), *(F.coalesce(c, F.array().cast("array<string>")) for c in lists))
     done = translate_texts(rows.select(F.explode(cells).alias("source")), pack, client, cache, cut=cut)
     return lookup.all_or_nothing(rows, key, fields, lists, done.where("status = 'accepted'")), done
 
 
-def translate_dialogues(turns: DataFrame, pack: Rules, client: Client, exact: list[str], patterns: list[str], cache: DataFrame | None = None, cut: Cut = _cut) -> DataFrame:
+def translate_dialogues(turns: DataFrame, pack: Rules, client: Client, exact: list[str], patterns: list[str], cache: DataFrame | None = None, cut: Cut = shared.cut) -> DataFrame:
     """turns (dialogue_id, turn, content, ...) with content_msa and skip_reason: skipped turns keep their content, others
     have the accepted translation of their text with its redactions back in place, or null."""
     rows = turns.withColumn("skip_reason", sessions.skip_reason(F.col("content"), exact, patterns))

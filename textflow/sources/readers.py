@@ -41,11 +41,11 @@ def groups(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
 
 
 def jsonl(spark: SparkSession, path: str, schema: str, seq: str = "seq") -> DataFrame:
-    """JSON lines (blank lines are skipped) with a sequence column that follows files and lines; for last-wins logs write the
-    sequence with each line instead, where lines can be written with one."""
-    lines = spark.read.text(path).where("trim(value) <> ''")
-    rows = lines.select(F.monotonically_increasing_id().alias(seq), F.from_json("value", schema).alias("row"))
-    return rows.select(seq, "row.*")
+    """JSON lines (blank lines are skipped) with a sequence column: a struct that orders rows by file name, then by their place
+    in the file, however Spark packs and splits the files."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    place = F.struct(F.col("file_path").alias("file"), F.col("file_block_start").alias("start"), "line")
+    return lines.where("trim(value) <> ''").select(place.alias(seq), F.from_json("value", schema).alias("row")).select(seq, "row.*")
 
 
 def cache(spark: SparkSession, path: str, form: str = "jsonl") -> DataFrame:
@@ -86,12 +86,45 @@ def word_list(path: str) -> list[str]:
     return [x for x in lines if x and not x.startswith("#")]
 
 
+def settings(path: str) -> dict:
+    """A YAML file of rules or settings (read on the driver), such as those of triage and of skipped turns; empty if it is."""
+    import yaml
+
+    return yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
+
+
+def skip_list(path: str) -> tuple[list[str], list[str]]:
+    """Exact entries and patterns of turns that aren't translated: exact_skip and pattern_skip of a YAML file."""
+    data = settings(path)
+    return [str(x).strip() for x in data.get("exact_skip") or [] if str(x).strip()], [str(x) for x in data.get("pattern_skip") or []]
+
+
 def vectors(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
     """A score or vector cache, Parquet partitioned by run; `run` prunes the partitions."""
     df = spark.read.parquet(path)
     return df if run is None else df.where(F.col("run") == run)
 
 
+def matrix(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of NumPy files (.npy, up to two dimensions; no pickles) as file, row, values: a file is read by one task, 1,000 rows
+    at a time."""
+
+    def run(batches):
+        import io
+
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                data = np.atleast_2d(np.load(io.BytesIO(content), allow_pickle=False))
+                for i in range(0, len(data), 1000):
+                    rows = data[i : i + 1000].astype(float)
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array(np.arange(i, i + len(rows))), pa.array(rows.tolist(), pa.list_(pa.float64()))], ["file", "row", "values"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, row long, values array<double>")
+
+
 def rows_between(df: DataFrame, index: str, start: int = 0, most: int | None = None) -> DataFrame:
     """Offset and limit on a materialised index, not on row order."""
     return df.where(F.col(index) >= start) if most is None else df.where((F.col(index) >= start) & (F.col(index) < start + most))

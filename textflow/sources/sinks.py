@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textflow.operators import lookup, reshape
+from textflow.sources.shared import hadoop_path
+
 
 def json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
@@ -22,8 +25,25 @@ def save_cache(df: DataFrame, path: str, version: int, for_people: bool = False)
 
 
 def failures(df: DataFrame, path: str) -> None:
-    """What failed, possibly nothing: the file says so either way."""
-    df.write.mode("overwrite").json(path)
+    """What failed; if nothing did, what an earlier run left there is removed."""
+    if df.limit(1).count():
+        df.write.mode("overwrite").json(path)
+    else:
+        system, place = hadoop_path(df.sparkSession, path)
+        system.delete(place, True)
+
+
+def rebuilt(log: DataFrame, path: str, seq: str = "seq") -> dict[str, DataFrame]:
+    """All outputs made again from the log of items (group_idx, item_id, role, idx, target, status, hard_pass, semantic_pass,
+    relation_preserved, retry_rounds, seq): the last row of each item counts. Writes strict, partial, debug and report under
+    path and returns them."""
+    items = lookup.last_wins(log, ["item_id"], seq)
+    debug = reshape.group_summary(items)
+    ready = debug.where("hard_pass and semantic_pass and relation_preserved and size(failed_items) = 0").select("group_idx")
+    out = {"strict": reshape.renest(items, "target").join(ready, "group_idx", "left_semi"), "partial": reshape.renest_accepted(items, "target"), "debug": debug, "report": reshape.qa_report(debug)}
+    for name, df in out.items():
+        df.write.mode("overwrite").json(f"{path}/{name}")
+    return out
 
 
 def scores(df: DataFrame, path: str) -> None:
@@ -39,9 +59,10 @@ def gate(df: DataFrame, condition: str, message: str) -> DataFrame:
 
 
 def in_batches(stream: DataFrame, path: str, checkpoint: str):
-    """A streaming sink with durable progress: each micro-batch is appended once."""
+    """A streaming sink with durable progress: a micro-batch has a folder of its own, which a replay writes again, so that
+    each counts once. Readers find its number in the column batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
