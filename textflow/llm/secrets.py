@@ -19,10 +19,11 @@ without any of these before them.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import random
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import numpy as np
@@ -172,11 +173,17 @@ def _lines(n: int, seed: int, marks: bool) -> list[tuple[str, tuple[int, int] |
     for _ in range(n):
         good = r.random() < 0.45
         value = (marked() if marks else secret()) if good else (harmless_marked() if marks else harmless())
+        before = after = ""
+        if marks and r.random() < 0.12:  # an address, of which at most the part after a user's name is secret
+            host = f"{word()}{r.choice(['', r.randint(1, 9)])}.{word()}.{r.choice(['com', 'net', 'internal'])}"
+            scheme, end = r.choice(["postgres", "mysql", "mongodb", "redis", "amqp", "https", "ftp", "ssh"]) + "://", r.choice(["", f":{r.randint(20, 9999)}"]) + r.choice(["", f"/{word()}", f"/{word()}_{r.randint(1, 99)}"])
+            before, after = (scheme + word() + ":", r.choice(["@" + host + end, "@" + host + end, ""])) if good else (scheme, "")
+            value = secret() if good else r.choice([host, word() + "@" + host, host + f":{r.randint(20, 9999)}"]) + end
         label = r.choice(named) if r.random() < (0.9 if good else 0.04) else r.choice(other)
         mid = r.choice([" = ", ": ", "=", " ", " is ", ' = "', ": '"])
-        line = " ".join(word() for _ in range(r.randint(0, 8))) + " " + label + mid
+        line = " ".join(word() for _ in range(r.randint(0, 8))) + " " + label + mid + before
         tail = ('"' if mid.endswith('"') else "'" if mid.endswith("'") else "") + r.choice(["", " ", ", ", "; "]) + " ".join(word() for _ in range(r.randint(0, 8)))
-        out.append((line + value + tail, (len(line), len(line) + len(value)) if good else None))
+        out.append((line + value + after + tail, (len(line), len(line) + len(value)) if good else None))
     return out
 
 
@@ -320,10 +327,12 @@ def field_spans(text: str, model: dict) -> list[tuple[int, int, str]]:
 def all_spans(text: str, model: dict) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """Base spans; and these with what the field's spans have beyond them, but for the label before an assignment."""
     base = base_spans(text)
-    more = []
+    more, upto = [], list(itertools.accumulate((b for _, b, _ in base), max))
     for start, end, kind in field_spans(text, model):
-        for a, b, what in base:
-            if a < end and b > start:
+        for a, b, what in itertools.islice(base, bisect_right(upto, start), None):  # those before end before it starts
+            if a >= end:
+                break
+            if b > start:
                 if a > start and what != "assign":
                     more.append((start, a, kind))
                 start = max(start, b)
