@@ -3,8 +3,9 @@
 Only the number of pieces of each length matters to the plan, and there are no more lengths than the sequence has places;
 so the plan is made on the driver from a histogram of at most CAPACITY counts, whatever the number of documents. By
 Martello and Toth's dominance criterion, sets that are at least as good as any other set for one of their pieces are fixed
-first and taken out: a piece with which nothing else fits, a pair that fills the sequence, and, where at most one more
-piece fits, the piece with the largest that does. The rest is packed best-fit, longest pieces first, on counts: equal
+first and taken out: a piece with which nothing else fits, a pair that fills the sequence, where at most one more piece
+fits the piece with the largest that does, and where at most two do the best one or two, if they dominate; passes are
+repeated until nothing more is fixed. Pieces with which three others fit are left to the rest, which is packed best-fit, longest pieces first, on counts: equal
 pieces go into equal sequences together.
 
 Pieces are then placed by rank among those of their length: a running number within the task that tokenized them, after
@@ -19,7 +20,7 @@ import json
 import re
 import zlib
 from array import array
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -126,28 +127,55 @@ def _pieces(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32", "ids", "task", "number"])
 
 
+def dominating(counts: dict[int, int], a: int, capacity: int) -> tuple[int, ...] | None:
+    """The pieces that go with a piece a in a set that is at least as good as any other set for it, None if no such set is
+    known: nothing, if nothing fits; the largest that fits, if it fills the sequence, if no two fit, or if no two together
+    are larger; and, if no three fit, the largest with its largest partner, if no pair's smaller piece is larger than that."""
+    room, left = capacity - a, {x: n - (x == a) for x, n in counts.items() if n > (x == a)}
+    sizes = sorted(x for x in left if x <= room)
+    if not sizes:
+        return ()
+    b = sizes[-1]
+    least = [x for x in sizes[:3] for _ in range(min(3, left[x]))][:3]
+    if b == room or len(least) < 2 or least[0] + least[1] > room:
+        return (b,)
+    if len(least) == 3 and sum(least) <= room:
+        return None
+    pair = smaller = partner = 0
+    low, high = 0, len(sizes) - 1
+    while low <= high:  # for each larger piece, from the largest, the largest partner that fits
+        if sizes[low] + sizes[high] > room:
+            high -= 1
+            continue
+        while low < high and sizes[low + 1] + sizes[high] <= room:
+            low += 1
+        mate = sizes[low] if low < high or left[sizes[low]] > 1 else sizes[low - 1] if low else 0
+        if mate:
+            pair, smaller = max(pair, mate + sizes[high]), max(smaller, mate)
+            partner = mate if sizes[high] == b else partner
+        if low == high:
+            break
+        high -= 1
+    if b >= pair:
+        return (b,)
+    return (b, partner) if partner and partner >= smaller else None
+
+
 def reduce(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Sets (with how often) that dominate all other sets for one of their pieces; counts keeps what is left."""
-    fixed = []
-    for a in sorted(counts, reverse=True):
-        while counts.get(a):
-            room = capacity - a
-            sizes = sorted(x for x, n in counts.items() if n > (x == a))
-            if not sizes or sizes[0] > room:
-                fixed.append(((a,), counts.pop(a)))
-                break
-            b = sizes[bisect.bisect_right(sizes, room) - 1]
-            s = sizes[0]
-            second = s if counts[s] > 1 + (s == a) else sizes[1] if len(sizes) > 1 else capacity + 1
-            if b != room and s + second <= room:
-                break  # more than one piece may go with a: nothing dominates
-            n = counts[a] // 2 if a == b else min(counts[a], counts[b])
-            fixed.append(((a, b), n))
-            for x in (a, b):
-                counts[x] -= n
-            for x in {a, b}:
-                if not counts[x]:
-                    del counts[x]
+    """Sets (with how often) that dominate all other sets for one of their pieces; counts keeps what is left. Passes are repeated
+    until one fixes nothing, since what is fixed may leave other pieces fewer sets."""
+    fixed, before = [], -1
+    while len(fixed) > before:
+        before = len(fixed)
+        for a in sorted(counts, reverse=True):
+            while counts.get(a) and (others := dominating(counts, a, capacity)) is not None:
+                need = Counter((a, *others))
+                n = min(counts[x] // m for x, m in need.items())
+                fixed.append(((a, *others), n))
+                for x, m in need.items():
+                    counts[x] -= n * m
+                    if not counts[x]:
+                        del counts[x]
     return fixed
 
 
