@@ -113,14 +113,20 @@ def mix(docs: DataFrame, entropy: float | None = None, max_repeat: float | None
     source is a source of its own; equal rows have equal places and are used equally often. Columns of docs named weight
     or copies are replaced."""
     names = [c for c in docs.columns if c not in ("weight", "copies")]
+    return _mixed(docs, names, entropy, max_repeat, budget).withColumnsRenamed({"__mix_weight": "weight", "__mix_copies": "copies"})
+
+
+def _mixed(docs: DataFrame, names: list[str], entropy: float | None, max_repeat: float | None, budget: float | None) -> DataFrame:
+    """The named columns of docs with __mix_weight and __mix_copies."""
     rows = docs.select(*names, _source(F.col("source")).alias("__mix_s"), F.xxhash64("doc_id", "text").alias("__mix_key"))
     chosen = decisions(docs, entropy, max_repeat, budget)
-    found = with_group(rows, chosen.select(F.col("s").alias("__mix_s"), "weight", "epochs", "last", F.col("docs").alias("n")), ["__mix_s"], F.col("__mix_key"), ["weight", "epochs", "last"])
-    more = F.coalesce(_order(F.col("epochs"), F.col("__mix_key")) <= F.col("last"), F.lit(False)).cast("int")
-    return found.select(*names, "weight", (F.col("epochs").cast("int") + more).alias("copies"))
+    found = with_group(rows, chosen.select(F.col("s").alias("__mix_s"), *(F.col(c).alias(f"__mix_{c}") for c in ("weight", "epochs", "last")), F.col("docs").alias("n")), ["__mix_s"], F.col("__mix_key"), ["__mix_weight", "__mix_epochs", "__mix_last"])
+    more = F.coalesce(_order(F.col("__mix_epochs"), F.col("__mix_key")) <= F.col("__mix_last"), F.lit(False)).cast("int")
+    return found.select(*names, F.col("__mix_weight"), (F.col("__mix_epochs").cast("int") + more).alias("__mix_copies"))
 
 
 def repeated(docs: DataFrame, entropy: float | None = None, max_repeat: float | None = 4.0, budget: float | None = None) -> DataFrame:
-    """mix(), each row as often as its copies say, with the columns of docs."""
-    copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    return mix(docs, entropy, max_repeat, budget).where("copies > 0").withColumn("__mix_copy", copies).select(*docs.columns)
+    """The rows of docs, each as often as its copies in mix() say, with all columns of docs (weight and copies too, if it has
+    such) and no others. Columns named __mix_... are reserved."""
+    copies = F.explode(F.sequence(F.lit(1), F.col("__mix_copies")))
+    return _mixed(docs, docs.columns, entropy, max_repeat, budget).where("__mix_copies > 0").withColumn("__mix_copy", copies).select(*docs.columns)
