@@ -13,19 +13,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: doc_id, n_shingles, component_id, kept."""
     return neardup.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents without repeated strings of 200 bytes: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     found = substrings.repeated_spans(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics, distances and verdicts of all documents."""
     return quality.quality(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from those that aren't held out; a document without id is held out."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
     found = langid.predict(docs, langid.train(docs.where(~held_out)))
@@ -33,6 +37,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents: numbers by kind, a digest of the base spans, and all spans."""
     found = secrets.scan(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
 
@@ -45,6 +50,7 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens: a row for each piece, with its place."""
     return packing.pack(_table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary(), keep_ids=False).drop("ids")
 
 
@@ -53,20 +59,24 @@ URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "a
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the urls of all pages by URL_RULES."""
     return urls.judge(_table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
 
 
 def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written to archives and read back."""
     found = warc.round_trip(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest sign codes of each vector whose id is divisible by 100, among all."""
     rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return topk.search(rows, rows.where("vec_id % 100 = 0"))
 
 
 def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of the documents' sources and how often each document is used, none over four times."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "source", mixing.token_count(F.col("text")).alias("n_tokens"), "weight", "copies")
 
