@@ -24,8 +24,9 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics, distances and verdicts of all documents."""
-    return quality.quality(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    """Statistics, distances (rounded) and verdicts of all documents."""
+    found = quality.quality(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    return found.withColumns({c: F.round(c, 9) for c in ("char_distance", "word_distance")})
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,3 +141,46 @@ far AS (SELECT q.vec_id AS query_id, c.vec_id, hamming(q.code, c.code) AS distan
 ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank, vec_id, distance FROM far)
 SELECT * FROM ranked WHERE rank <= 10
 """
+
+_CLASSES = [r"[a-z]", r"[A-Z]", r"[^\x00-\x7F]", r"[0-9]", r"[\x20\x09-\x0D]", r"[.,;:'\"?!()-]"]
+_MARKS = r"[\x21-\x7E]"
+
+
+def _class_counts() -> str:
+    """Code points of a text by class, as a list: letters, others above ASCII, digits, white space, sentence marks, other marks,
+    controls."""
+    n = [f"len(regexp_extract_all(t, '{c.replace(chr(39), chr(39) * 2)}'))" for c in _CLASSES]
+    return f"[{', '.join(n)}, len(regexp_extract_all(t, '{_MARKS}')) - {n[0]} - {n[1]} - {n[3]} - {n[5]}, length(t) - len(regexp_extract_all(t, '{_MARKS}')) - {n[2]} - {n[4]}]"
+
+
+_PART = "CASE WHEN {0} > 0 THEN {0} * log2(2 * {0} / ({0} + {1})) ELSE 0 END"
+_JS = f"{_PART.format('p', 'q')} + {_PART.format('q', 'p')}"
+
+ORACLE_SQL["op8_quality_rules"] = rf"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, lang, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+  list_filter(regexp_split_to_array(translate(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '.,;:''"?!-()', ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS folded,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, {_class_counts()} AS classes FROM d),
+grams AS (SELECT doc_id, unnest(range(1, len(words) - 3)) AS i, unnest(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) AS g FROM w WHERE len(words) >= 5),
+again AS (SELECT doc_id, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (SELECT unnest(range(5)) AS k) GROUP BY doc_id),
+s AS (SELECT doc_id, lang, folded, classes, len(words) AS n_words, CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+  len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words FROM w LEFT JOIN covered c USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s),
+words AS (SELECT doc_id, lang, unnest(folded) AS word FROM b),
+totals AS (SELECT lang, sum(len(folded)) AS total FROM b WHERE lang IS NOT NULL GROUP BY lang),
+usual AS (SELECT name, word, n / total AS q FROM (SELECT lang AS name, word, count(*) AS n FROM words WHERE lang IS NOT NULL GROUP BY 1, 2) JOIN totals ON lang = name WHERE n >= {quality.COMMON} * total),
+rest AS (SELECT lang AS name, greatest(0, 1 - coalesce(sum(q), 0)) AS q, count(q) AS n FROM totals LEFT JOIN usual ON name = lang GROUP BY lang),
+kinds AS (SELECT lang AS name, k, sum(classes[k]) / greatest(sum(list_sum(classes)), 1) AS q FROM b, (SELECT unnest(range(1, 9)) AS k) WHERE lang IS NOT NULL GROUP BY 1, 2),
+long AS (SELECT doc_id, n_words, classes FROM b WHERE n_words >= {quality.LEAST_WORDS}),
+own AS (SELECT doc_id, word, count(*) AS n FROM words GROUP BY 1, 2),
+bins AS (SELECT l.doc_id, u.name, coalesce(o.n, 0) AS n, coalesce(o.n, 0) / n_words AS p, u.q FROM long l CROSS JOIN usual u LEFT JOIN own o ON o.doc_id = l.doc_id AND o.word = u.word),
+inner_ AS (SELECT doc_id, name, sum({_JS}) AS js, sum(n) AS n FROM bins GROUP BY 1, 2),
+outer_ AS (SELECT l.doc_id, r.name, greatest(l.n_words - coalesce(i.n, 0), 0) / l.n_words AS p, r.q, coalesce(i.js, 0) AS js, (r.n + 1) / (8 * l.n_words) AS noise FROM long l CROSS JOIN rest r LEFT JOIN inner_ i ON i.doc_id = l.doc_id AND i.name = r.name),
+d_word AS (SELECT doc_id, name, greatest(sqrt(greatest((js + {_JS}) / 2, 0)) - sqrt(noise), 0) AS far FROM outer_),
+d_char AS (SELECT doc_id, name, sqrt(greatest(sum({_JS}) / 2, 0)) AS far FROM (SELECT l.doc_id, k.name, l.classes[k] / list_sum(l.classes) AS p, k.q FROM long l CROSS JOIN kinds k) GROUP BY 1, 2),
+best AS (SELECT doc_id, c.far AS char_distance, w.far AS word_distance, greatest(c.far - {quality.CHAR_LIMIT}, w.far - {quality.WORD_LIMIT}) AS excess FROM d_char c JOIN d_word w USING (doc_id, name)
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY excess, name) = 1)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  round(char_distance, 9) AS char_distance, round(word_distance, 9) AS word_distance, NOT base_failed AND (excess IS NULL OR excess <= 0 OR lang IS NULL) AS kept FROM b LEFT JOIN best USING (doc_id)
+"""
