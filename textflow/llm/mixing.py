@@ -24,6 +24,7 @@ SECTIONS, ROUNDS = 64, 6
 #: Documents in a block, about.
 BLOCK = 4096
 SEED = 7
+PLACES = 2.0**60
 
 
 def token_count(text: Column) -> Column:
@@ -36,9 +37,18 @@ def _source(column: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit("-"))
 
 
+def _number(text: Column) -> Column:
+    """The first 60 bits of a text's MD5: the same number in any engine."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
+def _key(doc_id: Column, text: Column) -> Column:
+    return _number(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("|"), F.coalesce(text, F.lit(""))))
+
+
 def _order(epoch: Column, key: Column) -> Column:
-    """A document's place in an epoch's permutation, from 0 to 2 ** 63 - 1."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(SEED), epoch, key), 1)
+    """A document's place in an epoch's permutation, from 0 to PLACES - 1."""
+    return _number(F.concat_ws("|", F.lit(str(SEED)), epoch.cast("string"), key.cast("string")))
 
 
 def exponent(sources: DataFrame, entropy: float | None = None, max_repeat: float | None = None, budget: float | None = None) -> tuple[float, float, float]:
@@ -78,7 +88,7 @@ def exponent(sources: DataFrame, entropy: float | None = None, max_repeat: float
 def decisions(docs: DataFrame, entropy: float | None = None, max_repeat: float | None = 4.0, budget: float | None = None) -> DataFrame:
     """docs (doc_id, text, source) -> source key, weight, epochs, last: a document is used in `epochs` whole epochs, and in
     one more if its place there is at most `last` (null: none)."""
-    key = F.xxhash64("doc_id", "text")
+    key = _key(F.col("doc_id"), F.col("text"))
     small = cut(docs.select(_source(F.col("source")).alias("s"), key.alias("key"), token_count(F.col("text")).alias("n")), "tokens")
     sums = small.groupBy("s").agg(F.sum("n").alias("tokens"), F.count("*").alias("docs"))
     total = small.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -91,14 +101,14 @@ def decisions(docs: DataFrame, entropy: float | None = None, max_repeat: float |
     sources = cut(sources.withColumn("blocks", F.ceil(F.col("docs") / BLOCK)), "sources")
     ordered = with_group(small, sources.select("s", "epochs", "blocks", F.col("docs").alias("n")), ["s"], F.col("key"), ["epochs", "blocks"])
     place = _order(F.col("epochs"), F.col("key"))
-    ordered = cut(ordered.select("s", "n", place.alias("place"), F.floor(place / F.lit(2.0**63) * F.col("blocks")).alias("block")), "places")
+    ordered = cut(ordered.select("s", "n", place.alias("place"), F.floor(place / F.lit(PLACES) * F.col("blocks")).alias("block")), "places")
     blocks = ordered.groupBy("s", "block").agg(F.sum("n").alias("n"))
     before = F.sum("n").over(Window.partitionBy("s").orderBy("block")) - F.col("n")
     cuts = blocks.withColumn("before", before).join(sources.select("s", "rest"), "s").where("before <= rest and before + n > rest")
     cuts = cut(cuts.select("s", "block", "before", "rest"), "cuts")  # a row for each source at most
     inside = ordered.join(cuts, ["s", "block"]).withColumn("sum", F.col("before") + F.sum("n").over(Window.partitionBy("s", "block").orderBy("place")))
     within = inside.where(F.col("sum") <= F.col("rest")).groupBy("s").agg(F.max("place").alias("inner"))
-    start = cuts.join(sources.select("s", "blocks"), "s").select("s", F.lit(True).alias("is_cut"), (F.ceil(F.col("block") / F.col("blocks") * F.lit(2.0**63)).cast("decimal(38,0)") - 1).cast("long").alias("outer"))
+    start = cuts.join(sources.select("s", "blocks"), "s").select("s", F.lit(True).alias("is_cut"), (F.ceil(F.col("block") / F.col("blocks") * F.lit(PLACES)) - 1).alias("outer"))
     last = sources.join(start, "s", "left").join(within, "s", "left")
     # blocks before the cut are used in full; places of the cut block that fit follow; without a cut nothing is left over
     upto = F.when(F.col("inner").isNotNull(), F.col("inner")).when(F.coalesce("is_cut", F.lit(False)), F.col("outer"))
@@ -118,7 +128,7 @@ def mix(docs: DataFrame, entropy: float | None = None, max_repeat: float | None
 
 def _mixed(docs: DataFrame, names: list[str], entropy: float | None, max_repeat: float | None, budget: float | None) -> DataFrame:
     """The named columns of docs with __mix_weight and __mix_copies."""
-    rows = docs.select(*names, _source(F.col("source")).alias("__mix_s"), F.xxhash64("doc_id", "text").alias("__mix_key"))
+    rows = docs.select(*names, _source(F.col("source")).alias("__mix_s"), _key(F.col("doc_id"), F.col("text")).alias("__mix_key"))
     chosen = decisions(docs, entropy, max_repeat, budget)
     found = with_group(rows, chosen.select(F.col("s").alias("__mix_s"), *(F.col(c).alias(f"__mix_{c}") for c in ("weight", "epochs", "last")), F.col("docs").alias("n")), ["__mix_s"], F.col("__mix_key"), ["__mix_weight", "__mix_epochs", "__mix_last"])
     more = F.coalesce(_order(F.col("__mix_epochs"), F.col("__mix_key")) <= F.col("__mix_last"), F.lit(False)).cast("int")

@@ -76,10 +76,14 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(rows, rows.where("vec_id % 100 = 0"))
 
 
+#: How often op7 uses a document at most.
+MAX_REPEAT = 4.0
+
+
 def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights of the documents' sources and how often each document is used, none over four times."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
-    return mixing.mix(docs).select("doc_id", "source", mixing.token_count(F.col("text")).alias("n_tokens"), "weight", "copies")
+    return mixing.mix(docs, max_repeat=MAX_REPEAT).select("doc_id", "source", mixing.token_count(F.col("text")).alias("n_tokens"), F.round("weight", 9).alias("weight"), "copies")
 
 
 QUERIES = {
@@ -184,3 +188,28 @@ best AS (SELECT doc_id, c.far AS char_distance, w.far AS word_distance, greatest
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
   round(char_distance, 9) AS char_distance, round(word_distance, 9) AS word_distance, NOT base_failed AND (excess IS NULL OR excess <= 0 OR lang IS NULL) AS kept FROM b LEFT JOIN best USING (doc_id)
 """
+
+
+def _bisection(rounds: int) -> str:
+    """r1 ... : each parts (low, high) into sections and takes the first that meets the limit; x, z and least at its end."""
+    out = ["r0 AS (SELECT CAST(0 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high)"]
+    for i in range(1, rounds + 1):
+        out.append(f"""g{i} AS (SELECT k, low + (high - low) * k / {mixing.SECTIONS} AS x FROM r{i - 1}, (SELECT unnest(range({mixing.SECTIONS + 1})) AS k)),
+e{i} AS (SELECT k, x, sum(pow(share, x)) AS z, min(pow(share, x) / share) AS least, max(pow(share, x) / share) / min(pow(share, x) / share) <= {MAX_REPEAT} + 1e-12 AS ok FROM g{i}, src WHERE tokens > 0 GROUP BY k, x),
+k{i} AS (SELECT coalesce(min(k) FILTER (WHERE ok), {mixing.SECTIONS}) AS k FROM e{i}),
+r{i} AS (SELECT (SELECT x FROM e{i} WHERE e{i}.k = greatest(k{i}.k - 1, 0)) AS low, x AS high, x, z, least FROM k{i} JOIN e{i} USING (k))""")
+    return ",\n".join(out)
+
+
+_HASH = "CAST('0x' || substr(md5({}), 1, 15) AS BIGINT)"
+
+ORACLE_SQL["op7_temperature_mixing"] = rf"""
+WITH t AS (SELECT doc_id, source, coalesce('=' || source, '-') AS s, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n, {_HASH.format("coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')")} AS key FROM documents),
+src AS (SELECT s, sum(n) AS tokens, sum(n) / (SELECT greatest(sum(n), 1) FROM t) AS share FROM t GROUP BY s),
+{_bisection(mixing.ROUNDS)},
+u AS (SELECT s, tokens, CASE WHEN tokens > 0 THEN pow(share, x) / z ELSE 0 END AS weight, CASE WHEN tokens > 0 THEN pow(share, x) / share / least ELSE 1 END AS uses FROM src, r{mixing.ROUNDS}),
+e AS (SELECT *, CAST(floor(uses) AS BIGINT) AS epochs, floor((uses - floor(uses)) * tokens) AS rest FROM u),
+p AS (SELECT t.*, weight, epochs, rest, {_HASH.format(f"'{mixing.SEED}|' || epochs || '|' || key")} AS place FROM t JOIN e USING (s)),
+c AS (SELECT *, sum(n) OVER (PARTITION BY s ORDER BY place) AS upto FROM p)
+SELECT doc_id, source, n AS n_tokens, round(weight, 9) AS weight, CAST(epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS INT) AS copies FROM c
+"""
