@@ -236,3 +236,18 @@ def test_shared_folder(spark, tmp_path):
     table = shared.cut(spark.range(3).toDF("x"))
     assert table.count() == 3
     shared.remove(spark, table)
+
+
+def test_run_tags_follow_the_input(spark, tmp_path):
+    from textflow.operators.payloads import run_tag
+
+    (tmp_path / "a").write_text("one")
+    first = run_tag(spark, str(tmp_path / "a"), mode="dense")
+    assert first == run_tag(spark, str(tmp_path / "a"), mode="dense") != run_tag(spark, str(tmp_path / "a"), mode="sparse")
+    (tmp_path / "a").write_text("other")
+    assert run_tag(spark, str(tmp_path / "a"), mode="dense") != first and len(first) == 12
+
+
+def test_turns_are_cast_and_trimmed(spark):
+    df = spark.createDataFrame([("7", [("3", " user ", " a ", None), (None, None, "b", "c")])], "dialogue_id string, turns array<struct<turn:string,role:string,content:string,content_msa:string>>")
+    assert [(r.dialogue_id, r.turn, r.role, r.content, r.content_msa) for r in reshape.turns(df).collect()] == [(7, 3, "user", "a", ""), (7, 0, "", "b", "c")]

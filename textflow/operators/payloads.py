@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import json
-from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textflow.functions import text
+from textflow.sources import shared
 
 
 def batches(items: DataFrame, key: str, order: str, size: int, fields: list[str]) -> DataFrame:
@@ -51,10 +51,19 @@ def styled(query: Column, style: Column, task: Column) -> Column:
     )
 
 
-def run_tag(path: str, **config) -> str:
-    """12 hex digits over an input's path, time and size, and everything that a score depends on."""
-    stat = Path(path).stat()
-    return hashlib.sha1(json.dumps([path, stat.st_mtime_ns, stat.st_size, sorted(config.items())], default=str).encode()).hexdigest()[:12]
+def run_tag(spark: SparkSession, *paths: str, **config) -> str:
+    """12 hex digits over the inputs' paths, times and sizes, wherever Spark finds them, and everything that a score depends on."""
+    seen = []
+    for name in paths:
+        system, path = shared.hadoop_path(spark, name)
+        status = system.getFileStatus(path)
+        seen.append([name, status.getModificationTime(), system.getContentSummary(path).getLength()])
+    return hashlib.sha1(json.dumps([seen, sorted(config.items())], default=str).encode()).hexdigest()[:12]
+
+
+def to_fill(turns: DataFrame, source: str, target: str) -> DataFrame:
+    """The turns whose redactions can be filled: text on both sides and a token at least in the target."""
+    return turns.where(~text.blank(F.col(source)) & ~text.blank(F.col(target)) & (text.redacted_count(F.col(target)) > 0))
 
 
 def sample(df: DataFrame, keys: list[str], value: str, n: int, seed: str = "0") -> DataFrame:

@@ -95,10 +95,11 @@ def sanity(groups: DataFrame, residue: list[str]) -> DataFrame:
 
 
 def turns(dialogues: DataFrame) -> DataFrame:
-    """dialogues (dialogue_id, turns) -> a row for each turn; texts trimmed, null texts empty."""
-    flat = dialogues.select("dialogue_id", F.explode("turns").alias("t")).select("dialogue_id", "t.*")
-    texts = [c for c in flat.columns if c.startswith("content")]
-    return flat.withColumns({c: F.trim(F.coalesce(c, F.lit(""))) for c in texts})
+    """dialogues (dialogue_id, turns) -> a row for each turn; dialogue_id a long, turn an int (0 where there is none), roles and
+    texts trimmed, null ones empty. Rows have no order but that of their column turn."""
+    flat = dialogues.select(F.col("dialogue_id").cast("long").alias("dialogue_id"), F.explode("turns").alias("t")).select("dialogue_id", "t.*")
+    texts = {c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in flat.columns if c.startswith("content") or c == "role"}
+    return flat.withColumns(texts | ({"turn": F.coalesce(F.col("turn").cast("int"), F.lit(0))} if "turn" in flat.columns else {}))
 
 
 def from_debug(debug: DataFrame) -> DataFrame:

@@ -119,3 +119,13 @@ def fill_report(turns: DataFrame, fills: DataFrame, tokens: Column) -> DataFrame
         F.count_if(text.redacted_count(F.col("filled")) > 0).alias("tokens_left"), F.coalesce(F.sum(shapes), F.lit(0)).cast("long").alias("personal_shapes"),
     )
     return turns.agg(F.count_if(F.size(tokens) > 0).alias("turns_with_tokens")).crossJoin(out)  # one row each
+
+
+def cluster_tokens(clustered: DataFrame, tokens: Column) -> DataFrame:
+    """Turns and tokens of each cluster."""
+    return clustered.groupBy("dialogue_id", "cluster_idx").agg(F.count("*").alias("turns"), F.sum(F.size(tokens)).cast("long").alias("tokens"))
+
+
+def hint_histogram(clustered: DataFrame, hint: Column) -> DataFrame:
+    """How many clustered turns have each hint."""
+    return clustered.groupBy(hint.alias("hint")).agg(F.count("*").alias("n"))

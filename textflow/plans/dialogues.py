@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textflow.operators import qa, sessions
+from textflow.operators import payloads, qa, sessions
 from textflow.plans.groups import table
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -140,13 +140,29 @@ def events_session_batch(spark, sf_dir):
     return event_sessions(table(spark, sf_dir, "events")).select("user_id", F.unix_micros("start").alias("start_us"), "events")
 
 
-@query(f"""WITH {_CLUSTERS}, f AS (SELECT *, regexp_replace(text, '[a-z]{{12,}}', CASE turn % 3 WHEN 0 THEN 'XXXX' ELSE '12' END, 'g') AS filled, CASE turn % 3 WHEN 0 THEN 'failed' WHEN 1 THEN 'warning' ELSE 'accepted' END AS status FROM c WHERE len(tokens) > 0)
+@query(f"""WITH {_CLUSTERS}, f AS (SELECT *, regexp_replace(text, '[a-z]{{12,}}', CASE turn % 3 WHEN 0 THEN ' XXXX ' ELSE '12' END, 'g') AS filled, CASE turn % 3 WHEN 0 THEN 'failed' WHEN 1 THEN 'warning' ELSE 'accepted' END AS status FROM c WHERE len(tokens) > 0)
 SELECT (SELECT count(*) FROM conversations WHERE len(regexp_extract_all(text, '[a-z]{{12,}}')) > 0) AS turns_with_tokens, count(*) FILTER (WHERE status = 'accepted') AS accepted, count(*) FILTER (WHERE status = 'warning') AS warning, count(*) FILTER (WHERE status = 'failed') AS failed,
   count(*) FILTER (WHERE status <> 'failed') AS filled, count(*) FILTER (WHERE len(regexp_extract_all(filled, '(?i)\\b[A-Z0-9]*X{{2,}}[A-Z0-9]*\\b')) > 0) AS tokens_left, count(*) FILTER (WHERE turn % 5 = 0) AS personal_shapes FROM f""")
 def fill_report(spark, sf_dir):
     k = F.col("turn") % 3
     fills = _clusters(spark, sf_dir).where(F.size(_tokens()) > 0).select(
-        "turn", F.when(k == 0, F.regexp_replace("text", "[a-z]{12,}", "XXXX")).otherwise(F.regexp_replace("text", "[a-z]{12,}", "12")).alias("filled"), F.when(k == 0, "failed").when(k == 1, "warning").otherwise("accepted").alias("status"),
+        "turn", F.when(k == 0, F.regexp_replace("text", "[a-z]{12,}", " XXXX ")).otherwise(F.regexp_replace("text", "[a-z]{12,}", "12")).alias("filled"), F.when(k == 0, "failed").when(k == 1, "warning").otherwise("accepted").alias("status"),
         F.when(F.col("turn") % 5 == 0, F.array(F.lit("pii_shape_email_shape"))).otherwise(F.array().cast("array<string>")).alias("errors"),
     )
     return sessions.fill_report(_turns(spark, sf_dir), fills, _tokens())
+
+
+@query(f"WITH {_CLUSTERS} SELECT dialogue_id, cluster_idx, count(*) AS turns, CAST(sum(len(tokens)) AS BIGINT) AS tokens FROM c GROUP BY 1, 2")
+def cluster_tokens(spark, sf_dir):
+    return sessions.cluster_tokens(_clusters(spark, sf_dir), _tokens())
+
+
+@query(f"WITH {_CLUSTERS} SELECT CASE WHEN contains(text, '?') THEN 'question' ELSE role END AS hint, count(*) AS n FROM c GROUP BY 1")
+def cluster_hint_histogram(spark, sf_dir):
+    return sessions.hint_histogram(_clusters(spark, sf_dir), F.when(F.col("text").contains("?"), "question").otherwise(F.col("role")))
+
+
+@query(r"""SELECT conv_id, turn FROM conversations WHERE trim(text) <> '' AND len(regexp_extract_all(regexp_replace(text, '[a-z]{12,}', ' XXXX ', 'g'), '(?i)\b[A-Z0-9]*X{2,}[A-Z0-9]*\b')) > 0""")
+def fill_eligible(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").withColumn("redacted", F.regexp_replace("text", "[a-z]{12,}", " XXXX "))
+    return payloads.to_fill(c, "text", "redacted").select("conv_id", "turn")

@@ -13,6 +13,11 @@ def json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def report(df: DataFrame, path: str) -> None:
+    """A small table (a report of a few rows) as one file of JSON lines."""
+    df.coalesce(1).write.mode("overwrite").json(path)
+
+
 def append_log(df: DataFrame, path: str, run_id: str) -> None:
     df.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
 
