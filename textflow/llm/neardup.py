@@ -18,6 +18,7 @@ work grows with its nodes; for the pairs between components only its nodes outsi
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +36,8 @@ SYMBOLS = CHUNKS * WIDTH
 #: symbols is binomial (40, 1/4), over 25 with a probability of 1e-7.
 FAR = 25
 #: Minwise hashes of 8 bits in a sketch, and how many must agree for a pair to be confirmed on full sets: at similarity 0.75
-#: the number that agree is binomial (768, 0.75), under 516 with a probability of 1e-6.
-SKETCH, NEAR = 768, 516
+#: the number that agree is binomial (1536, 0.75), under 1070 with a probability of 1e-6.
+SKETCH, NEAR = 1536, 1070
 #: Nearest nodes in other components that a node is compared with before all others are.
 FEW = 6
 #: Nodes of a block, where a bucket is split, and nodes that all its blocks have in common for the forests.
@@ -293,21 +294,19 @@ def sketches(sets: DataFrame, size: int = 5) -> DataFrame:
     return sets.select("node", "text").mapInArrow(run, "node long, sig binary")
 
 
-def _with_text(pairs: DataFrame, sets: DataFrame, one: str, other: str) -> DataFrame:
-    """pairs with text_<one> from sets (node, text); the pairs of a node with more than HUB of them are dealt to several tasks."""
-    parts = pairs.groupBy(one).agg(F.ceil(F.count("*") / HUB).alias("parts"))
-    hubs = cut(parts.where("parts > 1"), "hubs")
+def _with_text(pairs: DataFrame, sets: DataFrame, hubs: DataFrame | None, one: str, other: str) -> DataFrame:
+    """pairs with text_<one> from sets (node, text); the pairs of hubs (node, parts) are dealt to several tasks."""
     texts_of = sets.select(F.col("node").alias(one), F.col("text").alias(f"text_{one}"))
-    if not hubs.limit(1).count():
+    if hubs is None:
         return pairs.join(texts_of, one)
-    hubs = small_side(hubs, BROADCAST_IDS)
+    hubs = hubs.withColumnRenamed("node", one)
     salted = pairs.join(hubs, one, "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")), F.lit(0))).drop("parts")
     spread = texts_of.join(hubs, one, "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
     return salted.join(spread, [one, "salt"]).drop("salt")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int, size: int = 5) -> DataFrame:
-    """(a, b) -> (a, b, linked), by the whole shingle sets of sets (node, text)."""
+    """pairs (a, b), a table -> (a, b, linked), by the whole shingle sets of sets (node, text)."""
 
     def run(batches):
         for batch in batches:
@@ -323,7 +322,11 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int, size: int = 5) -> D
                 linked.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
-    two = _with_text(_with_text(pairs, sets, "a", "b"), sets, "b", "a")
+    sides = [pairs.groupBy(F.col(c).alias("node")).agg(F.count("*").alias("n")) for c in ("a", "b")]
+    degrees = sides[0].unionByName(sides[1]).groupBy("node").agg(F.ceil(F.sum("n") / HUB).alias("parts"))
+    hubs = cut(degrees.where("parts > 1"), "hubs")
+    hubs = small_side(hubs, BROADCAST_IDS) if hubs.limit(1).count() else None
+    two = _with_text(_with_text(pairs, sets, hubs, "a", "b"), sets, hubs, "b", "a")
     return two.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean")
 
 
@@ -359,10 +362,11 @@ def set_groups(docs: DataFrame, percent: int = 75, size: int = 5, by_id: bool =
             rows = mixed_buckets(buckets, comp, sketch, large).join(sketch, "node").select("key", "node", "comp", "side", "slot", "sig")
         pairs = cut(bucket_pairs(rows.repartition("key").sortWithinPartitions("key"), most).groupBy("a", "b").agg(F.max("more").alias("more")), "pairs")
         new = pairs.select("a", "b")
-        for before in known:
-            new = new.join(before.select("a", "b"), ["a", "b"], "left_anti")
+        if known:
+            before = functools.reduce(DataFrame.unionByName, (x.select("a", "b") for x in known))
+            new = cut(new.join(before, ["a", "b"], "left_anti"), "new")
         if texts_of is None:
-            paired = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+            paired = pairs.select(F.col("a").alias("node")).distinct().unionByName(pairs.select(F.col("b").alias("node")).distinct())
             paired = (paired if large is None else paired.unionByName(buckets.join(large, "key").select("node"))).distinct()
             paired = cut(groups.join(small_side(paired, BROADCAST_IDS), "node").select("node", "first.doc_id", "first.th"), "paired")
             first = _hashed(docs).join(small_side(paired, BROADCAST_IDS), ["doc_id", "th"])
