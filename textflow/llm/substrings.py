@@ -210,6 +210,7 @@ def _across(found: DataFrame) -> DataFrame:
     return out.where("cand").drop("cand")
 
 
+_SPANS = "array<struct<start: bigint, end: bigint>>"
 _MEMBER = "tid long, a int, left int, twin boolean, context binary"
 _MEMBERS = ("tid", "a", "left", "twin", "context")
 
@@ -223,8 +224,8 @@ def _contexts(distinct: DataFrame, wanted: DataFrame, length: int, block: int, c
     def run(batches):
         for batch in batches:
             out = []
-            for tid, text, todo in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                raw = text.encode()
+            for tid, doc, todo in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                raw = doc["text"].encode()
                 for x in todo:
                     low = max(0, x["a"] - reach)
                     out.append((x["k"], x["h"], tid, x["a"], x["a"] - low, x["twin"], raw[low : x["a"] + length]))
@@ -235,7 +236,12 @@ def _contexts(distinct: DataFrame, wanted: DataFrame, length: int, block: int, c
                 yield pa.RecordBatch.from_arrays([pa.array(pid), *columns], ["pid", "k", "h", *_MEMBERS])
 
     todo = wanted.groupBy("tid").agg(F.collect_list(F.struct("k", "h", "a", "twin")).alias("todo"))
-    return distinct.select("tid", "text").join(todo.hint("shuffle_hash"), "tid").select("tid", "text", "todo").mapInArrow(run, f"pid int, k long, h int, {_MEMBER}")
+    return _by_tid(distinct).join(todo.hint("shuffle_hash"), "tid").select("tid", "doc", "todo").mapInArrow(run, f"pid int, k long, h int, {_MEMBER}")
+
+
+def _by_tid(distinct: DataFrame) -> DataFrame:
+    """(tid, doc): the same columns and filter for every join by tid, so that the texts are shuffled once for all."""
+    return distinct.where("tid is not null").select("tid", F.struct("doc_id", "n", "text").alias("doc"))
 
 
 def multikey_order(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -405,8 +411,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, ma
     columns are ignored, an empty table gives an empty one."""
     spark, many = docs.sparkSession, MANY if many is None else many
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("digest", F.when(F.octet_length("text") >= length, F.sha2("text", 256)))
-    long = rows.where("digest is not null").groupBy("digest").agg(F.first("text").alias("text"), F.count("*").alias("n"))
+    rows = rows.withColumn("n_bytes", F.octet_length("text").cast("long")).withColumn("digest", F.when(F.col("n_bytes") >= length, F.sha2("text", 256)))
+    long = rows.where("digest is not null").groupBy("digest").agg(F.first("text").alias("text"), F.first("doc_id").alias("doc_id"), F.count("*").alias("n"))
     distinct = cut(long.withColumn("tid", F.monotonically_increasing_id()), "texts")
     cuts = _splitters(distinct, length, block, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = _suffixes(distinct, length, block, cuts).repartitionById(len(cuts) + 1, "pid").sortWithinPartitions("k", "h", "c")
@@ -422,16 +428,20 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, ma
         spans = spans.unionByName(_spans_of_large_blocks(_contexts(distinct, hot, length, block, cuts), length, block, many))
     settled = marks.where("twin").select("tid", F.greatest(F.col("a") - (length - block), F.lit(0)).cast("long").alias("start"), (F.col("a") + length).cast("long").alias("end"))
     per_text = settled.unionByName(spans).groupBy("tid").agg(F.collect_list(F.struct("start", "end")).alias("found"))
-    once = distinct.where("n = 1").select("tid", "digest", F.lit(1).cast("long").alias("n")).join(per_text, "tid").select("digest", "n", "found")
-    again = distinct.where("n > 1").select("digest", "n", F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias("found"))
-    found = with_group(rows, once.unionByName(again).withColumn("rows", F.col("n")), ["digest"], F.coalesce("doc_id", F.hash("text")), ["rows", "found"])
+    none = F.array().cast(_SPANS)
+    short = rows.where("digest is null").select("doc_id", "n_bytes", none.alias("spans"), F.encode("text", "UTF-8").alias("kept"))
+    repeated = distinct.where("n > 1").select("digest", "n", F.col("n").alias("rows"))
+    again = with_group(rows.where("digest is not null").select("doc_id", "n_bytes", "digest"), repeated, ["digest"], F.coalesce("doc_id", F.hash("digest")), ["rows"]).where("rows > 1")
+    again = again.select("doc_id", "n_bytes", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))).cast(_SPANS).alias("spans"), F.lit(b"").alias("kept"))
 
     def apply(batches):
         for batch in batches:
             out = []
-            for doc, text, n, found in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                raw = text.encode()
-                merged: list[list[int]] = [[0, len(raw)]] if (n or 0) > 1 else []
+            for doc, found in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+                if doc["n"] != 1:  # here and not in a filter, which would give the shuffle below another plan
+                    continue
+                raw = doc["text"].encode()
+                merged: list[list[int]] = []
                 for start, end in sorted((x["start"], min(x["end"], len(raw))) for x in found or ()):
                     if merged and start <= merged[-1][1]:
                         merged[-1][1] = max(end, merged[-1][1])
@@ -441,9 +451,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, ma
                 for start, end in merged:
                     kept.append(raw[at:start])
                     at = end
-                out.append((doc, len(raw), [{"start": s, "end": e} for s, e in merged], b"".join([*kept, raw[at:]])))
+                out.append((doc["doc_id"], len(raw), [{"start": s, "end": e} for s, e in merged], b"".join([*kept, raw[at:]])))
             for i in range(0, len(out), 1000):
                 kinds = (pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out[i : i + 1000], strict=True), kinds, strict=True)], ["doc_id", "n_bytes", "spans", "kept"])
 
-    return found.select("doc_id", "text", "rows", "found").mapInArrow(apply, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    once = _by_tid(distinct).join(per_text, "tid", "left").select("doc", "found")
+    once = once.mapInArrow(apply, f"doc_id long, n_bytes long, spans {_SPANS}, kept binary")
+    return short.unionByName(again).unionByName(once)
