@@ -158,12 +158,13 @@ HINTS = [
 
 def hint_type(*texts: Column) -> Column:
     blob = F.trim(F.concat_ws(" ", *(F.nullif(t, F.lit("")) for t in texts)))
-    out = F.when(blob == "", "unknown")
-    low = F.lower(blob)
-    for name, pattern in HINTS:
-        words = pattern.split("|")
-        literal = [w for w in words if re.fullmatch(r"[^\\\[\](){}.*+?^$]+", w)]
-        rest = "|".join(w for w in words if w not in literal)
-        found = any_of([low.contains(w) for w in literal])
-        out = out.when(found | blob.rlike(f"(?iU){rest}") if rest else found, name)
-    return out.when(redacted_count(blob) >= 3, "pii_generic").otherwise("unknown")
+
+    def kind(low: Column) -> Column:
+        out = F.when(low == "", "unknown")
+        for name, pattern in HINTS:
+            bare = [(w, w.replace(r"\b", "")) for w in pattern.split("|")]  # words, some with an edge; the edge is looked for last
+            out = out.when(any_of([low.contains(b) if b == w else low.contains(b) & low.rlike(f"(?U){w}") for w, b in bare]), name)
+        return out.when(low.contains("xx") & (redacted_count(low) >= 3), "pii_generic").otherwise("unknown")
+
+    # a variable of a lambda, so that the text is put into lower case once and not once for each word
+    return F.transform(F.array(F.lower(blob)), kind)[0]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textflow.functions import synth
@@ -124,17 +124,17 @@ def sensitive_mask_roundtrip(spark, sf_dir):
 
 
 def _pairs(spark, sf_dir) -> DataFrame:
-    """Documents as items: a text is the source, the text of the document beside it (doc_id 2k and 2k + 1) the target."""
-    d = _docs(spark, sf_dir)
-    other = d.select(F.col("doc_id").bitwiseXOR(F.lit(1)).alias("doc_id"), F.col("text").alias("target"))
-    return d.join(other, "doc_id", "left").select("doc_id", F.col("text").alias("source"), F.coalesce("target", F.lit("")).alias("target"))
+    """Turns as items: a turn's text is the source, that of the next turn the target (empty after the last); doc_id is a number
+    of conversation and turn."""
+    after = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    return table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), F.col("text").alias("source"), F.coalesce(after, F.lit("")).alias("target"))
 
 
 def _items(spark, sf_dir) -> DataFrame:
     return rules.annotate(_pairs(spark, sf_dir), "source", PACK)
 
 
-_PAIRS = "SELECT d.doc_id, d.text AS source, coalesce(o.text, '') AS target FROM documents d LEFT JOIN documents o ON o.doc_id = xor(d.doc_id, CAST(1 AS BIGINT))"
+_PAIRS = "SELECT conv_id * 1000 + turn AS doc_id, text AS source, coalesce(lead(text) OVER (PARTITION BY conv_id ORDER BY turn), '') AS target FROM conversations"
 
 
 def _sql_checked(pairs: str = _PAIRS) -> str:
