@@ -19,6 +19,7 @@ work grows with its nodes; for the pairs between components only its nodes outsi
 from __future__ import annotations
 
 import functools
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textflow.llm._shared import cut, small_side, with_group
-from textflow.llm._words import LOWER, distinct, mix, prefix_hash, shingles, texts, window, words
+from textflow.llm._words import LOWER, distinct, mix, shingles, texts, word_hashes, words
 from textflow.llm.components import components
 
 CHUNKS, WIDTH, ERRORS = 10, 4, 1
@@ -57,7 +58,7 @@ def shingle_sets(column: pa.Array, size: int = 5) -> Iterator[tuple[int, int, np
     for t in texts(column):
         data = LOWER[t.data]
         w = words(t)
-        rows, values = distinct(*shingles(w, window(prefix_hash(data), w.start, w.end), size))
+        rows, values = distinct(*shingles(w, word_hashes(data, w.start, w.end), size))
         yield t.first, len(t), rows, values
 
 
@@ -228,10 +229,10 @@ def bucket_pairs(members: DataFrame, most: int) -> DataFrame:
                 if j - i < 2:
                     continue
                 order = np.argsort(node[i:j], kind="stable")
-                name = node[i:j][order].tobytes()
-                if not most and hash(name) in seen:  # the same members under another key
+                name = hashlib.blake2b(node[i:j][order], digest_size=16).digest()
+                if not most and name in seen:  # the same members under another key
                     continue
-                seen.add(hash(name))
+                seen.add(name)
                 s = np.frombuffer(b"".join(sig[i:j][order]), np.uint8 if most else np.uint16).reshape(j - i, -1)
                 x, y, more = _crossing(node[i:j][order], comp[i:j][order], side[i:j][order], s, int(slot[i]), most) if most else _forest(node[i:j][order], s)
                 a += x

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textflow.llm._shared import cut
-from textflow.llm._words import LOWER, SPACE, prefix_hash, shingles, texts, window, words
+from textflow.llm._words import LOWER, SPACE, shingles, texts, word_hashes, words
 
 #: Character classes: lower and upper case ASCII letters, code points above ASCII, digits, white space, sentence marks,
 #: other ASCII marks, controls.
@@ -49,7 +49,7 @@ def base_statistics(t, raw: list[bytes]) -> dict[str, np.ndarray]:
         return sums[t.ends] - sums[t.starts]
 
     out = {"n_words": w.count, "word_chars": per_row(solid & ((t.data & 0xC0) != 0x80)), "n_symbols": per_row(_SYMBOL[t.data])}
-    h = window(prefix_hash(t.data), w.start, w.end)
+    h = word_hashes(t.data, w.start, w.end)
     repeat = np.zeros(n, np.int64)
     rows, values = shingles(w, h, 5, short=False)
     if len(rows):
