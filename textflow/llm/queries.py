@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textflow.llm import langid, mixing, neardup, packing, quality, secrets, substrings, topk, urls, warc
+from textflow.llm import importance, jaccard, langid, mixing, neardup, packing, periods, quality, secrets, substrings, topk, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -86,7 +86,29 @@ def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, max_repeat=MAX_REPEAT).select("doc_id", "source", mixing.token_count(F.col("text")).alias("n_tokens"), F.round("weight", 9).alias("weight"), "copies")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of all documents, one in ten of which is made periodic first: their number, the one with the greatest exponent, and
+    digests of all runs and of the words that are left without repeats."""
+    found = periods.periodic_runs(_table(spark, sf_dir, "documents", "doc_id", "text"), planted=True)
+    lines = F.concat_ws("", F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n"))))
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2("words", 256).alias("collapsed_sha256"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One in twenty of all documents, drawn by their likeness to the benchmark's texts: weights, scores and ranks of all."""
+    found = importance.resample(_table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "benchmark", "text"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked by a similarity of 0.90 on three-word shingles."""
+    return jaccard.jaccard_groups(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_ngram_jaccard_join": op13_ngram_jaccard_join,
     "op7_temperature_mixing": op7_temperature_mixing,
     "op10_exact_topk": op10_exact_topk,
     "op1_url_filter": op1_url_filter,
