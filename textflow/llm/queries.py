@@ -123,20 +123,49 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {}
 
-ORACLE_SQL["op6_minhash_near_dedup"] = r"""
+
+
+def _similar(size: int, percent: int) -> str:
+    """reach: the documents that links of similar shingle sets reach from each; sizes: of the sets."""
+    return rf"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
          '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
 sh AS (
-  SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
-         ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS s FROM docs),
+  SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < {size} THEN [array_to_string(words, ' ')]
+         ELSE list_transform(range(1, len(words) - {size - 2}), lambda i: array_to_string(words[i:i + {size - 1}], ' ')) END) AS s FROM docs),
 sets AS (SELECT DISTINCT doc_id, s FROM sh),
 sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
 pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-links AS (SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * common >= 75 * (p.n + q.n - common)),
-reach(doc_id, other) AS (SELECT doc_id, doc_id FROM docs UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other)
-SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
-FROM docs d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
+links AS (SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * common >= {percent} * (p.n + q.n - common)),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM docs UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other),
+found AS (SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+  FROM docs d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id))
+"""
+
+
+ORACLE_SQL["op6_minhash_near_dedup"] = _similar(5, 75) + "SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM found"
+ORACLE_SQL["op13_ngram_jaccard_join"] = _similar(3, 90) + "SELECT doc_id, n_shingles, component_id FROM found"
+
+#: CRC-32 of a list of bytes: the value of a byte is made by eight shifts, that of a list by one lookup for each byte.
+_CRC_SQL = """
+powers AS (SELECT list(list_reduce(list_prepend(CAST(i AS BIGINT), CAST(range(8) AS BIGINT[])), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS p FROM range(256) AS r(i))"""
+
+ORACLE_SQL["op12_importance_resampling"] = rf"""
+WITH {_CRC_SQL.strip()},
+texts AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 't', row_number() OVER (), text FROM benchmark),
+w AS (SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts),
+f AS (SELECT side, id, unnest(flatten(list_transform([1, 2, 3], lambda n: list_transform(range(1, len(words) - n + 2), lambda i: array_to_string(words[i:i + n - 1], ' '))))) AS feature FROM w),
+h AS (SELECT feature, hex(encode(feature)) AS x FROM (SELECT DISTINCT feature FROM f)),
+b AS (SELECT feature, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT))), lambda c, v: xor(c >> 8, p[1 + (xor(c, v) & 255)])), 4294967295) % {importance.BUCKETS} AS bucket FROM h, powers),
+n AS (SELECT side, id, bucket, count(*) AS n FROM f JOIN b USING (feature) GROUP BY 1, 2, 3),
+c AS (SELECT g.bucket, coalesce(sum(n) FILTER (WHERE side = 'd'), 0) AS s, coalesce(sum(n) FILTER (WHERE side = 't'), 0) AS t FROM range({importance.BUCKETS}) AS g(bucket) LEFT JOIN n ON n.bucket = g.bucket GROUP BY 1),
+gain AS (SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(sum(s) OVER () + {importance.BUCKETS} AS DOUBLE) / (CAST(s + 1 AS DOUBLE) * CAST(sum(t) OVER () + {importance.BUCKETS} AS DOUBLE)))) AS BIGINT) AS g FROM c),
+weights AS (SELECT id, sum(n) AS n_features, sum(n * g) AS weight FROM n JOIN gain USING (bucket) WHERE side = 'd' GROUP BY id),
+scored AS (SELECT d.id AS doc_id, len(d.words) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+  CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{importance.SEED}:' || d.id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM w d LEFT JOIN weights x ON x.id = d.id WHERE d.side = 'd'),
+ranks AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN rank <= 5 * n // 100 THEN rank END AS rank FROM scored s LEFT JOIN ranks USING (doc_id)
 """
 
 _PARTS = r"""
