@@ -4,7 +4,8 @@ Sets are ordered by one order of all shingles, rare ones first (by counters over
 a similarity of t or more, the first common shingle is within the first n - ceil(t * n) + 1 of each (n shingles), so only these
 are listed: for each shingle the sets that have it there, with size and position. A list is sorted by size, then position; what
 is left of both sets from a common position on bounds what they share, so of each size a list is read up to a position, and
-sizes out of range not at all.
+sizes out of range not at all. Pairs that meet in a list are compared by a few bits for each set first, which bound
+from below how much they differ, then by their whole sets.
 
 Relations between sets save the rest. Equal sets are one from the start. A list of up to PIVOTS sets is compared whole. In a
 longer one some sets, the same in most lists, are pivots: only they are compared with the others, by their whole sets, down to a
@@ -29,12 +30,12 @@ from pyspark.sql import functions as F
 from textflow.llm._shared import cut, small_side, with_group
 from textflow.llm._words import mix
 from textflow.llm.components import components
-from textflow.llm.neardup import shingle_sets
+from textflow.llm.neardup import _runs, shingle_sets
 
 #: Counters of shingles that order them, a power of two: more make hot shingles of larger corpora stand out.
 COUNTERS = 1 << 18
 #: Pivots of a list in the first round, and how many times as many in each further one.
-PIVOTS, GROWTH = 6, 6
+PIVOTS, GROWTH = 4, 6
 #: Rows of a list that one task reads.
 LIST = 50_000
 #: Ids up to which a table is broadcast.
@@ -72,13 +73,14 @@ def needed(n, m, percent: int):
 
 def prefixes(docs: DataFrame, percent: int, size: int, levels: np.ndarray) -> DataFrame:
     """docs (doc_id, text) -> doc_id, th (the text's hash), n_shingles, d1, d2 (digests of the set), prefix (the hashes of its first
-    shingles in order, eight bytes each)."""
+    shingles in order, eight bytes each), bits (for each remainder of the hashes whether an odd number has it, of about as many
+    remainders as shingles)."""
     shared, low = docs.sparkSession.sparkContext.broadcast(levels), np.uint64(len(levels) - 1)
 
     def run(batches):
         of = shared.value
         for batch in batches:
-            n, d1, d2, prefix = [], [], [], []
+            n, d1, d2, prefix, bits = [], [], [], [], []
             for _, m, rows, values in shingle_sets(batch.column(2), size):
                 count = np.bincount(rows, minlength=m)
                 sums = np.zeros((2, m), np.uint64)
@@ -92,12 +94,15 @@ def prefixes(docs: DataFrame, percent: int, size: int, levels: np.ndarray) -> Da
                     a, b = begin[i], begin[i] + count[i]
                     order = np.argsort(level[a:b], kind="stable")[: prefix_length(int(count[i]), percent)]  # values are sorted
                     prefix.append(values[a:b][order].tobytes())
+                    width = 1 << max(6, (int(count[i]) - 1).bit_length())
+                    odd = np.bincount((values[a:b] & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+                    bits.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
                 n.append(count), d1.append(sums[0].view(np.int64)), d2.append(sums[1].view(np.int64))
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.concatenate(x).astype(np.int64)) for x in (n, d1, d2)), pa.array(prefix, pa.binary())], ["doc_id", "th", "n_shingles", "d1", "d2", "prefix"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.concatenate(x).astype(np.int64)) for x in (n, d1, d2)), pa.array(prefix, pa.binary()), pa.array(bits, pa.binary())], ["doc_id", "th", "n_shingles", "d1", "d2", "prefix", "bits"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    return rows.mapInArrow(run, "doc_id long, th long, n_shingles long, d1 long, d2 long, prefix binary")
+    return rows.mapInArrow(run, "doc_id long, th long, n_shingles long, d1 long, d2 long, prefix binary, bits binary")
 
 
 def lists(nodes: DataFrame) -> DataFrame:
@@ -131,59 +136,87 @@ def unskipped(n: int, p: int, sizes: np.ndarray, begin: np.ndarray, at: np.ndarr
     return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
-def list_pairs(rows: DataFrame, pivots: int, percent: int, near: int) -> DataFrame:
-    """rows (key, node, n, at, length) -> (a, b) of sets to compare. Of a list with up to `pivots` + 1 rows, all pairs that
-    may have `percent`; of a longer one the pairs with its pivots that may have `near`. Pivots are the nodes with the smallest
-    hashes. Long lists are dealt to several tasks, each with all pivots, and read in batches: memory doesn't grow with a list."""
+def _whole_lists(rows: DataFrame, most: int, percent: int) -> DataFrame:
+    """All pairs (a, b) of lists (key, node, n, at) of up to `most` rows that may have `percent`."""
+
+    def run(batches):
+        for key, node, n, at in _runs(batches, 4):
+            for d in range(1, min(most, len(key))):
+                i = np.flatnonzero(key[d:] == key[:-d])
+                if not len(i):
+                    break
+                need = needed(n[i], n[i + d], percent)
+                i = i[np.minimum(n[i] - at[i], n[i + d] - at[i + d]) >= need]  # sizes out of range need more than one has
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[i + d])], ["a", "b"])
+
+    own = rows.where(F.col("length") <= most).select("key", "node", "n", "at")
+    return own.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+
+
+def _pivot_pairs(rows: DataFrame, pivots: int, near: int) -> DataFrame:
+    """The pairs (a, b) of each list with its pivots, the nodes with the smallest hashes, that may have `near`. Lists are dealt to
+    several tasks, each with all pivots, and read in batches: memory doesn't grow with a list."""
     order = F.xxhash64("node", F.lit(13))
     w = Window.partitionBy("key").orderBy(order, "node")
-    first = rows.withColumn("k", F.row_number().over(w)).where(F.col("k") <= pivots + 1)  # cut off before the shuffle as well
-    first = first.where(F.col("k") <= F.when(F.col("length") > pivots + 1, pivots).otherwise(pivots + 1))
+    heads = rows.withColumn("k", F.row_number().over(w)).where(F.col("k") <= pivots)  # cut off before the shuffle as well
     parts = F.ceil(F.col("length") / LIST).cast("int")
-    heads = first.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("k", F.col("k").cast("int"))
-    tails = rows.withColumn("part", F.pmod(order, parts).cast("int")).withColumn("k", F.lit(0))
-    tails = tails.where(F.col("length") > pivots + 1)
-    names = ["key", "part", "k", "node", "n", "at", "length"]
-    dealt = heads.select(*names).unionByName(tails.select(*names))
-    dealt = dealt.repartition("key", "part").sortWithinPartitions("key", "part", F.col("k") == 0, "n", "at")
-
-    def pairs_of(head, node, n, at, whole, out):
-        """head: rows of pivots as arrays; the others are sorted by n, at."""
-        begin = np.r_[np.flatnonzero(np.r_[True, n[1:] != n[:-1]]), len(n)]
-        for x, p, q in zip(*head, strict=True):
-            left = unskipped(int(p), int(q), n[begin[:-1]], begin, at, percent if whole else near, whole)
-            other = node[left]
-            other = other[other > x] if whole else other[other != x]
-            if len(other):
-                out.append((np.full(len(other), x), other))
+    heads = heads.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("head", F.lit(True))
+    tails = rows.withColumn("part", F.pmod(order, parts).cast("int")).withColumn("head", F.lit(False))
+    names = ["key", "part", "head", "node", "n", "at"]
+    dealt = heads.select(*names).unionByName(tails.select(*names)).repartition("key", "part").sortWithinPartitions("key", "part", F.desc("head"), "n", "at")
 
     def run(batches):
-        last, head = None, None
+        last, head = None, []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, part, k, node, n, at, length = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            edges = np.r_[np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1])]), len(key)]
+            key, part, is_head, node, n, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            edges = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1]), True])
             out = []
             for i, j in zip(edges[:-1], edges[1:], strict=True):
-                new = (key[i], part[i]) != last
-                last = (key[i], part[i])
-                s = i + int((k[i:j] > 0).sum())
-                own = node[i:s], n[i:s], at[i:s]
-                head = own if new or head is None else tuple(np.concatenate(x) for x in zip(head, own, strict=True))
-                if length[i] <= pivots + 1:
-                    if new and len(own[0]) == length[i]:
-                        pairs_of(own, *own, True, out)
-                    elif len(head[0]) == length[i]:  # the list was cut by a batch
-                        order = np.lexsort((head[2], head[1]))
-                        own = tuple(x[order] for x in head)
-                        pairs_of(own, *own, True, out)
-                elif s < j:
-                    pairs_of(head, node[s:j], n[s:j], at[s:j], False, out)
+                if (key[i], part[i]) != last:
+                    last, head = (key[i], part[i]), []
+                s = i + int(is_head[i:j].sum())
+                head += zip(node[i:s].tolist(), n[i:s].tolist(), at[i:s].tolist(), strict=True)
+                own_node, own_n, own_at = node[s:j], n[s:j], at[s:j]
+                begin = np.flatnonzero(np.r_[True, own_n[1:] != own_n[:-1], True]) if s < j else np.zeros(1, np.int64)
+                for x, m, p in head if s < j else ():
+                    other = own_node[unskipped(m, p, own_n[begin[:-1]], begin, own_at, near, False)]
+                    other = other[other != x]
+                    if len(other):
+                        out.append((np.full(len(other), x), other))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def list_pairs(rows: DataFrame, pivots: int, percent: int, near: int) -> DataFrame:
+    """rows (key, node, n, at, length) -> distinct (a, b), a < b, of sets to compare: all pairs of lists with up to `pivots` + 1
+    rows, of longer ones those with pivots."""
+    both = _whole_lists(rows, pivots + 1, percent).unionByName(_pivot_pairs(rows.where(F.col("length") > pivots + 1), pivots, near))
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def sieved(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """pairs (a, b) without those whose bits, of nodes (node, n, bits), differ in more places than sets with `percent` may differ
+    in shingles: each place that differs takes one at least. Bits of more places are folded to those of fewer."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True):
+                small, large = sorted((x, y), key=len)
+                low, high, width = int.from_bytes(small, "little"), int.from_bytes(large, "little"), 8 * len(large)
+                while width > 8 * len(small):
+                    width //= 2
+                    high = (high >> width) ^ (high & ((1 << width) - 1))
+                keep.append((low ^ high).bit_count() <= n + m - 2 * needed(n, m, percent))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    of = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int, near: int) -> DataFrame:
@@ -260,8 +293,8 @@ def hashed_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def links_of(docs: DataFrame, groups: DataFrame, percent: int, size: int) -> DataFrame:
-    """docs and groups (node, n, first (doc_id, th), prefix) -> (a, b): links that connect all nodes that are linked in any way."""
-    near = max(1, 2 * percent - 100)
+    """docs and groups (node, n, first (doc_id, th), prefix, bits) -> (a, b): links that connect all nodes that are linked in any way."""
+    near = 2 * percent - 100
     rows = cut(lists(groups), "lists")
     sets = None
     answers: list[DataFrame] = []
@@ -271,11 +304,12 @@ def links_of(docs: DataFrame, groups: DataFrame, percent: int, size: int) -> Dat
         if known is not None:
             pairs = pairs.join(known, ["a", "b"], "left_anti")
         pairs = cut(pairs, "pairs")
+        close = cut(sieved(pairs, groups, near), "close")
         left = rows.where(F.col("length") > pivots + 1)
         if sets is None:
-            asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(left.select("node")).distinct()
+            asked = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).unionByName(left.select("node")).distinct()
             sets = cut(hashed_sets(docs, cut(asked.join(groups, "node").select("node", "first.doc_id", "first.th"), "asked"), size), "sets")
-        answers.append(cut(compared(pairs, sets, percent, near), "answers"))
+        answers.append(cut(compared(close, sets, percent, near), "answers"))
         if not left.limit(1).count():
             break
         known = pairs if known is None else cut(known.unionByName(pairs), "known")
@@ -314,7 +348,7 @@ def jaccard_groups(docs: DataFrame, percent: int = 90, size: int = 3) -> DataFra
     found = cut(prefixes(docs, percent, size, shingle_levels(docs, size)), "prefixes")
     keys = ["n_shingles", "d1", "d2"]
     usable = found.where("n_shingles > 0 and doc_id is not null")
-    groups = usable.groupBy(*keys).agg(F.min(F.struct("doc_id", "th")).alias("first"), F.min("prefix").alias("prefix"), F.count("*").alias("rows"))
+    groups = usable.groupBy(*keys).agg(F.min(F.struct("doc_id", "th")).alias("first"), F.min("prefix").alias("prefix"), F.min("bits").alias("bits"), F.count("*").alias("rows"))
     groups = cut(groups.withColumn("node", F.monotonically_increasing_id()).withColumn("n", F.col("n_shingles")), "sets")
     links = links_of(docs, groups, percent, size).unionByName(_same_id(usable, groups, keys))
     comp = components(links)

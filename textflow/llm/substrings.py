@@ -35,8 +35,9 @@ from textflow.llm._shared import cut, small_side, with_group
 from textflow.llm._words import mix, prefix_hash, texts, window
 
 LENGTH, BLOCK = 200, 64
-#: Texts and anchors in the sample that the splitters come from, about.
+#: Texts and anchors in the sample that the splitters come from, about: at least so many, and at least so many for each range.
 SAMPLE, SPLITTERS = 2000, 50_000
+TEXTS_EACH, ANCHORS_EACH = 1, 20
 #: Contexts of a block beyond which they aren't gathered in one task.
 MANY = 20_000
 #: A second base for fingerprints of 128 bits.
@@ -115,17 +116,18 @@ def _suffixes(distinct: DataFrame, length: int, block: int, cuts: np.ndarray, pa
 
 
 def _splitters(distinct: DataFrame, length: int, block: int, n: int) -> np.ndarray:
-    """n - 1 rows (k, h, c, tid, a) that part the suffixes into about equal ranges; the driver gets about SPLITTERS rows."""
+    """Up to n - 1 rows (k, h, c, tid, a) that part the suffixes into about equal ranges: all of the sample's, if it has fewer
+    suffixes. The sample grows with n; the driver gets about max(SPLITTERS, ANCHORS_EACH * n) rows of 36 bytes."""
     sizes = distinct.select("tid", F.octet_length("text").alias("size"), (F.pmod(F.xxhash64("tid"), F.lit(1 << 30)) / F.lit(1 << 30)).alias("u"))
     total = sizes.count()
-    share = min(1.0, SAMPLE / max(total, 1))
+    share = min(1.0, max(SAMPLE, TEXTS_EACH * n) / max(total, 1))
     size = sizes.where(F.col("u") < share).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     some = distinct.where(F.pmod(F.xxhash64("tid"), F.lit(1 << 30)) / F.lit(1 << 30) < share)
-    sample = _suffixes(some, length, block, np.empty((0, 5), np.int64), min(1.0, SPLITTERS * (length - block) / 2 / max(size, 1)))
+    sample = _suffixes(some, length, block, np.empty((0, 5), np.int64), min(1.0, max(SPLITTERS, ANCHORS_EACH * n) * (length - block) / 2 / max(size, 1)))
     rows = sample.select("k", F.col("h").cast("long"), "c", "tid", F.col("a").cast("long")).toArrow()
     keys = np.stack([x.to_numpy() for x in rows.columns], 1) if rows.num_rows else np.empty((0, 5), np.int64)
-    keys = keys[np.lexsort(keys.T[::-1])]
-    return keys[np.linspace(0, len(keys), n + 1).astype(int)[1:-1]] if len(keys) >= n else keys[:0]
+    keys = np.unique(keys, axis=0)
+    return keys[np.unique(np.linspace(0, len(keys), min(n, len(keys)) + 1).astype(int)[1:-1])] if len(keys) else keys
 
 
 def _runs(batches, columns: int) -> Iterator[list[np.ndarray]]:
