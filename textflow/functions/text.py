@@ -95,12 +95,6 @@ def word_pattern(word: str, ignore_case: bool = True) -> str:
     return ("(?i)" if ignore_case else "") + (f"(?<![A-Za-z]){body}(?![A-Za-z])" if edge else body)
 
 
-def trigger(c: Column, word: str) -> Column:
-    """Whether a lower-case trigger stands in a text: up to 4 characters as a word of its own, else anywhere."""
-    low = word.lower()
-    return F.lower(c).rlike(f"(?<![a-z]){re.escape(low)}(?![a-z])") if len(low) <= 4 else F.lower(c).contains(low)
-
-
 def once(c: Column) -> Column:
     """c, with a condition that is always true but that the optimizer can't know to be: an expression that others build on
     is then made in its own projection and nowhere else, where the optimizer would copy large ones into filters and
@@ -120,12 +114,6 @@ def names_where(pairs: list[tuple[str, Column]]) -> Column:
     return F.array_compact(F.array(*(F.when(c, n) for n, c in pairs))) if pairs else F.array().cast("array<string>")
 
 
-def missing_words(a: Column, b: Column, words: list[str]) -> Column:
-    """Words that stand in a but not in b, in any case."""
-    la, lb = F.lower(F.coalesce(a, F.lit(""))), F.lower(F.coalesce(b, F.lit("")))
-    return names_where([(w, la.contains(w) & ~lb.contains(w)) for w in words])
-
-
 def error_code(c: Column) -> Column:
     return F.split_part(c, F.lit(":"), F.lit(1))
 

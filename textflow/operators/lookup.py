@@ -22,11 +22,17 @@ def _pick(df: DataFrame, keys: list[str], seq: str, by: Callable) -> DataFrame:
     return df.groupBy(*keys).agg(by(F.struct(*rest), F.col(seq)).alias("row")).select(*keys, "row.*")
 
 
+def latest(cache: DataFrame) -> DataFrame:
+    """One row (source, target) for each source of a cache that may have it several times: by seq, where there is such a column,
+    the last wins; without it the largest target does."""
+    if "seq" in cache.columns:
+        return last_wins(cache.select("source", "target", "seq"), ["source"], "seq").select("source", "target")
+    return cache.groupBy("source").agg(F.max("target").alias("target"))
+
+
 def cached(items: DataFrame, cache: DataFrame, key: str = "source") -> DataFrame:
-    """items with target and hit from cache (source, target, and seq if it may have a source twice: the last wins; without seq
-    the largest target does)."""
-    one = last_wins(cache.select("source", "target", "seq"), ["source"], "seq") if "seq" in cache.columns else cache.groupBy("source").agg(F.max("target").alias("target"))
-    found = items.join(one.select(F.col("source").alias(key), "target"), key, "left")
+    """items with target and hit from the latest() of cache."""
+    found = items.join(latest(cache).select(F.col("source").alias(key), "target"), key, "left")
     return found.withColumn("hit", F.col("target").isNotNull())
 
 
@@ -39,11 +45,11 @@ def pending(items: DataFrame, *done: DataFrame, key: str = "source") -> DataFram
 
 
 def translation_map(texts: DataFrame, skipped: DataFrame, cache: DataFrame, log: DataFrame) -> DataFrame:
-    """texts (source) -> source, target, origin: skipped texts keep themselves, then the cache counts, then the log's last
+    """texts (source) -> source, target, origin: skipped texts keep themselves, then the latest() of cache counts, then the log's last
     row (source, target, status, seq) if it was accepted; origin is failed if that was all there is, else missing."""
     last = last_wins(log, ["source"], "seq").select("source", F.col("target").alias("log_target"), "status")
     out = texts.select("source").distinct().join(skipped.select("source").distinct().withColumn("skip", F.lit(True)), "source", "left")
-    out = out.join(cache.select("source", F.col("target").alias("cache_target")), "source", "left").join(last, "source", "left")
+    out = out.join(latest(cache).withColumnRenamed("target", "cache_target"), "source", "left").join(last, "source", "left")
     skip, accepted = F.coalesce("skip", F.lit(False)), F.when(F.col("status") == "accepted", F.col("log_target"))
     target = F.coalesce(F.when(skip, F.col("source")), "cache_target", accepted)
     origin = F.when(skip, "skip").when(F.col("cache_target").isNotNull(), "cache").when(accepted.isNotNull(), "log").when(F.col("status") == "failed", "failed").otherwise("missing")
@@ -69,8 +75,8 @@ def misses(items: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def all_or_nothing(rows: DataFrame, key: str, fields: list[str], lists: list[str], cache: DataFrame) -> DataFrame:
-    """rows with every field and every list element replaced by its target; a row with a miss is left out. Empty cells
-    translate to themselves."""
+    """rows with every field and every list element replaced by its target in the latest() of cache; a row with a miss is left out.
+    Empty cells translate to themselves."""
     cells = [F.struct(F.lit(f).alias("field"), F.lit(0).alias("pos"), F.coalesce(f, F.lit("")).alias("source")) for f in fields]
 
     def elements(name: str) -> Column:
@@ -78,7 +84,7 @@ def all_or_nothing(rows: DataFrame, key: str, fields: list[str], lists: list[str
 
     parts = [F.array(*cells), *map(elements, lists)]
     flat = rows.select(key, F.explode(F.concat(*parts)).alias("c")).select(key, "c.*")
-    found = flat.join(cache.select("source", "target"), "source", "left").withColumn("target", F.when(F.col("source") == "", "").otherwise(F.col("target")))
+    found = flat.join(latest(cache), "source", "left").withColumn("target", F.when(F.col("source") == "", "").otherwise(F.col("target")))
     values = [F.max(F.when(F.col("field") == f, F.col("target"))).alias(f) for f in fields]
     values += [F.transform(F.array_sort(F.collect_list(F.when(F.col("field") == c, F.struct("pos", "target")))), lambda x: x["target"]).alias(c) for c in lists]
     return found.groupBy(key).agg(F.bool_and(F.col("target").isNotNull()).alias("whole"), *values).where("whole").drop("whole")

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textflow.functions import text
-from textflow.operators.rules import Rules
+from textflow.operators import dictionary
+from textflow.operators.rules import Rules, _triggers, terms_in
 
 #: Phrases of the target language that excuse a forbidden word, and phrases of the source language that ask for
 #: two opposite actions at once.
@@ -61,6 +62,10 @@ def hard_qa(items: DataFrame, rules: Rules) -> DataFrame:
     t = F.coalesce("target", F.lit(""))
     src = F.coalesce("source", F.lit(""))
     low_t, low_s = F.lower(t), F.lower(src)
+    expected = {f"t{name}": x for name, x in _triggers(rules.terms, "expected").items()} | {f"a{name}": x for name, x in _triggers(rules.actions, "expected").items()}
+    items = items.withColumns({
+        "_lost": dictionary.lost_names(F.col("entities"), low_t, rules.longest_first, rules.aliases), "_terms": terms_in(src, rules), "_expected": dictionary.groups_in(low_t, expected),
+    })
     tokens = items.withColumn("latin_tokens", text.once(text.latin_tokens(t))).withColumn("_source_latin", text.once(F.transform(F.array_union(text.latin_tokens(src), F.flatten(F.transform(F.coalesce("entities", F.array().cast("array<string>")), text.latin_tokens))), F.lower)))
     # the rules on single words need lambdas; they have a projection of their own
     may = lambda x: allowed_latin(x, F.col("_source_latin"), rules)
@@ -85,19 +90,14 @@ def hard_qa(items: DataFrame, rules: Rules) -> DataFrame:
     warnings.append(F.when((ratio < least) & only_names, F.concat(F.lit("script_ratio_low_but_product_heavy:"), shown)))
     warnings.append(F.when((ratio >= least) & (least < 0.55), F.concat(F.lit("script_ratio_relaxed:"), shown)))
     mid_errors, mid_warnings = [], []
-    for name in rules.longest_first:
-        lost = F.array_contains("entities", name) & ~low_t.contains(name.lower())
-        alias = text.any_of([low_t.contains(a.lower()) for a in rules.aliases.get(name, [])])
-        mid_errors.append(F.when(lost & ~alias, f"missing_entity:{name}"))
-        mid_warnings.append(F.when(lost & alias, f"entity_translated_ok:{name}"))
     for name, others in rules.confusions.items():
         for other in others:
             covered = text.any_of([low_t.contains(e.lower()) & F.array_contains("entities", e) for e in rules.entities if other in e])
             drift = F.array_contains("entities", name) & low_t.contains(other.lower()) & ~F.array_contains("entities", other) & ~src.contains(other) & ~low_t.contains(name.lower()) & ~covered
             mid_errors.append(F.when(drift, f"entity_drift:{name}->{other}"))
     for name, spec in rules.terms.items():
-        expected, bad = [e.lower() for e in spec.get("expected", [])], [f.lower() for f in spec.get("forbidden", [])]
-        lost = text.any_of([text.trigger(src, x) for x in spec.get("triggers", [])]) & ~_has(low_t, expected) if expected else F.lit(False)
+        bad = [f.lower() for f in spec.get("forbidden", [])]
+        lost = F.array_contains("_terms", name) & ~F.array_contains("_expected", f"t{name}") if spec.get("expected") else F.lit(False)
         mid_warnings.append(F.when(lost, f"term_missing:{name}"))
         mid_errors.append(F.when(lost & text.any_of([forbidden_in(low_t, f) for f in bad]), f"term_confusion:{name}"))
     bare = F.regexp_replace(low_s, r"(?U)\s+", " ")
@@ -105,10 +105,10 @@ def hard_qa(items: DataFrame, rules: Rules) -> DataFrame:
     plain = F.regexp_replace(F.translate(t, text.TATWEEL, ""), f"[{text.HARAKAT}]", "")
     both_active = _has(low_s, ACTIVATING) & _has(low_s, DEACTIVATING) & _has(plain, ACTIVATE_PHRASES) & _has(plain, DEACTIVATE_PHRASES)
     for name, spec in rules.actions.items():
-        expected, bad = [e.lower() for e in spec.get("expected", [])], [f.lower() for f in spec.get("forbidden", [])]
+        bad = [f.lower() for f in spec.get("forbidden", [])]
         on = F.array_contains("actions", name)
-        if expected:
-            mid_warnings.append(F.when(on & ~_has(low_t, expected), f"action_missing:{name}"))
+        if spec.get("expected"):
+            mid_warnings.append(F.when(on & ~F.array_contains("_expected", f"a{name}"), f"action_missing:{name}"))
         if bad:
             excuse, code = (both_blocks, "dual_block_unblock_allowed") if name == "memblokir" else (both_active, "dual_activate_deactivate_allowed") if name in ("activate", "deactivate") else (F.lit(False), "")
             mid_warnings.append(F.when(on & excuse, code))
@@ -117,11 +117,12 @@ def hard_qa(items: DataFrame, rules: Rules) -> DataFrame:
     last = [F.when(length < 0.35, F.concat(F.lit("maybe_too_short:"), F.format_string("%.2f", length))), F.when(length > 3.5, F.concat(F.lit("maybe_too_long:"), F.format_string("%.2f", length)))]
     none = F.array().cast("array<string>")
     pack = lambda xs: F.array_compact(F.array(*xs)) if xs else none
+    named = lambda code, part: F.transform(F.col("_lost")[part], lambda x: F.concat(F.lit(code), x))
     out = tokens.withColumns({
-        "hard_errors": text.once(F.concat(pack(errors), "_latin_errors", pack(mid_errors), pack([F.when(text.leaked_markup(t), "markdown_or_json_leakage")]))),
-        "hard_warnings": text.once(F.concat(pack(warnings), "_latin_warnings", pack(mid_warnings), pack(last))),
+        "hard_errors": text.once(F.concat(pack(errors), "_latin_errors", named("missing_entity:", "missing"), pack(mid_errors), pack([F.when(text.leaked_markup(t), "markdown_or_json_leakage")]))),
+        "hard_warnings": text.once(F.concat(pack(warnings), "_latin_warnings", named("entity_translated_ok:", "aliased"), pack(mid_warnings), pack(last))),
     })
-    return out.withColumn("hard_pass", F.size("hard_errors") == 0).withColumn("script_ratio", F.round("script_ratio", 4)).drop("_source_latin", "_bad_latin", "_latin_errors", "_latin_warnings")
+    return out.withColumn("hard_pass", F.size("hard_errors") == 0).withColumn("script_ratio", F.round("script_ratio", 4)).drop("_source_latin", "_bad_latin", "_latin_errors", "_latin_warnings", "_lost", "_terms", "_expected")
 
 
 def histogram(items: DataFrame, column: str = "hard_errors", only_failed: bool = False) -> DataFrame:
@@ -148,7 +149,9 @@ def fill_qa(rows: DataFrame, ratio: Column, entities: list[str], phrases: str |
     if phrases:
         errors.append(F.when(numeric & f.rlike(phrases) & ~long, "pii_generic_phrase_instead_of_digits"))
     errors.append(F.when((hint == "pii_name") & long, "pii_name_has_long_digits"))
-    lost = F.transform(text.missing_words(o, f, entities), lambda x: F.concat(F.lit("missing_entity:"), x))
+    names = {w: [w] for w in entities}
+    missing = F.array_except(dictionary.groups_in(F.lower(o), names), dictionary.groups_in(F.lower(f), names))
+    lost = F.transform(missing, lambda x: F.concat(F.lit("missing_entity:"), x))
     out = rows.withColumn("errors", F.concat(F.array_compact(F.array(*errors)), lost)).withColumn("warnings", F.array_compact(F.array(F.when((ratio >= 0.55) & (ratio < 0.72), F.concat(F.lit("non_xxx_preservation_warn:"), F.format_string("%.3f", ratio))))))
     return out.withColumn("status", F.when(F.size("errors") > 0, "failed").when(F.size("warnings") > 0, "warning").otherwise("accepted"))
 

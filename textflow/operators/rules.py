@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textflow.functions import text
+from textflow.operators import dictionary
 
 
 #: Targets with a gap where a name should be.
@@ -39,7 +40,7 @@ class Rules:
     @property
     def longest_first(self) -> list[str]:
         """Entities in masking order: by length, then by name, so that numbers don't depend on set order."""
-        return sorted(set(self.entities), key=lambda e: (-len(e), e))
+        return dictionary.masking_order(self.entities)
 
     @property
     def must_translate(self) -> list[str]:
@@ -58,33 +59,30 @@ def load(path: str) -> Rules:
 
 
 def mask_entities(df: DataFrame, column: str, rules: Rules, masked: str = "masked", found: str = "entities") -> DataFrame:
-    """df with the entities of a text replaced by <ENT_nn>, longest first, and those found, in that order. An entity counts
-    as found if it is in the text as masked so far."""
-    names = rules.longest_first
-    df = df.withColumn(masked, F.coalesce(column, F.lit("")))
-    flags = []
-    for i, name in enumerate(names):
-        pattern = text.word_pattern(name)
-        df = df.select("*", text.once(F.col(masked).rlike(pattern)).alias(f"__found{i}")).withColumn(masked, text.once(F.when(F.col(f"__found{i}"), F.regexp_replace(masked, pattern, f"<ENT_{i:02d}>")).otherwise(F.col(masked))))
-        flags.append((name, F.col(f"__found{i}")))
-    return df.withColumn(found, text.once(text.names_where(flags))).drop(*(f"__found{i}" for i in range(len(names))))
+    """df with the entities of a text (null: empty) replaced by <ENT_nn>, longest first, and those found, in that order. An entity
+    counts as found if it is in the text as masked so far. One pass over the text, whatever the number of entities."""
+    both = df.withColumn("__mask", dictionary.masked(F.col(column), rules.longest_first))
+    return both.withColumns({masked: F.col("__mask.masked"), found: F.col("__mask.found")}).drop("__mask")
 
 
 def restore_entities(c: Column, rules: Rules) -> Column:
-    for i, name in enumerate(rules.longest_first):
-        c = F.replace(c, F.lit(f"<ENT_{i:02d}>"), F.lit(name))
-    return c
+    """Marks of entities replaced by the names again (null: empty); other marks stay."""
+    return dictionary.unmasked(c, rules.longest_first)
 
 
 def terms_in(c: Column, rules: Rules) -> Column:
-    return text.names_where([(name, text.any_of([text.trigger(c, t) for t in spec.get("triggers", [])])) for name, spec in rules.terms.items()])
+    """Terms with a trigger in a text (in any case; up to 4 characters as a word of its own), in the order of the rules."""
+    return dictionary.groups_in(F.lower(c), _triggers(rules.terms), edges=lambda word: len(word) <= 4)
 
 
 def actions_in(c: Column, rules: Rules) -> Column:
-    low = F.lower(c)
-    return text.names_where([(name, text.any_of([low.contains(t.lower()) for t in spec.get("triggers", [])])) for name, spec in rules.actions.items()])
+    return dictionary.groups_in(F.lower(c), _triggers(rules.actions))
+
+
+def _triggers(specs: dict[str, dict[str, list[str]]], kind: str = "triggers") -> dict[str, list[str]]:
+    return {name: [w.lower() for w in spec.get(kind, [])] for name, spec in specs.items()}
 
 
 def annotate(df: DataFrame, column: str, rules: Rules) -> DataFrame:
     """df with masked, entities, terms and actions."""
-    return mask_entities(df, column, rules).withColumn("terms", text.once(terms_in(F.col(column), rules))).withColumn("actions", text.once(actions_in(F.col(column), rules)))
+    return mask_entities(df, column, rules).withColumns({"terms": terms_in(F.col(column), rules), "actions": actions_in(F.col(column), rules)})

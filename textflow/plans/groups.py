@@ -162,13 +162,22 @@ def pending_anti(spark, sf_dir):
     return lookup.pending(_texts(spark, sf_dir), _cache(spark, sf_dir), _log(spark, sf_dir))
 
 
-@query(f"""WITH {_CACHE}, {_LOG}, t AS (SELECT DISTINCT text AS source FROM documents), s AS (SELECT DISTINCT text AS source FROM documents WHERE n_chars < 200)
+def _all_rows(spark, sf_dir):
+    """Every third document as a row of a cache that keeps all its versions: copies of a text have several, the last counts."""
+    rows = table(spark, sf_dir, "documents").where("doc_id % 3 = 0")
+    return rows.select(F.col("text").alias("source"), F.concat(F.col("doc_id").cast("string"), F.lit(" "), F.reverse("text")).alias("target"), F.col("doc_id").alias("seq"))
+
+
+_ALL_ROWS = "cache AS (SELECT text AS source, max(doc_id) || ' ' || reverse(text) AS target FROM documents WHERE doc_id % 3 = 0 GROUP BY text)"
+
+
+@query(f"""WITH {_ALL_ROWS}, {_LOG}, t AS (SELECT DISTINCT text AS source FROM documents), s AS (SELECT DISTINCT text AS source FROM documents WHERE n_chars < 200)
 SELECT t.source, CASE WHEN s.source IS NOT NULL THEN t.source WHEN c.target IS NOT NULL THEN c.target WHEN l.status = 'accepted' THEN l.target END AS target,
   CASE WHEN s.source IS NOT NULL THEN 'skip' WHEN c.target IS NOT NULL THEN 'cache' WHEN l.status = 'accepted' THEN 'log' WHEN l.status = 'failed' THEN 'failed' ELSE 'missing' END AS origin
 FROM t LEFT JOIN s USING (source) LEFT JOIN cache c USING (source) LEFT JOIN log l USING (source)""")
 def translation_map(spark, sf_dir):
     skipped = table(spark, sf_dir, "documents").where("n_chars < 200").select(F.col("text").alias("source"))
-    return lookup.translation_map(_texts(spark, sf_dir), skipped, _cache(spark, sf_dir), _log(spark, sf_dir))
+    return lookup.translation_map(_texts(spark, sf_dir), skipped, _all_rows(spark, sf_dir), _log(spark, sf_dir))
 
 
 @query(f"WITH {_CACHE}, {_LOG} SELECT source, coalesce(l.target, c.target) AS target FROM cache c FULL JOIN log l USING (source)")
@@ -186,13 +195,14 @@ def lookup_misses(spark, sf_dir):
     return lookup.misses(_texts(spark, sf_dir), _cache(spark, sf_dir)).select("doc_id")
 
 
-@query(f"""WITH {_ITEMS}, cache AS (SELECT DISTINCT source, reverse(source) AS target FROM items WHERE length(source) % 11 <> 0),
+@query(f"""WITH {_ITEMS}, cache AS (SELECT source, max(item_id) || reverse(source) AS target FROM items WHERE length(source) % 11 <> 0 GROUP BY source),
 f AS (SELECT i.*, c.target FROM items i LEFT JOIN cache c USING (source))
 SELECT group_idx, max(target) FILTER (WHERE role = 'query') AS query, coalesce(string_agg(target, '|' ORDER BY idx) FILTER (WHERE role = 'positive'), '') AS positive FROM f
 GROUP BY group_idx HAVING bool_and(target IS NOT NULL) FILTER (WHERE role <> 'negative')""")
 def all_or_nothing_lookup(spark, sf_dir):
     groups = conversation_groups(spark, sf_dir)
-    cache = reshape.expand(groups).where("length(source) % 11 <> 0").select("source", F.reverse("source").alias("target")).distinct()
+    items = reshape.expand(groups).where("length(source) % 11 <> 0")  # a source as often as it is found, the last item wins
+    cache = items.select("source", F.concat("item_id", F.reverse("source")).alias("target"), F.col("item_id").alias("seq"))
     return lookup.all_or_nothing(groups, "group_idx", ["query"], ["positive"], cache).select("group_idx", "query", F.array_join("positive", "|").alias("positive"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textflow.functions import synth
 from textflow.functions import text as T
-from textflow.operators import external, payloads, qa, restore, rules
+from textflow.operators import dictionary, external, payloads, qa, restore, rules
 from textflow.plans import pipelines
 from textflow.plans.groups import table
 from textflow.plans.rule_pack import PACK
@@ -61,6 +61,19 @@ def entity_mask(spark, sf_dir):
     return rules.mask_entities(_docs(spark, sf_dir), "text", PACK).select("doc_id", "masked", F.array_join("entities", ",").alias("entities"))
 
 
+_SENTENCES = r"SELECT DISTINCT s AS name FROM (SELECT unnest(regexp_split_to_array(text, '[.\n]\s*')) AS s FROM benchmark) WHERE s <> ''"
+
+
+@query(f"WITH names AS ({_SENTENCES}), hits AS (SELECT doc_id, count(*) AS n, max(name) AS last FROM documents JOIN names ON contains(text, name) GROUP BY doc_id) SELECT doc_id, coalesce(n, 0) AS n, last FROM documents LEFT JOIN hits USING (doc_id)")
+def lexicon_passages(spark, sf_dir):
+    """How many of the benchmark's sentences, a dictionary that grows with the table, stand in each document, and the last one."""
+    sentences = F.explode(F.split(F.col("text"), r"[.\n]\s*"))
+    names = dictionary.names_of(table(spark, sf_dir, "benchmark").select(sentences.alias("name")))
+    found = dictionary.groups_in(F.col("text"), {n: [n] for n in names})
+    rows = _docs(spark, sf_dir).select("doc_id", found.alias("found"))
+    return rows.select("doc_id", F.size("found").cast("long").alias("n"), F.array_max("found").alias("last"))
+
+
 @query(r"""SELECT doc_id, array_to_string(list_filter([CASE WHEN contains(lower(text), 'licensed') OR contains(lower(text), 'released under') THEN 'licence' END,
   CASE WHEN regexp_matches(lower(text), '(^|[^a-z])with([^a-z]|$)') OR contains(lower(text), 'under') THEN 'agreement' END], lambda x: x IS NOT NULL), ',') AS terms FROM documents""")
 def term_annotate(spark, sf_dir):
