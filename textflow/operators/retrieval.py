@@ -49,7 +49,7 @@ def recall(scores: DataFrame, positives: DataFrame | None = None, ks: tuple[int,
     first = ranked.where(F.col("k") <= max(ks)).groupBy(*keys_of).agg(F.sort_array(F.collect_list("o"), asc=False).alias("o"))  # max(ks) at most
     n = (own if positives is None else positives).groupBy(*keys_of).agg(F.count("*").alias("n_positive"))
     before = [F.count_if(order > F.get("o", i)).alias(f"before{i}") for i in range(max(ks))]
-    counts = scores.join(F.broadcast(first), keys_of).groupBy(*keys_of).agg(F.any_value(F.size("o")).alias("n_first"), *before)
+    counts = scores.join(small_side(first, QUERIES), keys_of).groupBy(*keys_of).agg(F.any_value(F.size("o")).alias("n_first"), *before)
     hits = lambda k: sum((F.when((F.col("n_first") > i) & (F.col(f"before{i}") < k), 1).otherwise(0) for i in range(k)), F.lit(0)).cast("long")
     out = n.join(counts, keys_of).select("*", (F.col("before0") + 1).alias("best_rank"), *(hits(k).alias(f"hits{k}") for k in ks))
     return out.select(*keys, "n_positive", *((F.col(f"hits{k}") / F.col("n_positive")).alias(f"recall_{k}") for k in ks), *((F.col(f"hits{k}") > 0).alias(f"hit_{k}") for k in ks), "best_rank")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textflow.functions import vectors as V
-from textflow.operators import reports, retrieval
+from textflow.operators import dense, reports, retrieval
 from textflow.plans.groups import table
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -45,6 +45,25 @@ def _scores(spark, sf_dir, run: str = "full") -> DataFrame:
     return retrieval.score_all(q, v, V.dot(F.col("v"), F.col("qv"))).select("query_id", "cand_id", F.round("score", 9).alias("score"), (F.col("label") == F.col("query_label")).alias("positive"))
 
 
+def _sides(spark, sf_dir, run: str = "full") -> tuple[DataFrame, DataFrame, DataFrame, bool]:
+    """Queries, candidates and positives of a run for dense search, and whether vectors are scaled."""
+    v = _vectors(spark, sf_dir)
+    q = _queries(v)
+    positives = v.join(q, v.label == q.query_label).where("query_id <> cand_id").select("query_id", "cand_id")
+    part = (lambda c: F.slice(c, 1, 32)) if run == "half" else F.col
+    return q.select("query_id", part("qv").alias("v")), v.select("cand_id", part("v").alias("v")), positives, run != "plain"
+
+
+def _evaluated(spark, sf_dir, run: str = "full") -> DataFrame:
+    q, v, positives, normalized = _sides(spark, sf_dir, run)
+    return dense.evaluate(q, v, positives, normalized=normalized, digits=9)
+
+
+def _top(spark, sf_dir, k: int, run: str = "full") -> DataFrame:
+    q, v, _, normalized = _sides(spark, sf_dir, run)
+    return dense.search(q, v, k, normalized=normalized, digits=9)
+
+
 def _sql_scores(run: str = "full", name: str = "scores") -> str:
     cut = "CAST(embedding AS DOUBLE[])" + ("[1:32]" if run == "half" else "")
     unit = "list_transform(v, lambda x: x / greatest(sqrt(list_sum(list_transform(v, lambda y: y * y))), 1e-12))" if run != "plain" else "v"
@@ -64,19 +83,20 @@ def _recall_sql(scores: str = "ranked") -> str:
 
 @query(f"WITH {_sql_scores()}, {_RANKED} {_recall_sql()}")
 def retrieval_dense_recall(spark, sf_dir):
-    return retrieval.recall(_scores(spark, sf_dir))
+    return _evaluated(spark, sf_dir)
 
 
 @query(f"WITH {_sql_scores()}, {_RANKED} SELECT query_id, rank, cand_id, round(score, 6) AS score FROM ranked WHERE rank <= 10")
 def retrieval_dense_topk(spark, sf_dir):
-    return retrieval.top_k(_scores(spark, sf_dir), 10).select("query_id", "rank", "cand_id", F.round("score", 6).alias("score"))
+    return _top(spark, sf_dir, 10).select("query_id", "rank", "cand_id", F.round("score", 6).alias("score"))
 
 
 @query(f"""WITH {_sql_scores()}, {_RANKED}, firsts AS (SELECT query_id, min(cand_id) AS cand_id FROM scores WHERE positive GROUP BY query_id)
 SELECT query_id, rank AS pos_rank FROM ranked JOIN firsts USING (query_id, cand_id)""")
 def retrieval_first_rank(spark, sf_dir):
-    scores = _scores(spark, sf_dir)
-    return retrieval.first_rank(scores, scores.where("positive").groupBy("query_id").agg(F.min("cand_id").alias("cand_id")))
+    q, v, positives, _ = _sides(spark, sf_dir)
+    firsts = positives.groupBy("query_id").agg(F.min("cand_id").alias("cand_id"))
+    return dense.ranks_of(q, v, firsts, digits=9).withColumnRenamed("rank", "pos_rank")
 
 
 @query(f"""WITH {_sql_scores()}, m AS (SELECT query_id, label AS cand_id, round(avg(score), 6) AS score FROM scores JOIN embeddings ON vec_id = cand_id GROUP BY 1, 2)
@@ -127,10 +147,11 @@ def retrieval_hybrid_weights(spark, sf_dir):
     return out.select("weights", "query_id", "cand_id", "score", "rank")
 
 
-def _all_runs(spark, sf_dir) -> DataFrame:
+def _all_runs(spark, sf_dir, of) -> DataFrame:
+    """The rows of each run, with its name."""
     out = None
     for run in RUNS:
-        one = _scores(spark, sf_dir, run).withColumn("run", F.lit(run))
+        one = of(run).withColumn("run", F.lit(run))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -144,12 +165,11 @@ SELECT a.run AS run_a, b.run AS run_b, count(*) AS queries, count(*) FILTER (WHE
   round(count(*) FILTER (WHERE a.top = b.top) / count(*), 4) AS topk_ratio, round(count(*) FILTER (WHERE a.top[1] = b.top[1]) / count(*), 4) AS top1_ratio
 FROM t a JOIN t b USING (query_id) WHERE a.run < b.run GROUP BY a.run, b.run""")
 def topk_agreement(spark, sf_dir):
-    return retrieval.agreement(retrieval.top_k(_all_runs(spark, sf_dir), 10, ("run", "query_id")))
+    return retrieval.agreement(_all_runs(spark, sf_dir, lambda run: _top(spark, sf_dir, 10, run)))
 
 
 def _per_query(spark, sf_dir) -> DataFrame:
-    scores = _all_runs(spark, sf_dir)
-    return retrieval.recall(scores, keys=("run", "query_id"))
+    return _all_runs(spark, sf_dir, lambda run: _evaluated(spark, sf_dir, run))
 
 
 _PER_QUERY = f"{_ALL}, per_query AS ({_recall_sql().replace('SELECT query_id', 'SELECT run, query_id').replace('GROUP BY query_id', 'GROUP BY run, query_id')})"
