@@ -209,10 +209,10 @@ def test_jaccard_query(spark, folder, rows):  # noqa: F811
     assert got == plain_components([r[:2] for r in rows])
 
 
-@pytest.mark.parametrize(("pivots", "length", "counters"), [(6, 50_000, 1 << 18), (1, 7, 4), (2, 3, 64)])
-def test_jaccard_of_groups(spark, monkeypatch, pivots, length, counters):
+@pytest.mark.parametrize(("whole", "pivots", "length", "counters"), [(4, 1, 50_000, 1 << 18), (1, 1, 7, 4), (9, 3, 5, 64)])
+def test_jaccard_of_groups(spark, monkeypatch, whole, pivots, length, counters):
     """Chains, large groups of near copies at and under the threshold, a passage in every text; few pivots and small parts."""
-    monkeypatch.setattr(jaccard, "PIVOTS", pivots), monkeypatch.setattr(jaccard, "LIST", length), monkeypatch.setattr(jaccard, "GROWTH", 2)
+    monkeypatch.setattr(jaccard, "PIVOTS", pivots), monkeypatch.setattr(jaccard, "LIST", length), monkeypatch.setattr(jaccard, "WHOLE", whole)
     r, made = random.Random(13), []
     passage = prose(99, 30).split()
     for g in range(4):

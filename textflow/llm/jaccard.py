@@ -4,14 +4,14 @@ Sets are ordered by one order of all shingles, rare ones first (by counters over
 a similarity of t or more, the first common shingle is within the first n - ceil(t * n) + 1 of each (n shingles), so only these
 are listed: for each shingle the sets that have it there, with size and position. A list is sorted by size, then position; what
 is left of both sets from a common position on bounds what they share, so of each size a list is read up to a position, and
-sizes out of range not at all. Pairs that meet in a list are compared by a few bits for each set first, which bound
-from below how much they differ, then by their whole sets.
-
-Relations between sets save the rest. Equal sets are one from the start. A list of up to PIVOTS sets is compared whole. In a
-longer one some sets, the same in most lists, are pivots: only they are compared with the others, by their whole sets, down to a
-lower similarity: distances (1 - similarity) obey the triangle inequality, so a set that is linked with a pivot's answer is no
-further from the pivot than twice the limit. Sets linked with a pivot leave the list; the others meet more pivots in the next
-round, PIVOTS, then GROWTH times as many, so that each list ends after few rounds and groups of copies take few comparisons. What
+sizes out of range not at all. Pairs that meet in a list are compared by bits first (whether an odd number of a set's
+shingles falls on a place): places that differ bound from below how much two sets differ. Then they are compared by their sets.
+
+Relations between sets save the rest. Equal sets are one from the start. A list of up to WHOLE sets is compared whole. In a
+longer one a set, the same in most lists, is the pivot: only it is compared with the others, down to a lower similarity:
+distances (1 - similarity) obey the triangle inequality, so a set that is linked with a pivot's answer is no further from the
+pivot than twice the limit. Sets linked with a pivot leave the list; the others meet pivots again in the next round, GROWTH
+times as many each time, so that each list ends after few rounds and groups of copies take few comparisons. What
 is left is near misses: a set that isn't linked with a pivot but may be with one of its answers. Their overlap comes from the
 pivot's overlaps with both and the differences of both to the pivot, without the sets; pairs whose components are one by then,
 or that the overlaps alone rule out, are left out.
@@ -27,15 +27,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textflow.llm._shared import cut, small_side, with_group
+from textflow.llm._shared import cut, remove, small_side, with_group
 from textflow.llm._words import mix
 from textflow.llm.components import components
 from textflow.llm.neardup import _runs, shingle_sets
 
 #: Counters of shingles that order them, a power of two: more make hot shingles of larger corpora stand out.
 COUNTERS = 1 << 18
-#: Pivots of a list in the first round, and how many times as many in each further one.
-PIVOTS, GROWTH = 4, 6
+#: Sets of a list up to which all are compared; pivots of a longer one in the first round, and how many times as many in each
+#: further one.
+WHOLE, PIVOTS, GROWTH = 4, 1, 4
+#: Places of the bits that lists carry.
+SHORT = 1024
 #: Rows of a list that one task reads.
 LIST = 50_000
 #: Ids up to which a table is broadcast.
@@ -73,14 +76,14 @@ def needed(n, m, percent: int):
 
 def prefixes(docs: DataFrame, percent: int, size: int, levels: np.ndarray) -> DataFrame:
     """docs (doc_id, text) -> doc_id, th (the text's hash), n_shingles, d1, d2 (digests of the set), prefix (the hashes of its first
-    shingles in order, eight bytes each), bits (for each remainder of the hashes whether an odd number has it, of about as many
-    remainders as shingles)."""
+    shingles in order, eight bytes each), bits (for each remainder of the hashes whether an odd number has it, of SHORT remainders or
+    about as many as shingles) and short (the same of SHORT)."""
     shared, low = docs.sparkSession.sparkContext.broadcast(levels), np.uint64(len(levels) - 1)
 
     def run(batches):
         of = shared.value
         for batch in batches:
-            n, d1, d2, prefix, bits = [], [], [], [], []
+            n, d1, d2, prefix, bits, short = [], [], [], [], [], []
             for _, m, rows, values in shingle_sets(batch.column(2), size):
                 count = np.bincount(rows, minlength=m)
                 sums = np.zeros((2, m), np.uint64)
@@ -94,15 +97,16 @@ def prefixes(docs: DataFrame, percent: int, size: int, levels: np.ndarray) -> Da
                     a, b = begin[i], begin[i] + count[i]
                     order = np.argsort(level[a:b], kind="stable")[: prefix_length(int(count[i]), percent)]  # values are sorted
                     prefix.append(values[a:b][order].tobytes())
-                    width = 1 << max(6, (int(count[i]) - 1).bit_length())
-                    odd = np.bincount((values[a:b] & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
-                    bits.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
+                    width = max(SHORT, 1 << (int(count[i]) - 1).bit_length())
+                    odd = (np.bincount((values[a:b] & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8)
+                    bits.append(np.packbits(odd, bitorder="little").tobytes())
+                    short.append(np.packbits(odd.reshape(-1, SHORT).sum(0) & 1, bitorder="little").tobytes())
                 n.append(count), d1.append(sums[0].view(np.int64)), d2.append(sums[1].view(np.int64))
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.concatenate(x).astype(np.int64)) for x in (n, d1, d2)), pa.array(prefix, pa.binary()), pa.array(bits, pa.binary())], ["doc_id", "th", "n_shingles", "d1", "d2", "prefix", "bits"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.concatenate(x).astype(np.int64)) for x in (n, d1, d2)), *(pa.array(x, pa.binary()) for x in (prefix, bits, short))], ["doc_id", "th", "n_shingles", "d1", "d2", "prefix", "bits", "short"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    return rows.mapInArrow(run, "doc_id long, th long, n_shingles long, d1 long, d2 long, prefix binary, bits binary")
+    return rows.mapInArrow(run, "doc_id long, th long, n_shingles long, d1 long, d2 long, prefix binary, bits binary, short binary")
 
 
 def lists(nodes: DataFrame) -> DataFrame:
@@ -154,16 +158,16 @@ def _whole_lists(rows: DataFrame, most: int, percent: int) -> DataFrame:
     return own.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
-def _pivot_pairs(rows: DataFrame, pivots: int, near: int) -> DataFrame:
-    """The pairs (a, b) of each list with its pivots, the nodes with the smallest hashes, that may have `near`. Lists are dealt to
-    several tasks, each with all pivots, and read in batches: memory doesn't grow with a list."""
+def _pivot_pairs(rows: DataFrame, nodes: DataFrame, pivots: int, near: int) -> DataFrame:
+    """The pairs (a, b) of each list with its pivots, the nodes with the smallest hashes, that may have `near` by their sizes,
+    positions and bits (of nodes). Lists are dealt to several tasks, each with all pivots, and read in batches: memory doesn't grow
+    with a list."""
     order = F.xxhash64("node", F.lit(13))
-    w = Window.partitionBy("key").orderBy(order, "node")
-    heads = rows.withColumn("k", F.row_number().over(w)).where(F.col("k") <= pivots)  # cut off before the shuffle as well
+    rows = rows.join(nodes.select("node", "short"), "node")
     parts = F.ceil(F.col("length") / LIST).cast("int")
-    heads = heads.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("head", F.lit(True))
+    heads = _heads(rows, pivots).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("head", F.lit(True))
     tails = rows.withColumn("part", F.pmod(order, parts).cast("int")).withColumn("head", F.lit(False))
-    names = ["key", "part", "head", "node", "n", "at"]
+    names = ["key", "part", "head", "node", "n", "at", "short"]
     dealt = heads.select(*names).unionByName(tails.select(*names)).repartition("key", "part").sortWithinPartitions("key", "part", F.desc("head"), "n", "at")
 
     def run(batches):
@@ -171,18 +175,22 @@ def _pivot_pairs(rows: DataFrame, pivots: int, near: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, part, is_head, node, n, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            key, part, is_head, node, n, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+            bits = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint64).reshape(len(key), -1)
             edges = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1]), True])
             out = []
             for i, j in zip(edges[:-1], edges[1:], strict=True):
                 if (key[i], part[i]) != last:
                     last, head = (key[i], part[i]), []
                 s = i + int(is_head[i:j].sum())
-                head += zip(node[i:s].tolist(), n[i:s].tolist(), at[i:s].tolist(), strict=True)
-                own_node, own_n, own_at = node[s:j], n[s:j], at[s:j]
+                head += zip(node[i:s].tolist(), n[i:s].tolist(), at[i:s].tolist(), bits[i:s].copy(), strict=True)
+                own_node, own_n, own_at, own_bits = node[s:j], n[s:j], at[s:j], bits[s:j]
                 begin = np.flatnonzero(np.r_[True, own_n[1:] != own_n[:-1], True]) if s < j else np.zeros(1, np.int64)
-                for x, m, p in head if s < j else ():
-                    other = own_node[unskipped(m, p, own_n[begin[:-1]], begin, own_at, near, False)]
+                for x, m, p, b in head if s < j else ():
+                    left = unskipped(m, p, own_n[begin[:-1]], begin, own_at, near, False)
+                    differ = np.bitwise_count(own_bits[left] ^ b).sum(1, dtype=np.int64)
+                    left = left[differ <= m + own_n[left] - 2 * needed(m, own_n[left], near)]
+                    other = own_node[left]
                     other = other[other != x]
                     if len(other):
                         out.append((np.full(len(other), x), other))
@@ -192,10 +200,16 @@ def _pivot_pairs(rows: DataFrame, pivots: int, near: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def list_pairs(rows: DataFrame, pivots: int, percent: int, near: int) -> DataFrame:
-    """rows (key, node, n, at, length) -> distinct (a, b), a < b, of sets to compare: all pairs of lists with up to `pivots` + 1
-    rows, of longer ones those with pivots."""
-    both = _whole_lists(rows, pivots + 1, percent).unionByName(_pivot_pairs(rows.where(F.col("length") > pivots + 1), pivots, near))
+def _heads(rows: DataFrame, pivots: int) -> DataFrame:
+    """The pivots of each list. What is beyond them is cut off before the shuffle as well."""
+    w = Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(13)), "node")
+    return rows.withColumn("k", F.row_number().over(w)).where(F.col("k") <= pivots).drop("k")
+
+
+def list_pairs(rows: DataFrame, nodes: DataFrame, pivots: int, percent: int, near: int) -> DataFrame:
+    """rows (key, node, n, at, length) -> distinct (a, b), a < b, of sets to compare: all pairs of lists with up to WHOLE rows, of
+    longer ones those with pivots (so all of those with up to `pivots` rows)."""
+    both = _whole_lists(rows, WHOLE, percent).unionByName(_pivot_pairs(rows.where(F.col("length") > WHOLE), nodes, pivots, near))
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -293,30 +307,31 @@ def hashed_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def links_of(docs: DataFrame, groups: DataFrame, percent: int, size: int) -> DataFrame:
-    """docs and groups (node, n, first (doc_id, th), prefix, bits) -> (a, b): links that connect all nodes that are linked in any way."""
+    """docs and groups (node, n, first (doc_id, th), prefix, bits, short) -> (a, b): links that connect all nodes that are linked in
+    any way. Each round reads docs for the sets of nodes that come up for the first time."""
     near = 2 * percent - 100
+    spark = docs.sparkSession
     rows = cut(lists(groups), "lists")
-    sets = None
-    answers: list[DataFrame] = []
-    known, pivots = None, PIVOTS
+    sets, answers, known, pivots = [], [], [], PIVOTS
+    union = lambda frames: functools.reduce(DataFrame.unionByName, frames)
     while True:
-        pairs = list_pairs(rows, pivots, percent, near)
-        if known is not None:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        pairs = cut(pairs, "pairs")
+        pairs = list_pairs(rows, groups, pivots, percent, near)
+        pairs = cut(pairs.join(union(known), ["a", "b"], "left_anti") if known else pairs, "pairs")
         close = cut(sieved(pairs, groups, near), "close")
-        left = rows.where(F.col("length") > pivots + 1)
-        if sets is None:
-            asked = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).unionByName(left.select("node")).distinct()
-            sets = cut(hashed_sets(docs, cut(asked.join(groups, "node").select("node", "first.doc_id", "first.th"), "asked"), size), "sets")
-        answers.append(cut(compared(close, sets, percent, near), "answers"))
+        remove(spark, pairs)
+        new = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct()
+        new = new.join(union(sets).select("node"), "node", "left_anti") if sets else new
+        sets.append(cut(hashed_sets(docs, cut(new.join(groups, "node").select("node", "first.doc_id", "first.th"), "asked"), size), "hashes"))
+        answers.append(cut(compared(close, union(sets), percent, near), "answers"))
+        known.append(close)
+        left = rows.where(F.col("length") > max(WHOLE, pivots))
         if not left.limit(1).count():
             break
-        known = pairs if known is None else cut(known.unionByName(pairs), "known")
-        linked = functools.reduce(DataFrame.unionByName, (x.where("linked").select("a", "b") for x in answers))
-        rows = cut(_unanswered(left, linked, pivots), "lists")
+        rest = cut(_unanswered(left, union(answers).where("linked").select("a", "b"), pivots), "lists")
+        remove(spark, rows)
+        rows = rest
         pivots *= GROWTH
-    every = functools.reduce(DataFrame.unionByName, answers)
+    every = union(answers)
     links = every.where("linked").select("a", "b")
     more = cut(near_misses(every, components(links), percent), "misses")
     return links.unionByName(more)
@@ -324,12 +339,10 @@ def links_of(docs: DataFrame, groups: DataFrame, percent: int, size: int) -> Dat
 
 def _unanswered(rows: DataFrame, linked: DataFrame, pivots: int) -> DataFrame:
     """rows of long lists without their pivots and without those linked with one of the list's pivots; lists of one row go."""
-    order = F.xxhash64("node", F.lit(13))
-    heads = rows.withColumn("k", F.row_number().over(Window.partitionBy("key").orderBy(order, "node"))).where(F.col("k") <= pivots)
-    heads = cut(heads.select("key", F.col("node").alias("pivot")), "heads")
+    heads = cut(_heads(rows, pivots).select("key", F.col("node").alias("pivot")), "heads")
     both = linked.unionByName(linked.select(F.col("b").alias("a"), F.col("a").alias("b")))
     gone = heads.join(both, heads.pivot == both.a).select("key", F.col("b").alias("node")).unionByName(heads.select("key", F.col("pivot").alias("node"))).distinct()
-    rest = cut(rows.drop("length").join(gone, ["key", "node"], "left_anti"), "rest")
+    rest = rows.drop("length").join(gone, ["key", "node"], "left_anti")
     sizes = rest.groupBy("key").agg(F.count("*").alias("length")).where("length > 1")
     return rest.join(sizes, "key").select("key", "node", "n", "at", "length")
 
@@ -348,7 +361,7 @@ def jaccard_groups(docs: DataFrame, percent: int = 90, size: int = 3) -> DataFra
     found = cut(prefixes(docs, percent, size, shingle_levels(docs, size)), "prefixes")
     keys = ["n_shingles", "d1", "d2"]
     usable = found.where("n_shingles > 0 and doc_id is not null")
-    groups = usable.groupBy(*keys).agg(F.min(F.struct("doc_id", "th")).alias("first"), F.min("prefix").alias("prefix"), F.min("bits").alias("bits"), F.count("*").alias("rows"))
+    groups = usable.groupBy(*keys).agg(F.min(F.struct("doc_id", "th")).alias("first"), F.min("prefix").alias("prefix"), F.min("bits").alias("bits"), F.min("short").alias("short"), F.count("*").alias("rows"))
     groups = cut(groups.withColumn("node", F.monotonically_increasing_id()).withColumn("n", F.col("n_shingles")), "sets")
     links = links_of(docs, groups, percent, size).unionByName(_same_id(usable, groups, keys))
     comp = components(links)
