@@ -272,7 +272,7 @@ def test_quality_statistics(spark, docs, none):
     got = Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in quality.quality(df).collect())
     assert got == Counter((r[0], *plain_statistics(r[1])) for r in awkward() + lines)
     assert quality.quality(none).count() == 0
-    assert quality.quality(none, {}).columns[-1] == "kept"
+    assert quality.quality(none, {}).columns[-2:] == ["kept", "verdict"]
 
 
 def test_quality_keeps_prose_and_rejects_marks(spark):
@@ -287,8 +287,7 @@ def test_quality_keeps_prose_and_rejects_marks(spark):
 def test_references_count_all_documents(spark):
     rows = [("the cat The, dog", "en"), ("der Hund", "de"), (None, "en"), ("x", None)]
     refs = quality.references(spark.createDataFrame(rows, "text string, lang string").repartition(2))
-    assert refs["en"]["words"] == {b"cat": 0.25, b"dog": 0.25, b"the": 0.5} and set(refs) == {"en", "de"}
-    assert abs(sum(refs["de"]["classes"]) - 1) < 1e-9
+    assert refs["en"] == {"words": {b"cat": 1, b"dog": 1, b"the": 2}, "total": 4, "classes": [11, 1, 0, 0, 3, 1, 0, 0]} and set(refs) == {"en", "de"}
 
 
 def test_small_and_unlabelled_languages_are_kept(spark):
@@ -301,7 +300,7 @@ def test_small_and_unlabelled_languages_are_kept(spark):
     rows += [(100, other(1, 0x430), "xx"), (101, other(2, 0x3B1), None), (102, "same five words every time " * 20, None), (103, other(3, 0x10D0), "en")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
     out = {r.doc_id: r for r in quality.quality(df).collect()}
-    assert out[100].kept and out[100].word_distance < 0.01 and out[101].kept and out[101].word_distance > quality.WORD_LIMIT
+    assert out[100].kept and out[101].kept and all(out[i].word_distance > quality.WORD_LIMIT and out[i].verdict == "no reference" for i in (100, 101))
     assert not out[102].kept and not out[103].kept and all(out[i].kept for i in range(60))
     assert {r.doc_id for r in quality.accepted(df).where("doc_id >= 100").collect()} == {100, 101}
 
@@ -310,7 +309,20 @@ def test_common_words_of_a_language_in_many_small_partitions(spark):
     texts = [" ".join(["yes"] * (i % 2) + [f"w{i}x{j}" for j in range(100)]) for i in range(16)]
     df = spark.createDataFrame([(t, "xx") for t in texts], "text string, lang string").repartition(16)
     n = sum(len(t.split()) for t in texts)
-    assert quality.references(df)["xx"]["words"] == {b"yes": 8 / n}
+    assert quality.references(df)["xx"]["words"] == {b"yes": 8} and quality.references(df)["xx"]["total"] == n
+
+
+def test_junk_has_no_reference_of_its_own(spark):
+    """One junk text in a language that it made up lets no junk through, and isn't told to be good itself; a text's own words
+    don't bring it nearer to its language's reference."""
+    junk = " ".join(f"zx{i % 7}qq7#%" for i in range(9)) + " " + " ".join(f"q{i}#%z{i * i}" for i in range(80))
+    rows = [(i, prose(i, 150), "en") for i in range(200)] + [(1000, junk, "xx"), (1001, junk, None), (1002, junk, "en")]
+    out = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [out[1000 + i].verdict for i in range(3)] == ["no reference", "no reference", "far"]
+    assert not out[1002].kept and all(out[i].verdict == "near" and out[i].kept for i in range(200))
+    assert out[1000].word_distance == out[1001].word_distance > quality.WORD_LIMIT
+    few = quality.quality(spark.createDataFrame(rows[:3] + rows[-1:], "doc_id long, text string, lang string")).collect()
+    assert {r.verdict for r in few} == {"no reference"} and all(r.char_distance is None for r in few)
 
 
 def test_judge_in_small_steps_is_the_same(spark, monkeypatch):
@@ -318,9 +330,11 @@ def test_judge_in_small_steps_is_the_same(spark, monkeypatch):
 
     refs = quality.references(spark.createDataFrame([(prose(i, 90), "en") for i in range(8)], "text string, lang string"))
     column, langs = pa.array([prose(i, 60) for i in range(50)]), pa.array(["en"] * 50)
-    whole = quality.judge(refs)(column, langs)
+    whole = quality.judge(refs, least_mass=100)(column, langs)
     monkeypatch.setattr(quality, "CELLS", 100)
-    assert all(np.allclose(a, b, equal_nan=True) for a, b in zip(whole, quality.judge(refs)(column, langs), strict=True))
+    parts = quality.judge(refs, least_mass=100)(column, langs)
+    assert all(np.allclose(a.astype(float), b.astype(float), equal_nan=True) for a, b in zip(whole[:-1], parts[:-1], strict=True))
+    assert whole[-1].tolist() == parts[-1].tolist() == ["near"] * 50
 
 
 def test_frequent_words_are_never_lost():

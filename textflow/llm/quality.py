@@ -3,10 +3,13 @@
 A document has two histograms: character classes (each code point is of one class) and common words (how many of its
 words are each of a language's common words; the rest is one bin more). The reference of a language holds the same
 histograms over all documents of that language. The Jensen-Shannon distance (base 2, from 0 to 1) to a reference is
-compared with a limit for each histogram; a document is rejected if no reference is near enough in both. Every language
-has a reference, however few its documents are. A document whose own language has none (no lang, or one that given
-references lack) can't be rejected for being far from those of others. Histograms of short texts are mostly noise, so texts
-under a minimum of words are exempt, and the limit of a longer one allows for the noise that so many words have.
+compared with a limit for each histogram; a document is rejected if no reference is near enough in both. A text can't vouch
+for itself: its own counts are taken out of the reference of its language, and a reference only counts for a text if LEAST_MASS
+words of other texts are behind it. So junk that is alone in a made-up language has no reference there and lets no other junk
+through. A document whose own language has no such reference (no lang, too few other words, or one that given references
+lack) can't be rejected for being far from those of others: it has no verdict, and says so. Histograms of short texts are
+mostly noise, so texts under a minimum of words are exempt, and the limit of a longer one allows for the noise that so many
+words have.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 COMMON = 0.004
 #: Limits of the distances, and the words a text needs to be judged by them.
 CHAR_LIMIT, WORD_LIMIT, LEAST_WORDS = 0.27, 0.33, 40
+#: Words of other texts of a language that its reference needs to count.
+LEAST_MASS = 2000
 #: Entries of the table of texts by common words of all languages that judge() fills at once.
 CELLS = 1 << 22
 
@@ -117,7 +122,8 @@ class Frequent:
 
 
 def references(docs: DataFrame, common: float = COMMON) -> dict[str, dict]:
-    """docs (text, lang) -> language: {"classes": shares, "words": {word: share}}, from every document, for every language.
+    """docs (text, lang) -> language: {"classes": counts, "words": {word: count}, "total": number of words}, from every document, for
+    every language; the words are the common ones.
 
     The first pass gives each partition's words with a count of common / 4 of its words or more. What it leaves out of a
     word is under 3 / 4 of common (common / 2 by lossy counting), so the counts of a word that is common in its language
@@ -164,9 +170,9 @@ def references(docs: DataFrame, common: float = COMMON) -> dict[str, dict]:
         counts[r.lang][bytes(r.name)] = r.n
     out = {}
     for lang in names:
-        classes = np.array([sums[lang]["c"].get(b"%d" % k, 0) for k in range(CLASSES)], float)
-        usual = {w: c / words_of[lang] for w, c in counts[lang].items() if c >= common * words_of[lang]}
-        out[lang] = {"classes": (classes / max(classes.sum(), 1)).tolist(), "words": dict(sorted(usual.items()))}
+        classes = [sums[lang]["c"].get(b"%d" % k, 0) for k in range(CLASSES)]
+        usual = {w: c for w, c in counts[lang].items() if c >= common * words_of[lang]}
+        out[lang] = {"classes": classes, "words": dict(sorted(usual.items())), "total": words_of[lang]}
     return out
 
 
@@ -181,81 +187,105 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 _STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def judge(refs: dict[str, dict], char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT, least_words: int = LEAST_WORDS):
-    """A function of columns text and lang -> arrays: the statistics, base_failed, char_distance, word_distance, kept."""
+#: What is said of a document: of too few words, without a reference of its own language, near one, far from all.
+SHORT, WITHOUT, NEAR, FAR = "short", "no reference", "near", "far"
+
+
+def judge(refs: dict[str, dict], char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT, least_words: int = LEAST_WORDS, least_mass: int = LEAST_MASS, included: bool = True):
+    """A function of columns text and lang -> arrays: the statistics, base_failed, char_distance, word_distance, kept, verdict.
+    included: texts are among those that the references were counted on, so each is taken out of its language's."""
     names = sorted(refs)
     every = sorted({w for x in names for w in refs[x]["words"]})
     place = {w: i for i, w in enumerate(every)}
     bins = [np.array([place[w] for w in refs[x]["words"]], int) for x in names]
-    shares = [np.array([*refs[x]["words"].values(), max(0.0, 1 - sum(refs[x]["words"].values()))]) for x in names]
-    classes = [np.array(refs[x]["classes"]) for x in names]
+    counts = [np.array([*refs[x]["words"].values()], float) for x in names]
+    total = np.array([refs[x]["total"] for x in names], float)
+    classes = [np.array(refs[x]["classes"], float) for x in names]
+    number = {x: i for i, x in enumerate(names)}
 
     rows = max(1, CELLS // max(1, len(every)))
 
     def judged(column: pa.Array, langs: pa.Array) -> list[np.ndarray]:
-        parts, own = [], np.array([x in refs for x in langs.cast(pa.string()).to_pylist()], bool)
+        parts, of = [], np.array([number.get(x, -1) for x in langs.cast(pa.string()).to_pylist()], int)
         for t in texts(column):
             raw = _raw(t)
             s = base_statistics(t, raw)
             failed = (s["n_words"] < 10) | (100 * s["n_repeat_words"] > 20 * s["n_words"])
-            far, good = np.full((2, len(t)), np.nan), np.ones(len(t), bool)
-            every_long = np.flatnonzero(s["n_words"] >= least_words) if names else np.empty(0, int)
-            counts = class_counts(t) if len(every_long) else None
+            far, verdict = np.full((2, len(t)), np.nan), np.full(len(t), SHORT, object)
+            every_long = np.flatnonzero(s["n_words"] >= least_words)
+            kinds_of = class_counts(t) if len(every_long) else None
             for long in (every_long[i : i + rows] for i in range(0, len(every_long), rows)):
-                hist = np.zeros((len(long), len(every)))
-                for row, i in zip(hist, long, strict=True):
-                    for word, m in Counter(filter(place.__contains__, _folded(raw[i]))).items():
-                        row[place[word]] = m
+                hist, size = np.zeros((len(long), len(every))), np.zeros(len(long))
+                for i, k in enumerate(long):
+                    found = _folded(raw[k])
+                    size[i] = len(found)
+                    for word, m in Counter(filter(place.__contains__, found)).items():
+                        hist[i, place[word]] = m
                 n = s["n_words"][long]
-                kinds = counts[long]
-                kinds = kinds / kinds.sum(1, keepdims=True)
-                d_char, d_word = np.empty((2, len(names), len(long)))
+                own, kinds = of[t.first + long], kinds_of[long].astype(float)
+                d_char, d_word = np.full((2, len(names), len(long)), np.inf)
                 for k in range(len(names)):
-                    h = hist[:, bins[k]]
-                    h = np.c_[h, np.maximum(n - h.sum(1), 0)] / n[:, None]
-                    d_char[k] = js_distance(kinds, classes[k])
-                    d_word[k] = np.maximum(js_distance(h, shares[k]) - np.sqrt(h.shape[1] / (8 * n)), 0)
-                excess = np.maximum(d_char - char_limit, d_word - word_limit)
-                best = excess.argmin(0)
-                far[:, long] = d_char[best, np.arange(len(long))], d_word[best, np.arange(len(long))]
-                good[long] = (excess.min(0) <= 0) | ~own[t.first + long]
-            parts.append((*(s[x] for x in _STATISTICS), failed, far[0], far[1], ~failed & good))
+                    mine = (own == k) & included
+                    mass = total[k] - size * mine
+                    ok = np.flatnonzero(mass >= least_mass)
+                    if not len(ok):
+                        continue
+                    h = hist[np.ix_(ok, bins[k])]
+                    q = (counts[k] - h * mine[ok, None]) / mass[ok, None]
+                    q = np.c_[q, np.maximum(1 - q.sum(1), 0)]
+                    h = np.c_[h, np.maximum(n[ok] - h.sum(1), 0)] / n[ok, None]
+                    c = classes[k] - kinds[ok] * mine[ok, None]
+                    d_char[k, ok] = js_distance(kinds[ok] / kinds[ok].sum(1, keepdims=True), c / np.maximum(c.sum(1, keepdims=True), 1))
+                    d_word[k, ok] = np.maximum(js_distance(h, q) - np.sqrt(h.shape[1] / (8 * n[ok])), 0)
+                has = np.isfinite(d_char[np.maximum(own, 0), np.arange(len(long))]) & (own >= 0) if names else np.zeros(len(long), bool)
+                verdict[long] = np.where(has, FAR, WITHOUT)
+                some = np.flatnonzero(np.isfinite(d_char).any(0)) if names else np.empty(0, int)
+                if len(some):
+                    excess = np.maximum(d_char - char_limit, d_word - word_limit)[:, some]
+                    best = excess.argmin(0)
+                    far[:, long[some]] = d_char[best, some], d_word[best, some]
+                    verdict[long[some][(excess.min(0) <= 0)]] = NEAR
+            parts.append((*(s[x] for x in _STATISTICS), failed, far[0], far[1], ~failed & (verdict != FAR), verdict))
         return [np.concatenate(x) for x in zip(*parts, strict=True)]
 
     return judged
 
 
-def quality(docs: DataFrame, refs: dict[str, dict] | None = None, char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT, least_words: int = LEAST_WORDS) -> DataFrame:
+def quality(docs: DataFrame, refs: dict[str, dict] | None = None, char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT, least_words: int = LEAST_WORDS, least_mass: int = LEAST_MASS) -> DataFrame:
     """docs (doc_id, text, lang, ...) -> a row for each row: doc_id, the statistics, base_failed, char_distance,
-    word_distance, kept.
+    word_distance, kept, verdict.
 
     base_failed: fewer than 10 words, or over a fifth of the words in repeated windows of five. The method's verdict holds
-    for texts of least_words words or more: the nearest reference must be within char_limit and, with an allowance of
-    the root of bins / (8 * words) for noise, within word_limit. Distances are null for shorter texts or without references. A null
-    text has no words. All references count for a text of any lang; if its own lang has none (a null lang hasn't), its
-    distances are given but don't reject it. An empty table gives an empty one."""
-    refs = references(docs) if refs is None else refs
+    for texts of least_words words or more ("short" if fewer): the nearest reference must be within char_limit and, with an
+    allowance of the root of bins / (8 * words) for noise, within word_limit ("near", else "far"). References made here leave out
+    the text's own counts, and count for it with least_mass words of other texts or more; given ones are taken as counted
+    on others. References of all languages count for a text; but if that of its own lang doesn't (a null lang has none), being far
+    from the others doesn't reject it ("no reference"). kept: not base_failed, and not "far". Distances are of the nearest
+    reference, null for short texts and where no reference counts. A null text has no words. An empty table gives an empty one."""
+    made = refs is None
+    refs = references(docs) if made else refs
 
     def run(batches):
-        judged = judge(refs, char_limit, word_limit, least_words)
+        judged = judge(refs, char_limit, word_limit, least_words, least_mass, made)
         for batch in batches:
             if batch.num_rows:
                 cols = judged(batch.column(1), batch.column(2))
-                arrays = [pa.array(x.astype(np.int64)) for x in cols[:5]] + [pa.array(cols[5])] + [pa.array(x, mask=np.isnan(x)) for x in cols[6:8]] + [pa.array(cols[8])]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", *_STATISTICS, "base_failed", "char_distance", "word_distance", "kept"])
+                arrays = [pa.array(x.astype(np.int64)) for x in cols[:5]] + [pa.array(cols[5])] + [pa.array(x, mask=np.isnan(x)) for x in cols[6:8]] + [pa.array(cols[8].astype(bool)), pa.array(cols[9], pa.string())]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", *_STATISTICS, "base_failed", "char_distance", "word_distance", "kept", "verdict"])
 
-    schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, char_distance double, word_distance double, kept boolean"
+    schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, char_distance double, word_distance double, kept boolean, verdict string"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")).mapInArrow(run, schema)
 
 
 def accepted(docs: DataFrame, refs: dict[str, dict] | None = None) -> DataFrame:
     """The rows of docs (text, lang, ...) that quality() keeps, with all their columns."""
-    refs = references(docs) if refs is None else refs
+    made = refs is None
+    refs = references(docs) if made else refs
 
     def run(batches):
-        judged = judge(refs)
+        judged = judge(refs, included=made)
         for batch in batches:
             if batch.num_rows:
-                yield batch.filter(pa.array(judged(batch.column("text"), batch.column("lang"))[-1]))
+                yield batch.filter(pa.array(judged(batch.column("text"), batch.column("lang"))[-2].astype(bool)))
 
     return docs.mapInArrow(run, docs.schema)

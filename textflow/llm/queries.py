@@ -224,20 +224,22 @@ s AS (SELECT doc_id, lang, folded, classes, len(words) AS n_words, CAST(coalesce
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s),
 words AS (SELECT doc_id, lang, unnest(folded) AS word FROM b),
 totals AS (SELECT lang, sum(len(folded)) AS total FROM b WHERE lang IS NOT NULL GROUP BY lang),
-usual AS (SELECT name, word, n / total AS q FROM (SELECT lang AS name, word, count(*) AS n FROM words WHERE lang IS NOT NULL GROUP BY 1, 2) JOIN totals ON lang = name WHERE n >= {quality.COMMON} * total),
-rest AS (SELECT lang AS name, greatest(0, 1 - coalesce(sum(q), 0)) AS q, count(q) AS n FROM totals LEFT JOIN usual ON name = lang GROUP BY lang),
-kinds AS (SELECT lang AS name, k, sum(classes[k]) / greatest(sum(list_sum(classes)), 1) AS q FROM b, (SELECT unnest(range(1, 9)) AS k) WHERE lang IS NOT NULL GROUP BY 1, 2),
-long AS (SELECT doc_id, n_words, classes FROM b WHERE n_words >= {quality.LEAST_WORDS}),
+usual AS (SELECT name, word, n FROM (SELECT lang AS name, word, count(*) AS n FROM words WHERE lang IS NOT NULL GROUP BY 1, 2) JOIN totals ON lang = name WHERE n >= {quality.COMMON} * total),
+kinds AS (SELECT lang AS name, k, sum(classes[k]) AS n FROM b, (SELECT unnest(range(1, 9)) AS k) WHERE lang IS NOT NULL GROUP BY 1, 2),
+long AS (SELECT b.doc_id, b.lang, n_words, classes, t.lang AS name, CASE WHEN b.lang = t.lang THEN 1 ELSE 0 END AS mine, total - CASE WHEN b.lang = t.lang THEN len(folded) ELSE 0 END AS mass
+  FROM b CROSS JOIN totals t WHERE n_words >= {quality.LEAST_WORDS} AND total - CASE WHEN b.lang = t.lang THEN len(folded) ELSE 0 END >= {quality.LEAST_MASS}),
 own AS (SELECT doc_id, word, count(*) AS n FROM words GROUP BY 1, 2),
-bins AS (SELECT l.doc_id, u.name, coalesce(o.n, 0) AS n, coalesce(o.n, 0) / n_words AS p, u.q FROM long l CROSS JOIN usual u LEFT JOIN own o ON o.doc_id = l.doc_id AND o.word = u.word),
-inner_ AS (SELECT doc_id, name, sum({_JS}) AS js, sum(n) AS n FROM bins GROUP BY 1, 2),
-outer_ AS (SELECT l.doc_id, r.name, greatest(l.n_words - coalesce(i.n, 0), 0) / l.n_words AS p, r.q, coalesce(i.js, 0) AS js, (r.n + 1) / (8 * l.n_words) AS noise FROM long l CROSS JOIN rest r LEFT JOIN inner_ i ON i.doc_id = l.doc_id AND i.name = r.name),
+bins AS (SELECT l.doc_id, l.name, coalesce(o.n, 0) AS n, coalesce(o.n, 0) / n_words AS p, (u.n - mine * coalesce(o.n, 0)) / mass AS q FROM long l JOIN usual u USING (name) LEFT JOIN own o ON o.doc_id = l.doc_id AND o.word = u.word),
+inner_ AS (SELECT doc_id, name, sum({_JS}) AS js, sum(n) AS n, sum(q) AS qs, count(*) AS size FROM bins GROUP BY 1, 2),
+outer_ AS (SELECT l.doc_id, l.name, greatest(l.n_words - coalesce(i.n, 0), 0) / l.n_words AS p, greatest(0, 1 - coalesce(qs, 0)) AS q, coalesce(i.js, 0) AS js, (coalesce(i.size, 0) + 1) / (8 * l.n_words) AS noise FROM long l LEFT JOIN inner_ i USING (doc_id, name)),
 d_word AS (SELECT doc_id, name, greatest(sqrt(greatest((js + {_JS}) / 2, 0)) - sqrt(noise), 0) AS far FROM outer_),
-d_char AS (SELECT doc_id, name, sqrt(greatest(sum({_JS}) / 2, 0)) AS far FROM (SELECT l.doc_id, k.name, l.classes[k] / list_sum(l.classes) AS p, k.q FROM long l CROSS JOIN kinds k) GROUP BY 1, 2),
+others AS (SELECT l.doc_id, l.name, k.k, l.classes[k.k] / list_sum(l.classes) AS p, k.n - mine * l.classes[k.k] AS n FROM long l JOIN kinds k USING (name)),
+d_char AS (SELECT doc_id, name, sqrt(greatest(sum({_JS}) / 2, 0)) AS far FROM (SELECT doc_id, name, p, n / greatest(sum(n) OVER (PARTITION BY doc_id, name), 1) AS q FROM others) GROUP BY 1, 2),
 best AS (SELECT doc_id, c.far AS char_distance, w.far AS word_distance, greatest(c.far - {quality.CHAR_LIMIT}, w.far - {quality.WORD_LIMIT}) AS excess FROM d_char c JOIN d_word w USING (doc_id, name)
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY excess, name) = 1)
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY excess, name) = 1),
+judged AS (SELECT b.*, char_distance, word_distance, CASE WHEN n_words < {quality.LEAST_WORDS} THEN 'short' WHEN excess <= 0 THEN 'near' WHEN b.doc_id IN (SELECT doc_id FROM long WHERE mine = 1) THEN 'far' ELSE 'no reference' END AS verdict FROM b LEFT JOIN best USING (doc_id))
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
-  round(char_distance, 9) AS char_distance, round(word_distance, 9) AS word_distance, NOT base_failed AND (excess IS NULL OR excess <= 0 OR lang IS NULL) AS kept FROM b LEFT JOIN best USING (doc_id)
+  round(char_distance, 9) AS char_distance, round(word_distance, 9) AS word_distance, NOT base_failed AND verdict <> 'far' AS kept, verdict FROM judged
 """
 
 
