@@ -46,14 +46,39 @@ URLS = [
 ]
 
 
-@pytest.mark.parametrize("block", [100_000, 2, 1])
-def test_urls(spark, block):
+@pytest.mark.parametrize("most", [None, 100_000, 1])
+def test_urls(spark, most):
+    """A list of rules, a small table of them, and a table that is dealt out with the URLs."""
     rows = [*enumerate(URLS), (3, URLS[3]), (None, URLS[0])]
     df = spark.createDataFrame([(i, u, "x", "y") for i, u in rows], "page_id long, url string, rule string, host string").repartition(3)
-    got = sorted(urls.judge(df, URL_RULES, block=block).collect(), key=str)
+    rules = URL_RULES if most is None else spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    got = sorted(urls.judge(df, rules, most=most or 10).collect(), key=str)
     assert sorted(((i, *plain_judge(u, URL_RULES)) for i, u in rows), key=str) == sorted(map(tuple, got), key=str)
 
 
+@pytest.mark.parametrize("sampled", [1, 20])
+def test_many_rules_are_dealt_out(spark, monkeypatch, sampled):
+    """One sweep whatever the number of rules; a third of the URLs have one host, some rules hold for many ranges."""
+    monkeypatch.setattr(urls, "SAMPLED", sampled)
+    r = np.random.default_rng(sampled)
+    names = [f"h{i}.{d}.{t}" for i in range(20) for d in ("a", "b", "shop") for t in ("com", "net", "org")] + ["com", "a.com", "shop.org", "net", "hot.com"]
+    paths = ["", "/", "/x", "/x/y", "/é", "/xyz"]
+    rules = list({names[i] + paths[j] + (str(k) if paths[j] else ""): "allow" if k % 2 else "block" for i, j, k in r.integers(0, [len(names), len(paths), 5], (400, 3))}.items())
+    made = [f"http://{'www.' if k % 2 else ''}{names[i] if k % 3 else 'hot.com'}{paths[j] or '/'}{k}/z" for i, j, k in r.integers(0, [len(names), len(paths), 6], (600, 3))]
+    rows = [*enumerate(made), (5, None), (6, "nourl"), (None, made[0])]
+    pages, table = spark.createDataFrame(rows, "page_id long, url string").repartition(3), spark.createDataFrame([*rules, (None, "x"), ("a.com", None)], "rule string, verdict string")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        out = urls.judge(pages, table, most=10)
+        got = sorted(map(tuple, out.collect()), key=str)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == sorted(((i, *plain_judge(u, rules)) for i, u in rows), key=str)
+    assert plan.split("Initial Plan")[0].count("MapInArrow") == 1
+    assert urls.judge(pages.limit(0), table, most=10).count() == 0
+
+
 HOSTS = st.lists(st.sampled_from(["a", "b", "com", "A"]), min_size=1, max_size=4).map(".".join)
 PATHS = st.text("/ab", max_size=4)
 
