@@ -8,34 +8,41 @@ import hashlib
 import json
 import re
 import time
-from collections.abc import Callable, Iterator
+from collections import deque
+from collections.abc import Callable
 from typing import Protocol
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textflow.functions import text as T
+from textflow.operators.pool import Caller, Journal, Limits
 from textflow.sources import shared
 
 
 class Client(Protocol):
-    """Turns a batch of payloads (dicts) into as many answers; picklable. Calls must be safe to repeat."""
+    """Turns a batch of payloads (dicts) into as many answers; picklable, and called from several threads. With keyed = True payloads
+    have an item_id that answers repeat, so that they may come in any order or be left out. Calls must be safe to repeat."""
 
     def answer(self, payloads: list[dict]) -> list[dict]: ...
 
 
 class Stub:
     """A deterministic client for tests and dry runs: the target is the source with a mark; every source whose hash is
-    divisible by `fails` comes back empty until it is asked for repair."""
+    divisible by `fails` comes back empty until it is asked for repair; one whose hash is divisible by `raises` is an error."""
 
-    def __init__(self, fails: int = 0):
-        self.fails = fails
+    def __init__(self, fails: int = 0, raises: int = 0):
+        self.fails, self.raises = fails, raises
 
     def answer(self, payloads: list[dict]) -> list[dict]:
         def one(p):
-            bad = self.fails and not p.get("errors") and int(hashlib.sha1(p["source"].encode()).hexdigest(), 16) % self.fails == 0
+            number = int(hashlib.sha1(p["source"].encode()).hexdigest(), 16)
+            if self.raises and number % self.raises == 0:
+                raise ValueError("refused")
+            bad = self.fails and not p.get("errors") and number % self.fails == 0
             return {"target": "" if bad else f"[t] {p['source']}"}
 
         return [one(p) for p in payloads]
@@ -43,13 +50,14 @@ class Stub:
 
 class Http:
     """An OpenAI-compatible chat endpoint with JSON answers: up to `attempts` tries with growing pauses; an empty content
-    falls back to the reasoning field."""
+    falls back to the reasoning field. together: a batch is one request {"items": [...]}, whose answers {"items": [...]} name
+    the item_id of each; else every payload is a request."""
 
-    def __init__(self, url: str, model: str, key: str, system: str, attempts: int = 3, timeout: float = 60):
-        self.url, self.model, self.key, self.system, self.attempts, self.timeout = url, model, key, system, attempts, timeout
+    def __init__(self, url: str, model: str, key: str, system: str, attempts: int = 3, timeout: float = 60, together: bool = False):
+        self.url, self.model, self.key, self.system, self.attempts, self.timeout, self.keyed = url, model, key, system, attempts, timeout, together
 
     def answer(self, payloads: list[dict]) -> list[dict]:
-        return [self._one(p) for p in payloads]
+        return (self._one({"items": payloads}).get("items") or []) if self.keyed else [self._one(p) for p in payloads]
 
     def _one(self, payload: dict) -> dict:
         from urllib.request import Request, urlopen
@@ -82,38 +90,48 @@ def first_filled(answer: dict, keys: tuple[str, ...] = TEXT_KEYS) -> str:
     return ""
 
 
-def call(df: DataFrame, client: Client, columns: list[str], batch: int = 40) -> DataFrame:
-    """df with target from the client: payloads of the columns, `batch` at a time, as many at once as there are tasks."""
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != "target")
-    names = [c for c in df.columns if c != "target"]
+def _asked(df: DataFrame, client: Client, columns: list[str], limits: Limits, journal: str | None, drop: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
+    """df with __answer, the client's whole answer as JSON, or {"error": why}, to payloads of the columns.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            payloads = frame[columns].to_dict("records")
-            answers = [a for i in range(0, len(payloads), batch) for a in client.answer(payloads[i : i + batch])]
-            if len(answers) != len(payloads):
-                raise ValueError("the client left answers out")
-            yield frame[names].assign(target=[first_filled(a) for a in answers])
-
-    return df.mapInPandas(run, f"{kinds}, target string")
+    journal: a folder that all executors share, in which answers are kept as they come. Rows are then dealt out by their payload,
+    so that a task that runs again, or the whole query, finds what was answered before and asks for the rest only. A folder is
+    for one client."""
+    names = [c for c in df.columns if c not in drop]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in names)
+    asked = df.select(*names, F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("__payload"))
+    if journal is not None:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        asked = asked.withColumn("__part", F.pmod(F.xxhash64("__payload"), F.lit(parts)).cast("int")).repartitionById(parts, "__part").drop("__part")
 
+    def run(batches):
+        caller = Caller(client, limits, Journal(journal, TaskContext.get().partitionId()) if journal else None)
+        kept: deque = deque()
 
-def ask(df: DataFrame, client: Client, columns: list[str], batch: int = 40) -> DataFrame:
-    """df with answer, the client's whole answer as JSON, to payloads of the columns."""
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != "answer")
-    names = [c for c in df.columns if c != "answer"]
+        def chunks():
+            for rows in batches:
+                kept.append(rows)
+                yield [json.loads(x) for x in rows.column("__payload").to_pylist()]
 
-    def run(batches):
-        for rows in batches:
-            payloads = [json.loads(x) for x in rows.column("__payload").to_pylist()]
-            answers = [a for i in range(0, len(payloads), batch) for a in client.answer(payloads[i : i + batch])]
-            if len(answers) != len(payloads):
-                raise ValueError("the client left answers out")
+        for answers in caller.answers(chunks()):
+            rows = kept.popleft()
             told = pa.array([json.dumps(a, ensure_ascii=False) for a in answers], pa.string())
-            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), told], [*names, "answer"])
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), told], [*names, "__answer"])
+
+    return asked.mapInArrow(run, f"{kinds}, __answer string"), names
+
+
+def call(df: DataFrame, client: Client, columns: list[str], limits: Limits = Limits(), journal: str | None = None) -> DataFrame:
+    """df with target from the client, and call_error: why there is no answer (target is empty then), else null. See Limits for
+    how many calls run at a time; with a journal folder no answered payload is asked again by a later attempt."""
+    made, names = _asked(df, client, columns, limits, journal, ("target", "call_error"))
+    filled = F.arrow_udf(lambda c: pa.array([first_filled(json.loads(x)) for x in c.to_pylist()], pa.string()), "string")
+    return made.select(*names, filled("__answer").alias("target"), F.get_json_object("__answer", "$.error").alias("call_error"))
+
 
-    asked = df.select(*names, F.to_json(F.struct(*columns)).alias("__payload"))
-    return asked.mapInArrow(run, f"{kinds}, answer string")
+def ask(df: DataFrame, client: Client, columns: list[str], limits: Limits = Limits(), journal: str | None = None) -> DataFrame:
+    """df with answer, the client's whole answer as JSON to payloads of the columns, or {"error": why}."""
+    made, names = _asked(df, client, columns, limits, journal, ("answer",))
+    return made.select(*names, F.col("__answer").alias("answer"))
 
 
 def repair_loop(items: DataFrame, client: Client, check: Callable[[DataFrame], DataFrame], rounds: int = 3, cut: Callable[[DataFrame], DataFrame] = shared.cut, extra: tuple[str, ...] = ()) -> DataFrame:

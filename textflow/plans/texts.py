@@ -305,3 +305,11 @@ def bounded_repair_loop(spark, sf_dir):
         return external.repair_loop(distinct, external.Stub(fails=5), check).select("source", "target", "retry_rounds", "status")
 
     return once_for_each(items, "source", translate)
+
+
+@query(r"""WITH a AS (SELECT doc_id, text, CAST(list_sum(list_transform(string_split(sha1(text), ''), lambda x: instr('0123456789abcdef', x) - 1)) AS BIGINT) % 5 = 0 AS refused FROM documents)
+SELECT doc_id, CASE WHEN refused THEN '' ELSE regexp_replace('[t] ' || text, '\s+$', '') END AS target, CASE WHEN refused THEN 'ValueError: refused' END AS call_error FROM a""")
+def failed_calls(spark, sf_dir):
+    """A stub that refuses a fifth of the texts: each is a row with its error, the others of its batch have their answers."""
+    asked = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("source"))
+    return external.call(asked, external.Stub(raises=5), ["source"], external.Limits(attempts=1)).select("doc_id", "target", "call_error")
