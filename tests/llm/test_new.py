@@ -209,10 +209,10 @@ def test_jaccard_query(spark, folder, rows):  # noqa: F811
     assert got == plain_components([r[:2] for r in rows])
 
 
-@pytest.mark.parametrize(("whole", "pivots", "length", "counters"), [(4, 1, 50_000, 1 << 18), (1, 1, 7, 4), (9, 3, 5, 64)])
-def test_jaccard_of_groups(spark, monkeypatch, whole, pivots, length, counters):
-    """Chains, large groups of near copies at and under the threshold, a passage in every text; few pivots and small parts."""
-    monkeypatch.setattr(jaccard, "PIVOTS", pivots), monkeypatch.setattr(jaccard, "LIST", length), monkeypatch.setattr(jaccard, "WHOLE", whole)
+@pytest.mark.parametrize(("small", "length", "counters"), [(64, 16_384, 1 << 18), (1, 7, 4), (9, 5, 64)])
+def test_jaccard_of_groups(spark, monkeypatch, small, length, counters):
+    """Chains, large groups of near copies at and under the threshold, a passage in every text; small lists and parts."""
+    monkeypatch.setattr(jaccard, "SMALL", small), monkeypatch.setattr(jaccard, "LIST", length)
     r, made = random.Random(13), []
     passage = prose(99, 30).split()
     for g in range(4):
@@ -251,8 +251,7 @@ def test_blocks_that_are_left():
         rest = sorted((m := r.randrange(1, 70), r.randrange(jaccard.prefix_length(m, 90))) for _ in range(30))
         size, at = np.array(rest).T
         begin = np.r_[np.flatnonzero(np.r_[True, size[1:] != size[:-1]]), len(size)]
-        for first in (True, False):
-            left = set(jaccard.unskipped(n, p, size[begin[:-1]], begin, at, percent, first).tolist())
-            for i, (m, q) in enumerate(rest):
-                most = min(n - p, m - q) + (0 if first else min(p, q))
-                assert (i in left) == (100 * most >= percent * (n + m - most))
+        left = set(jaccard.unskipped(n, p, size[begin[:-1]], begin, at, percent).tolist())
+        for i, (m, q) in enumerate(rest):
+            most = min(n - p, m - q)
+            assert (i in left) == (100 * most >= percent * (n + m - most))

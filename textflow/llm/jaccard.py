@@ -7,14 +7,11 @@ is left of both sets from a common position on bounds what they share, so of eac
 sizes out of range not at all. Pairs that meet in a list are compared by bits first (whether an odd number of a set's
 shingles falls on a place): places that differ bound from below how much two sets differ. Then they are compared by their sets.
 
-Relations between sets save the rest. Equal sets are one from the start. A list of up to WHOLE sets is compared whole. In a
-longer one a set, the same in most lists, is the pivot: only it is compared with the others, down to a lower similarity:
-distances (1 - similarity) obey the triangle inequality, so a set that is linked with a pivot's answer is no further from the
-pivot than twice the limit. Sets linked with a pivot leave the list; the others meet pivots again in the next round, GROWTH
-times as many each time, so that each list ends after few rounds and groups of copies take few comparisons. What
-is left is near misses: a set that isn't linked with a pivot but may be with one of its answers. Their overlap comes from the
-pivot's overlaps with both and the differences of both to the pivot, without the sets; pairs whose components are one by then,
-or that the overlaps alone rule out, are left out.
+Relations between sets save the rest. Equal sets are one from the start. In the first round each list has one pivot, the same in
+most lists, and only pairs with it are compared. What is linked by then is a component, and only pairs of different components
+are looked for in the lists from there on: a few nearest for each set, then all that are left. So groups of copies, however
+large, take few pairs. A set's answers are derived from those of a pivot that it is linked with: once the pivot's overlap
+with a third set is known, the set's own follows from the differences of both to the pivot, without its shingles.
 """
 
 from __future__ import annotations
@@ -27,20 +24,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textflow.llm._shared import cut, remove, small_side, with_group
+from textflow.llm._shared import cut, small_side, with_group
 from textflow.llm._words import mix
 from textflow.llm.components import components
 from textflow.llm.neardup import _runs, shingle_sets
 
 #: Counters of shingles that order them, a power of two: more make hot shingles of larger corpora stand out.
 COUNTERS = 1 << 18
-#: Sets of a list up to which all are compared; pivots of a longer one in the first round, and how many times as many in each
-#: further one.
-WHOLE, PIVOTS, GROWTH = 4, 1, 4
 #: Places of the bits that lists carry.
 SHORT = 1024
-#: Rows of a list that one task reads.
-LIST = 50_000
+#: Nearest sets of other components that a set is compared with, in the rounds before the last.
+FEW = (2, 4)
+#: Rows of a list up to which it is paired by array operations over many lists; rows of a longer one that one task reads.
+SMALL, LIST = 64, 16_384
 #: Ids up to which a table is broadcast.
 BROADCAST_IDS = 500_000
 
@@ -126,91 +122,149 @@ def lists(nodes: DataFrame) -> DataFrame:
     return every.join(many, "key").select("key", "node", "n", "at", "length")
 
 
-def unskipped(n: int, p: int, sizes: np.ndarray, begin: np.ndarray, at: np.ndarray, percent: int, first: bool) -> np.ndarray:
-    """The rows of a list that a set of size n with the list's shingle at p may be similar to. The list's blocks have equal sizes
-    (`sizes`, from begin to the next) and are sorted by position `at`; of a block of m a range of positions q is left. first: the
-    list's shingle counts as the first common one, so that at most min(n - p, m - q) are common; else min(p, q) more."""
+def unskipped(n: int, p: int, sizes: np.ndarray, begin: np.ndarray, at: np.ndarray, percent: int) -> np.ndarray:
+    """The rows of a list that a set of size n may be similar to, if the list's shingle, at p in it, is the first that both have: then
+    at most min(n - p, m - q) are common. The list's blocks have equal sizes m (`sizes`, from begin to the next) and are
+    sorted by position q (`at`); a block out of range is skipped, of another its rows up to a position are left."""
     out = []
     for k in range(*np.searchsorted(sizes, [-(-n * percent // 100), n * 100 // percent + 1])):
         m = int(sizes[k])
         need = needed(n, m, percent)
-        low, high = (0 if n - p >= need else m, m - need) if first else (need - n + p, m - need + p)
-        rows = at[begin[k] : begin[k + 1]]
-        out.append(begin[k] + np.arange(np.searchsorted(rows, low), np.searchsorted(rows, high, "right")))
+        if n - p >= need:
+            out.append(np.arange(begin[k], begin[k] + np.searchsorted(at[begin[k] : begin[k + 1]], m - need, "right")))
     return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
-def _whole_lists(rows: DataFrame, most: int, percent: int) -> DataFrame:
-    """All pairs (a, b) of lists (key, node, n, at) of up to `most` rows that may have `percent`."""
+def _allowed(n, m, percent: int):
+    """How many shingles sets of n and m with a similarity of `percent` may differ in."""
+    return n + m - 2 * needed(n, m, percent)
+
+
+def _bits(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint64).reshape(len(column), -1)
+
+
+def _batch(*columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b"])
 
-    def run(batches):
-        for key, node, n, at in _runs(batches, 4):
-            for d in range(1, min(most, len(key))):
-                i = np.flatnonzero(key[d:] == key[:-d])
-                if not len(i):
-                    break
-                need = needed(n[i], n[i + d], percent)
-                i = i[np.minimum(n[i] - at[i], n[i + d] - at[i + d]) >= need]  # sizes out of range need more than one has
-                if len(i):
-                    yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[i + d])], ["a", "b"])
 
-    own = rows.where(F.col("length") <= most).select("key", "node", "n", "at")
-    return own.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _pivot_pairs(rows: DataFrame, nodes: DataFrame, pivots: int, near: int) -> DataFrame:
-    """The pairs (a, b) of each list with its pivots, the nodes with the smallest hashes, that may have `near` by their sizes,
-    positions and bits (of nodes). Lists are dealt to several tasks, each with all pivots, and read in batches: memory doesn't grow
-    with a list."""
+def star_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """rows (key, node, n, at, length, short) -> distinct (a, b), a < b: each list's pivot, the node with the smallest hash, with the
+    others that may have `percent` by their bits. Long lists are dealt to several tasks, each with the pivot, and read in batches."""
     order = F.xxhash64("node", F.lit(13))
-    rows = rows.join(nodes.select("node", "short"), "node")
+    first = rows.withColumn("k", F.row_number().over(Window.partitionBy("key").orderBy(order, "node"))).where("k = 1")  # cut off before the shuffle, too
     parts = F.ceil(F.col("length") / LIST).cast("int")
-    heads = _heads(rows, pivots).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("head", F.lit(True))
+    heads = first.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("head", F.lit(True))
     tails = rows.withColumn("part", F.pmod(order, parts).cast("int")).withColumn("head", F.lit(False))
-    names = ["key", "part", "head", "node", "n", "at", "short"]
-    dealt = heads.select(*names).unionByName(tails.select(*names)).repartition("key", "part").sortWithinPartitions("key", "part", F.desc("head"), "n", "at")
+    names = ["key", "part", "head", "node", "n", "short"]
 
     def run(batches):
-        last, head = None, []
+        last = None  # the last head
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, part, is_head, node, n, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
-            bits = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint64).reshape(len(key), -1)
-            edges = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1]), True])
-            out = []
-            for i, j in zip(edges[:-1], edges[1:], strict=True):
-                if (key[i], part[i]) != last:
-                    last, head = (key[i], part[i]), []
-                s = i + int(is_head[i:j].sum())
-                head += zip(node[i:s].tolist(), n[i:s].tolist(), at[i:s].tolist(), bits[i:s].copy(), strict=True)
-                own_node, own_n, own_at, own_bits = node[s:j], n[s:j], at[s:j], bits[s:j]
-                begin = np.flatnonzero(np.r_[True, own_n[1:] != own_n[:-1], True]) if s < j else np.zeros(1, np.int64)
-                for x, m, p, b in head if s < j else ():
-                    left = unskipped(m, p, own_n[begin[:-1]], begin, own_at, near, False)
-                    differ = np.bitwise_count(own_bits[left] ^ b).sum(1, dtype=np.int64)
-                    left = left[differ <= m + own_n[left] - 2 * needed(m, own_n[left], near)]
-                    other = own_node[left]
-                    other = other[other != x]
-                    if len(other):
-                        out.append((np.full(len(other), x), other))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["a", "b"])
+            head, node, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4))
+            bits = _bits(batch.column(5).to_pylist())
+            if last is not None:
+                head, node, n, bits = (np.concatenate(x) for x in zip(last, (head, node, n, bits), strict=True))
+            own = np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))
+            last = tuple(x[own[-1] : own[-1] + 1].copy() for x in (head, node, n, bits))
+            i = np.flatnonzero(~head & (node != node[own]))
+            i = i[np.bitwise_count(bits[i] ^ bits[own[i]]).sum(1, dtype=np.int64) <= _allowed(n[i], n[own[i]], percent)]
+            if len(i):
+                yield _batch(node[own[i]], node[i])
+
+    dealt = heads.select(*names).unionByName(tails.select(*names)).repartition("key", "part").sortWithinPartitions("key", "part", F.desc("head"))
+    return _ordered(dealt.mapInArrow(run, "a long, b long"))
+
+
+def _nearest(a, b, differ, few: int):
+    """Of the pairs (a, b) and (b, a) the `few` of each first member that differ least, all with few = 0."""
+    if not few or not len(a):
+        return a, b
+    x, y, d = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([differ, differ])
+    order = np.lexsort((d, x))
+    x, y = x[order], y[order]
+    keep = np.arange(len(x)) - np.searchsorted(x, x) < few
+    return x[keep], y[keep]
+
+
+def _small_crossing(rows: DataFrame, percent: int, few: int) -> DataFrame:
+    def run(batches):
+        for key, node, n, at, comp, short in _runs(batches, 6):
+            bits, found = _bits(short), []
+            for d in range(1, min(SMALL, len(key))):
+                same = key[d:] == key[:-d]
+                if not same.any():
+                    break
+                i = np.flatnonzero(same & (comp[d:] != comp[:-d]))
+                i = i[np.minimum(n[i] - at[i], n[i + d] - at[i + d]) >= needed(n[i], n[i + d], percent)]  # sizes out of range need more than one has
+                differ = np.bitwise_count(bits[i] ^ bits[i + d]).sum(1, dtype=np.int64)
+                good = differ <= _allowed(n[i], n[i + d], percent)
+                found.append((node[i[good]], node[i[good] + d], differ[good]))
+            if found and sum(len(x[0]) for x in found):
+                yield _batch(*_nearest(*(np.concatenate(x) for x in zip(*found, strict=True)), few))
+
+    return rows.select("key", "node", "n", "at", "comp", "short").repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+
+
+def _large_crossing(rows: DataFrame, sizes: DataFrame, percent: int, few: int) -> DataFrame:
+    """Lists (key, top, alone, rows) of sizes: their rows outside the largest component (top) meet all rows, in a grid of blocks of
+    LIST; a block is sorted by size and position and read in batches, beside the rows that meet them."""
+    grid = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(n) / LIST) - 1))
+    block = lambda n: F.pmod(F.xxhash64("node", F.lit(7)), F.ceil(F.col(n) / LIST))
+    marked = rows.join(sizes.select("key", "top", "alone", F.col("rows").alias("all")), "key")
+    right = marked.withColumn("r", block("all")).withColumn("l", grid("alone")).withColumn("side", F.lit(1))
+    left = marked.where("comp <> top").withColumn("l", block("alone")).withColumn("r", grid("all")).withColumn("side", F.lit(0))
+    names = ["key", "l", "r", "side", "node", "n", "at", "comp", "short"]
 
+    def run(batches):
+        last, held = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, l, r, side, node, n, at, comp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(8))  # noqa: E741
+            bits = _bits(batch.column(8).to_pylist())
+            edges = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (l[1:] != l[:-1]) | (r[1:] != r[:-1]), True])
+            for i, j in zip(edges[:-1], edges[1:], strict=True):
+                if (key[i], l[i], r[i]) != last:
+                    last, held = (key[i], l[i], r[i]), []
+                s = i + int((side[i:j] == 0).sum())
+                held += zip(node[i:s].tolist(), n[i:s].tolist(), at[i:s].tolist(), comp[i:s].tolist(), bits[i:s].copy(), strict=True)
+                if s == j:
+                    continue
+                own_node, own_n, own_at, own_comp, own_bits, found = node[s:j], n[s:j], at[s:j], comp[s:j], bits[s:j], []
+                begin = np.flatnonzero(np.r_[True, own_n[1:] != own_n[:-1], True])
+                for x, m, p, c, b in held:
+                    rest = unskipped(m, p, own_n[begin[:-1]], begin, own_at, percent)
+                    rest = rest[own_comp[rest] != c]
+                    differ = np.bitwise_count(own_bits[rest] ^ b).sum(1, dtype=np.int64)
+                    good = differ <= _allowed(m, own_n[rest], percent)
+                    if good.any():
+                        near = np.argsort(differ[good], kind="stable")[: few or None]
+                        found.append((np.full(len(near), x), own_node[rest[good][near]]))
+                if found:
+                    yield _batch(*(np.concatenate(x) for x in zip(*found, strict=True)))
+
+    dealt = left.select(*names).unionByName(right.select(*names)).repartition("key", "l", "r").sortWithinPartitions("key", "l", "r", "side", "n", "at")
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def _heads(rows: DataFrame, pivots: int) -> DataFrame:
-    """The pivots of each list. What is beyond them is cut off before the shuffle as well."""
-    w = Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(13)), "node")
-    return rows.withColumn("k", F.row_number().over(w)).where(F.col("k") <= pivots).drop("k")
-
-
-def list_pairs(rows: DataFrame, nodes: DataFrame, pivots: int, percent: int, near: int) -> DataFrame:
-    """rows (key, node, n, at, length) -> distinct (a, b), a < b, of sets to compare: all pairs of lists with up to WHOLE rows, of
-    longer ones those with pivots (so all of those with up to `pivots` rows)."""
-    both = _whole_lists(rows, WHOLE, percent).unionByName(_pivot_pairs(rows.where(F.col("length") > WHOLE), nodes, pivots, near))
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def crossing_pairs(rows: DataFrame, comp: DataFrame, percent: int, few: int) -> DataFrame:
+    """rows (key, node, n, at, short) and comp (node, component; a node that it lacks is alone) -> distinct (a, b), a < b, of
+    different components that meet in a list and may have `percent` by sizes, positions and bits. few: for each node the so many
+    nearest alone (0: all)."""
+    rows = rows.join(comp, "node", "left").select("key", "node", "n", "at", F.coalesce("component", "node").alias("comp"), "short")
+    each = rows.groupBy("key", "comp").agg(F.count("*").alias("k"))
+    sizes = each.groupBy("key").agg(F.max_by("comp", "k").alias("top"), F.sum("k").alias("rows"), F.max("k").alias("most"))
+    sizes = cut(sizes.where("rows > most").select("key", "top", "rows", (F.col("rows") - F.col("most")).alias("alone")), "mixed")
+    small = rows.join(sizes.where(F.col("rows") <= SMALL).select("key"), "key")
+    both = _small_crossing(small, percent, few).unionByName(_large_crossing(rows, sizes.where(F.col("rows") > SMALL), percent, few))
+    return _ordered(both)
 
 
 def sieved(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -257,23 +311,16 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int, near: int) -> Data
     return both.mapInArrow(run, "a long, b long, n_a long, n_b long, common long, linked boolean, less binary, more binary")
 
 
-def near_misses(answers: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
-    """answers of compared() -> (a, b) linked though never compared: a is an answer of a set from which b is a near miss, in
-    another component. With y the set, x and z the others: of y's shingles x and z share all but those that one of them lacks,
-    and beside these what both have that y hasn't."""
-    one = answers.select(F.col("a").alias("y"), F.col("b").alias("x"), F.col("n_a").alias("n_y"), F.col("n_b").alias("n"), "common", "linked", "less", "more")
-    other = answers.select(F.col("b").alias("y"), F.col("a").alias("x"), F.col("n_b").alias("n_y"), F.col("n_a").alias("n"), "common", "linked", F.col("more").alias("less"), F.col("less").alias("more"))
-    both = one.unionByName(other)
-    place = lambda df, c: df.join(comp.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}")), c, "left").withColumn(f"c_{c}", F.coalesce(f"c_{c}", c))
-    missed = place(place(both.where("not linked"), "x"), "y").where("c_x <> c_y")
-    missed = cut(missed.select("y", F.col("x").alias("z"), F.col("n").alias("n_z"), F.col("common").alias("o_z"), F.col("less").alias("less_z"), F.col("more").alias("more_z")), "missed")
-    if not missed.limit(1).count():
-        return missed.select(F.col("y").alias("a"), F.col("z").alias("b"))
-    ys = missed.select("y").distinct()
-    near = both.where("linked").join(small_side(ys, BROADCAST_IDS), "y").select("y", "x", "n_y", "n", "common", "less", "more")
-    bound = F.least("common", "o_z") + F.least(F.col("n") - F.col("common"), F.col("n_z") - F.col("o_z"))
-    need = F.ceil(F.lit(percent) * (F.col("n") + F.col("n_z")) / F.lit(100 + percent))
-    asked = near.join(missed, "y").where((bound >= need) & (F.col("x") != F.col("z"))).select("x", "z", "n_y", "n", "n_z", "less", "more", "less_z", "more_z")
+def derived(pairs: DataFrame, pivots: DataFrame, sets_of, percent: int, near: int) -> DataFrame:
+    """pairs (x, z, y), pivots (x, y, n_y, n, less, more: what y has and x hasn't, and the other way round; y is linked with x) ->
+    (a, b) of the linked pairs (x, z). The answers of each y are computed for its z, by sets_of, down to `near` (by the triangle
+    inequality of 1 - similarity a link of x is no further from y); those of x follow: of y's shingles x and z share all but
+    those that one of them lacks, and beside these what both have that y hasn't."""
+    asked = cut(pairs.where("y <> z").select(F.least("y", "z").alias("a"), F.greatest("y", "z").alias("b")).distinct(), "asked")
+    told = cut(compared(asked, sets_of(asked), percent, near), "told")
+    one = told.select(F.col("a").alias("y"), F.col("b").alias("z"), F.col("n_b").alias("n_z"), F.col("less").alias("less_z"), F.col("more").alias("more_z"))
+    other = told.select(F.col("b").alias("y"), F.col("a").alias("z"), F.col("n_a").alias("n_z"), F.col("more").alias("less_z"), F.col("less").alias("more_z"))
+    both = pairs.join(one.unionByName(other), ["y", "z"]).join(pivots.select("x", "y", "n_y", "n", "less", "more"), ["x", "y"])
 
     def run(batches):
         for batch in batches:
@@ -285,9 +332,9 @@ def near_misses(answers: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
                 if 100 * common >= percent * (n + m - common):
                     rows.append((x, z))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["a", "b"])
+                yield _batch(*(np.array(c, np.int64) for c in zip(*rows, strict=True)))
 
-    return asked.mapInArrow(run, "a long, b long")
+    return both.select("x", "z", "n_y", "n", "n_z", "less", "more", "less_z", "more_z").mapInArrow(run, "a long, b long")
 
 
 def hashed_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -309,42 +356,37 @@ def hashed_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 def links_of(docs: DataFrame, groups: DataFrame, percent: int, size: int) -> DataFrame:
     """docs and groups (node, n, first (doc_id, th), prefix, bits, short) -> (a, b): links that connect all nodes that are linked in
     any way. Each round reads docs for the sets of nodes that come up for the first time."""
-    near = 2 * percent - 100
-    spark = docs.sparkSession
-    rows = cut(lists(groups), "lists")
-    sets, answers, known, pivots = [], [], [], PIVOTS
     union = lambda frames: functools.reduce(DataFrame.unionByName, frames)
-    while True:
-        pairs = list_pairs(rows, groups, pivots, percent, near)
-        pairs = cut(pairs.join(union(known), ["a", "b"], "left_anti") if known else pairs, "pairs")
-        close = cut(sieved(pairs, groups, near), "close")
-        remove(spark, pairs)
-        new = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct()
+    rows = cut(lists(groups).join(groups.select("node", "short"), "node"), "lists")
+    sets: list[DataFrame] = []
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        new = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         new = new.join(union(sets).select("node"), "node", "left_anti") if sets else new
-        sets.append(cut(hashed_sets(docs, cut(new.join(groups, "node").select("node", "first.doc_id", "first.th"), "asked"), size), "hashes"))
-        answers.append(cut(compared(close, union(sets), percent, near), "answers"))
-        known.append(close)
-        left = rows.where(F.col("length") > max(WHOLE, pivots))
-        if not left.limit(1).count():
+        sets.append(cut(hashed_sets(docs, cut(new.join(groups, "node").select("node", "first.doc_id", "first.th"), "new"), size), "hashes"))
+        return union(sets)
+
+    close = cut(sieved(star_pairs(rows, percent), groups, percent), "close")
+    answers = cut(compared(close, sets_of(close), percent, percent), "answers")
+    links, known = [answers.select("a", "b")], [close]
+    one = answers.select(F.col("b").alias("x"), F.col("a").alias("y"), F.col("n_a").alias("n_y"), F.col("n_b").alias("n"), "less", "more")
+    other = answers.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("n_b").alias("n_y"), F.col("n_a").alias("n"), F.col("more").alias("less"), F.col("less").alias("more"))
+    none = F.lit(b"")
+    order = F.struct(F.xxhash64("y", F.lit(13)).alias("h"), "y", "n_y", "n", "less", "more")
+    pivots = one.unionByName(other).groupBy("x").agg(F.min(order).alias("p")).select("x", "p.y", "p.n_y", "p.n", "p.less", "p.more")
+    alone = groups.select(F.col("node").alias("x")).join(pivots.select("x"), "x", "left_anti").join(groups.select(F.col("node").alias("x"), "n"), "x")
+    pivots = cut(pivots.unionByName(alone.select("x", F.col("x").alias("y"), F.col("n").alias("n_y"), "n", none.alias("less"), none.alias("more"))), "pivots")
+    for few in (*FEW, 0):
+        pairs = crossing_pairs(rows, components(union(links)), percent, few).join(union(known), ["a", "b"], "left_anti")
+        close = cut(sieved(pairs, groups, percent), "close")
+        if not close.limit(1).count():
+            if few:
+                continue
             break
-        rest = cut(_unanswered(left, union(answers).where("linked").select("a", "b"), pivots), "lists")
-        remove(spark, rows)
-        rows = rest
-        pivots *= GROWTH
-    every = union(answers)
-    links = every.where("linked").select("a", "b")
-    more = cut(near_misses(every, components(links), percent), "misses")
-    return links.unionByName(more)
-
-
-def _unanswered(rows: DataFrame, linked: DataFrame, pivots: int) -> DataFrame:
-    """rows of long lists without their pivots and without those linked with one of the list's pivots; lists of one row go."""
-    heads = cut(_heads(rows, pivots).select("key", F.col("node").alias("pivot")), "heads")
-    both = linked.unionByName(linked.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    gone = heads.join(both, heads.pivot == both.a).select("key", F.col("b").alias("node")).unionByName(heads.select("key", F.col("pivot").alias("node"))).distinct()
-    rest = rows.drop("length").join(gone, ["key", "node"], "left_anti")
-    sizes = rest.groupBy("key").agg(F.count("*").alias("length")).where("length > 1")
-    return rest.join(sizes, "key").select("key", "node", "n", "at", "length")
+        asked = close.select(F.col("a").alias("x"), F.col("b").alias("z")).join(pivots.select("x", "y"), "x")
+        links.append(cut(derived(asked, pivots, sets_of, percent, 2 * percent - 100), "links"))
+        known.append(close)
+    return union(links)
 
 
 def jaccard_groups(docs: DataFrame, percent: int = 90, size: int = 3) -> DataFrame:
