@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textflow.functions import vectors as V
-from textflow.operators import dense, reports, retrieval
+from textflow.operators import dense, reports, retrieval, sparse
 from textflow.plans.groups import table
+from textflow.sources.shared import cut
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -129,7 +130,7 @@ sp AS (SELECT query_id, cand_id, sum(wq * wd) AS score FROM bt JOIN dt USING (to
 def retrieval_sparse(spark, sf_dir):
     q = retrieval.term_weights(table(spark, sf_dir, "benchmark"), "item_id", "text").withColumnRenamed("item_id", "query_id")
     d = retrieval.term_weights(table(spark, sf_dir, "documents"), "doc_id", "text", only=q).withColumnRenamed("doc_id", "cand_id")
-    return retrieval.top_k(retrieval.sparse_scores(q, d), 5)
+    return sparse.search(q, cut(sparse.index(d), "index"), 5).select("query_id", "cand_id", "score", "rank")
 
 
 @query(f"""WITH {_sql_scores("full", "a")}, {_sql_scores("half", "b")}, {_sql_scores("plain", "c")},
