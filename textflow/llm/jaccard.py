@@ -287,6 +287,14 @@ def sieved(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
 
 
+def _arrays(column: pa.Array):
+    """The values of a binary column as arrays of hashes, one by one, without copying the column."""
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    for i, j in zip(at[:-1], at[1:], strict=True):
+        yield data[i:j].view(np.uint64)
+
+
 def compared(pairs: DataFrame, sets: DataFrame, percent: int, near: int) -> DataFrame:
     """pairs (a, b), sets (node, n, hashes) -> the pairs with a similarity of `near` in 100 or more: a, b, n_a, n_b, common, linked
     (whether it is `percent`), less (what a has and b hasn't), more (what b has and a hasn't; hashes, eight bytes each)."""
@@ -294,8 +302,7 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int, near: int) -> Data
     def run(batches):
         for batch in batches:
             rows = []
-            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for a, b, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _arrays(batch.column(2)), _arrays(batch.column(3)), strict=True):
                 both = np.concatenate([x, y])
                 both.sort()
                 common = int((both[1:] == both[:-1]).sum())
