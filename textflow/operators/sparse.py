@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from textflow.sources.shared import small_side
 
 #: Documents of a window, postings of a part at most, about, and rows of queries of one pass.
-ROWS, POSTINGS, TERMS = 128, 4_000_000, 1_000_000
+ROWS, POSTINGS, TERMS = 16, 2_000_000, 1_000_000
+#: Postings from which a part is worth its own task.
+LEAST_POSTINGS = 250_000
 
 _INDEX = "part int, token string, n long, numbers binary, weights binary, windows binary, starts binary, highs binary, lows binary"
 _NAMES = [c.split()[0] for c in _INDEX.split(", ")]
@@ -28,7 +30,8 @@ def index(docs: DataFrame, rows: int = ROWS, postings: int = POSTINGS) -> DataFr
     with block maxima, and for each part a row without token, with its documents' ids. The weights of repeated (cand_id,
     token) rows add up; rows with a null are left out."""
     docs = docs.select(F.col("cand_id").cast("long").alias("cand_id"), "token", F.col("weight").cast("double").alias("weight")).na.drop()
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // postings))
+    n = docs.count()
+    parts = max(1, min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // LEAST_POSTINGS), -(-n // postings))
 
     def run(batches):
         batches = [b for b in batches if b.num_rows]
