@@ -6,16 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textflow.functions import synth, text
+from textflow.operators import scan
 
 GAP = 3
 
 
 def clusters(turns: DataFrame, has: Column, gap: int = GAP) -> DataFrame:
     """The turns that meet `has`, with cluster_idx (from 0 in each dialogue_id): a turn no more than `gap` after the one
-    before is in the same cluster."""
-    w = Window.partitionBy("dialogue_id").orderBy("turn")
-    new = F.when(F.col("turn") - F.lag("turn").over(w) <= gap, 0).otherwise(1)
-    rows = turns.where(has).withColumn("_new", new).withColumn("cluster_idx", (F.sum("_new").over(w) - 1).cast("int")).drop("_new")
+    before is in the same cluster. Long dialogues are scanned by several tasks."""
+    rows = scan.gap_groups(turns.where(has), ["dialogue_id"], "turn", gap, "cluster_idx")
     return rows.withColumn("cluster_id", F.concat_ws("", F.col("dialogue_id").cast("string"), F.lit("_c"), F.col("cluster_idx").cast("string")))
 
 
@@ -35,8 +34,7 @@ def context(turns: DataFrame, clustered: DataFrame, window: int = 3) -> DataFram
 def slots(clustered: DataFrame, tokens: Column) -> DataFrame:
     """A row for each token of a clustered turn, with its number in the cluster (from 1) across turns."""
     rows = clustered.select("dialogue_id", "cluster_idx", "cluster_id", "turn", F.posexplode(tokens).alias("pos", "token"))
-    w = Window.partitionBy("dialogue_id", "cluster_idx").orderBy("turn", "pos")
-    return rows.withColumn("token_index", F.row_number().over(w))
+    return scan.numbered(rows, ["dialogue_id", "cluster_idx"], ["turn", "pos"], "token_index").withColumn("token_index", F.col("token_index").cast("int"))
 
 
 def slot_hints(slots_: DataFrame, hint: Column) -> DataFrame:
@@ -78,8 +76,8 @@ def merge_back(turns: DataFrame, fills: DataFrame, tokens: Column) -> DataFrame:
 
 def chunked(df: DataFrame, keys: list[str], order: list[str], size: int) -> DataFrame:
     """df with batch: rows of each key in order, `size` to a batch, from 0."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
+    rows = scan.numbered(df, keys, order, "__number")
+    return rows.withColumn("batch", F.floor((F.col("__number") - 1) / size).cast("int")).drop("__number")
 
 
 def skip_reason(content: Column, exact: list[str], patterns: list[str]) -> Column:

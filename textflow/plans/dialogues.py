@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from textflow.operators import payloads, qa, sessions
 from textflow.plans.groups import table
+from textflow.sources.shared import new_path
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -140,6 +141,18 @@ def events_session_batch(spark, sf_dir):
     return event_sessions(table(spark, sf_dir, "events")).select("user_id", F.unix_micros("start").alias("start_us"), "events")
 
 
+@query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
+def events_last_by_user(spark, sf_dir):
+    """The events as a stream, the last of each user kept as keyed state."""
+    from textflow.streaming import cache
+
+    one = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    stream = spark.readStream.schema(one.schema).parquet(f"{sf_dir}/events.parque[t]")  # a pattern may also name one file
+    path = new_path(spark, "keyed")
+    cache.follow(stream, f"{path}/out", f"{path}/progress", ["user_id"], "event_id").awaitTermination()
+    return cache.current(spark, f"{path}/out", ["user_id"])
+
+
 @query(f"""WITH {_CLUSTERS}, f AS (SELECT *, regexp_replace(text, '[a-z]{{12,}}', CASE turn % 3 WHEN 0 THEN ' XXXX ' ELSE '12' END, 'g') AS filled, CASE turn % 3 WHEN 0 THEN 'failed' WHEN 1 THEN 'warning' ELSE 'accepted' END AS status FROM c WHERE len(tokens) > 0)
 SELECT (SELECT count(*) FROM conversations WHERE len(regexp_extract_all(text, '[a-z]{{12,}}')) > 0) AS turns_with_tokens, count(*) FILTER (WHERE status = 'accepted') AS accepted, count(*) FILTER (WHERE status = 'warning') AS warning, count(*) FILTER (WHERE status = 'failed') AS failed,
   count(*) FILTER (WHERE status <> 'failed') AS filled, count(*) FILTER (WHERE len(regexp_extract_all(filled, '(?i)\\b[A-Z0-9]*X{{2,}}[A-Z0-9]*\\b')) > 0) AS tokens_left, count(*) FILTER (WHERE turn % 5 = 0) AS personal_shapes FROM f""")
