@@ -10,6 +10,8 @@ from textflow.plans.groups import _ITEMS, conversation_groups, table
 from textflow.plans.texts import _TRIAGE, _failed
 from textflow.operators import qa
 from textflow.plans.rule_pack import PACK
+from textflow.sources import versions
+from textflow.sources.shared import new_path
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -94,3 +96,13 @@ def repair_summary(spark, sf_dir):
     triaged = qa.triage(_failed(spark, sf_dir).withColumnRenamed("doc_id", "item_id"), PACK)
     repaired = payloads.by_priority(triaged)[0].withColumn("repair_status", F.when(F.col("item_id") % 7 == 0, "failed").otherwise("accepted"))
     return payloads.repair_summary(triaged, repaired)
+
+
+@query("SELECT CAST(0 AS INT) AS version, count(*) AS n_rows, count(*) FILTER (WHERE text IS NULL) AS nulls, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents")
+def gated_version(spark, sf_dir):
+    """The documents as a version of a table, measured while they are written; gates hold back a version without rows or with
+    more than a tenth of texts missing."""
+    docs = table(spark, sf_dir, "documents")
+    metrics = {"n_rows": F.count("*"), "nulls": F.count_if(F.col("text").isNull()), "chars": F.sum(F.length("text"))}
+    done = versions.commit(docs, new_path(spark, "versions"), metrics=metrics, gates={"rows": "n_rows > 0", "texts": "nulls <= 0.1 * n_rows"})
+    return spark.createDataFrame([(done.number, *(done.metrics[c] for c in metrics))], "version int, n_rows long, nulls long, chars long")
