@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textflow.operators import judges, lookup, reshape
+from textflow.operators import judges, lookup, reshape, textcache
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -152,25 +154,33 @@ _CACHE = "cache AS (SELECT text AS source, reverse(text) AS target FROM document
 _LOG = "log AS (SELECT text AS source, 'log ' || text AS target, CASE WHEN max(doc_id) % 2 = 0 THEN 'accepted' ELSE 'failed' END AS status FROM documents WHERE doc_id % 3 = 1 GROUP BY text)"
 
 
+def _all_rows(spark, sf_dir):
+    """Every third document as a row of a cache that keeps all its versions: copies of a text have several, the last counts."""
+    rows = table(spark, sf_dir, "documents").where("doc_id % 3 = 0")
+    return rows.select(F.col("text").alias("source"), F.concat(F.col("doc_id").cast("string"), F.lit(" "), F.reverse("text")).alias("target"), F.col("doc_id").alias("seq"))
+
+
+_ALL_ROWS = "cache AS (SELECT text AS source, max(doc_id) || ' ' || reverse(text) AS target FROM documents WHERE doc_id % 3 = 0 GROUP BY text)"
+
+
 @query(f"WITH {_CACHE} SELECT d.doc_id, c.target, c.target IS NOT NULL AS hit FROM documents d LEFT JOIN cache c ON d.text = c.source")
 def cache_left_join(spark, sf_dir):
     return lookup.cached(_texts(spark, sf_dir), _cache(spark, sf_dir)).select("doc_id", "target", "hit")
 
 
+@query(f"WITH {_ALL_ROWS} SELECT d.doc_id, c.target, c.target IS NOT NULL AS hit FROM documents d LEFT JOIN cache c ON d.text = c.source")
+def bucketed_lookup(spark, sf_dir):
+    """All documents looked up in a cache that is bucketed by the digest of its texts."""
+    name = f"texts_{uuid.uuid4().hex}"
+    textcache.save(_all_rows(spark, sf_dir), name, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return textcache.looked_up(_texts(spark, sf_dir), name).select("doc_id", "target", "hit")
+
+
 @query(f"WITH {_CACHE}, {_LOG} SELECT DISTINCT text AS source FROM documents WHERE text NOT IN (SELECT source FROM cache) AND text NOT IN (SELECT source FROM log)")
 def pending_anti(spark, sf_dir):
     return lookup.pending(_texts(spark, sf_dir), _cache(spark, sf_dir), _log(spark, sf_dir))
 
 
-def _all_rows(spark, sf_dir):
-    """Every third document as a row of a cache that keeps all its versions: copies of a text have several, the last counts."""
-    rows = table(spark, sf_dir, "documents").where("doc_id % 3 = 0")
-    return rows.select(F.col("text").alias("source"), F.concat(F.col("doc_id").cast("string"), F.lit(" "), F.reverse("text")).alias("target"), F.col("doc_id").alias("seq"))
-
-
-_ALL_ROWS = "cache AS (SELECT text AS source, max(doc_id) || ' ' || reverse(text) AS target FROM documents WHERE doc_id % 3 = 0 GROUP BY text)"
-
-
 @query(f"""WITH {_ALL_ROWS}, {_LOG}, t AS (SELECT DISTINCT text AS source FROM documents), s AS (SELECT DISTINCT text AS source FROM documents WHERE n_chars < 200)
 SELECT t.source, CASE WHEN s.source IS NOT NULL THEN t.source WHEN c.target IS NOT NULL THEN c.target WHEN l.status = 'accepted' THEN l.target END AS target,
   CASE WHEN s.source IS NOT NULL THEN 'skip' WHEN c.target IS NOT NULL THEN 'cache' WHEN l.status = 'accepted' THEN 'log' WHEN l.status = 'failed' THEN 'failed' ELSE 'missing' END AS origin
