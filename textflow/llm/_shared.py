@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textflow.sources.shared import cut, new_path, qualified, remove, shared_dir, small_side
 
-__all__ = ["cut", "new_path", "qualified", "remove", "shared_dir", "small_side", "with_group"]
+__all__ = ["cut", "new_path", "qualified", "remove", "rows_a_batch", "shared_dir", "small_side", "with_group"]
+
+
+@contextmanager
+def rows_a_batch(spark: SparkSession, n: int) -> Iterator[None]:
+    """Arrow batches of up to n rows for what is executed inside: for rows of many bytes, of which Spark's 10,000 don't fit."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(n, int(before)) if int(before) > 0 else n)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], spread: Column, values: list[str], parts: int = 200) -> DataFrame:

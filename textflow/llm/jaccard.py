@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textflow.llm._shared import cut, small_side, with_group
+from textflow.llm._shared import cut, rows_a_batch, small_side, with_group
 from textflow.llm._words import mix
 from textflow.llm.components import components
 from textflow.llm.neardup import _runs, shingle_sets
@@ -37,6 +37,8 @@ SHORT = 1024
 FEW = (2, 4)
 #: Rows of a list up to which it is paired by array operations over many lists; rows of a longer one that one task reads.
 SMALL, LIST = 64, 16_384
+#: Pairs of sets in an Arrow batch: two sets take some 10 KB, those of long documents up to a megabyte.
+BATCH = 256
 #: Ids up to which a table is broadcast.
 BROADCAST_IDS = 500_000
 
@@ -182,15 +184,25 @@ def star_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return _ordered(dealt.mapInArrow(run, "a long, b long"))
 
 
-def _nearest(a, b, differ, few: int):
-    """Of the pairs (a, b) and (b, a) the `few` of each first member that differ least, all with few = 0."""
-    if not few or not len(a):
-        return a, b
-    x, y, d = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([differ, differ])
-    order = np.lexsort((d, x))
-    x, y = x[order], y[order]
-    keep = np.arange(len(x)) - np.searchsorted(x, x) < few
-    return x[keep], y[keep]
+def _nearest(key, a, b, differ, few: int) -> pa.RecordBatch:
+    """Rows (key, a, b, more) of the pairs (a, b) of lists and, if few is over 0, only of the `few` of each member in a list that differ
+    least; more: whether any were left out, in which case the list isn't done."""
+    if not few:
+        return _marked(key, a, b, np.zeros(len(a), bool))
+    key, x, y, d = (np.concatenate(p) for p in ((key, key), (a, b), (b, a), (differ, differ)))
+    order = np.lexsort((d, x, key))
+    key, x, y = key[order], x[order], y[order]
+    start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (x[1:] != x[:-1])])
+    size = np.diff(np.r_[start, len(x)])
+    keep = np.arange(len(x)) - np.repeat(start, size) < few
+    return _marked(key[keep], x[keep], y[keep], np.repeat(size > few, size)[keep])
+
+
+def _marked(key, a, b, more) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (key, a, b, more)], ["key", "a", "b", "more"])
+
+
+_MARKED = "key long, a long, b long, more boolean"
 
 
 def _small_crossing(rows: DataFrame, percent: int, few: int) -> DataFrame:
@@ -205,11 +217,11 @@ def _small_crossing(rows: DataFrame, percent: int, few: int) -> DataFrame:
                 i = i[np.minimum(n[i] - at[i], n[i + d] - at[i + d]) >= needed(n[i], n[i + d], percent)]  # sizes out of range need more than one has
                 differ = np.bitwise_count(bits[i] ^ bits[i + d]).sum(1, dtype=np.int64)
                 good = differ <= _allowed(n[i], n[i + d], percent)
-                found.append((node[i[good]], node[i[good] + d], differ[good]))
+                found.append((key[i[good]], node[i[good]], node[i[good] + d], differ[good]))
             if found and sum(len(x[0]) for x in found):
-                yield _batch(*_nearest(*(np.concatenate(x) for x in zip(*found, strict=True)), few))
+                yield _nearest(*(np.concatenate(x) for x in zip(*found, strict=True)), few)
 
-    return rows.select("key", "node", "n", "at", "comp", "short").repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+    return rows.select("key", "node", "n", "at", "comp", "short").repartition("key").sortWithinPartitions("key").mapInArrow(run, _MARKED)
 
 
 def _large_crossing(rows: DataFrame, sizes: DataFrame, percent: int, few: int) -> DataFrame:
@@ -237,7 +249,7 @@ def _large_crossing(rows: DataFrame, sizes: DataFrame, percent: int, few: int) -
                 held += zip(node[i:s].tolist(), n[i:s].tolist(), at[i:s].tolist(), comp[i:s].tolist(), bits[i:s].copy(), strict=True)
                 if s == j:
                     continue
-                own_node, own_n, own_at, own_comp, own_bits, found = node[s:j], n[s:j], at[s:j], comp[s:j], bits[s:j], []
+                own_node, own_n, own_at, own_comp, own_bits, found, size = node[s:j], n[s:j], at[s:j], comp[s:j], bits[s:j], [], 0
                 begin = np.flatnonzero(np.r_[True, own_n[1:] != own_n[:-1], True])
                 for x, m, p, c, b in held:
                     rest = unskipped(m, p, own_n[begin[:-1]], begin, own_at, percent)
@@ -246,25 +258,28 @@ def _large_crossing(rows: DataFrame, sizes: DataFrame, percent: int, few: int) -
                     good = differ <= _allowed(m, own_n[rest], percent)
                     if good.any():
                         near = np.argsort(differ[good], kind="stable")[: few or None]
-                        found.append((np.full(len(near), x), own_node[rest[good][near]]))
+                        found.append((np.full(len(near), key[i]), np.full(len(near), x), own_node[rest[good][near]], np.full(len(near), len(near) < good.sum())))
+                        size += len(near)
+                        if size > 100_000:
+                            yield _marked(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                            found, size = [], 0
                 if found:
-                    yield _batch(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                    yield _marked(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
     dealt = left.select(*names).unionByName(right.select(*names)).repartition("key", "l", "r").sortWithinPartitions("key", "l", "r", "side", "n", "at")
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, _MARKED)
 
 
 def crossing_pairs(rows: DataFrame, comp: DataFrame, percent: int, few: int) -> DataFrame:
-    """rows (key, node, n, at, short) and comp (node, component; a node that it lacks is alone) -> distinct (a, b), a < b, of
-    different components that meet in a list and may have `percent` by sizes, positions and bits. few: for each node the so many
-    nearest alone (0: all)."""
+    """rows (key, node, n, at, short) and comp (node, component; a node that it lacks is alone) -> (key, a, b, more) of nodes of
+    different components that meet in a list and may have `percent` by sizes, positions and bits. few: for each node of a list the
+    so many nearest alone, with more where there are others (0: all)."""
     rows = rows.join(comp, "node", "left").select("key", "node", "n", "at", F.coalesce("component", "node").alias("comp"), "short")
     each = rows.groupBy("key", "comp").agg(F.count("*").alias("k"))
     sizes = each.groupBy("key").agg(F.max_by("comp", "k").alias("top"), F.sum("k").alias("rows"), F.max("k").alias("most"))
     sizes = cut(sizes.where("rows > most").select("key", "top", "rows", (F.col("rows") - F.col("most")).alias("alone")), "mixed")
     small = rows.join(sizes.where(F.col("rows") <= SMALL).select("key"), "key")
-    both = _small_crossing(small, percent, few).unionByName(_large_crossing(rows, sizes.where(F.col("rows") > SMALL), percent, few))
-    return _ordered(both)
+    return _small_crossing(small, percent, few).unionByName(_large_crossing(rows, sizes.where(F.col("rows") > SMALL), percent, few))
 
 
 def sieved(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -314,8 +329,10 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int, near: int) -> Data
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["a", "b", "n_a", "n_b", "common", "linked", "less", "more"])
 
     of = lambda c: sets.select(F.col("node").alias(c), F.col("hashes").alias(f"hashes_{c}"))
+    spark = pairs.sparkSession
     both = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "hashes_a", "hashes_b")
-    return both.mapInArrow(run, "a long, b long, n_a long, n_b long, common long, linked boolean, less binary, more binary")
+    with rows_a_batch(spark, BATCH):
+        return cut(both.mapInArrow(run, "a long, b long, n_a long, n_b long, common long, linked boolean, less binary, more binary"), "compared")
 
 
 def derived(pairs: DataFrame, pivots: DataFrame, sets_of, percent: int, near: int) -> DataFrame:
@@ -324,7 +341,7 @@ def derived(pairs: DataFrame, pivots: DataFrame, sets_of, percent: int, near: in
     inequality of 1 - similarity a link of x is no further from y); those of x follow: of y's shingles x and z share all but
     those that one of them lacks, and beside these what both have that y hasn't."""
     asked = cut(pairs.where("y <> z").select(F.least("y", "z").alias("a"), F.greatest("y", "z").alias("b")).distinct(), "asked")
-    told = cut(compared(asked, sets_of(asked), percent, near), "told")
+    told = compared(asked, sets_of(asked), percent, near)
     one = told.select(F.col("a").alias("y"), F.col("b").alias("z"), F.col("n_b").alias("n_z"), F.col("less").alias("less_z"), F.col("more").alias("more_z"))
     other = told.select(F.col("b").alias("y"), F.col("a").alias("z"), F.col("n_a").alias("n_z"), F.col("more").alias("less_z"), F.col("less").alias("more_z"))
     both = pairs.join(one.unionByName(other), ["y", "z"]).join(pivots.select("x", "y", "n_y", "n", "less", "more"), ["x", "y"])
@@ -374,7 +391,7 @@ def links_of(docs: DataFrame, groups: DataFrame, percent: int, size: int) -> Dat
         return union(sets)
 
     close = cut(sieved(star_pairs(rows, percent), groups, percent), "close")
-    answers = cut(compared(close, sets_of(close), percent, percent), "answers")
+    answers = compared(close, sets_of(close), percent, percent)
     links, known = [answers.select("a", "b")], [close]
     one = answers.select(F.col("b").alias("x"), F.col("a").alias("y"), F.col("n_a").alias("n_y"), F.col("n_b").alias("n"), "less", "more")
     other = answers.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("n_b").alias("n_y"), F.col("n_a").alias("n"), F.col("more").alias("less"), F.col("less").alias("more"))
@@ -383,16 +400,19 @@ def links_of(docs: DataFrame, groups: DataFrame, percent: int, size: int) -> Dat
     pivots = one.unionByName(other).groupBy("x").agg(F.min(order).alias("p")).select("x", "p.y", "p.n_y", "p.n", "p.less", "p.more")
     alone = groups.select(F.col("node").alias("x")).join(pivots.select("x"), "x", "left_anti").join(groups.select(F.col("node").alias("x"), "n"), "x")
     pivots = cut(pivots.unionByName(alone.select("x", F.col("x").alias("y"), F.col("n").alias("n_y"), "n", none.alias("less"), none.alias("more"))), "pivots")
+    rows = rows.where("length > 2")  # a list of two is its pivot's pair
     for few in (*FEW, 0):
-        pairs = crossing_pairs(rows, components(union(links)), percent, few).join(union(known), ["a", "b"], "left_anti")
+        found = cut(crossing_pairs(rows, components(union(links)), percent, few), "crossing")
+        pairs = _ordered(found).join(union(known), ["a", "b"], "left_anti")
         close = cut(sieved(pairs, groups, percent), "close")
-        if not close.limit(1).count():
-            if few:
-                continue
-            break
-        asked = close.select(F.col("a").alias("x"), F.col("b").alias("z")).join(pivots.select("x", "y"), "x")
-        links.append(cut(derived(asked, pivots, sets_of, percent, 2 * percent - 100), "links"))
-        known.append(close)
+        if close.limit(1).count():
+            asked = close.select(F.col("a").alias("x"), F.col("b").alias("z")).join(pivots.select("x", "y"), "x")
+            links.append(cut(derived(asked, pivots, sets_of, percent, 2 * percent - 100), "links"))
+            known.append(close)
+        keys = found.where("more").select("key").distinct()
+        if not keys.limit(1).count():
+            break  # all pairs of all lists have been compared
+        rows = cut(rows.join(keys, "key", "left_semi"), "open")
     return union(links)
 
 
