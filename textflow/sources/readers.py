@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textflow import schemas
+from textflow.sources import json_arrays
 
 
 def json_array(spark: SparkSession, path: str, schema: str, index: str = "idx") -> DataFrame:
-    """Elements of one JSON array document, with their position. The format allows no splitting; large inputs are JSONL."""
-    whole = spark.read.text(path, wholetext=True)
-    rows = whole.select(F.posexplode(F.from_json("value", f"array<struct<{_colons(schema)}>>")).alias(index, "row"))
-    return rows.select(index, "row.*")
+    """Objects of a JSON array document, with their position; a large document is read by several tasks, a broken one is an error."""
+    row = F.from_json("text", f"struct<{_colons(schema)}>", {"mode": "FAILFAST"})
+    return json_arrays.elements(spark, path).select(F.col("number").cast("int").alias(index), row.alias("row")).select(index, "row.*")
 
 
 def _colons(schema: str) -> str:
