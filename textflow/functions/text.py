@@ -155,4 +155,4 @@ def hint_type(*texts: Column) -> Column:
         return out.when(low.contains("xx") & (redacted_count(low) >= 3), "pii_generic").otherwise("unknown")
 
     # a variable of a lambda, so that the text is put into lower case once and not once for each word
-    return F.transform(F.array(F.lower(blob)), kind)[0]
+    return F.transform(F.array(F.lower(blob)), kind)[0].alias("hint_type")

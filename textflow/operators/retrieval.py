@@ -31,8 +31,8 @@ def score_all(queries: DataFrame, candidates: DataFrame, score: Column, most: in
 
 
 def top_k(scores: DataFrame, k: int, keys: tuple[str, ...] = ("query_id",)) -> DataFrame:
-    """The k best of each key, ties by cand_id, with rank from 1."""
-    w = Window.partitionBy(*keys).orderBy(F.desc("score"), "cand_id")
+    """The k best of each key, ties by cand_id, with rank from 1. A score that is null or not a number ranks last."""
+    w = Window.partitionBy(*keys).orderBy(F.desc(F.nanvl("score", F.lit(float("-inf")))), "cand_id")
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 

@@ -141,6 +141,18 @@ def events_session_batch(spark, sf_dir):
     return event_sessions(table(spark, sf_dir, "events")).select("user_id", F.unix_micros("start").alias("start_us"), "events")
 
 
+@query("""WITH q AS (SELECT event_id AS item_id, ts, event_type FROM events WHERE event_id % 2 = 0), a AS (SELECT event_id - 1 AS item_id, ts, event_type FROM events WHERE event_id % 2 = 1)
+SELECT q.item_id, q.event_type, a.event_type AS target, CASE WHEN a.item_id IS NULL THEN 'missing_answer' END AS error FROM q LEFT JOIN a ON a.item_id = q.item_id AND a.ts >= q.ts AND a.ts <= q.ts + INTERVAL 5 MINUTE""")
+def answers_in_time(spark, sf_dir):
+    """Every second event as a question, the event after it as its answer if it comes within five minutes."""
+    from textflow.streaming.answers import answered
+
+    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    asked = e.where("event_id % 2 = 0").select(F.col("event_id").alias("item_id"), F.col("ts").alias("asked_at"), "event_type")
+    told = e.where("event_id % 2 = 1").select((F.col("event_id") - 1).alias("item_id"), F.col("ts").alias("answered_at"), F.col("event_type").alias("target"))
+    return answered(asked, told, "5 minutes").select("item_id", "event_type", "target", "error")
+
+
 @query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
 def events_last_by_user(spark, sf_dir):
     """The events as a stream, the last of each user kept as keyed state."""
