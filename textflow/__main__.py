@@ -1,4 +1,5 @@
-"""Command line: python -m textflow translate | dialogues | faq | sanity | reports; run by spark-submit on a cluster."""
+"""Command line: python -m textflow translate | dialogues | faq | fill | repair | evaluate | sanity | reports; run by spark-submit on a
+cluster."""
 
 from __future__ import annotations
 
@@ -8,9 +9,9 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textflow.operators import external, judges, reports, reshape, rules
+from textflow.operators import encoders, external, judges, reports, reshape, rules, sessions
 from textflow.plans import pipelines
-from textflow.sources import readers, sinks
+from textflow.sources import readers, sinks, versions
 
 
 def arguments(argv: list[str]) -> argparse.Namespace:
@@ -39,6 +40,12 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--relation-sample-limit", type=int, default=20)
     command("dialogues", "turns of dialogues").add_argument("--skip", help="YAML file of turns that aren't translated")
     command("faq", "question tables, whole rows only")
+    command("fill", "redactions of translated turns (JSON lines as dialogues writes them)").add_argument("--gap", type=int, default=sessions.GAP)
+    command("repair", "failed items (JSON lines with their errors) by priority")
+    p = command("evaluate", "how an encoder ranks the positives of groups", False)
+    p.add_argument("--encoder", default="hashed", choices=sorted(encoders.REGISTRY))
+    p.add_argument("--top", type=int, default=10)
+    p.add_argument("--vectors", help="Parquet folder of vectors by encoder: those that are there aren't made again")
     command("sanity", "exit with 1 if a group has a problem", False).add_argument("--residue", help="file of words that may not be left")
     command("reports", "one report of several; the last wins", False)
     return parser.parse_args(argv)
@@ -64,6 +71,15 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.command == "reports":
         sinks.json_lines(reports.merge(reports.flatten(readers.reports(spark, a.input))), a.output)
         return 0
+    if a.command == "evaluate":
+        done = None
+        if a.vectors and versions.newest(spark, f"{a.vectors}/{a.encoder}"):
+            done = versions.read(spark, f"{a.vectors}/{a.encoder}")
+        out = pipelines.evaluate_groups(readers.groups(spark, a.input, strict=True), a.encoder, k=a.top, done=done)
+        write({k: out[k] for k in ("queries", "summary", "top")}, a.output)
+        if a.vectors:
+            versions.commit(out["vectors"] if done is None else done.unionByName(out["vectors"]).dropDuplicates(["text"]), f"{a.vectors}/{a.encoder}")
+        return 0
     pack, cache = rules.load(a.rules), readers.cache(spark, a.cache) if a.cache else None
     if a.command == "translate":
         groups = readers.rows_between(readers.groups(spark, a.input), "group_idx", a.start_index, a.max_groups)
@@ -78,6 +94,17 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         write({"turns": turns}, a.output)
         sinks.failures(lost, f"{a.output}/failed")
         return int(lost.limit(1).count() > 0)
+    if a.command == "fill":
+        turns = spark.read.json(a.input)
+        turns, slots = pipelines.fill_dialogues(turns, client(a) if a.base_url else pipelines.Filler(), gap=a.gap, entities=list(pack.entities))
+        lost = turns.where("fill_status = 'failed'")
+        write({"turns": turns, "slots": slots}, a.output)
+        sinks.failures(lost, f"{a.output}/failed")
+        return int(lost.limit(1).count() > 0)
+    if a.command == "repair":
+        out = pipelines.repair_groups(spark.read.json(a.input, "group_idx long, item_id string, role string, idx long, source string, target string, status string, hard_errors array<string>"), pack, client(a))
+        write(out, a.output)
+        return int(out["merged"].where("status <> 'accepted'").limit(1).count() > 0)
     rows = readers.faq(spark, a.input).withColumnRenamed("Question", "question").withColumn("key", F.col("question"))
     done, _ = pipelines.translate_faq(rows.select("key", "question", "Answer", "Question_cluster"), "key", ["question", "Answer"], ["Question_cluster"], pack, client(a), cache)
     write({"rows": done}, a.output)

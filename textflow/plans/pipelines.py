@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textflow.functions import text
-from textflow.operators import external, judges, lookup, payloads, qa, reshape, restore, rules, sessions
+from textflow.operators import dense, encoders, external, judges, lookup, payloads, qa, reports, reshape, restore, retrieval, rules, sessions
 from textflow.operators.external import Client
 from textflow.operators.rules import Rules
 from textflow.sources import shared
@@ -153,3 +153,23 @@ class Filler:
 
 def needs_fill(c: Column) -> Column:
     return text.redacted_count(c) > 0
+
+
+def evaluate_groups(groups: DataFrame, encoder: str = "hashed", ks: tuple[int, ...] = (1, 3, 5), k: int = 10, cut: Cut = shared.cut, done: DataFrame | None = None, **config) -> dict[str, DataFrame]:
+    """groups (group_idx, query, positive, negative) -> how an encoder ranks each query's positives among all candidates of all groups:
+    queries (group_idx, n_positive, recall@k, hit@k, best_rank), summary (one row), top (the k best texts of each query), vectors
+    (text, vector; give them as `done` to the next run, which encodes what they lack).
+
+    A query without text, or without a positive, has no row. Each distinct text is encoded once."""
+    candidates = cut(retrieval.canonical(groups))
+    asked = groups.where(~text.blank(F.col("query"))).select("group_idx", F.col("query").alias("text"))
+    every = candidates.select("text").unionByName(asked.select("text")).distinct()
+    vectors = cut(encoders.encode(every, "text", encoder, done=done, **config))
+    found = candidates.join(vectors, "text").select("cand_id", F.col("vector").alias("v"), "text")
+    # queries have negative ids, as none of them is a candidate
+    queries = cut(asked.join(vectors, "text").select((-1 - F.col("group_idx")).cast("long").alias("query_id"), F.col("vector").alias("v")))
+    own = groups.select((-1 - F.col("group_idx")).cast("long").alias("query_id"), F.explode("positive").alias("text")).join(candidates, "text").select("query_id", "cand_id")
+    told = dense.evaluate(queries, found, own, ks)
+    per = cut(told.select((-1 - F.col("query_id")).alias("group_idx"), *(c for c in told.columns if c != "query_id")))
+    best = dense.search(queries, found, k).join(candidates, "cand_id").select((-1 - F.col("query_id")).alias("group_idx"), "rank", "cand_id", "text", "score")
+    return {"queries": per, "summary": reports.summary(per.withColumn("encoder", F.lit(encoder)), ["encoder"]), "top": best, "vectors": vectors}
