@@ -9,7 +9,7 @@ shingles falls on a place): places that differ bound from below how much two set
 
 Relations between sets save the rest. Equal sets are one from the start. In the first round each list has one pivot, the same in
 most lists, and only pairs with it are compared. What is linked by then is a component, and only pairs of different components
-are looked for in the lists from there on: a few nearest for each set, then all that are left. So groups of copies, however
+are looked for in the lists from there on: in long lists a few nearest for each set, then all that are left. So groups of copies, however
 large, take few pairs. A set's answers are derived from those of a pivot that it is linked with: once the pivot's overlap
 with a third set is known, the set's own follows from the differences of both to the pivot, without its shingles.
 """
@@ -33,9 +33,9 @@ from textflow.llm.neardup import _runs, shingle_sets
 COUNTERS = 1 << 18
 #: Places of the bits that lists carry.
 SHORT = 1024
-#: Nearest sets of other components that a set is compared with, in the rounds before the last.
+#: Nearest sets of other components in a long list that a set is compared with, in the rounds before the last.
 FEW = (2, 4)
-#: Rows of a list up to which it is paired by array operations over many lists; rows of a longer one that one task reads.
+#: Rows of a list up to which all its pairs are looked at, over many lists at a time; rows of a longer one that one task reads.
 SMALL, LIST = 64, 16_384
 #: Pairs of sets in an Arrow batch: two sets take some 10 KB, those of long documents up to a megabyte.
 BATCH = 256
@@ -155,49 +155,37 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def star_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """rows (key, node, n, at, length, short) -> distinct (a, b), a < b: each list's pivot, the node with the smallest hash, with the
-    others that may have `percent` by their bits. Long lists are dealt to several tasks, each with the pivot, and read in batches."""
+    """rows (key, node, n, at, length) -> distinct (a, b), a < b: each list's pivot, the node with the smallest hash, with the others
+    that may have `percent` by their sizes and positions. Long lists are dealt to several tasks, each with the pivot, and read in
+    batches."""
     order = F.xxhash64("node", F.lit(13))
     first = rows.withColumn("k", F.row_number().over(Window.partitionBy("key").orderBy(order, "node"))).where("k = 1")  # cut off before the shuffle, too
     parts = F.ceil(F.col("length") / LIST).cast("int")
     heads = first.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("head", F.lit(True))
     tails = rows.withColumn("part", F.pmod(order, parts).cast("int")).withColumn("head", F.lit(False))
-    names = ["key", "part", "head", "node", "n", "short"]
+    names = ["key", "part", "head", "node", "n", "at"]
 
     def run(batches):
         last = None  # the last head
         for batch in batches:
             if not batch.num_rows:
                 continue
-            head, node, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4))
-            bits = _bits(batch.column(5).to_pylist())
+            head, node, n, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2, 6))
             if last is not None:
-                head, node, n, bits = (np.concatenate(x) for x in zip(last, (head, node, n, bits), strict=True))
+                head, node, n, at = (np.concatenate(x) for x in zip(last, (head, node, n, at), strict=True))
             own = np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))
-            last = tuple(x[own[-1] : own[-1] + 1].copy() for x in (head, node, n, bits))
+            last = tuple(x[own[-1] : own[-1] + 1].copy() for x in (head, node, n, at))
             i = np.flatnonzero(~head & (node != node[own]))
-            i = i[np.bitwise_count(bits[i] ^ bits[own[i]]).sum(1, dtype=np.int64) <= _allowed(n[i], n[own[i]], percent)]
-            if len(i):
-                yield _batch(node[own[i]], node[i])
+            j = own[i]
+            most = np.minimum(at[i], at[j]) + np.minimum(n[i] - at[i], n[j] - at[j])  # the list's shingle may not be the first common one
+            good = most >= needed(n[i], n[j], percent)
+            if good.any():
+                yield _batch(node[j[good]], node[i[good]])
 
     dealt = heads.select(*names).unionByName(tails.select(*names)).repartition("key", "part").sortWithinPartitions("key", "part", F.desc("head"))
     return _ordered(dealt.mapInArrow(run, "a long, b long"))
 
 
-def _nearest(key, a, b, differ, few: int) -> pa.RecordBatch:
-    """Rows (key, a, b, more) of the pairs (a, b) of lists and, if few is over 0, only of the `few` of each member in a list that differ
-    least; more: whether any were left out, in which case the list isn't done."""
-    if not few:
-        return _marked(key, a, b, np.zeros(len(a), bool))
-    key, x, y, d = (np.concatenate(p) for p in ((key, key), (a, b), (b, a), (differ, differ)))
-    order = np.lexsort((d, x, key))
-    key, x, y = key[order], x[order], y[order]
-    start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (x[1:] != x[:-1])])
-    size = np.diff(np.r_[start, len(x)])
-    keep = np.arange(len(x)) - np.repeat(start, size) < few
-    return _marked(key[keep], x[keep], y[keep], np.repeat(size > few, size)[keep])
-
-
 def _marked(key, a, b, more) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in (key, a, b, more)], ["key", "a", "b", "more"])
 
@@ -205,23 +193,21 @@ def _marked(key, a, b, more) -> pa.RecordBatch:
 _MARKED = "key long, a long, b long, more boolean"
 
 
-def _small_crossing(rows: DataFrame, percent: int, few: int) -> DataFrame:
+def _small_crossing(rows: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components in lists of up to SMALL rows, by sizes and positions."""
+
     def run(batches):
-        for key, node, n, at, comp, short in _runs(batches, 6):
-            bits, found = _bits(short), []
+        for key, node, n, at, comp in _runs(batches, 5):
             for d in range(1, min(SMALL, len(key))):
                 same = key[d:] == key[:-d]
                 if not same.any():
                     break
                 i = np.flatnonzero(same & (comp[d:] != comp[:-d]))
                 i = i[np.minimum(n[i] - at[i], n[i + d] - at[i + d]) >= needed(n[i], n[i + d], percent)]  # sizes out of range need more than one has
-                differ = np.bitwise_count(bits[i] ^ bits[i + d]).sum(1, dtype=np.int64)
-                good = differ <= _allowed(n[i], n[i + d], percent)
-                found.append((key[i[good]], node[i[good]], node[i[good] + d], differ[good]))
-            if found and sum(len(x[0]) for x in found):
-                yield _nearest(*(np.concatenate(x) for x in zip(*found, strict=True)), few)
+                if len(i):
+                    yield _marked(key[i], node[i], node[i + d], np.zeros(len(i), bool))
 
-    return rows.select("key", "node", "n", "at", "comp", "short").repartition("key").sortWithinPartitions("key").mapInArrow(run, _MARKED)
+    return rows.select("key", "node", "n", "at", "comp").repartition("key").sortWithinPartitions("key").mapInArrow(run, _MARKED)
 
 
 def _large_crossing(rows: DataFrame, sizes: DataFrame, percent: int, few: int) -> DataFrame:
@@ -270,16 +256,17 @@ def _large_crossing(rows: DataFrame, sizes: DataFrame, percent: int, few: int) -
     return dealt.mapInArrow(run, _MARKED)
 
 
-def crossing_pairs(rows: DataFrame, comp: DataFrame, percent: int, few: int) -> DataFrame:
-    """rows (key, node, n, at, short) and comp (node, component; a node that it lacks is alone) -> (key, a, b, more) of nodes of
-    different components that meet in a list and may have `percent` by sizes, positions and bits. few: for each node of a list the
-    so many nearest alone, with more where there are others (0: all)."""
-    rows = rows.join(comp, "node", "left").select("key", "node", "n", "at", F.coalesce("component", "node").alias("comp"), "short")
+def crossing_pairs(rows: DataFrame, nodes: DataFrame, comp: DataFrame, percent: int, few: int) -> DataFrame:
+    """rows (key, node, n, at), nodes (node, short) and comp (node, component; a node that it lacks is alone) -> (key, a, b, more) of
+    nodes of different components that meet in a list and may have `percent` by sizes and positions, in lists of more than SMALL
+    rows by bits as well. few: for each node of such a list the so many nearest alone, with more where there are others (0: all)."""
+    rows = rows.join(comp, "node", "left").select("key", "node", "n", "at", F.coalesce("component", "node").alias("comp"))
     each = rows.groupBy("key", "comp").agg(F.count("*").alias("k"))
     sizes = each.groupBy("key").agg(F.max_by("comp", "k").alias("top"), F.sum("k").alias("rows"), F.max("k").alias("most"))
     sizes = cut(sizes.where("rows > most").select("key", "top", "rows", (F.col("rows") - F.col("most")).alias("alone")), "mixed")
-    small = rows.join(sizes.where(F.col("rows") <= SMALL).select("key"), "key")
-    return _small_crossing(small, percent, few).unionByName(_large_crossing(rows, sizes.where(F.col("rows") > SMALL), percent, few))
+    small, large = sizes.where(F.col("rows") <= SMALL), sizes.where(F.col("rows") > SMALL)
+    wide = rows.join(large.select("key"), "key", "left_semi").join(nodes.select("node", "short"), "node")
+    return _small_crossing(rows.join(small.select("key"), "key"), percent).unionByName(_large_crossing(wide, large, percent, few))
 
 
 def sieved(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -381,7 +368,7 @@ def links_of(docs: DataFrame, groups: DataFrame, percent: int, size: int) -> Dat
     """docs and groups (node, n, first (doc_id, th), prefix, bits, short) -> (a, b): links that connect all nodes that are linked in
     any way. Each round reads docs for the sets of nodes that come up for the first time."""
     union = lambda frames: functools.reduce(DataFrame.unionByName, frames)
-    rows = cut(lists(groups).join(groups.select("node", "short"), "node"), "lists")
+    rows = cut(lists(groups), "lists")
     sets: list[DataFrame] = []
 
     def sets_of(pairs: DataFrame) -> DataFrame:
@@ -402,7 +389,7 @@ def links_of(docs: DataFrame, groups: DataFrame, percent: int, size: int) -> Dat
     pivots = cut(pivots.unionByName(alone.select("x", F.col("x").alias("y"), F.col("n").alias("n_y"), "n", none.alias("less"), none.alias("more"))), "pivots")
     rows = rows.where("length > 2")  # a list of two is its pivot's pair
     for few in (*FEW, 0):
-        found = cut(crossing_pairs(rows, components(union(links)), percent, few), "crossing")
+        found = cut(crossing_pairs(rows, groups, components(union(links)), percent, few), "crossing")
         pairs = _ordered(found).join(union(known), ["a", "b"], "left_anti")
         close = cut(sieved(pairs, groups, percent), "close")
         if close.limit(1).count():
