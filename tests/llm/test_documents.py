@@ -210,6 +210,25 @@ def test_repeats_across_range_boundaries(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_more_ranges_than_sampled_suffixes(spark, monkeypatch):
+    """All of the sample's suffixes part the ranges then; results stay the same."""
+    passage = prose(9, 80)
+    rows = [(i, f"{prose(150 + i, 40)} {passage} {prose(190 + i, 40)}") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    distinct = df.select(F.col("doc_id").alias("tid"), "text")
+    few = substrings._splitters(distinct, 200, 64, 4)
+    many = substrings._splitters(distinct, 200, 64, 100_000)
+    assert len(few) == 3 and len(many) > 50 and len(np.unique(many, axis=0)) == len(many)
+    for name, value in (("SAMPLE", 3), ("TEXTS_EACH", 0), ("SPLITTERS", 6), ("ANCHORS_EACH", 0)):
+        monkeypatch.setattr(substrings, name, value)
+    spark.conf.set("spark.sql.shuffle.partitions", "30")
+    try:
+        assert 0 < len(substrings._splitters(distinct, 200, 64, 30)) < 29
+        assert found_repeats(df) == plain_repeats(rows, 200)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 @pytest.mark.parametrize("many", [20_000, 3])
 def test_passage_in_many_different_texts(spark, many):
     """Blocks with more contexts than `many` are split by offsets; the passage's ends have a context for each text."""
