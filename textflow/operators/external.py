@@ -3,7 +3,6 @@ steps that need Python."""
 
 from __future__ import annotations
 
-import difflib
 import hashlib
 import json
 import re
@@ -12,12 +11,12 @@ from collections import deque
 from collections.abc import Callable
 from typing import Protocol
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textflow.functions import matching
 from textflow.functions import text as T
 from textflow.operators.pool import Caller, Journal, Limits
 from textflow.sources import shared
@@ -169,7 +168,7 @@ def restore_redactions(c: Column, tokens: Column) -> Column:
     return F.aggregate(pairs, c, put)
 
 
-def _preservation(original: pd.Series, filled: pd.Series) -> pd.Series:
+def _preservation(original: pa.Array, filled: pa.Array) -> pa.Array:
     pattern = re.compile(T.REDACTED)
 
     def bare(x):
@@ -179,12 +178,13 @@ def _preservation(original: pd.Series, filled: pd.Series) -> pd.Series:
         x, y = bare(a), bare(b)
         if len(pattern.findall(a or "")) >= 3:
             y = re.sub(r"\s+", " ", re.sub(r"\d{2,}", "", y)).strip()
-        return 1.0 if not x and not y else 0.0 if not x or not y else difflib.SequenceMatcher(None, x, y).ratio()
+        return 1.0 if not x and not y else 0.0 if not x or not y else matching.ratio(x, y)
 
-    return pd.Series([one(a, b) for a, b in zip(original, filled, strict=True)])
+    # row by row, so that a batch isn't there once more as Python strings
+    return pa.array([one(a.as_py(), b.as_py()) for a, b in zip(original, filled, strict=True)], pa.float64())
 
 
 def preservation(original: Column, filled: Column) -> Column:
     """Ratcliff-Obershelp similarity of two texts without redactions; of three or more redactions in the original, digits
     that fill them don't count."""
-    return F.pandas_udf(_preservation, "double")(original, filled)
+    return F.arrow_udf(_preservation, "double")(original, filled)
