@@ -172,12 +172,14 @@ def _preservation(original: pa.Array, filled: pa.Array) -> pa.Array:
     pattern = re.compile(T.REDACTED)
 
     def bare(x):
-        return re.sub(r"\s+", " ", pattern.sub("", x or "")).strip()
+        """The text without redactions, spaces collapsed, and how many there were; most texts have no two X in a row."""
+        rest, n = pattern.subn("", x) if "xx" in x.lower() else (x, 0)
+        return " ".join(rest.split()), n
 
     def one(a, b):
-        x, y = bare(a), bare(b)
-        if len(pattern.findall(a or "")) >= 3:
-            y = re.sub(r"\s+", " ", re.sub(r"\d{2,}", "", y)).strip()
+        (x, n), (y, _) = bare(a or ""), bare(b or "")
+        if n >= 3:
+            y = " ".join(re.sub(r"\d{2,}", "", y).split())
         return 1.0 if not x and not y else 0.0 if not x or not y else matching.ratio(x, y)
 
     # row by row, so that a batch isn't there once more as Python strings
