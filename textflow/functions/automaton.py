@@ -125,7 +125,7 @@ class Automaton:
         lanes = -(-n // chunk)
         padded = np.full(warm + lanes * chunk, SEPARATOR, np.uint8)
         padded[warm : warm + n] = data
-        rows = np.ascontiguousarray(np.lib.stride_tricks.as_strided(padded, (lanes, warm + chunk), (chunk, 1)).T).astype(np.int32)
+        rows = np.ascontiguousarray(np.lib.stride_tricks.as_strided(padded, (lanes, warm + chunk), (chunk, 1)).T)
         state = np.zeros(lanes, np.int32)
         where, found = [], []
         for k in range(warm + chunk):

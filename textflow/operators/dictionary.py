@@ -7,7 +7,7 @@ of the words, and more words than automaton.MOST_BYTES are an error. The plan is
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,15 @@ from textflow.functions.automaton import LETTER, Automaton, edged
 
 MARK = re.compile(r"<ENT_\d{2,}>")
 MASKED = "struct<masked: string, found: array<string>>"
+MASKED_TYPE = pa.struct([("masked", pa.string()), ("found", pa.list_(pa.string()))])
+LOST_TYPE = pa.struct([("missing", pa.list_(pa.string())), ("aliased", pa.list_(pa.string()))])
+#: Rows that are Python objects at a time, at most.
+ROWS = 256
+
+
+def _joined(pieces: Iterator[pa.Array], kind: pa.DataType) -> pa.Array:
+    """Pieces as one array: only a piece at a time is there as Python objects, whatever the size of the batch."""
+    return pa.concat_arrays(list(pieces) or [pa.array([], kind)])
 
 
 def needs_edges(word: str) -> bool:
@@ -59,9 +68,12 @@ class Mask:
         return sorted(out)
 
     def __call__(self, column: pa.Array) -> pa.Array:
-        texts: list[bytes] = []
-        found: list[list[str]] = []
+        return _joined(self.pieces(column), MASKED_TYPE)
+
+    def pieces(self, column: pa.Array) -> Iterator[pa.Array]:
         for _, data, begin, row, start, word in self.automaton.find(column):
+            texts: list[bytes] = []
+            found: list[list[str]] = []
             raw = data.tobytes()
             edge = np.searchsorted(row, np.arange(len(begin)))
             for k in range(len(begin) - 1):
@@ -77,8 +89,8 @@ class Mask:
                     at = e
                 texts.append(b"".join([*parts, raw[at:high]]))
                 found.append([self.names[x] for x in sorted({c[2] for c in claims})])
-        masked = pa.array(texts, pa.binary()).cast(pa.string())
-        return pa.StructArray.from_arrays([masked, pa.array(found, pa.list_(pa.string()))], ["masked", "found"])
+            masked = pa.array(texts, pa.binary()).cast(pa.string())
+            yield pa.StructArray.from_arrays([masked, pa.array(found, pa.list_(pa.string()))], ["masked", "found"])
 
 
 class Unmask:
@@ -88,7 +100,11 @@ class Unmask:
         self.names = {f"<ENT_{i:02d}>": n for i, n in enumerate(names)}
 
     def __call__(self, column: pa.Array) -> pa.Array:
-        return pa.array([MARK.sub(lambda m: self.names.get(m[0], m[0]), t) for t in column.to_pylist()], pa.string())
+        return _joined(self.pieces(column), pa.string())
+
+    def pieces(self, column: pa.Array) -> Iterator[pa.Array]:
+        for i in range(0, len(column), ROWS):
+            yield pa.array([MARK.sub(lambda m: self.names.get(m[0], m[0]), t) for t in column.slice(i, ROWS).to_pylist()], pa.string())
 
 
 class Groups:
@@ -106,7 +122,9 @@ class Groups:
         self.edges = np.array([edges(pairs[m[0]][0]) for m in self.automaton.members], bool)
 
     def __call__(self, column: pa.Array) -> pa.Array:
-        lists: list[list[str]] = []
+        return _joined(self.pieces(column), pa.list_(pa.string()))
+
+    def pieces(self, column: pa.Array) -> Iterator[pa.Array]:
         for _, data, begin, row, start, word in self.automaton.find(column):
             good = ~self.edges[word] | edged(data, start, start + self.automaton.length[word])
             row, word = row[good], word[good]
@@ -115,8 +133,7 @@ class Groups:
             pairs = np.unique(np.repeat(row, n) * len(self.names) + self.group[at])
             edge = np.searchsorted(pairs, np.arange(len(begin)) * len(self.names))
             chosen = [self.names[g] for g in (pairs % max(len(self.names), 1)).tolist()]
-            lists.extend(chosen[i:j] for i, j in zip(edge[:-1], edge[1:], strict=True))
-        return pa.array(lists, pa.list_(pa.string()))
+            yield pa.array([chosen[i:j] for i, j in zip(edge[:-1], edge[1:], strict=True)], pa.list_(pa.string()))
 
 
 class Lost:
@@ -129,8 +146,12 @@ class Lost:
         self.groups = Groups(own | {f"a{n}": [a.lower() for a in aliases[n]] for n in names if n in aliases})
 
     def __call__(self, wanted: pa.Array, column: pa.Array) -> pa.Array:
+        there = self.groups(column)
+        return _joined((self._piece(wanted.slice(i, ROWS), there.slice(i, ROWS)) for i in range(0, len(column), ROWS)), LOST_TYPE)
+
+    def _piece(self, wanted: pa.Array, found: pa.Array) -> pa.Array:
         missing, aliased = [], []
-        for names, there in zip(wanted.to_pylist(), self.groups(column).to_pylist(), strict=True):
+        for names, there in zip(wanted.to_pylist(), found.to_pylist(), strict=True):
             there = set(there)
             lost = [n for n in sorted({*(names or ())} & self.rank.keys(), key=self.rank.get) if f"n{n}" not in there]
             missing.append([n for n in lost if f"a{n}" not in there])
@@ -151,15 +172,27 @@ def _applied(matcher, kind: str, *columns: Column) -> Column:
     return F.arrow_udf(one if len(columns) == 1 else two, kind)(*columns)
 
 
-def masked(c: Column, names: list[str]) -> Column:
+def _streamed(matcher, kind: str, column: Column) -> Column:
+    """As _applied(), the pieces handed on as they are made: no second copy of a batch's texts. Such a function has a Python
+    process of its own in each task."""
+    shared = SparkSession.active().sparkContext.broadcast(matcher)
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            yield from shared.value.pieces(column)
+
+    return F.arrow_udf(run, kind)(column)
+
+
+def masked(c: Column, names: list[str], streamed: bool = True) -> Column:
     """A text (null: empty) with names replaced by <ENT_nn>, nn their place in `names`, as (masked, found): found are the names that
-    were replaced, in the same order."""
-    return _applied(Mask(names), MASKED, F.coalesce(c, F.lit("")))
+    were replaced, in the same order. streamed: for long texts; if not, it shares a process with other functions of a dictionary."""
+    return (_streamed if streamed else _applied)(Mask(names), MASKED, F.coalesce(c, F.lit("")))
 
 
 def unmasked(c: Column, names: list[str]) -> Column:
     """A text (null: empty) with the marks of masked() replaced by the names."""
-    return _applied(Unmask(names), "string", F.coalesce(c, F.lit("")))
+    return _streamed(Unmask(names), "string", F.coalesce(c, F.lit("")))
 
 
 def groups_in(c: Column, groups: dict[str, list[str]], edges=lambda word: False) -> Column:

@@ -58,10 +58,10 @@ def load(path: str) -> Rules:
     return Rules(**{k: tuple(v) if isinstance(v, list) else v for k, v in data.items()})
 
 
-def mask_entities(df: DataFrame, column: str, rules: Rules, masked: str = "masked", found: str = "entities") -> DataFrame:
+def mask_entities(df: DataFrame, column: str, rules: Rules, masked: str = "masked", found: str = "entities", streamed: bool = True) -> DataFrame:
     """df with the entities of a text (null: empty) replaced by <ENT_nn>, longest first, and those found, in that order. An entity
     counts as found if it is in the text as masked so far. One pass over the text, whatever the number of entities."""
-    both = df.withColumn("__mask", dictionary.masked(F.col(column), rules.longest_first))
+    both = df.withColumn("__mask", dictionary.masked(F.col(column), rules.longest_first, streamed))
     return both.withColumns({masked: F.col("__mask.masked"), found: F.col("__mask.found")}).drop("__mask")
 
 
@@ -85,4 +85,4 @@ def _triggers(specs: dict[str, dict[str, list[str]]], kind: str = "triggers") ->
 
 def annotate(df: DataFrame, column: str, rules: Rules) -> DataFrame:
     """df with masked, entities, terms and actions."""
-    return mask_entities(df, column, rules).withColumns({"terms": terms_in(F.col(column), rules), "actions": actions_in(F.col(column), rules)})
+    return mask_entities(df, column, rules, streamed=False).withColumns({"terms": terms_in(F.col(column), rules), "actions": actions_in(F.col(column), rules)})
