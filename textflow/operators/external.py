@@ -89,8 +89,20 @@ def first_filled(answer: dict, keys: tuple[str, ...] = TEXT_KEYS) -> str:
     return ""
 
 
-def _asked(df: DataFrame, client: Client, columns: list[str], limits: Limits, journal: str | None, drop: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
-    """df with __answer, the client's whole answer as JSON, or {"error": why}, to payloads of the columns.
+def _told(answers: list[dict]) -> list[pa.Array]:
+    """Answers as JSON."""
+    return [pa.array([json.dumps(a, ensure_ascii=False) for a in answers], pa.string())]
+
+
+def _texts(answers: list[dict]) -> list[pa.Array]:
+    """The texts of answers, and what they say of errors as JSON."""
+    errors = [json.dumps({"error": a["error"]}, ensure_ascii=False) if "error" in a else None for a in answers]
+    return [pa.array([first_filled(a) for a in answers], pa.string()), pa.array(errors, pa.string())]
+
+
+def _asked(df: DataFrame, client: Client, columns: list[str], limits: Limits, journal: str | None, drop: tuple[str, ...], made: Callable[[list[dict]], list[pa.Array]] = _told, into: tuple[str, ...] = ("__answer",)) -> tuple[DataFrame, list[str]]:
+    """df with the columns `into` that `made` makes of the client's answers, or of {"error": why}, to payloads of the columns.
+    Rows come and go in lots of one call, so that besides a batch as it came only the calls that run have Python objects.
 
     journal: a folder that all executors share, in which answers are kept as they come. Rows are then dealt out by their payload,
     so that a task that runs again, or the whole query, finds what was answered before and asks for the rest only. A folder is
@@ -107,24 +119,24 @@ def _asked(df: DataFrame, client: Client, columns: list[str], limits: Limits, jo
         kept: deque = deque()
 
         def chunks():
-            for rows in batches:
-                kept.append(rows)
-                yield [json.loads(x) for x in rows.column("__payload").to_pylist()]
+            for batch in batches:
+                for i in range(0, batch.num_rows, limits.batch):
+                    rows = batch.slice(i, limits.batch)
+                    kept.append(rows)
+                    yield [json.loads(x) for x in rows.column("__payload").to_pylist()]
 
         for answers in caller.answers(chunks()):
             rows = kept.popleft()
-            told = pa.array([json.dumps(a, ensure_ascii=False) for a in answers], pa.string())
-            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), told], [*names, "__answer"])
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), *made(answers)], [*names, *into])
 
-    return asked.mapInArrow(run, f"{kinds}, __answer string"), names
+    return asked.mapInArrow(run, ", ".join([kinds, *(f"{c} string" for c in into)])), names
 
 
 def call(df: DataFrame, client: Client, columns: list[str], limits: Limits = Limits(), journal: str | None = None) -> DataFrame:
     """df with target from the client, and call_error: why there is no answer (target is empty then), else null. See Limits for
     how many calls run at a time; with a journal folder no answered payload is asked again by a later attempt."""
-    made, names = _asked(df, client, columns, limits, journal, ("target", "call_error"))
-    filled = F.arrow_udf(lambda c: pa.array([first_filled(json.loads(x)) for x in c.to_pylist()], pa.string()), "string")
-    return made.select(*names, filled("__answer").alias("target"), F.get_json_object("__answer", "$.error").alias("call_error"))
+    made, names = _asked(df, client, columns, limits, journal, ("target", "call_error"), _texts, ("__target", "__error"))
+    return made.select(*names, F.col("__target").alias("target"), F.get_json_object("__error", "$.error").alias("call_error"))
 
 
 def ask(df: DataFrame, client: Client, columns: list[str], limits: Limits = Limits(), journal: str | None = None) -> DataFrame:
