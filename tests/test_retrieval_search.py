@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from textflow.operators import dense, sparse
+from textflow.operators import dense, retrieval, sparse
 
 
 def vectors(seed, n, dim=6, groups=4):
@@ -94,3 +94,37 @@ def test_sparse_reads_few_postings(spark):
     q = spark.createDataFrame([(0, f"t{k}", 1.0) for k in range(4)], "query_id long, token string, weight double")
     told = sparse.postings_read(q, built, 5, 32).first()
     assert told.total == 12_000 and told.read < 6_000
+
+
+def test_sparse_index_reads_its_documents_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = [(i, f"t{k}", 1.0) for i in range(30) for k in range(3)]
+    d = spark.createDataFrame(docs, "cand_id long, token string, weight double").mapInArrow(told, "cand_id long, token string, weight double")
+    assert sum(r.n for r in sparse.index(d).where("token is not null").collect()) == len(docs) == read.value
+
+
+@pytest.mark.parametrize("most", [1_000_000, 1])
+def test_words_in_lists_are_indexed_as_rows_are(spark, monkeypatch, most):
+    monkeypatch.setattr(retrieval, "VARIANTS", most)
+    texts = [(1, "A b\tb-c1c É eé\n\nZ"), (2, "b"), (2, "Ab b \u212a İi"), (3, None), (4, ""), (5, "éßñ 12"), (None, "a b"), (6, "x" * 5_000_000 + " a"), (7, "\U0001f600a\U0001f600b a")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    asked = spark.createDataFrame([(0, "a", 1.0), (0, "b", 2.0), (1, "c", 1.0), (1, "k", 1.0), (2, "absent", 1.0), (2, "i", 1.0), (3, None, 1.0)], "query_id long, token string, weight double")
+    for only in (None, asked, asked.limit(0)):
+        rows, lists = (f(df, "doc_id", "text", only).withColumnRenamed("doc_id", "cand_id") for f in (retrieval.term_weights, retrieval.term_lists))
+        added = lists.selectExpr("cand_id", "explode(arrays_zip(tokens, weights)) x").groupBy("cand_id", "x.tokens").sum("x.weights")
+        want = {tuple(r) for r in rows.collect()}
+        assert {tuple(r) for r in added.collect()} == want and bool(want) == (only is None or only is asked)
+        found = [sorted(map(tuple, sparse.search(asked, sparse.index(x, 2, 3), 5, 2).collect())) for x in (rows, lists)]
+        assert found[0] == found[1] and bool(found[0]) == bool(want)
+
+
+def test_items_without_token_or_weight_are_left_out(spark):
+    d = spark.createDataFrame([(1, ["a", None, "b"], [1.0, 2.0, None]), (2, ["a", "a"], [float("nan"), 3.0]), (3, [None], [1.0]), (4, [], []), (5, None, None), (None, ["a"], [9.0])], "cand_id long, tokens array<string>, weights array<double>")
+    q = spark.createDataFrame([(0, "a", 1.0), (0, "b", 1.0)], "query_id long, token string, weight double")
+    assert [tuple(r) for r in sparse.search(q, sparse.index(d), 5).orderBy("rank").collect()] == [(0, 2, 3.0, 1), (0, 1, 1.0, 2)]

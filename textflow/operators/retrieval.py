@@ -7,14 +7,22 @@ task ever holds all candidates of a query.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from textflow.functions.automaton import pieces
 from textflow.sources.shared import cut, small_side
 
 QUERIES = 100_000
 #: Rows of a lookup (variants of candidates, terms of queries) up to which it goes to every task; parts of a token beyond.
 VARIANTS, PARTS = 1_000_000, 32
+#: Bytes of lower-case ASCII words.
+_LOWER = np.zeros(256, bool)
+_LOWER[97:123] = True
 
 
 def score_all(queries: DataFrame, candidates: DataFrame, score: Column, most: int = QUERIES) -> DataFrame:
@@ -92,6 +100,41 @@ def term_weights(df: DataFrame, key: str, text: str, only: DataFrame | None = No
     return rows.groupBy(key, "token").agg(F.count("*").cast("double").alias("weight"))
 
 
+def term_lists(df: DataFrame, key: str, text: str, only: DataFrame | None = None) -> DataFrame:
+    """As term_weights(), with the words of each row of df in lists (key, tokens, weights): words are counted within a row,
+    nothing is shuffled, and rows of the same key aren't added up. A row without a word that counts has empty lists."""
+    shared = None
+    if only is not None:
+        known = only.select("token").na.drop().distinct().limit(VARIANTS + 1).toArrow().column(0).combine_chunks()
+        if len(known) > VARIANTS:
+            return term_weights(df, key, text, only).select(key, F.array("token").alias("tokens"), F.array("weight").alias("weights"))
+        shared = df.sparkSession.sparkContext.broadcast(known)
+    kind = T.StructType([df.schema[key], T.StructField("tokens", T.ArrayType(T.StringType())), T.StructField("weights", T.ArrayType(T.DoubleType()))])
+
+    def run(batches):
+        for batch in batches:
+            for first, data, begin in pieces(batch.column(1)):
+                letter = _LOWER[data]
+                edge = np.diff(np.concatenate([[False], letter, [False]]).view(np.int8))
+                start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+                at = np.append(0, np.cumsum(end - start)).astype(np.int32)
+                word = pa.StringArray.from_buffers(len(start), pa.py_buffer(at), pa.py_buffer(data[letter]))
+                if shared is None:
+                    word = word.dictionary_encode()
+                    names, code = word.dictionary, word.indices.to_numpy()
+                else:
+                    names = shared.value
+                    code = pc.index_in(word, value_set=names).fill_null(-1).to_numpy()
+                row = np.searchsorted(begin, start, "right") - 1
+                pair, times = np.unique((row * (len(names) or 1) + code)[code >= 0], return_counts=True)
+                row, code = np.divmod(pair, len(names) or 1)
+                ends = pa.array(np.searchsorted(row, np.arange(len(begin))).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(ends, x) for x in (names.take(pa.array(code)), pa.array(times.astype(np.float64)))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(begin) - 1), *lists], kind.names)
+
+    return df.select(key, F.lower(F.coalesce(text, F.lit("")))).mapInArrow(run, kind)
+
+
 def hybrid(parts: dict[str, DataFrame], weights: dict[str, float]) -> DataFrame:
     """Weighted sum of scores by (query_id, cand_id); a part without the pair counts 0."""
     rows = None

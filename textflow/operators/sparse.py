@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textflow.sources.shared import small_side
+from textflow.sources.shared import cut, small_side
 
 #: Documents of a window, postings of a part at most, about, and rows of queries of one pass.
 ROWS, POSTINGS, TERMS = 16, 2_000_000, 1_000_000
@@ -26,11 +26,15 @@ _NAMES = [c.split()[0] for c in _INDEX.split(", ")]
 
 
 def index(docs: DataFrame, rows: int = ROWS, postings: int = POSTINGS) -> DataFrame:
-    """docs (cand_id, token, weight) -> an index for search(), a table that may be written: for each part and token its postings
-    with block maxima, and for each part a row without token, with its documents' ids. The weights of repeated (cand_id,
-    token) rows add up; rows with a null are left out."""
-    docs = docs.select(F.col("cand_id").cast("long").alias("cand_id"), "token", F.col("weight").cast("double").alias("weight")).na.drop()
-    n = docs.count()
+    """docs (cand_id, token, weight), or (cand_id, tokens, weights) with lists -> an index for search(), a table that may be
+    written: for each part and token its postings with block maxima, and for each part a row without token, with its documents'
+    ids. The weights of repeated (cand_id, token) add up; what has a null, or a weight that is no number, is left out. docs is
+    read once, to a table of its own: the number of its postings is needed before they are dealt out."""
+    if "tokens" not in docs.columns:
+        docs = docs.select("cand_id", F.array("token").alias("tokens"), F.array("weight").alias("weights"))
+    docs = docs.select(F.col("cand_id").cast("long").alias("cand_id"), "tokens", F.col("weights").cast("array<double>").alias("weights"), F.size("tokens").alias("n"))
+    docs = cut(docs.na.drop().where("n > 0"), "postings")
+    n = docs.agg(F.sum("n")).first()[0] or 0
     parts = max(1, min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // LEAST_POSTINGS), -(-n // postings))
 
     def run(batches):
@@ -39,13 +43,18 @@ def index(docs: DataFrame, rows: int = ROWS, postings: int = POSTINGS) -> DataFr
             return
         table = pa.Table.from_batches(batches)
         part = table.column(0)[0].as_py()
-        ids, own = np.unique(table.column(1).to_numpy(), return_inverse=True)
-        weight = table.column(3).to_numpy()
+        tokens, weights = (table.column(i).combine_chunks() for i in (2, 3))
+        own = np.repeat(table.column(1).to_numpy(), tokens.value_lengths().to_numpy())
+        column, weight = tokens.flatten(), weights.flatten().to_numpy(zero_copy_only=False)  # a null is a NaN
+        whole = column.is_valid().to_numpy(zero_copy_only=False) & ~np.isnan(weight)
+        if not whole.any():
+            return
+        own, column, weight = own[whole], column.filter(pa.array(whole)).dictionary_encode(), weight[whole]
+        ids, own = np.unique(own, return_inverse=True)
         total = np.bincount(own, np.abs(weight), len(ids))
         order = np.lexsort((ids, -total))
         number = np.empty(len(ids), np.int64)
         number[order] = np.arange(len(ids))
-        column = table.column(2).combine_chunks().dictionary_encode()
         names, token, number = column.dictionary.to_pylist(), column.indices.to_numpy(), number[own]
         at = np.lexsort((number, token))
         token, number, weight = token[at], number[at], weight[at]
@@ -62,56 +71,72 @@ def index(docs: DataFrame, rows: int = ROWS, postings: int = POSTINGS) -> DataFr
         for i in range(0, len(out), 2000):
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out[i : i + 2000], strict=True), kinds, strict=True)], _NAMES)
 
-    dealt = docs.select(F.pmod(F.xxhash64("cand_id"), F.lit(parts)).cast("int").alias("part"), "cand_id", "token", "weight")
+    dealt = docs.select(F.pmod(F.xxhash64("cand_id"), F.lit(parts)).cast("int").alias("part"), "cand_id", "tokens", "weights")
     return dealt.repartitionById(parts, "part").mapInArrow(run, _INDEX)
 
 
 class _Part:
-    """The postings of some tokens in one part."""
+    """The postings of some tokens in one part: lists behind one another, and so are their blocks."""
 
     def __init__(self, rows: int):
-        self.rows, self.ids, self.lists = rows, np.empty(0, np.int64), {}
+        self.rows, self.ids, self.tokens, self.lists, self.blocks = rows, np.empty(0, np.int64), [], [], {}
 
-    def add(self, token, numbers, weights, windows, starts, highs, lows) -> None:
+    def add(self, token, *arrays) -> None:
         if token is None:
-            self.ids = np.frombuffer(numbers, np.int64)
+            self.ids = np.frombuffer(arrays[0], np.int64)
         else:
-            numbers = np.frombuffer(numbers, np.int32)
-            self.lists[token] = numbers, np.frombuffer(weights, np.float64), np.frombuffer(windows, np.int32), np.append(np.frombuffer(starts, np.int32), len(numbers)), np.frombuffer(highs, np.float64), np.frombuffer(lows, np.float64)
+            self.tokens.append(token)
+            self.lists.append(arrays)
+
+    def close(self) -> None:
+        """To be called once all lists are there."""
+        kinds = (np.int32, np.float64, np.int32, np.int32, np.float64, np.float64)
+        lists = [[np.frombuffer(x[i], kind) for x in self.lists] for i, kind in enumerate(kinds)]
+        sizes = [len(x) for x in lists[0]]
+        ends = np.cumsum([0, *(len(x) for x in lists[2])])
+        self.blocks = {t: (ends[i], ends[i + 1], n) for i, (t, n) in enumerate(zip(self.tokens, sizes, strict=True))}
+        lists[3] = [x + first for x, first in zip(lists[3], np.cumsum([0, *sizes]), strict=False)]
+        self.numbers, self.weights, self.windows, starts, self.highs, self.lows = (np.concatenate([np.empty(0, kind), *x]) for x, kind in zip(lists, kinds, strict=True))
+        self.starts, self.counts = starts, np.diff(np.append(starts, len(self.numbers)))
+        self.lists = []
 
     def best(self, terms: list[tuple[str, float]], k: int, own_id: int) -> tuple[np.ndarray, np.ndarray, int, int]:
         """(ids, scores) of the k best for one query, its postings read and all its postings."""
-        lists = [(w, self.lists[t]) for t, w in terms if t in self.lists]
-        count = -(-len(self.ids) // self.rows)
-        bound, there = np.zeros(count), np.zeros(count, bool)
-        for w, (_, _, windows, _, highs, lows) in lists:
-            bound[windows] += np.maximum(w * (highs if w >= 0 else lows), 0)
-            there[windows] = True
+        lists = [(w, *self.blocks[t]) for t, w in terms if t in self.blocks]
+        ids, scores, kth, read, at, step = np.empty(0, np.int64), np.empty(0), -np.inf, 0, 0, 4
+        if not lists:
+            return ids, scores, 0, 0
+        block = np.concatenate([np.arange(b, e) for _, b, e, _ in lists])
+        w = np.repeat([x[0] for x in lists], [e - b for _, b, e, _ in lists])
+        window = self.windows[block]
+        there = np.bincount(window)
+        bound = np.bincount(window, np.maximum(w * np.where(w >= 0, self.highs[block], self.lows[block]), 0))
         bound += 1e-9 * (1 + np.abs(bound))
         order = np.flatnonzero(there)
         order = order[np.argsort(-bound[order], kind="stable")]
-        ids, scores, kth, read, at, step = np.empty(0, np.int64), np.empty(0), -np.inf, 0, 0, 4
+        place = np.empty(len(there), np.int32)
+        place[order] = np.arange(len(order))
+        place = place[window]
+        turn = np.argsort(place.astype(np.uint16) if len(order) <= 1 << 16 else place, kind="stable")  # a window's blocks stay in the order of terms
+        block, w, place, ends = block[turn], w[turn], place[turn], np.append(0, np.cumsum(there[order]))
+        start, count = self.starts[block], self.counts[block]
         while at < len(order) and not (len(ids) == k and bound[order[at]] < kth):
-            some = np.sort(order[at : at + step])
-            at, step = at + step, 2 * step
-            acc, hit = np.zeros(len(some) * self.rows), np.zeros(len(some) * self.rows, bool)
-            for w, (numbers, weights, windows, starts, _, _) in lists:
-                place = np.searchsorted(windows, some)
-                good = np.flatnonzero(windows[np.minimum(place, len(windows) - 1)] == some)
-                a, n = starts[place[good]], np.diff(starts)[place[good]]
-                rows = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                slot = np.repeat(good * self.rows, n) + numbers[rows] % self.rows
-                acc[slot] += w * weights[rows]
-                hit[slot] = True
-                read += len(rows)
-            slot = np.flatnonzero(hit)
-            new = self.ids[some[slot // self.rows] * self.rows + slot % self.rows]
+            to = min(at + step, len(order))
+            these = slice(ends[at], ends[to])
+            n = count[these]
+            total = int(n.sum())
+            rows = np.repeat(start[these] - (np.cumsum(n) - n), n) + np.arange(total)
+            slot = np.repeat((place[these] - at) * self.rows, n) + self.numbers[rows] % self.rows
+            acc = np.bincount(slot, np.repeat(w[these], n) * self.weights[rows])
+            slot = np.flatnonzero(np.bincount(slot))
+            new = self.ids[order[at + slot // self.rows] * self.rows + slot % self.rows]
             keep = new != own_id
             ids, scores = np.concatenate([ids, new[keep]]), np.concatenate([scores, acc[slot][keep]])
             top = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[top], scores[top]
             kth = scores[-1] if len(ids) == k else -np.inf
-        return ids, scores, read, sum(len(x[0]) for _, x in lists)
+            at, step, read = to, 2 * step, read + total
+        return ids, scores, read, sum(x[3] for x in lists)
 
 
 def _answers(queries: DataFrame, built: DataFrame, k: int, rows: int, same: bool) -> DataFrame:
@@ -129,6 +154,7 @@ def _answers(queries: DataFrame, built: DataFrame, k: int, rows: int, same: bool
         now, part = None, None
 
         def told():
+            part.close()
             out = []
             for q, terms in shared.value.items():
                 ids, scores, read, total = part.best(terms, k, q if same else None)
@@ -147,7 +173,8 @@ def _answers(queries: DataFrame, built: DataFrame, k: int, rows: int, same: bool
         if part is not None and shared.value:
             yield told()
 
-    return wanted.select(*_NAMES).repartition("part").sortWithinPartitions("part").mapInArrow(run, "query_id long, cand_id long, score double, read long, total long")
+    tasks = int(built.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return wanted.select(*_NAMES).repartitionById(tasks, "part").sortWithinPartitions("part").mapInArrow(run, "query_id long, cand_id long, score double, read long, total long")
 
 
 def _passes(queries: DataFrame, built: DataFrame, k: int, rows: int, same: bool, terms: int) -> DataFrame:

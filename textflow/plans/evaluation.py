@@ -129,7 +129,7 @@ sp AS (SELECT query_id, cand_id, sum(wq * wd) AS score FROM bt JOIN dt USING (to
 @query(f"""WITH {_SPARSE}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, cand_id) AS rank FROM sp) SELECT query_id, cand_id, score, rank FROM r WHERE rank <= 5""")
 def retrieval_sparse(spark, sf_dir):
     q = retrieval.term_weights(table(spark, sf_dir, "benchmark"), "item_id", "text").withColumnRenamed("item_id", "query_id")
-    d = retrieval.term_weights(table(spark, sf_dir, "documents"), "doc_id", "text", only=q).withColumnRenamed("doc_id", "cand_id")
+    d = retrieval.term_lists(table(spark, sf_dir, "documents"), "doc_id", "text", only=q).withColumnRenamed("doc_id", "cand_id")
     return sparse.search(q, cut(sparse.index(d), "index"), 5).select("query_id", "cand_id", "score", "rank")
 
 
