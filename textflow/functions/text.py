@@ -55,6 +55,12 @@ def script_ratio(c: Column, script: str = ARABIC) -> Column:
     return F.when(n > 0, F.length(F.regexp_replace(c, f"[^{script}]", "")) / n).otherwise(F.lit(0.0))
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """c rounded as SQL rounds doubles: scaled, then half away from zero. F.round of the digits themselves rounds the shortest
+    decimal, which differs where scaling moves a tie (41 / 640 to six digits)."""
+    return F.round(c * F.lit(10.0**digits)) / F.lit(10.0**digits)
+
+
 def redacted_tokens(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(REDACTED), F.lit(0))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textflow.functions.text import rounded
 from textflow.llm import importance, jaccard, langid, mixing, neardup, packing, periods, quality, secrets, substrings, topk, urls, warc
 
 
@@ -26,7 +27,7 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, distances (rounded) and verdicts of all documents."""
     found = quality.quality(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
-    return found.withColumns({c: F.round(c, 9) for c in ("char_distance", "word_distance")})
+    return found.withColumns({c: rounded(F.col(c), 9) for c in ("char_distance", "word_distance")})
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +84,7 @@ MAX_REPEAT = 4.0
 def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights of the documents' sources and how often each document is used, none over four times."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
-    return mixing.mix(docs, max_repeat=MAX_REPEAT).select("doc_id", "source", mixing.token_count(F.col("text")).alias("n_tokens"), F.round("weight", 9).alias("weight"), "copies")
+    return mixing.mix(docs, max_repeat=MAX_REPEAT).select("doc_id", "source", mixing.token_count(F.col("text")).alias("n_tokens"), rounded(F.col("weight"), 9).alias("weight"), "copies")
 
 
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

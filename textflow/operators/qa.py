@@ -122,7 +122,7 @@ def hard_qa(items: DataFrame, rules: Rules) -> DataFrame:
         "hard_errors": text.once(F.concat(pack(errors), "_latin_errors", named("missing_entity:", "missing"), pack(mid_errors), pack([F.when(text.leaked_markup(t), "markdown_or_json_leakage")]))),
         "hard_warnings": text.once(F.concat(pack(warnings), "_latin_warnings", named("entity_translated_ok:", "aliased"), pack(mid_warnings), pack(last))),
     })
-    return out.withColumn("hard_pass", F.size("hard_errors") == 0).withColumn("script_ratio", F.round("script_ratio", 4)).drop("_source_latin", "_bad_latin", "_latin_errors", "_latin_warnings", "_lost", "_terms", "_expected")
+    return out.withColumn("hard_pass", F.size("hard_errors") == 0).withColumn("script_ratio", text.rounded(F.col("script_ratio"), 4)).drop("_source_latin", "_bad_latin", "_latin_errors", "_latin_warnings", "_lost", "_terms", "_expected")
 
 
 def histogram(items: DataFrame, column: str = "hard_errors", only_failed: bool = False) -> DataFrame:
@@ -135,7 +135,7 @@ def histogram(items: DataFrame, column: str = "hard_errors", only_failed: bool =
 
 def pass_rate(items: DataFrame) -> DataFrame:
     n = F.count("*")
-    return items.agg(n.alias("items"), F.count_if("hard_pass").alias("passed"), F.round(100 * F.count_if("hard_pass") / n, 2).alias("pass_rate"))
+    return items.agg(n.alias("items"), F.count_if("hard_pass").alias("passed"), text.rounded(100 * F.count_if("hard_pass") / n, 2).alias("pass_rate"))
 
 
 def fill_qa(rows: DataFrame, ratio: Column, entities: list[str], phrases: str | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textflow.functions.automaton import pieces
+from textflow.functions.text import rounded
 from textflow.sources.shared import cut, small_side
 
 QUERIES = 100_000
@@ -150,7 +151,7 @@ def agreement(tops: DataFrame, k: int = 10) -> DataFrame:
     a, b = lists.select("query_id", F.col("run").alias("run_a"), F.col("top").alias("a")), lists.select("query_id", F.col("run").alias("run_b"), F.col("top").alias("b"))
     pairs = a.join(b, "query_id").where("run_a < run_b")
     n = F.count("*")
-    return pairs.groupBy("run_a", "run_b").agg(n.alias("queries"), F.count_if(F.col("a") == F.col("b")).alias("same_topk"), F.count_if(F.col("a")[0] == F.col("b")[0]).alias("same_top1"), F.round(F.count_if(F.col("a") == F.col("b")) / n, 4).alias("topk_ratio"), F.round(F.count_if(F.col("a")[0] == F.col("b")[0]) / n, 4).alias("top1_ratio"))
+    return pairs.groupBy("run_a", "run_b").agg(n.alias("queries"), F.count_if(F.col("a") == F.col("b")).alias("same_topk"), F.count_if(F.col("a")[0] == F.col("b")[0]).alias("same_top1"), rounded(F.count_if(F.col("a") == F.col("b")) / n, 4).alias("topk_ratio"), rounded(F.count_if(F.col("a")[0] == F.col("b")[0]) / n, 4).alias("top1_ratio"))
 
 
 def canonical(groups: DataFrame) -> DataFrame:

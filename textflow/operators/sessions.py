@@ -59,7 +59,7 @@ def worst_status(rows: DataFrame, keys: list[str]) -> DataFrame:
 def scan_report(clustered: DataFrame, tokens: Column) -> DataFrame:
     """One row: clusters, turns, tokens, least, largest and mean cluster size."""
     each = clustered.groupBy("dialogue_id", "cluster_idx").agg(F.count("*").alias("n"), F.sum(F.size(tokens)).alias("t"))
-    return each.agg(F.count("*").alias("clusters"), F.sum("n").alias("turns"), F.sum("t").alias("tokens"), F.min("n").alias("least"), F.max("n").alias("largest"), F.round(F.avg("n"), 2).alias("mean"))
+    return each.agg(F.count("*").alias("clusters"), F.sum("n").alias("turns"), F.sum("t").alias("tokens"), F.min("n").alias("least"), F.max("n").alias("largest"), text.rounded(F.avg("n"), 2).alias("mean"))
 
 
 def heaviest(clustered: DataFrame, tokens: Column, k: int = 20) -> DataFrame:

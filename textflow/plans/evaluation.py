@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textflow.functions import vectors as V
+from textflow.functions.text import rounded
 from textflow.operators import dense, reports, retrieval, sparse
 from textflow.plans.groups import table
 from textflow.sources.shared import cut
@@ -43,7 +44,7 @@ def _scores(spark, sf_dir, run: str = "full") -> DataFrame:
         v, q = v.withColumn("v", F.slice("v", 1, 32)), q.withColumn("qv", F.slice("qv", 1, 32))
     if run != "plain":
         v, q = v.withColumn("v", V.normalized(F.col("v"))), q.withColumn("qv", V.normalized(F.col("qv")))
-    return retrieval.score_all(q, v, V.dot(F.col("v"), F.col("qv"))).select("query_id", "cand_id", F.round("score", 9).alias("score"), (F.col("label") == F.col("query_label")).alias("positive"))
+    return retrieval.score_all(q, v, V.dot(F.col("v"), F.col("qv"))).select("query_id", "cand_id", rounded(F.col("score"), 9).alias("score"), (F.col("label") == F.col("query_label")).alias("positive"))
 
 
 def _sides(spark, sf_dir, run: str = "full") -> tuple[DataFrame, DataFrame, DataFrame, bool]:
@@ -89,7 +90,7 @@ def retrieval_dense_recall(spark, sf_dir):
 
 @query(f"WITH {_sql_scores()}, {_RANKED} SELECT query_id, rank, cand_id, round(score, 6) AS score FROM ranked WHERE rank <= 10")
 def retrieval_dense_topk(spark, sf_dir):
-    return _top(spark, sf_dir, 10).select("query_id", "rank", "cand_id", F.round("score", 6).alias("score"))
+    return _top(spark, sf_dir, 10).select("query_id", "rank", "cand_id", rounded(F.col("score"), 6).alias("score"))
 
 
 @query(f"""WITH {_sql_scores()}, {_RANKED}, firsts AS (SELECT query_id, min(cand_id) AS cand_id FROM scores WHERE positive GROUP BY query_id)
@@ -104,7 +105,7 @@ def retrieval_first_rank(spark, sf_dir):
 SELECT query_id, cand_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, cand_id) AS rank FROM m""")
 def retrieval_cluster_avg(spark, sf_dir):
     variants = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("cand_id"), F.col("label").alias("cluster"))
-    means = retrieval.cluster_mean(_scores(spark, sf_dir), variants).withColumn("score", F.round("score", 6))
+    means = retrieval.cluster_mean(_scores(spark, sf_dir), variants).withColumn("score", rounded(F.col("score"), 6))
     return retrieval.top_k(means, 1 << 30).select("query_id", "cand_id", "score", "rank")
 
 
@@ -117,8 +118,8 @@ SELECT query_id, cand_id, rank, round(score, 6) AS score FROM r WHERE rank <= 10
 def retrieval_multivector(spark, sf_dir):
     v = _vectors(spark, sf_dir)
     q = _queries(v).withColumn("qm", V.split(F.col("qv"), 8, 8)).drop("qv")
-    scores = retrieval.score_all(q, v.withColumn("m", V.split(F.col("v"), 8, 8)), F.round(V.multi(F.col("qm"), F.col("m")), 9)).select("query_id", "cand_id", "score")
-    return retrieval.top_k(scores, 10).select("query_id", "cand_id", "rank", F.round("score", 6).alias("score"))
+    scores = retrieval.score_all(q, v.withColumn("m", V.split(F.col("v"), 8, 8)), rounded(V.multi(F.col("qm"), F.col("m")), 9)).select("query_id", "cand_id", "score")
+    return retrieval.top_k(scores, 10).select("query_id", "cand_id", "rank", rounded(F.col("score"), 6).alias("score"))
 
 
 _SPARSE = """bt AS (SELECT item_id AS query_id, w AS token, count(*)::DOUBLE AS wq FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM benchmark) GROUP BY ALL),
@@ -142,7 +143,7 @@ def retrieval_hybrid_weights(spark, sf_dir):
     parts = {run: _scores(spark, sf_dir, run) for run in RUNS}
     out = None
     for weights in ((0.4, 0.2, 0.4), (1.0, 0.3, 0.0)):
-        mixed = retrieval.hybrid(parts, dict(zip(RUNS, weights, strict=True))).withColumn("score", F.round("score", 6))
+        mixed = retrieval.hybrid(parts, dict(zip(RUNS, weights, strict=True))).withColumn("score", rounded(F.col("score"), 6))
         top = retrieval.top_k(mixed, 5).withColumn("weights", F.lit("/".join(map(str, weights))))
         out = top if out is None else out.unionByName(top)
     return out.select("weights", "query_id", "cand_id", "score", "rank")
@@ -179,7 +180,7 @@ _PER_QUERY = f"{_ALL}, per_query AS ({_recall_sql().replace('SELECT query_id', '
 @query(f"WITH {_PER_QUERY} SELECT run, round(avg(recall_1), 9) AS recall_1, round(avg(recall_3), 9) AS recall_3, round(avg(recall_5), 9) AS recall_5, count(*) AS queries FROM per_query GROUP BY run")
 def leaderboard(spark, sf_dir):
     board = reports.leaderboard(reports.summary(_per_query(spark, sf_dir), ["run"]), ["run"])
-    return board.select("run", *(F.round(f"recall_{k}", 9).alias(f"recall_{k}") for k in (1, 3, 5)), "queries")
+    return board.select("run", *(rounded(F.col(f"recall_{k}"), 9).alias(f"recall_{k}") for k in (1, 3, 5)), "queries")
 
 
 @query(f"""WITH {_PER_QUERY} SELECT o.query_id, o.run, CASE WHEN o.hit_1 THEN 'gain' ELSE 'regression' END AS change
@@ -198,4 +199,4 @@ def universal_miss(spark, sf_dir):
 SELECT alias, mode, max(ordinal) AS ordinal, round(arg_max(value, ordinal), 6) AS value FROM r GROUP BY ALL""")
 def report_merge(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select(F.col("label").alias("alias"), (F.col("vec_id") % 2).alias("mode"), F.col("vec_id").alias("ordinal"), F.col("embedding")[0].cast("double").alias("value"))
-    return reports.merge(rows).withColumn("value", F.round("value", 6))
+    return reports.merge(rows).withColumn("value", rounded(F.col("value"), 6))
